@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 _HEX_CONTROLS = r"[\x00-\x07\x0b\x0e-\x1f]"
 _AROUND_CONTROL = rf"(?<={_HEX_CONTROLS})|(?={_HEX_CONTROLS})"
 
-# How deep nested documents are followed. Anything below is treated as opaque.
-MAX_DEPTH = 16
+# How deep nested documents are followed. A container below that is written by
+# to_json, whose members are sorted too; only its control escapes stay upper-case.
+MAX_DEPTH = 8
 
 
 def _quoted(col: Column) -> Column:
@@ -113,8 +114,7 @@ def render_variant(value: Column, leaf=None, mask_key=None, opaque=None, depth:
         ),
         ",",
     )
-    return (
-        F.when(is_object, F.concat(F.lit("{"), body, F.lit("}")))
-        .when(is_array, F.concat(F.lit("["), body, F.lit("]")))
-        .otherwise(scalar)
-    )
+    # the body appears once, so the expression grows linearly with the depth
+    opening = F.when(is_object, F.lit("{")).otherwise(F.lit("["))
+    closing = F.when(is_object, F.lit("}")).otherwise(F.lit("]"))
+    return F.when(is_object | is_array, F.concat(opening, body, closing)).otherwise(scalar)

@@ -46,7 +46,7 @@ def endpoint_identity(api_url: Column) -> Column:
             head, F.lit("//"), netloc,
             F.when((path != "") & ~path.startswith("/"), F.lit("/")).otherwise(F.lit("")), path,
         ),
-    ).otherwise(F.concat(head, F.when(has_authority, F.lit("//")).otherwise(F.lit("")), path))
+    ).otherwise(F.concat(head, F.when((path == "") | path.startswith("/"), F.lit("//")).otherwise(F.lit("")), path))
     return F.regexp_replace(joined, r"/+$", "")
 
 
@@ -69,7 +69,7 @@ def protocol_identity(config_json: Column) -> Column:
     def without_local_path(args: Column) -> Column:
         members = F.try_variant_get(args, "$", "map<string,variant>")
         fields = F.filter(F.map_entries(members), lambda e: e["key"] != "local_path")
-        body = F.transform(fields, lambda e: F.concat(json_text(e["key"]), F.lit(":"), render_variant(e["value"], depth=6)))
+        body = F.transform(fields, lambda e: F.concat(json_text(e["key"]), F.lit(":"), render_variant(e["value"], depth=2)))
         return F.coalesce(F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}")), F.lit("{}"))
 
     def member(entry: Column) -> Column:
@@ -84,7 +84,7 @@ def protocol_identity(config_json: Column) -> Column:
         )
         value = F.when(
             (entry["key"] == "dataset_args") & datasets.isNotNull(), stripped
-        ).otherwise(render_variant(entry["value"], depth=8))
+        ).otherwise(render_variant(entry["value"], depth=3))
         return F.concat(json_text(entry["key"]), F.lit(":"), value)
 
     body = F.transform(F.map_entries(kept), member)
