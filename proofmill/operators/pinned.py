@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.sources.tables import current_version, publish
+from proofmill.sources.tables import activate, current_version, stage
 
 DATA, IDS, SUMS = "data", "ids", "checksums"
 ROWS_PER_FILE = 100_000  # keeps each file small enough to be hashed as one value
@@ -30,14 +30,15 @@ def pin_extract(
         if verdict["ok"]:
             return {"status": "exists", "path": root, "reason": verdict["reason"]}
     wanted = ids.select(id_column).distinct()
-    staging = f"{root}/staging"
-    pin_rows(table, ids, id_column).write.option("maxRecordsPerFile", ROWS_PER_FILE).mode("overwrite").parquet(f"{staging}/{DATA}")
-    rows, expected = spark.read.parquet(f"{staging}/{DATA}").count(), wanted.count()
+    version = stage(
+        spark, root, {DATA: pin_rows(table, ids, id_column), IDS: wanted}, {"maxRecordsPerFile": ROWS_PER_FILE}
+    )
+    base = f"{root}/{version}"
+    rows, expected = spark.read.parquet(f"{base}/{DATA}").count(), spark.read.parquet(f"{base}/{IDS}").count()
     if rows != expected:
         raise ValueError(f"expected exactly {expected} rows for the wanted ids, found {rows}")
-    data = spark.read.parquet(f"{staging}/{DATA}")
-    version = publish(spark, root, {DATA: data, IDS: wanted})
-    file_checksums(spark, f"{root}/{version}/{DATA}").write.parquet(f"{root}/{version}/{SUMS}")
+    file_checksums(spark, f"{base}/{DATA}").write.parquet(f"{base}/{SUMS}")
+    activate(spark, root, version)
     return {"status": "created", "path": root, "rows": rows}
 
 

@@ -29,23 +29,35 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return spark.read.text(f"{root}/{POINTER}").first()["value"].strip()
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], buckets: int | None = None) -> str:
-    """Write every table into a new version folder and make it current. Returns the version."""
+def stage(spark: SparkSession, root: str, tables: dict[str, DataFrame], options: dict | None = None) -> str:
+    """Write tables into a new version folder without showing it to readers."""
     version = f"v-{uuid.uuid4().hex}"
     for name, frame in tables.items():
-        writer = frame if buckets is None else frame.repartition(buckets, "run_id").sortWithinPartitions("run_id")
-        writer.write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
+        frame.write.options(**(options or {})).mode("errorifexists").parquet(f"{root}/{version}/{name}")
+    return version
+
+
+def activate(spark: SparkSession, root: str, version: str) -> None:
+    """Make a staged version the current one: write the pointer aside, rename it into place."""
     fs = _file_system(spark, root)
     staged = _path(spark, f"{root}/.{POINTER}.{uuid.uuid4().hex}")
     stream = fs.create(staged, True)
     stream.write(bytearray(version.encode()))
     stream.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        staged.toUri() if staged.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration()
-    )
-    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(fs.makeQualified(staged), fs.makeQualified(_path(spark, f"{root}/{POINTER}")), overwrite)
+    jvm_fs = spark._jvm.org.apache.hadoop.fs
+    context = jvm_fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    rename = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(fs.makeQualified(staged), fs.makeQualified(_path(spark, f"{root}/{POINTER}")), options)
+
+
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], by_run: int | None = None) -> str:
+    """Stage every table and make the version current. ``by_run`` clusters rows by run id into that many parts."""
+    if by_run is not None:
+        tables = {n: t.repartition(by_run, "run_id").sortWithinPartitions("run_id") for n, t in tables.items()}
+    version = stage(spark, root, tables)
+    activate(spark, root, version)
     return version
 
 
