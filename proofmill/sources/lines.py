@@ -62,7 +62,9 @@ def scan_attempt_lines(
 
 def write_partitioned_lines(lines: DataFrame, root: str) -> None:
     """Store lines in the partitioned layout (``line`` is the text, the rest are folders)."""
-    lines.select("kind", "run_id", "report_id", "subset", F.col("line").alias("value")).write.partitionBy(
+    placed = lines.select("kind", "run_id", "report_id", "subset", F.col("line").alias("value"))
+    # one writer per folder, hot folders split by size
+    placed.hint("rebalance", "kind", "run_id", "report_id", "subset").write.partitionBy(
         "kind", "run_id", "report_id", "subset"
     ).mode("overwrite").text(root)
 
