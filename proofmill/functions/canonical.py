@@ -100,9 +100,9 @@ def render_variant(value: Column, leaf=None, mask_key=None, opaque=None, depth:
 
     # A variant object keeps its members sorted by name, so the entries arrive in order.
     entries = F.when(
-        is_object, F.transform(F.map_entries(members), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+        is_object, F.transform(F.map_entries(members), lambda e: F.named_struct(F.lit("k"), e["key"], F.lit("v"), e["value"]))
     ).when(
-        is_array, F.transform(items, lambda v: F.struct(F.lit(None).cast("string").alias("k"), v.alias("v")))
+        is_array, F.transform(items, lambda v: F.named_struct(F.lit("k"), F.lit(None).cast("string"), F.lit("v"), v))
     )
     body = F.array_join(
         F.transform(

@@ -71,10 +71,10 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
     )
 
     def row(num, score, macro, where, category, subset, order):
-        return F.struct(
-            num.alias("num"), score.alias("score_text"), macro.alias("macro_text"), where.alias("place"),
-            category.alias("category"), subset.alias("subset"), order.alias("pos"),
-        )
+        fields = {
+            "num": num, "score_text": score, "macro_text": macro, "place": where, "category": category, "subset": subset, "pos": order,
+        }
+        return F.named_struct(*[part for name, value in fields.items() for part in (F.lit(name), value)])
 
     place = F.concat(F.lit("metrics["), F.col("m_pos").cast("string"), F.lit("]"))
     no_path = F.array().cast("array<string>")

@@ -226,7 +226,7 @@ keys AS (
 bases AS (SELECT DISTINCT run_id, subset, sample_id FROM usable WHERE kind = 'predicted'),
 cov_manifest AS (
   SELECT run_id, subset, count(*) AS selected,
-         CASE subset WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END AS subset_pos,
+         CAST(CASE subset WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END AS BIGINT) AS subset_pos,
          CASE WHEN run_id <> 'src3' THEN sha256(subset) END AS question_digest, sha256('i' || subset) AS input_digest,
          run_id <> 'src5' AS media_evidence
   FROM cov_samples GROUP BY run_id, subset)

@@ -16,7 +16,7 @@ _Q = """SELECT run_id, subset, sample_id,
     "content_parts",
     """
 WITH c AS (SELECT CAST(conv_id AS VARCHAR) || '-' || turn AS sample_id, conv_id, turn, role, text FROM conversations)
-SELECT sample_id, 0 AS turn_no, 0 AS part, 'text' AS kind, NULL AS role, text, NULL AS media FROM c WHERE turn % 3 = 0
+SELECT sample_id, CAST(0 AS BIGINT) AS turn_no, CAST(0 AS BIGINT) AS part, 'text' AS kind, NULL AS role, text, NULL AS media FROM c WHERE turn % 3 = 0
 UNION ALL SELECT sample_id, 0, 0, 'text', role, text, NULL FROM c WHERE turn % 3 = 1
 UNION ALL SELECT sample_id, 0, 0, 'text', 'system', 'Be brief.', NULL FROM c WHERE turn % 3 = 2
 UNION ALL SELECT sample_id, 1, 0, 'text', role, text, NULL FROM c WHERE turn % 3 = 2
