@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.functions.scalars import repeat_number
+from proofmill.schemas import EVIDENCE_LINE
 
 TOKENS = "decimal(28,6)"
 _USAGE = {
@@ -15,36 +16,43 @@ _USAGE = {
 }
 
 
-def _at(document: Column, path: str) -> Column:
-    return F.try_variant_get(document, path, "variant")
-
-
-def _text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
-
-
-def _objects(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
-
-
 def _known(reason: Column) -> Column:
     return F.coalesce(F.nullif(reason, F.lit("")), F.lit("unknown"))
 
 
-def _has_members(value: Column) -> Column:
-    return F.coalesce(F.size(F.try_variant_get(value, "$", "map<string,variant>")) > 0, F.lit(False))
+def _has_members(usage: Column) -> Column:
+    return F.coalesce(F.size(usage) > 0, F.lit(False))
 
 
 def _token_sum(usage: Column, names: tuple[str, ...]) -> Column:
     """Sum of the given members; text, booleans and missing members count nothing."""
     total = F.lit(0).cast(TOKENS)
     for name in names:
-        value = _at(usage, f"$.{name}")
+        value = usage[name]
         numeric = F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
         total = total + F.coalesce(F.when(numeric, F.try_variant_get(value, "$", TOKENS)), F.lit(0).cast(TOKENS))
     return total.cast(TOKENS)
 
 
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Add ``doc`` (typed line) and ``is_object``.
+
+    The line is read as the member of an outer object, so text after the document
+    makes it invalid. Going through ``inline`` keeps Spark from parsing once per
+    member used. A document that only fails for the type of a member is checked
+    again as a whole: it still counts as an object.
+    """
+    wrapped = F.concat(F.lit('{"doc":'), F.col("line"), F.lit("}"))
+    parsed = F.from_json(
+        wrapped, f"doc {EVIDENCE_LINE}, damaged string",
+        {"columnNameOfCorruptRecord": "damaged", "allowSingleQuotes": "false"},
+    )
+    rows = lines.select("*", F.inline(F.array(parsed)))
+    reread = F.coalesce(F.schema_of_variant(F.try_parse_json("line")).startswith("OBJECT"), F.lit(False))
+    sound = F.col("damaged").isNull() & F.col("doc").isNotNull()
+    return rows.withColumn("is_object", F.when(sound, F.lit(True)).otherwise(reread)).drop("damaged")
+
+
 def evidence_key(lines: DataFrame) -> DataFrame:
     """Parse each line and find its key.
 
@@ -52,55 +60,47 @@ def evidence_key(lines: DataFrame) -> DataFrame:
     it is ``index`` used; a null result falls back to ``sample_score.sample_id``.
     Adds doc, sample_id, repeat and ``problem`` (NULL for a usable line).
     """
-    doc = F.col("doc")
-    named = _at(doc, "$.sample_id")
-    plain = F.when(named.isNotNull(), named).otherwise(_at(doc, "$.index"))
-    repeat = F.when(_at(doc, "$.repeat_id").isNotNull(), _at(doc, "$.repeat_id")).otherwise(_at(doc, "$.repeat"))
-    parsed = lines.withColumn("doc", F.try_parse_json("line"))
-    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
-    sample_id = F.coalesce(_text(plain), _text(_at(doc, "$.sample_score.sample_id")))
-    return parsed.select(
-        "*",
+    plain = F.coalesce("doc.sample_id", "doc.index")
+    repeat = F.coalesce("doc.repeat_id", "doc.repeat")
+    sample_id = F.coalesce(F.try_variant_get(plain, "$", "string"), "doc.sample_score.sample_id")
+    is_object = F.col("is_object")
+    return parse_lines(lines).select(
+        *lines.columns,
+        "doc",
         F.when(is_object, sample_id).alias("sample_id"),
-        repeat_number(repeat).alias("repeat"),
+        F.when(is_object, repeat_number(repeat)).otherwise(F.lit(0)).alias("repeat"),
         F.when(~is_object, F.lit("not a JSON object"))
         .when(sample_id.isNull(), F.lit("no sample id"))
         .alias("problem"),
     )
 
 
-def generation_columns(doc: Column) -> dict[str, Column]:
-    """Stop reasons, step count and usage members of a prediction document."""
-    choices = F.transform(
-        _objects(_at(doc, "$.model_output.choices")), lambda c: _known(_text(_at(c, "$.stop_reason")))
-    )
-    generated = F.filter(
-        _objects(_at(doc, "$.agent_trace.events")),
-        lambda e: F.coalesce(_text(_at(e, "$.type")) == "model_generate", F.lit(False)),
-    )
-    steps = F.coalesce(F.when(F.size(generated) > 0, F.size(generated)), F.lit(0))
-    traced = F.transform(generated, lambda e: _known(_text(_at(e, "$.payload.stop_reason"))))
+def generation_columns() -> dict[str, Column]:
+    """Stop reasons, step count and usage members of a prediction document ``doc``."""
+    choices = F.transform("doc.model_output.choices", lambda c: _known(c["stop_reason"]))
+    generated = F.filter("doc.agent_trace.events", lambda e: F.coalesce(e["type"] == "model_generate", F.lit(False)))
+    traced = F.transform(generated, lambda e: _known(e["payload"]["stop_reason"]))
+    steps = F.coalesce(F.nullif(F.size(traced), F.lit(-1)), F.lit(0))
     reasons = (
         F.when(steps > 0, traced).when(F.size(choices) > 0, choices).otherwise(F.array(F.lit("unknown")))
     )
-    trace_usage = _at(doc, "$.agent_trace.total_usage")
-    usage = F.when((steps > 0) & _has_members(trace_usage), trace_usage).otherwise(_at(doc, "$.model_output.usage"))
+    trace_usage, own_usage = F.col("doc.agent_trace.total_usage"), F.col("doc.model_output.usage")
+    usage = F.when((steps > 0) & _has_members(trace_usage), trace_usage).otherwise(own_usage)
     return {"reasons": reasons, "steps": steps.cast("bigint"), "usage": usage}
 
 
 def typed_evidence(lines: DataFrame) -> DataFrame:
     """The evidence fact table: one typed row per line, all later operators start here."""
-    keyed = evidence_key(lines)
-    made = generation_columns(F.col("doc"))
+    made = generation_columns()
     predicted = (F.col("kind") == "predicted") & F.col("problem").isNull()
-    with_usage = keyed.withColumn("__usage", F.when(predicted, made["usage"]))
-    return with_usage.select(
+    keyed = evidence_key(lines).withColumn("usage", F.when(predicted, made["usage"]))
+    return keyed.select(
         "run_id", "kind", "subset", "source", "sample_id", "repeat", "problem",
         F.when(predicted, made["reasons"]).alias("stop_reasons"),
         F.when(predicted, made["steps"]).alias("steps"),
-        F.when(predicted, _has_members(F.col("__usage"))).alias("has_usage"),
-        *[F.when(predicted, _token_sum(F.col("__usage"), names)).alias(out) for out, names in _USAGE.items()],
-        _text(_at(F.col("doc"), "$.metadata.docker_image")).alias("docker_image"),
+        F.when(predicted, _has_members(F.col("usage"))).alias("has_usage"),
+        *[F.when(predicted, _token_sum(F.col("usage"), names)).alias(out) for out, names in _USAGE.items()],
+        F.col("doc.metadata.docker_image").alias("docker_image"),
     )
 
 

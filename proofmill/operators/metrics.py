@@ -13,7 +13,10 @@ from proofmill.functions.scalars import score_problem, score_value
 def dimensions_json(text: Column) -> Column:
     """Canonical JSON of a dimensions object; missing or empty is ``{}``."""
     empty = text.isNull() | text.isin("", "null", "[]", "{}", "0", "false")
-    return F.when(empty, F.lit("{}")).otherwise(render_variant(F.try_parse_json(text), depth=1))
+    value = F.try_parse_json(text)
+    # members of a variant come out sorted; only control characters need the slow form
+    plain = F.to_json(value)
+    return F.when(empty, F.lit("{}")).when(~plain.contains("\\u00"), plain).otherwise(render_variant(value, depth=1))
 
 
 def identity_is_valid(name: Column) -> Column:
@@ -56,18 +59,32 @@ def report_ownership(runs: DataFrame, documents: DataFrame) -> DataFrame:
 def metric_flatten(reports: DataFrame) -> DataFrame:
     """Metric rows of each report: the metric, its categories, their subsets.
 
-    ``reports``: run_id and ``report`` (struct of ``schemas.REPORT``). One explode
-    walks the three levels; scores stay text with ``score_problem`` naming a bad one.
-    ``pos`` is the order of the rows within the report.
+    ``reports``: run_id, metrics and primary_metric_identity (``schemas.REPORT``).
+    Identities are worked out once per metric, then one explode walks its levels.
+    Scores stay text with ``score_problem`` naming a bad one; ``pos`` is the order
+    of the rows within the report.
     """
-    primary = F.col("report.primary_metric_identity")
-    keyed = reports.select(
+    primary = F.col("primary_metric_identity")
+    exploded = reports.select(
         "run_id",
         F.when(
             F.coalesce(primary["name"], primary["aggregation"], primary["dimensions"]).isNotNull(),
             metric_key(primary["name"], primary["aggregation"], dimensions_json(primary["dimensions"])),
         ).alias("primary_key"),
-        F.posexplode("report.metrics").alias("m_pos", "m"),
+        F.posexplode("metrics").alias("m_pos", "m"),
+    )
+    name, aggregation = F.col("m.identity.name"), F.col("m.identity.aggregation")
+    given = lambda col: F.nullif(col, F.lit(""))
+    keyed = exploded.withColumn("dimensions_json", dimensions_json(F.col("m.identity.dimensions"))).select(
+        "run_id", "primary_key", "m_pos", "m", "dimensions_json",
+        metric_key(name, aggregation, F.col("dimensions_json")).alias("metric_key"),
+        F.coalesce(given(name), given(F.col("m.legacy_name")), F.lit("metric")).alias("metric_name"),
+        identity_is_valid(name).alias("identity_valid"),
+        aggregation.alias("aggregation"),
+        F.col("m.semantics.kind").alias("semantics_kind"),
+        F.col("m.semantics.display_kind").alias("display_kind"),
+        F.col("m.semantics.direction").alias("direction"),
+        F.coalesce(given(F.col("m.semantics.display_unit")), F.col("m.semantics.raw_unit")).alias("unit"),
     )
 
     def row(num, score, macro, where, category, subset, order):
@@ -98,34 +115,20 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
         return F.concat(F.array(own), subsets)
 
     categories = F.flatten(F.transform(F.coalesce(F.col("m.categories"), F.array()), category_rows))
-    name, aggregation = F.col("m.identity.name"), F.col("m.identity.aggregation")
-    dims = dimensions_json(F.col("m.identity.dimensions"))
-    given = lambda col: F.nullif(col, F.lit(""))
-    rows = keyed.select(
-        "run_id", "primary_key",
-        metric_key(name, aggregation, dims).alias("metric_key"),
-        F.coalesce(given(name), given(F.col("m.legacy_name")), F.lit("metric")).alias("metric_name"),
-        identity_is_valid(name).alias("identity_valid"),
-        aggregation.alias("aggregation"),
-        dims.alias("dimensions_json"),
-        F.col("m.semantics.kind").alias("semantics_kind"),
-        F.col("m.semantics.display_kind").alias("display_kind"),
-        F.col("m.semantics.direction").alias("direction"),
-        F.coalesce(given(F.col("m.semantics.display_unit")), F.col("m.semantics.raw_unit")).alias("unit"),
-        F.explode(F.concat(F.array(base), categories)).alias("r"),
-    )
+    levels = F.when(F.size("m.categories") > 0, F.concat(F.array(base), categories)).otherwise(F.array(base))
+    rows = keyed.select(*[c for c in keyed.columns if c not in ("m", "m_pos")], F.inline(levels))
     return rows.select(
         "run_id", "metric_key", "metric_name", "identity_valid", "aggregation", "dimensions_json", "semantics_kind",
         "display_kind", "direction", "unit",
         F.col("metric_key").eqNullSafe(F.col("primary_key")).alias("is_primary"),
-        F.when(F.size("r.category") == 0, F.lit(TOP_CATEGORY_KEY)).otherwise(category_key(F.col("r.category"))).alias("category_key"),
-        json_list(F.transform("r.category", json_text)).alias("category_json"),
-        "r.subset", "r.num", "r.pos", "r.place",
-        score_value(F.col("r.score_text")).alias("score"),
-        score_value(F.col("r.macro_text")).alias("macro_score"),
+        F.when(F.size("category") == 0, F.lit(TOP_CATEGORY_KEY)).otherwise(category_key(F.col("category"))).alias("category_key"),
+        json_list(F.transform("category", json_text)).alias("category_json"),
+        "subset", "num", "pos", "place",
+        score_value(F.col("score_text")).alias("score"),
+        score_value(F.col("macro_text")).alias("macro_score"),
         F.coalesce(
-            F.concat("r.place", F.lit(".score: "), score_problem(F.col("r.score_text"))),
-            F.concat("r.place", F.lit(".macro_score: "), score_problem(F.col("r.macro_text"))),
+            F.concat("place", F.lit(".score: "), score_problem(F.col("score_text"))),
+            F.concat("place", F.lit(".macro_score: "), score_problem(F.col("macro_text"))),
         ).alias("score_problem"),
     )
 

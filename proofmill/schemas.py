@@ -16,6 +16,15 @@ REPORT = """
   execution_summary string, perf_metrics string
 """
 
+# Prediction and review lines. Ids and usage members are variants: a member that
+# is null must stay apart from one that is missing, a number from a text.
+EVIDENCE_LINE = """struct<
+  sample_id:variant, index:variant, repeat_id:variant, repeat:variant, sample_score:struct<sample_id:string>,
+  model_output:struct<choices:array<struct<stop_reason:string>>, usage:map<string,variant>>,
+  agent_trace:struct<events:array<struct<type:string, payload:struct<stop_reason:string>>>, total_usage:map<string,variant>>,
+  metadata:struct<docker_image:string>>
+"""
+
 RUN_MANIFEST = """
   attempt_id string, run_group string, suite string, profile string, dataset string, model_alias string,
   model_id string, report_id string, api_url string, created_at string, model_config_identity string,

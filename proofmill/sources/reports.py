@@ -26,23 +26,29 @@ def looks_like_report(document: Column) -> Column:
 
 
 def parse_reports(documents: DataFrame) -> DataFrame:
-    """Documents with ``is_report`` / ``parse_error`` flags and the typed report.
+    """Documents with ``is_report`` / ``parse_error`` flags and the report's members as columns.
 
     Unparsable documents stay as rows: a run with nothing but broken files is
     told apart from a run without files.
     """
-    # read as one opaque value, the document is NULL exactly when it is not JSON
-    valid = F.col("document").isNotNull() & F.coalesce(
-        F.from_json(F.concat(F.lit('{"d":'), F.col("document"), F.lit("}")), "d string", {"allowSingleQuotes": "false"})["d"],
-        F.when(F.trim(F.col("document")) == "null", F.lit("null")),
-    ).isNotNull()
+    # read as one opaque member, the document is NULL exactly when it is not JSON
+    opaque = F.from_json(
+        F.concat(F.lit('{"d":'), F.col("document"), F.lit("}")), "d string", {"allowSingleQuotes": "false"}
+    )["d"]
+    valid = opaque.isNotNull() | F.coalesce(F.trim(F.col("document")) == "null", F.lit(False))
     flagged = documents.withColumn("parse_error", ~valid)
     flagged = flagged.withColumn(
         "is_report", ~F.col("parse_error") & F.coalesce(looks_like_report(F.col("document")), F.lit(False))
     )
-    return flagged.withColumn("report", F.when(F.col("is_report"), F.from_json("document", REPORT)))
+    return report_columns(flagged.withColumn("document", F.when(F.col("is_report"), F.col("document"))))
+
+
+def report_columns(documents: DataFrame) -> DataFrame:
+    """Replace ``document`` by the report's members. ``inline`` makes Spark parse each text once."""
+    kept = [c for c in documents.columns if c != "document"]
+    return documents.select(*kept, F.inline(F.array(F.from_json("document", REPORT))))
 
 
 def scan_reports(spark: SparkSession, root: str) -> DataFrame:
-    """Every document below ``root`` with its flags; ``report`` is NULL for the others."""
+    """Every document below ``root`` with its flags; report members are NULL for the others."""
     return parse_reports(read_report_text(spark, root))

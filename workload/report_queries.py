@@ -8,11 +8,10 @@ from proofmill.functions.canonical import digest
 from proofmill.functions.identity import metric_key as metric_key_column
 from proofmill.operators import metrics, validity
 from proofmill.plans import report as plans
-from proofmill.schemas import REPORT
 from proofmill.session import work_path
 from proofmill.sources import reports as report_source
 from workload import bindings as b
-from workload.registry import query, table
+from workload.registry import query, spread, table
 
 # --- reports: one nested document per lineitem row -------------------------------
 
@@ -75,14 +74,13 @@ def report_documents(spark, sf):
         F.lit("}"),
     )
     run = b.text_of(F.col("l_orderkey"), "-", n, "-", F.col("l_partkey"), "-", F.col("l_suppkey"))
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem")).select(
         run.alias("run_id"), document.alias("document"), "l_orderkey", "l_linenumber", "l_returnflag", "l_suppkey"
     )
 
 
 def flat_metrics(spark, sf):
-    parsed = report_documents(spark, sf).select("run_id", F.from_json("document", REPORT).alias("report"))
-    return metrics.metric_flatten(parsed)
+    return metrics.metric_flatten(report_source.report_columns(report_documents(spark, sf).select("run_id", "document")))
 
 
 _FLAT = ["run_id", "metric_key", "metric_name", "identity_valid", "is_primary", "category_key", "category_json", "subset", "num",
@@ -114,8 +112,8 @@ def scan_reports(spark, sf):
     report_documents(spark, sf).select(damaged.otherwise(F.col("document")).alias("value")).write.text(root)
     stored = spark.read.text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
     parsed = report_source.parse_reports(stored)
-    return parsed.groupBy("report.model_name", "report.dataset_name", "is_report", "parse_error").agg(
-        F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.size("report.metrics")), F.lit(0)).alias("metrics")
+    return parsed.groupBy("model_name", "dataset_name", "is_report", "parse_error").agg(
+        F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.size("metrics")), F.lit(0)).alias("metrics")
     )
 
 
