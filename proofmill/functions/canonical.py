@@ -7,6 +7,8 @@ is the SHA-256 of such a text, so all hashing goes through this module.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ _AROUND_CONTROL = rf"(?<={_HEX_CONTROLS})|(?={_HEX_CONTROLS})"
 MAX_DEPTH = 8
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _quoted(col: Column) -> Column:
     wrapped = F.to_json(F.array(col))
     return F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
@@ -86,9 +93,8 @@ def render_variant(value: Column, leaf=None, mask_key=None, opaque=None, depth:
     is_object = kind.startswith("OBJECT")
     is_array = kind.startswith("ARRAY")
     text = F.try_variant_get(value, "$", "string")
-    if leaf is not None:
-        text = leaf(text)
-    scalar = F.when(kind == "STRING", json_text(text)).otherwise(F.to_json(value))
+    literal = json_text(text) if leaf is None else let(leaf(text), json_text)
+    scalar = F.when(kind == "STRING", literal).otherwise(F.to_json(value))
     if depth == 0:
         return F.when(is_object | is_array, opaque if opaque is not None else F.to_json(value)).otherwise(scalar)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import digest, json_list, json_object, json_text, render_variant
+from proofmill.functions.canonical import digest, json_list, json_object, json_text, let, render_variant
 from proofmill.functions.redaction import redact_text
 
 # Settings that do not belong to the evaluation protocol.
@@ -27,35 +27,45 @@ def short_hash(value: Column, length: int = 10) -> Column:
     return F.substring(F.coalesce(value, F.lit("")), 1, length)
 
 
-def endpoint_identity(api_url: Column) -> Column:
-    """scheme://host[:port]/path without credentials, query, fragment or end slash."""
-    url = redact_text(F.coalesce(api_url, F.lit("")))
-    scheme = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
+def _split_endpoint(url: Column) -> Column:
+    scheme = F.lower(F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1))
     rest = F.regexp_replace(F.regexp_replace(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*:", ""), r"[?#].*$", "")
-    has_authority = rest.startswith("//")
-    authority = F.regexp_extract(rest, r"^//([^/]*)", 1)
-    path = F.when(has_authority, F.regexp_replace(rest, r"^//[^/]*", "")).otherwise(rest)
+    return F.named_struct(F.lit("scheme"), scheme, F.lit("rest"), rest)
+
+
+def _place(parts: Column) -> Column:
+    authority = F.regexp_extract(parts["rest"], r"^//([^/]*)", 1)
     host_port = F.regexp_replace(authority, r"^.*@", "")
-    host = F.lower(F.regexp_replace(host_port, r":[0-9]*$", ""))
-    port = F.ltrim(F.regexp_extract(host_port, r":([0-9]*)$", 1), F.lit("0"))
-    netloc = F.concat(host, F.when(port != "", F.concat(F.lit(":"), port)).otherwise(F.lit("")))
-    head = F.concat(F.when(scheme == "", F.lit("https")).otherwise(F.lower(scheme)), F.lit(":"))
+    return F.named_struct(
+        F.lit("head"), F.concat(F.when(parts["scheme"] == "", F.lit("https")).otherwise(parts["scheme"]), F.lit(":")),
+        F.lit("host"), F.lower(F.regexp_replace(host_port, r":[0-9]*$", "")),
+        F.lit("port"), F.ltrim(F.regexp_extract(host_port, r":([0-9]*)$", 1), F.lit("0")),
+        F.lit("path"), F.regexp_replace(parts["rest"], r"^//[^/]*", ""),
+    )
+
+
+def _join_endpoint(p: Column) -> Column:
+    netloc = F.concat(p["host"], F.when(p["port"] != "", F.concat(F.lit(":"), p["port"])).otherwise(F.lit("")))
+    rooted = (p["path"] == "") | p["path"].startswith("/")
     joined = F.when(
-        netloc != "",
-        F.concat(
-            head, F.lit("//"), netloc,
-            F.when((path != "") & ~path.startswith("/"), F.lit("/")).otherwise(F.lit("")), path,
-        ),
-    ).otherwise(F.concat(head, F.when((path == "") | path.startswith("/"), F.lit("//")).otherwise(F.lit("")), path))
+        (p["host"] != "") | (p["port"] != ""),
+        F.concat(p["head"], F.lit("//"), netloc, F.when(rooted, F.lit("")).otherwise(F.lit("/")), p["path"]),
+    ).otherwise(F.concat(p["head"], F.when(rooted, F.lit("//")).otherwise(F.lit("")), p["path"]))
     return F.regexp_replace(joined, r"/+$", "")
 
 
+def endpoint_identity(api_url: Column) -> Column:
+    """scheme://host[:port]/path without credentials, query, fragment or end slash."""
+    url = redact_text(F.coalesce(api_url, F.lit("")))
+    return let(let(let(url, _split_endpoint), _place), _join_endpoint)
+
+
 def model_config_identity(alias: Column, model_id: Column, api_url: Column, deployment_version: Column) -> Column:
     return digest(
         json_object(
             alias=json_text(alias),
             model_id=json_text(F.coalesce(model_id, F.lit(""))),
-            endpoint=json_text(endpoint_identity(api_url)),
+            endpoint=let(endpoint_identity(api_url), json_text),
             deployment_version=json_text(F.coalesce(deployment_version, F.lit("unknown"))),
         )
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from proofmill.functions.canonical import let
+
 # Member names and endings that mark a secret, value patterns, placeholders.
 SECRET_KEY_NAMES = [
     "token", "access_token", "refresh_token", "id_token",
@@ -43,15 +45,17 @@ def mask_known(text: Column, secrets: Column) -> Column:
 
 def mask_patterns(text: Column) -> Column:
     keys = F.when(text.contains("sk-"), F.regexp_replace(text, API_KEY_PATTERN, MASK)).otherwise(text)
-    return F.when(keys.contains("eyJ"), F.regexp_replace(keys, SIGNED_TOKEN_PATTERN, MASK)).otherwise(keys)
+    return let(
+        keys, lambda t: F.when(t.contains("eyJ"), F.regexp_replace(t, SIGNED_TOKEN_PATTERN, MASK)).otherwise(t)
+    )
 
 
 def redact_text(text: Column, secrets: Column | None = None) -> Column:
     """Mask URL credentials, then known secrets, then values that look like keys."""
-    masked = mask_url_credentials(F.coalesce(text, F.lit("")))
+    masked = let(F.coalesce(text, F.lit("")), mask_url_credentials)
     if secrets is not None:
         masked = mask_known(masked, secrets)
-    return mask_patterns(masked)
+    return let(masked, mask_patterns)
 
 
 def is_secret_key(name: Column) -> Column:

@@ -95,3 +95,7 @@ def pin_verify(spark: SparkSession, root: str, wanted: DataFrame, id_column: str
     )
     counts = id_set_check(data, spark.read.parquet(f"{base}/{IDS}"), wanted.select(id_column).distinct(), id_column)
     return pin_reason(counts.withColumn("one", F.lit(1)).join(differs.withColumn("one", F.lit(1)), "one").drop("one"))
+
+
+def read_pinned(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{current_version(spark, root)}/{DATA}")

@@ -26,7 +26,11 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     fs = _file_system(spark, root)
     if not fs.exists(_path(spark, f"{root}/{POINTER}")):
         return None
-    return spark.read.text(f"{root}/{POINTER}").first()["value"].strip()
+    stream = fs.open(_path(spark, f"{root}/{POINTER}"))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
 
 
 def stage(spark: SparkSession, root: str, tables: dict[str, DataFrame], options: dict | None = None) -> str:
