@@ -21,26 +21,32 @@ COUNTS = [
 ]
 
 
-def _usable(evidence: DataFrame) -> DataFrame:
-    return evidence.filter(F.col("problem").isNull()) if "problem" in evidence.columns else evidence
-
-
 def key_counts(evidence: DataFrame) -> DataFrame:
-    """Lines per (run, subset, sample, repeat): predicted and reviewed counts."""
-    return _usable(evidence).groupBy(*SUBSET, "sample_id", "repeat").agg(
-        F.count_if(F.col("kind") == "predicted").alias("n_predicted"),
-        F.count_if(F.col("kind") == "reviewed").alias("n_reviewed"),
+    """Lines per (run, subset, sample, repeat): predicted, reviewed and unusable ones.
+
+    Unusable lines have no sample id and meet in one row per subset, so this
+    table alone answers every later coverage question.
+    """
+    usable = F.col("problem").isNull()
+    return evidence.groupBy(*SUBSET, F.when(usable, F.col("sample_id")).alias("sample_id"), "repeat").agg(
+        F.count_if(usable & (F.col("kind") == "predicted")).alias("n_predicted"),
+        F.count_if(usable & (F.col("kind") == "reviewed")).alias("n_reviewed"),
+        F.count_if(~usable).alias("n_malformed"),
     )
 
 
-def sample_counts(samples: DataFrame, evidence: DataFrame) -> DataFrame:
+def _keys(counts: DataFrame) -> DataFrame:
+    return counts.filter(F.col("n_malformed") == 0)
+
+
+def sample_counts(samples: DataFrame, counts: DataFrame) -> DataFrame:
     """Per (run, subset, sample): is it selected, and how its keys meet."""
     has_prediction, has_review = F.col("n_predicted") > 0, F.col("n_reviewed") > 0
 
     def flag(condition: Column) -> Column:
         return condition.cast("bigint")
 
-    lines = key_counts(evidence).select(
+    lines = _keys(counts).select(
         *SUBSET, "sample_id",
         F.lit(0).cast("bigint").alias("expected"),
         F.col("n_predicted").alias("predicted_lines"),
@@ -60,7 +66,7 @@ def sample_counts(samples: DataFrame, evidence: DataFrame) -> DataFrame:
     )
 
 
-def subset_coverage(samples: DataFrame, evidence: DataFrame) -> DataFrame:
+def subset_coverage(per_sample: DataFrame) -> DataFrame:
     """All coverage counts per (run, subset), for every subset seen on either side.
 
     Predictions are compared by sample id (any repeat covers the sample); reviews
@@ -68,7 +74,7 @@ def subset_coverage(samples: DataFrame, evidence: DataFrame) -> DataFrame:
     samples nothing is missing and every predicted id counts as covered and extra.
     """
     selected, predicted = F.col("expected") == 1, F.col("predicted_keys") > 0
-    totals = sample_counts(samples, evidence).groupBy(*SUBSET).agg(
+    totals = per_sample.groupBy(*SUBSET).agg(
         F.sum("expected").alias("expected"),
         F.count_if(predicted).alias("bases"),
         F.count_if(selected & predicted).alias("covered"),
@@ -93,7 +99,9 @@ def subset_coverage(samples: DataFrame, evidence: DataFrame) -> DataFrame:
 
 
 def coverage_predicted(samples: DataFrame, evidence: DataFrame) -> DataFrame:
-    return subset_coverage(samples, evidence.filter(F.col("kind") == "predicted")).select(
+    """Predictions against the selected samples, for subsets with either."""
+    predictions = key_counts(evidence.filter(F.col("kind") == "predicted"))
+    return subset_coverage(sample_counts(samples, predictions)).select(
         *SUBSET, "predicted", "predicted_total", "predicted_missing", "predicted_extra"
     )
 
@@ -101,7 +109,7 @@ def coverage_predicted(samples: DataFrame, evidence: DataFrame) -> DataFrame:
 def coverage_reviewed(evidence: DataFrame) -> DataFrame:
     """Reviews against prediction keys; needs no sample table."""
     both, predicted, reviewed = F.least("n_predicted", "n_reviewed") > 0, F.col("n_predicted") > 0, F.col("n_reviewed") > 0
-    return key_counts(evidence).groupBy(*SUBSET).agg(
+    return _keys(key_counts(evidence)).groupBy(*SUBSET).agg(
         F.count_if(both).alias("reviewed"),
         F.sum("n_reviewed").alias("reviewed_total"),
         F.count_if(predicted & ~reviewed).alias("reviewed_missing"),
@@ -111,27 +119,26 @@ def coverage_reviewed(evidence: DataFrame) -> DataFrame:
 
 def duplicate_evidence(evidence: DataFrame) -> DataFrame:
     """Repeated keys per (run, subset) and kind: lines beyond the first of each key."""
-    return key_counts(evidence).groupBy(*SUBSET).agg(
+    return _keys(key_counts(evidence)).groupBy(*SUBSET).agg(
         F.sum(F.greatest(F.col("n_predicted") - 1, F.lit(0))).alias("predicted_duplicates"),
         F.sum(F.greatest(F.col("n_reviewed") - 1, F.lit(0))).alias("reviewed_duplicates"),
     )
 
 
-def coverage_gaps(samples: DataFrame, evidence: DataFrame) -> DataFrame:
+def coverage_gaps(per_sample: DataFrame, counts: DataFrame) -> DataFrame:
     """The full lists behind the counts: one row per missing or unexpected key.
 
     ``kind``/``gap`` name the list; prediction gaps are keyed by sample id,
-    review gaps by ``<sample>#r<repeat>``.
+    review gaps by ``<sample>#r<repeat>``. Takes ``sample_counts`` and ``key_counts``.
     """
-    bases = sample_counts(samples, evidence)
     selected, predicted = F.col("expected") == 1, F.col("predicted_keys") > 0
-    by_sample = bases.filter(selected != predicted).select(
+    by_sample = per_sample.filter(selected != predicted).select(
         *SUBSET, F.lit("predicted").alias("kind"),
         F.when(selected, F.lit("missing")).otherwise(F.lit("extra")).alias("gap"),
         F.col("sample_id").alias("key"),
     )
     has_prediction, has_review = F.col("n_predicted") > 0, F.col("n_reviewed") > 0
-    by_key = key_counts(evidence).filter(has_prediction != has_review).select(
+    by_key = _keys(counts).filter(has_prediction != has_review).select(
         *SUBSET, F.lit("reviewed").alias("kind"),
         F.when(has_prediction, F.lit("missing")).otherwise(F.lit("extra")).alias("gap"),
         F.concat("sample_id", F.lit("#r"), F.col("repeat").cast("string")).alias("key"),

@@ -30,20 +30,26 @@ def report_ownership(runs: DataFrame, documents: DataFrame) -> DataFrame:
     dataset_name, model_name, is_report, parse_error. ``result`` is ok, ambiguous,
     mismatch, parse_error or missing, tested in this order.
     """
-    joined = runs.join(documents, "run_id", "left")
-    matches = (
-        F.col("is_report")
-        & (F.col("model_name") == F.col("report_id"))
+    # documents shrink to one row per name pair first, so a run with very many files joins as few rows
+    named = documents.groupBy("run_id", "dataset_name", "model_name").agg(
+        F.count_if("is_report").alias("n_reports"),
+        F.count_if("parse_error").alias("n_broken"),
+        F.min(F.when(F.col("is_report"), F.col("path"))).alias("path"),
+    )
+    joined = runs.join(named, "run_id", "left")
+    matched = F.coalesce(
+        (F.col("model_name") == F.col("report_id"))
         & (
             (F.col("dataset_name") == F.col("dataset"))
             | ((F.col("dataset_name") == F.col("pretty_name")) & (F.col("pretty_name") != ""))
-        )
+        ),
+        F.lit(False),
     )
-    matched = F.coalesce(matches, F.lit(False))
+    none = F.lit(0).cast("bigint")
     counted = joined.groupBy("run_id").agg(
-        F.count_if(matched).alias("matched"),
-        F.count_if("is_report").alias("reports"),
-        F.count_if("parse_error").alias("broken"),
+        F.coalesce(F.sum(F.when(matched, F.col("n_reports"))), none).alias("matched"),
+        F.coalesce(F.sum("n_reports"), none).alias("reports"),
+        F.coalesce(F.sum("n_broken"), none).alias("broken"),
         F.min(F.when(matched, F.col("path"))).alias("report_path"),
     )
     result = (

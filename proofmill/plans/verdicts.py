@@ -6,17 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.functions.identity import clean_identity
-from proofmill.operators import coverage, diagnostics, evidence, imports, manifest, metrics, validity
+from proofmill.operators import coverage, diagnostics, imports, manifest, metrics, validity
+from proofmill.session import stored
 
 
 def coverage_verdicts(runs: DataFrame, samples: DataFrame, manifest_rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Comparability per run from selected samples and the evidence fact table."""
-    merged = coverage.coverage_merge(manifest_rows, coverage.subset_coverage(samples, facts))
+    """Comparability per run from selected samples and the evidence fact table.
+
+    The facts are read once: everything else comes from their counts per key,
+    which are stored because three branches need them.
+    """
+    counts = stored(coverage.key_counts(facts), "key-counts")
+    per_sample = stored(coverage.sample_counts(samples, counts), "sample-counts")
+    merged = coverage.coverage_merge(manifest_rows, coverage.subset_coverage(per_sample))
+    malformed = counts.groupBy("run_id").agg(F.sum("n_malformed").alias("malformed_lines"))
     reasons = validity.comparability_reasons(
         merged,
-        coverage.gap_heads(coverage.coverage_gaps(samples, facts)),
-        coverage.unexpected_subsets(manifest_rows, facts),
-        evidence.malformed_summary(evidence.malformed_lines(facts)),
+        coverage.gap_heads(coverage.coverage_gaps(per_sample, counts)),
+        coverage.unexpected_subsets(manifest_rows, counts),
+        malformed,
     )
     return validity.assess_comparability(runs, merged, reasons)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on for right results or a sane physical plan.
 # AQE covers skewed joins and partition counts; sizes stay the cluster's choice.
@@ -51,3 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder; never reused between calls."""
     return f"{shared_dir(spark)}/proofmill/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that several branches need and read it back: it is worked out
+    once, its lineage is cut, and losing executors costs nothing."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

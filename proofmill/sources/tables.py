@@ -56,10 +56,14 @@ def activate(spark: SparkSession, root: str, version: str) -> None:
     context.rename(fs.makeQualified(staged), fs.makeQualified(_path(spark, f"{root}/{POINTER}")), options)
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], by_run: int | None = None) -> str:
-    """Stage every table and make the version current. ``by_run`` clusters rows by run id into that many parts."""
-    if by_run is not None:
-        tables = {n: t.repartition(by_run, "run_id").sortWithinPartitions("run_id") for n, t in tables.items()}
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], cluster_by: str | None = None) -> str:
+    """Stage every table and make the version current.
+
+    ``cluster_by`` gathers equal keys into the same files, sorted; Spark splits a
+    key that is too large for one task.
+    """
+    if cluster_by is not None:
+        tables = {n: t.hint("rebalance", cluster_by).sortWithinPartitions(cluster_by) for n, t in tables.items()}
     version = stage(spark, root, tables)
     activate(spark, root, version)
     return version

@@ -220,7 +220,8 @@ gaps AS (
 
 @query("coverage_gaps", C + "," + _GAPS + "SELECT * FROM gaps")
 def coverage_gaps(spark, sf):
-    return coverage.coverage_gaps(b.coverage_samples(spark, sf), b.coverage_evidence(spark, sf))
+    counts = coverage.key_counts(b.coverage_evidence(spark, sf))
+    return coverage.coverage_gaps(coverage.sample_counts(b.coverage_samples(spark, sf), counts), counts)
 
 
 _MERGED = _PREDICTED + """,
@@ -236,8 +237,9 @@ merged AS (
 
 @query("coverage_merge", C + "," + _MERGED + "SELECT * FROM merged")
 def coverage_merge(spark, sf):
-    counts = coverage.subset_coverage(b.coverage_samples(spark, sf), b.coverage_evidence(spark, sf))
-    return coverage.coverage_merge(b.coverage_manifest(spark, sf), counts)
+    counts = coverage.key_counts(b.coverage_evidence(spark, sf))
+    per_sample = coverage.sample_counts(b.coverage_samples(spark, sf), counts)
+    return coverage.coverage_merge(b.coverage_manifest(spark, sf), coverage.subset_coverage(per_sample))
 
 
 @query(

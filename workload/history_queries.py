@@ -278,14 +278,14 @@ def sink_tables(spark, sf):
     """Publish runs and metrics, replace some runs' metrics in a second version, read the current one."""
     root = work_path(spark, "history")
     runs = b.runs(spark, sf).select("run_id", "dataset", "validity_status", "status_reason")
-    store.publish(spark, root, {"runs": runs, "metrics": b.metric_rows(spark, sf)}, by_run=8)
+    store.publish(spark, root, {"runs": runs, "metrics": b.metric_rows(spark, sf)}, cluster_by="run_id")
     stored_run, stored_metrics = store.read_table(spark, root, "runs"), store.read_table(spark, root, "metrics")
     changed = stored_run.filter(F.col("run_id").cast("bigint") % 3 == 0).withColumn("status_reason", F.lit("imported"))
     new = changed.select("run_id", F.lit("replaced").alias("metric_name"), F.lit(0.5).alias("score"))
     store.publish(
         spark, root,
         {"runs": history.upsert_outcome(stored_run, changed), "metrics": history.replace_children(stored_metrics, new, changed)},
-        by_run=8,
+        cluster_by="run_id",
     )
     return store.read_table(spark, root, "metrics").select("run_id", "metric_name", "score")
 
