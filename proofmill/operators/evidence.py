@@ -48,7 +48,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         {"columnNameOfCorruptRecord": "damaged", "allowSingleQuotes": "false"},
     )
     rows = lines.select("*", F.inline(F.array(parsed)))
-    reread = F.coalesce(F.schema_of_variant(F.try_parse_json("line")).startswith("OBJECT"), F.lit(False))
+    whole = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"doc":'), F.col("line"), F.lit("}"))), "$.doc", "variant")
+    reread = F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False))
     sound = F.col("damaged").isNull() & F.col("doc").isNotNull()
     return rows.withColumn("is_object", F.when(sound, F.lit(True)).otherwise(reread)).drop("damaged")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -17,7 +18,9 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "8", shuffle_partitions: str = "8", app: str = "proofmill") -> SparkSession:
+def local_session(
+    cores: str = "8", shuffle_partitions: str = "8", app: str = "proofmill", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,13 +29,18 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8", app: str = "p
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="proofmill-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -43,9 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="proofmill-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_folder()
 
 
 def work_path(spark: SparkSession, label: str) -> str:
