@@ -20,13 +20,16 @@ def score_value(raw: Column) -> Column:
 
 
 def score_problem(raw: Column) -> Column:
-    """Why a non-NULL score is refused; the text never repeats the value."""
+    """Why a non-NULL score is refused; the text never repeats the value.
+
+    A bare NaN or Infinity in a document reaches a text column in quotes.
+    """
     number = F.when(raw.rlike(_DECIMAL_TEXT), _number(raw))
     return (
         F.when(raw.isNull() | (F.abs(number) < F.lit(float("inf"))), F.lit(None).cast("string"))
         .when(raw.isin("true", "false"), F.lit("boolean is not a score"))
         .when(
-            number.isNotNull() | F.lower(raw).rlike(r"^\s*[+-]?(nan|inf|infinity)\s*$"), F.lit("non-finite score")
+            number.isNotNull() | F.lower(raw).rlike(r'^"?\s*[+-]?(nan|inf|infinity)\s*"?$'), F.lit("non-finite score")
         )
         .otherwise(F.lit("non-numeric score"))
     )

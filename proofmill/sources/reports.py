@@ -18,11 +18,9 @@ def read_report_text(spark: SparkSession, root: str) -> DataFrame:
 
 
 def looks_like_report(document: Column) -> Column:
-    """An object with a ``metrics`` list and a ``dataset_name`` member."""
-    return (
-        F.get_json_object(document, "$.metrics").startswith("[")
-        & F.array_contains(F.json_object_keys(document), "dataset_name")
-    )
+    """An object with a ``metrics`` list and a ``dataset_name`` member, be it null."""
+    shape = F.from_json(document, "metrics array<string>, dataset_name variant")
+    return shape["metrics"].isNotNull() & shape["dataset_name"].isNotNull()
 
 
 def parse_reports(documents: DataFrame) -> DataFrame:

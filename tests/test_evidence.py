@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from proofmill.operators import coverage, diagnostics, evidence
@@ -9,10 +10,13 @@ from proofmill.sources import lines as source
 LINES = "run_id string, kind string, subset string, source string, line string"
 
 
-def facts(spark, predicted, reviewed=(), run="r", subset="default"):
+def lines_of(run, predicted, reviewed, subset="default"):
     rows = [(run, "predicted", subset, "p", x if isinstance(x, str) else json.dumps(x)) for x in predicted]
-    rows += [(run, "reviewed", subset, "v", x if isinstance(x, str) else json.dumps(x)) for x in reviewed]
-    return evidence.typed_evidence(spark.createDataFrame(rows, LINES))
+    return rows + [(run, "reviewed", subset, "v", x if isinstance(x, str) else json.dumps(x)) for x in reviewed]
+
+
+def facts(spark, predicted, reviewed=()):
+    return evidence.typed_evidence(spark.createDataFrame(lines_of("r", predicted, reviewed), LINES))
 
 
 def line(i, repeat=None, stop="stop"):
@@ -20,18 +24,47 @@ def line(i, repeat=None, stop="stop"):
     return doc if repeat is None else {**doc, "repeat_id": repeat}
 
 
-def verdict(spark, ids, table, subset="default"):
-    samples = spark.createDataFrame([("r", subset, i) for i in ids], "run_id string, subset string, sample_id string")
+# Coverage cases, one run each: selected ids, predicted lines, reviewed lines.
+CASES = {
+    "matched": (["0", "1"], [line(0), line(1)], [line(0), line(1)]),
+    "missing_review": (["0", "1"], [line(0), line(1)], [line(0)]),
+    "disjoint": (["0", "1"], [line(100), line(101)], [line(100), line(101)]),
+    "duplicate": (["0"], [line(0), line(0)], [line(0)]),
+    "repeats": (["0"], [line(0, 0), line(0, 1)], [line(0, 0), line(0, 1)]),
+    "other_repeat": (["0"], [line(0, 0)], [line(0, 1)]),
+    "half_reviewed": (["0"], [line(0, 0), line(0, 1)], [line(0, 0)]),
+    "broken": (["0"], [line(0), "{broken"], [line(0)]),
+    "many_missing": ([str(i) for i in range(9)], [], []),
+}
+
+
+@pytest.fixture(scope="module")
+def verdicts(spark):
+    """All cases in one batch: merged coverage rows, gap lists and verdicts by run."""
+    table = None
+    for run, (_, predicted, reviewed) in CASES.items():
+        if predicted or reviewed:
+            part = lines_of(run, predicted, reviewed)
+            table = part if table is None else table + part
+    table += lines_of("matched_other", [line(0)], [line(0)]) + lines_of("matched_other", [line(0)], (), "other")
+    evidence_table = evidence.typed_evidence(spark.createDataFrame(table, LINES))
+    ids = {**{run: c[0] for run, c in CASES.items()}, "matched_other": ["0"]}
+    samples = spark.createDataFrame([(r, "default", i) for r, own in ids.items() for i in own], "run_id string, subset string, sample_id string")
     manifest = spark.createDataFrame(
-        [("r", subset, 0, len(ids), "q", "i", True)],
+        [(r, "default", 0, len(own), "q", "i", True) for r, own in ids.items()],
         "run_id string, subset string, subset_pos bigint, selected bigint, question_digest string, input_digest string, media_evidence boolean",
     )
-    counts = coverage.key_counts(table)
+    runs = spark.createDataFrame([(r,) for r in [*ids, "no_manifest"]], "run_id string")
+    counts = coverage.key_counts(evidence_table)
     per_sample = coverage.sample_counts(samples, counts)
-    row = coverage.coverage_merge(manifest, coverage.subset_coverage(per_sample)).first()
-    gaps = {(g.kind, g.gap, g.key) for g in coverage.coverage_gaps(per_sample, counts).collect()}
-    runs = spark.createDataFrame([("r",)], "run_id string")
-    return row, gaps, coverage_verdicts(runs, samples, manifest, table).first()
+    merged = coverage.coverage_merge(manifest, coverage.subset_coverage(per_sample)).collect()
+    gaps = coverage.coverage_gaps(per_sample, counts).collect()
+    told = coverage_verdicts(runs, samples, manifest, evidence_table).collect()
+    return (
+        {r.run_id: r for r in merged},
+        {run: {(g.kind, g.gap, g.key) for g in gaps if g.run_id == run} for run in ids},
+        {r.run_id: r for r in told},
+    )
 
 
 def test_keys(spark):
@@ -55,44 +88,42 @@ def test_lines_that_are_no_objects_are_quarantined(spark):
     assert evidence.malformed_summary(evidence.malformed_lines(table)).first().asDict() == {
         "run_id": "r", "malformed_lines": len(bad), "without_sample_id": 0, "unparsable": len(bad)
     }
-    row, _, told = verdict(spark, ["0"], facts(spark, [line(0), "{broken"], [line(0)]))
-    assert row.predicted == 1 and told.comparability == "unknown" and "1 malformed evidence line(s)" in told.comparability_reason
-
-
-def test_all_matched_is_verified(spark):
-    row, gaps, told = verdict(spark, ["0", "1"], facts(spark, [line(0), line(1)], [line(0), line(1)]))
-    assert (row.predicted, row.reviewed, gaps) == (2, 2, set())
-    assert told.comparability == "verified" and told.comparability_reason == "content evidence complete"
 
 
-def test_missing_review(spark):
-    row, gaps, told = verdict(spark, ["0", "1"], facts(spark, [line(0), line(1)], [line(0)]))
-    assert (row.predicted, row.reviewed, row.reviewed_missing) == (2, 1, 1) and gaps == {("reviewed", "missing", "1#r0")}
-    assert told.comparability_reason == "default: reviewed missing evidence keys ['1#r0']"
+def test_coverage_counts(verdicts):
+    rows, _, _ = verdicts
+    pick = lambda run, *names: tuple(rows[run][n] for n in names)
+    assert pick("matched", "predicted", "reviewed", "predicted_missing", "reviewed_extra") == (2, 2, 0, 0)
+    assert pick("missing_review", "predicted", "reviewed", "reviewed_missing") == (2, 1, 1)
+    assert pick("disjoint", "predicted", "predicted_missing", "predicted_extra") == (0, 2, 2)
+    assert pick("duplicate", "predicted_duplicates", "reviewed_duplicates") == (1, 0)
+    assert pick("repeats", "predicted", "predicted_total", "predicted_duplicates", "reviewed") == (1, 2, 0, 2)
+    assert pick("many_missing", "predicted", "predicted_total", "predicted_missing") == (0, 0, 9)
 
 
-def test_disjoint_ids(spark):
-    row, gaps, told = verdict(spark, ["0", "1"], facts(spark, [line(100), line(101)], [line(100), line(101)]))
-    assert (row.predicted, row.predicted_missing, row.predicted_extra) == (0, 2, 2)
-    assert {g for g in gaps if g[0] == "predicted"} == {
+def test_gap_lists_name_every_key(verdicts):
+    _, gaps, _ = verdicts
+    assert gaps["matched"] == gaps["repeats"] == gaps["broken"] == set()
+    assert gaps["missing_review"] == {("reviewed", "missing", "1#r0")}
+    assert {g for g in gaps["disjoint"]} == {
         ("predicted", "missing", "0"), ("predicted", "missing", "1"), ("predicted", "extra", "100"), ("predicted", "extra", "101")
     }
-    assert told.comparability == "unknown"
+    assert gaps["other_repeat"] == {("reviewed", "missing", "0#r0"), ("reviewed", "extra", "0#r1")}
+    assert gaps["half_reviewed"] == {("reviewed", "missing", "0#r1")}
+    assert len(gaps["many_missing"]) == 9
 
 
-def test_duplicates_and_repeats_are_told_apart(spark):
-    row, _, told = verdict(spark, ["0"], facts(spark, [line(0), line(0)], [line(0)]))
-    assert row.predicted_duplicates == 1 and "predicted duplicate evidence keys x1" in told.comparability_reason
-    row, _, told = verdict(spark, ["0"], facts(spark, [line(0, 0), line(0, 1)], [line(0, 0), line(0, 1)]))
-    assert (row.predicted, row.predicted_total, row.predicted_duplicates, row.reviewed) == (1, 2, 0, 2)
-    assert told.comparability == "verified"
-
-
-def test_review_of_another_repeat_does_not_count(spark):
-    _, gaps, _ = verdict(spark, ["0"], facts(spark, [line(0, 0)], [line(0, 1)]))
-    assert gaps == {("reviewed", "missing", "0#r0"), ("reviewed", "extra", "0#r1")}
-    _, gaps, _ = verdict(spark, ["0"], facts(spark, [line(0, 0), line(0, 1)], [line(0, 0)]))
-    assert gaps == {("reviewed", "missing", "0#r1")}
+def test_verdicts_and_their_reasons(verdicts):
+    _, _, told = verdicts
+    assert {r for r in told if told[r].comparability == "verified"} == {"matched", "repeats"}
+    assert told["matched"].comparability_reason == "content evidence complete"
+    assert told["missing_review"].comparability_reason == "default: reviewed missing evidence keys ['1#r0']"
+    assert "default: predicted duplicate evidence keys x1" in told["duplicate"].comparability_reason
+    assert told["broken"].comparability_reason == "1 malformed evidence line(s)"
+    assert told["matched_other"].comparability_reason == "unexpected evidence subsets: ['other']"
+    assert told["no_manifest"].comparability_reason == "no_sample_manifest"
+    # five keys are quoted, the count of the row stays whole
+    assert told["many_missing"].comparability_reason == "default: predicted missing evidence keys ['0', '1', '2', '3', '4']"
 
 
 def test_without_selected_samples_every_prediction_is_extra(spark):
@@ -101,12 +132,6 @@ def test_without_selected_samples_every_prediction_is_extra(spark):
     assert (row.predicted, row.predicted_missing, row.predicted_extra) == (2, 0, 2)
 
 
-def test_evidence_of_unknown_subset_is_reported(spark):
-    table = facts(spark, [line(0)], [line(0)]).unionByName(facts(spark, [line(0)], subset="other"))
-    _, _, told = verdict(spark, ["0"], table)
-    assert told.comparability_reason == "unexpected evidence subsets: ['other']"
-
-
 def test_counts_add_up_under_heavy_skew(spark):
     lines = [line(i % 50) for i in range(300)] + [line(7)] * 900
     samples = spark.createDataFrame([("r", "default", str(i)) for i in range(60)], "run_id string, subset string, sample_id string")

@@ -152,7 +152,7 @@ def report_ownership(spark, sf):
     "coerce_score",
     """
 SELECT CAST(event_id AS VARCHAR) AS place,
-  CASE event_id % 8 WHEN 0 THEN CAST(CAST(value AS VARCHAR) AS DOUBLE) WHEN 1 THEN NULL WHEN 6 THEN value * 100 WHEN 7 THEN -value END AS score,
+  CASE event_id % 8 WHEN 0 THEN CAST(CAST(value AS VARCHAR) AS DOUBLE) WHEN 1 THEN NULL WHEN 6 THEN CAST(CAST(value AS VARCHAR) || 'E2' AS DOUBLE) WHEN 7 THEN -value END AS score,
   event_id || ': ' || CASE event_id % 8 WHEN 2 THEN 'boolean is not a score' WHEN 3 THEN 'non-finite score' WHEN 4 THEN 'non-numeric score'
     WHEN 5 THEN 'non-numeric score' END AS score_error
 FROM events""",
