@@ -27,8 +27,8 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _quoted(col: Column) -> Column:
-    wrapped = F.to_json(F.array(col))
-    return F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+    # the literal starts and ends with a quote (or is null), so only the brackets go
+    return F.btrim(F.to_json(F.array(col)), F.lit("[]"))
 
 
 def _unquoted(col: Column) -> Column:
@@ -74,7 +74,8 @@ def json_list(elements: Column) -> Column:
 
 def json_strings(values: Column) -> Column:
     """JSON array of an ``array<string>`` column, NULL elements kept as ``null``."""
-    return json_list(F.transform(values, json_text))
+    plain = F.to_json(values)
+    return F.when(plain.contains("\\u00"), json_list(F.transform(values, json_text))).otherwise(plain)
 
 
 def digest(json: Column) -> Column:

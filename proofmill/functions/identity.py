@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import digest, json_list, json_object, json_text, let, render_variant
+from proofmill.functions.canonical import digest, json_object, json_strings, json_text, let, render_variant
 from proofmill.functions.redaction import redact_text
 
 # Settings that do not belong to the evaluation protocol.
@@ -113,4 +113,4 @@ def metric_key(name: Column, aggregation: Column, dimensions_json: Column) -> Co
 
 
 def category_key(path: Column) -> Column:
-    return digest(json_list(F.transform(path, json_text)))
+    return digest(json_strings(path))

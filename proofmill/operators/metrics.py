@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import json_list, json_text, render_variant
+from proofmill.functions.canonical import json_strings, render_variant
 from proofmill.functions.identity import TOP_CATEGORY_KEY, category_key, metric_key
 from proofmill.functions.scalars import score_problem, score_value
 
@@ -128,7 +128,7 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
         "display_kind", "direction", "unit",
         F.col("metric_key").eqNullSafe(F.col("primary_key")).alias("is_primary"),
         F.when(F.size("category") == 0, F.lit(TOP_CATEGORY_KEY)).otherwise(category_key(F.col("category"))).alias("category_key"),
-        json_list(F.transform("category", json_text)).alias("category_json"),
+        json_strings(F.col("category")).alias("category_json"),
         "subset", "num", "pos", "place",
         score_value(F.col("score_text")).alias("score"),
         score_value(F.col("macro_text")).alias("macro_score"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import json_text, render_variant
+from proofmill.functions.canonical import json_text, let, render_variant
 from proofmill.functions.redaction import (
     API_KEY_PATTERN,
     SECRET_CONFIG_KEYS,
@@ -54,26 +54,21 @@ def redact_known(df: DataFrame, secrets: DataFrame, column: str) -> DataFrame:
     ).drop("secrets")
 
 
-def redact_json(document: Column, secrets: Column | None = None) -> Column:
-    """Canonical JSON with secret members masked and all other text redacted.
+def redact_json(value: Column, secrets: Column | None = None) -> Column:
+    """Canonical JSON of a VARIANT with secret members masked and all other text redacted.
 
     Containers nested deeper than the renderer follows are masked whole.
     """
     return render_variant(
-        F.try_parse_json(document),
-        leaf=lambda text: redact_text(text, secrets),
-        mask_key=is_secret_key,
-        opaque=F.lit('"***"'),
+        value, leaf=lambda text: redact_text(text, secrets), mask_key=is_secret_key, opaque=F.lit('"***"')
     )
 
 
 def redact_by_key(df: DataFrame, column: str) -> DataFrame:
     """Mask secret members of a JSON column; text that is not JSON is redacted as text."""
-    document = F.col(column)
-    return df.withColumn(
-        column,
-        F.when(F.try_parse_json(document).isNotNull(), redact_json(document)).otherwise(json_text(redact_text(document))),
-    )
+    as_text = let(redact_text(F.col(column)), json_text)
+    masked = let(F.try_parse_json(column), lambda v: F.when(v.isNotNull(), redact_json(v)))
+    return df.withColumn(column, F.coalesce(masked, as_text))
 
 
 def redact_map(column: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmill.schemas import REPORT
@@ -17,28 +17,33 @@ def read_report_text(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
 
 
-def looks_like_report(document: Column) -> Column:
-    """An object with a ``metrics`` list and a ``dataset_name`` member, be it null."""
-    shape = F.from_json(document, "metrics array<string>, dataset_name variant")
-    return shape["metrics"].isNotNull() & shape["dataset_name"].isNotNull()
-
-
 def parse_reports(documents: DataFrame) -> DataFrame:
     """Documents with ``is_report`` / ``parse_error`` flags and the report's members as columns.
 
-    Unparsable documents stay as rows: a run with nothing but broken files is
-    told apart from a run without files.
+    A report is an object with a ``metrics`` list and a ``dataset_name`` member,
+    be it null. Unparsable documents stay as rows: a run with nothing but broken
+    files is told apart from a run without files. A document is read as the
+    member of an outer object, so text after it makes it invalid; only one that
+    does not have the shape is read again, as one opaque value.
     """
-    # read as one opaque member, the document is NULL exactly when it is not JSON
-    opaque = F.from_json(
-        F.concat(F.lit('{"d":'), F.col("document"), F.lit("}")), "d string", {"allowSingleQuotes": "false"}
-    )["d"]
-    valid = opaque.isNotNull() | F.coalesce(F.trim(F.col("document")) == "null", F.lit(False))
-    flagged = documents.withColumn("parse_error", ~valid)
-    flagged = flagged.withColumn(
-        "is_report", ~F.col("parse_error") & F.coalesce(looks_like_report(F.col("document")), F.lit(False))
+    wrapped = F.concat(F.lit('{"d":'), F.col("document"), F.lit("}"))
+    options = {"allowSingleQuotes": "false"}
+    shape = F.from_json(
+        wrapped, "d struct<metrics:array<string>,dataset_name:variant>, damaged string",
+        {**options, "columnNameOfCorruptRecord": "damaged"},
+    )
+    opaque = F.from_json(wrapped, "d string", options)["d"]
+    is_null = F.coalesce(F.trim(F.col("document")) == "null", F.lit(False))
+    shaped = documents.select("*", F.inline(F.array(shape)))
+    sound = F.col("damaged").isNull() & F.col("d").isNotNull()
+    flagged = shaped.withColumns(
+        {
+            "parse_error": ~F.when(sound, F.lit(True)).otherwise(opaque.isNotNull() | is_null),
+            "is_report": sound & F.col("d.metrics").isNotNull() & F.col("d.dataset_name").isNotNull(),
+        }
     )
-    return report_columns(flagged.withColumn("document", F.when(F.col("is_report"), F.col("document"))))
+    kept = [*[c for c in documents.columns if c != "document"], "parse_error", "is_report"]
+    return report_columns(flagged.select(*kept, F.when(F.col("is_report"), F.col("document")).alias("document")))
 
 
 def report_columns(documents: DataFrame) -> DataFrame:
