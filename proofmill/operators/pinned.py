@@ -94,7 +94,9 @@ def pin_verify(spark: SparkSession, root: str, wanted: DataFrame, id_column: str
         F.count_if(~F.col("now").eqNullSafe(F.col("sha256"))).alias("checksum_differs")
     )
     counts = id_set_check(data, spark.read.parquet(f"{base}/{IDS}"), wanted.select(id_column).distinct(), id_column)
-    return pin_reason(counts.withColumn("one", F.lit(1)).join(differs.withColumn("one", F.lit(1)), "one").drop("one"))
+    # both are single rows: stack them and take each column's only value
+    both = counts.unionByName(differs, allowMissingColumns=True)
+    return pin_reason(both.agg(*[F.max(c).alias(c) for c in both.columns]))
 
 
 def read_pinned(spark: SparkSession, root: str) -> DataFrame:

@@ -35,7 +35,7 @@ def test_query_equals_its_sql(spark, sql, name):
     with contextlib.redirect_stdout(text):
         frame.explain()
     for forbidden in ("PythonUDF", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert forbidden not in text.getvalue() or name == "pin_verify", (name, forbidden)
+        assert forbidden not in text.getvalue(), (name, forbidden)
     columns = sorted(frame.columns)
     got = sorted((tuple(plain(r[c]) for c in columns) for r in frame.collect()), key=repr)
     assert got, name
