@@ -7,13 +7,13 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as entry_point
+import __spark_entry__  # noqa: F401  (registers the queries)
+from workload.registry import ORACLES, QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 DATA = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
