@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from proofmill.llm import decontaminate
+from proofmill.llm import decontaminate, packing, token_counts
 from proofmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,5 +19,20 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_digest(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination}
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
+    "op5_token_counts": op5_token_counts,
+    "op10_packing": op10_packing,
+}
 ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE}
