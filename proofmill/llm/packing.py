@@ -21,6 +21,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,8 +36,9 @@ SEQUENCE = 2048
 CACHE = 150_000
 
 
-def encoder(path: str, cache: int = CACHE):
-    """A function from a text to its ids as little-endian 32-bit bytes."""
+@cache
+def encoder(path: str, size: int = CACHE):
+    """A function from a text to its ids as little-endian 32-bit bytes; a Python worker keeps it over tasks."""
     model = pretokens.load(path).model
     pattern, special = pretokens.specials(path)
     whole = {s: i.to_bytes(4, "little") for s, i in special.items()}
@@ -45,12 +47,12 @@ def encoder(path: str, cache: int = CACHE):
         found = model.tokenize(pretokens.byte_level(piece))
         return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
-    pieces = pretokens.Known(encode, cache)
+    pieces = pretokens.Known(encode, size)
 
     def split(text: str) -> bytes:
         return b"".join(map(pieces.__getitem__, pretokens.byte_pretokens(text, path)))
 
-    chunks = pretokens.Known(lambda chunk: split(" " + chunk), cache)
+    chunks = pretokens.Known(lambda chunk: split(" " + chunk), size)
 
     def plain(text: str) -> bytes:
         if not pretokens.spaced(text) or pretokens.other(text):
