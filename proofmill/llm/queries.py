@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.llm import decontaminate, packing, secrets, token_counts
+from proofmill.llm import decontaminate, packing, secrets, superminhash, token_counts
 from proofmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return superminhash.near_duplicates(docs, k=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.secret_digest(secrets.find_secrets(docs, keep=["doc_id"]))
@@ -38,7 +43,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op5_token_counts": op5_token_counts,
+    "op6_superminhash": op6_superminhash,
     "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE, "op9_secret_scan": secrets.ORACLE}
+ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE, "op6_superminhash": superminhash.ORACLE, "op9_secret_scan": secrets.ORACLE}
