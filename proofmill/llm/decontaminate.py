@@ -224,6 +224,10 @@ def find_leaks(
     return out
 
 
+#: Stands where a span was cut out. It counts as a word that items rarely have, so what stood around the span makes no new window.
+MARK = "\n…\n"
+
+
 def _cut(text: str, spans: list[dict], min_words: int) -> str:
     """The text without the given word spans of at least ``min_words`` words."""
     data = text.encode()
@@ -235,7 +239,7 @@ def _cut(text: str, spans: list[dict], min_words: int) -> str:
         parts.append(data[at : ends[s["start"]][0]])
         at = ends[s["end"] - 1][1]
     parts.append(data[at:])
-    return b"\n".join(parts).decode()
+    return MARK.encode().join(p for p in (x.strip() for x in parts) if p).decode()
 
 
 def remove_leaks(found: DataFrame, text_col: str = "text", min_words: int = 1, max_coverage: float = 0.5) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.llm import decontaminate, packing, secrets, superminhash, token_counts
+from proofmill.llm import decontaminate, packing, secrets, superminhash, token_counts, toxicity
 from proofmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,15 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_digest(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
+    score = F.col("toxicity.score")
+    return toxicity.score_toxicity(docs, chain).select(
+        "doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -42,6 +51,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_superminhash": op6_superminhash,
     "op9_secret_scan": op9_secret_scan,
