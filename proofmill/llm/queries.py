@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.llm import decontaminate, packing, secrets, superminhash, token_counts, toxicity
+from proofmill.llm import decontaminate, embedding_dedup, packing, secrets, sharding, superminhash, token_counts, toxicity
 from proofmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, shards=16, keep=["doc_id"])
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -39,6 +44,10 @@ def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(docs, k=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.secret_digest(secrets.find_secrets(docs, keep=["doc_id"]))
@@ -52,9 +61,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
+    "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_superminhash": op6_superminhash,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE, "op6_superminhash": superminhash.ORACLE, "op9_secret_scan": secrets.ORACLE}
+ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE, "op6_superminhash": superminhash.ORACLE, "op7_embedding_dedup": embedding_dedup.ORACLE, "op9_secret_scan": secrets.ORACLE}
