@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.llm import decontaminate, embedding_dedup, packing, secrets, sharding, superminhash, token_counts, toxicity
+from proofmill.llm import (
+    cotrain,
+    decontaminate,
+    embedding_dedup,
+    packing,
+    secrets,
+    sharding,
+    site_tree,
+    superminhash,
+    token_counts,
+    toxicity,
+)
 from proofmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +39,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    views = cotrain.train_quality(docs, table(spark, sf_dir, "labels"))
+    score = F.col("quality.score")
+    return cotrain.score_quality(docs, views).select(
+        "doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"), "quality.text_view", "quality.metadata_view",
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs, shards=16, keep=["doc_id"])
@@ -48,6 +69,11 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = site_tree.main_text(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.secret_digest(secrets.find_secrets(docs, keep=["doc_id"]))
@@ -61,10 +87,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
+    "op3_quality_cotraining": op3_quality_cotraining,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_superminhash": op6_superminhash,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
 }
