@@ -88,7 +88,7 @@ def _open(parent: Node, tag: str, source: str) -> Node:
     given = _attributes(source) if "=" in source or "hidden" in source else {}
     names = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".strip()
     words = {w.lower() for w in _NAMES.findall(names)}
-    top = tag in CONTENT or tag in ("html", "body")
+    top = tag in ("html", "body") or (tag in CONTENT and not parent.content)  # names of the whole page or article say nothing about it
     marked = tag in NEVER or (not top and not words.isdisjoint(MARKED)) or (not parent.content and (tag in OUTER or (not top and not words.isdisjoint(OUTER))))
     hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style", "")))
     name = f"{tag}.{_DIGITS.sub('#', names)}"
