@@ -3,8 +3,8 @@
 Labels are of documents. Training makes word labels from them: in a toxic document a word is offending
 if the word or one of its beginnings (3 to 7 bytes) is found far more often in toxic than in clean documents, beyond
 chance; all other words are not. A two-state CRF (features: the word, its beginnings, its length; state changes) is fitted to these
-sequences by its exact gradient. Forward-backward marginals give every word of every document a probability; their
-sum and maximum make the document's score through a logistic fit on labelled rows the CRF has not seen. Words with a marginal
+sequences by its exact gradient. Forward-backward marginals give every word of every document a probability; the
+sum (from ``FLOOR`` on) and maximum make the document's score through a logistic fit on labelled rows the CRF has not seen. Words with a marginal
 of at least one half are the offending offsets.
 
 Training reads a bounded sample: at most ``SAMPLE`` toxic and twice as many clean rows, by hash of the id, of at most ``TRAIN_BYTES`` each;
@@ -40,6 +40,7 @@ STARTS = range(3, 8)
 #: A feature marks toxic documents if its share there is so many times its share in clean ones.
 RATIO = 8
 ROUNDS = 40
+FLOOR = 0.3
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 _BLOCK = 64
 TYPE = "struct<score:double,expected:double,spans:array<struct<start:int,end:int,p:double>>>"
@@ -188,9 +189,10 @@ def _doc_features(expected: np.ndarray, peak: np.ndarray) -> np.ndarray:
 
 
 def _sums(p: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and maximum of each document's marginals; those below ``FLOOR`` add nothing, or long calm texts would add up."""
     peak = np.zeros(n)
     np.maximum.at(peak, owner, p)
-    return np.bincount(owner, p, n), peak
+    return np.bincount(owner, np.where(p >= FLOOR, p, 0.0), n), peak
 
 
 def fit(docs: list[bytes], toxic: list[int], rounds: int = ROUNDS) -> Chain:
