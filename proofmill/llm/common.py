@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def smallest_reached(linked: np.ndarray, rows_a: np.ndarray, rows_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest row that each row reaches over the links between two tiles."""
+    la, lb, far = rows_a.copy(), rows_b.copy(), np.iinfo(np.int64).max
+    while True:
+        na = np.minimum(la, np.where(linked, lb[None, :], far).min(axis=1))
+        nb = np.minimum(lb, np.where(linked, na[:, None], far).min(axis=0))
+        if (na == la).all() and (nb == lb).all():
+            return la, lb
+        la, lb = na, nb
+
+
 def connected_components(links: DataFrame, label: str) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node reachable.
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import connected_components, small_batches
+from proofmill.llm.common import connected_components, small_batches, smallest_reached
 from proofmill.session import stored
 
 TILE = 512
@@ -115,17 +115,6 @@ def compare_tiles(a: np.ndarray, b: np.ndarray, threshold: float, same: bool, le
     return out
 
 
-def _groups(linked: np.ndarray, rows_a: np.ndarray, rows_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest row that each row reaches over the links of this tile pair."""
-    la, lb, far = rows_a.copy(), rows_b.copy(), np.iinfo(np.int64).max
-    while True:
-        na = np.minimum(la, np.where(linked, lb[None, :], far).min(axis=1))
-        nb = np.minimum(lb, np.where(linked, na[:, None], far).min(axis=0))
-        if (na == la).all() and (nb == lb).all():
-            return la, lb
-        la, lb = na, nb
-
-
 def link_vectors(
     vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding", tile: int = TILE
 ) -> DataFrame:
@@ -174,7 +163,7 @@ def link_vectors(
         )
 
     tiles = stored(
-        dealt.groupBy(*cell, "part").applyInPandas(box, "tile long, label string, dim int, c0 int, c1 int, low array<double>, high array<double>, rows array<long>, copies array<long>, x binary"),
+        dealt.repartition(*cell, "part").groupBy(*cell, "part").applyInPandas(box, "tile long, label string, dim int, c0 int, c1 int, low array<double>, high array<double>, rows array<long>, copies array<long>, x binary"),
         "tiles",
     )
     head = tiles.select("tile", *cell, "low", "high")
@@ -195,7 +184,7 @@ def link_vectors(
                 linked = compare_tiles(xa, xb, threshold, same)
                 if not linked.any():
                     continue
-                la, lb = _groups(linked, ra, rb)
+                la, lb = smallest_reached(linked, ra, rb)
                 n, root, rows = linked @ cb, la, ra
                 if not same:
                     n, root, rows = np.concatenate([n, linked.T @ ca]), np.concatenate([la, lb]), np.concatenate([ra, rb])

@@ -7,15 +7,16 @@
    rank that can no longer lower its largest value, which for texts longer than the signature is after two or three ranks.
 2. Classes. Equal sets (128-bit digest) are one class; only classes go on.
 3. Bands. 32 bands of 4 places: two sets at similarity 0.8 share no band with probability 5e-8.
-4. Links. In every bucket, members are compared with a leader, in ``LEADER_ROUNDS`` rounds with other
-   leaders, and found links are grouped at once. A bucket whose members are then all in one
-   group is done: no further pair in it can change the groups. Of the rest all pairs
-   of different groups are compared, so nothing is capped. Every link is confirmed on the full sets.
-5. Grouping. Union-find over confirmed links as alternating stars on tables.
+4. Links. In every bucket each member is compared with ``LEADERS`` leaders, and found links are grouped at once. A bucket whose
+   members are then all in one group is done: no further pair in it can change the groups.
+5. Rest. Members of the buckets still open form clusters (one per smallest group in a bucket), cut by hash into tiles of bounded
+   size. All pairs of tiles of a cluster are compared: shared shingles of all their pairs at once as a product of incidence
+   matrices. Nothing is capped. Links give one row per linked member, not one per pair. All links are confirmed on full sets.
+6. Grouping. Union-find over confirmed links as alternating stars on tables.
 
 Scale. Copies are combined before the shuffle, buckets are never gathered: leaders come from a grouped
-minimum and a join, whose hot side can be split. Only classes that share a bucket have their sets written.
-A large group of near copies costs one comparison per member and leader, not one per pair.
+minimum and a join, whose hot side can be split. Only classes that share a bucket have their sets written. A large group of near copies costs
+one comparison per member and leader; of its members that no leader reaches, tiles are compared, not rows.
 
 Defined results. Null and word-free texts have an empty set, are linked with nothing and kept.
 Repeated rows get a row each, in the same class. A row with a null id is kept with a null component, links through it
@@ -33,12 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import connected_components, small_batches, text_bytes, without
+from proofmill.llm.common import connected_components, small_batches, smallest_reached, text_bytes, without
 from proofmill.llm.pretokens import Known
 from proofmill.session import stored
 
 PLACES, BANDS = 128, 32
-LEADER_ROUNDS = 3
+LEADERS = 2
+#: Most sets and bytes of a tile, about; columns of an incidence matrix at a time.
+TILE_SETS, TILE_BYTES, COLUMNS = 512, 4 << 20, 1 << 13
 _STEP, _M1, _M2, _BASE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
 
@@ -159,8 +162,58 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sets of two lists (sorted distinct elements), by blocks of elements."""
+    sizes = np.array([len(x) for x in (*a, *b)])
+    elements, column = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    out = np.zeros((len(a), len(b)), np.int64)
+    order = np.argsort(column, kind="stable")
+    edges = np.searchsorted(column[order], np.arange(0, len(elements) + COLUMNS, COLUMNS))
+    for k in range(len(edges) - 1):
+        part = order[edges[k] : edges[k + 1]]
+        block = np.zeros((len(sizes), COLUMNS), np.float32)
+        block[owner[part], column[part] - k * COLUMNS] = 1
+        out += np.rint(block[: len(a)] @ block[len(a) :].T).astype(np.int64)
+    return out
+
+
+def _tile_links(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pair in batch.to_pylist():
+                a, b = ([np.frombuffer(x, np.uint64) for x in pair[c]] for c in ("sets_a", "sets_b"))
+                rows_a, rows_b = (np.array(pair[c], np.int64) for c in ("rows_a", "rows_b"))
+                shared = shared_counts(a, b)
+                total = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :] - shared
+                linked = (100 * shared >= percent * total) & (rows_a[:, None] != rows_b[None, :])
+                if linked.any():
+                    roots_a, roots_b = smallest_reached(linked, rows_a, rows_b)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([rows_a, rows_b])), pa.array(np.concatenate([roots_a, roots_b]))], names=["a", "b"])
+
+    return run
+
+
+def _rest(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what all pairs of each bucket's members connect. ``open_members``: key, row, component."""
+    cluster = open_members.groupBy("key").agg(F.min("component").alias("cluster"))
+    members = open_members.join(cluster, "key").select("cluster", "row").distinct().join(sets, "row")
+    size = F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum(F.octet_length("elements")) / TILE_BYTES)).cast("int")
+    members = stored(members, "cluster-members")
+    dealt = members.join(members.groupBy("cluster").agg(size.alias("parts")), "cluster").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+    both = F.collect_list(F.struct("row", "elements"))
+    tiles = dealt.repartition("cluster", "part").groupBy("cluster", "part").agg(both.alias("m")).select("cluster", "part", F.col("m.row").alias("rows"), F.col("m.elements").alias("sets"))
+    tiles = stored(tiles, "cluster-tiles")
+    left = tiles.select("cluster", F.col("part").alias("pa"), F.col("rows").alias("rows_a"), F.col("sets").alias("sets_a"))
+    right = tiles.select("cluster", F.col("part").alias("pb"), F.col("rows").alias("rows_b"), F.col("sets").alias("sets_b"))
+    small_batches(open_members.sparkSession, 4)  # a row is two tiles
+    found = stored(left.join(right, "cluster").where("pa <= pb").drop("pa", "pb", "cluster").mapInArrow(_tile_links(percent), "a long, b long").where("a <> b"), "rest-links")
+    small_batches(open_members.sparkSession)
+    return found
+
+
 def near_duplicates(
-    docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id", rounds: int = LEADER_ROUNDS
+    docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id", leaders: int = LEADERS
 ) -> DataFrame:
     """One row per row of ``docs``: row (the scan's number), doc_id, n_shingles, component_id, kept."""
     sketch = stored(sketches(docs, k, text_col, id_col), "sketches")
@@ -175,38 +228,27 @@ def near_duplicates(
     wanted = members.select("row").distinct()
     sets = stored(_sets(_rows(docs, text_col, id_col).join(wanted, "row", "left_semi"), k), "shingle-sets")
 
-    groups: DataFrame | None = None
-    tried: DataFrame | None = None
-    links: DataFrame | None = None
-    for r in range(rounds + 1):
-        now = members if groups is None else members.join(groups.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
-        if groups is None:
-            now = now.withColumn("component", F.col("row"))
-        else:  # buckets with members of two groups
-            open_keys = now.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
-            now = stored(now.join(open_keys, "key"), "open-buckets")
-        if r < rounds:
-            leader = now.groupBy("key").agg(F.min(F.struct(F.xxhash64("row", F.lit(r)).alias("h"), "row", "component")).alias("l"))
-            pairs = now.join(leader, "key").where("component <> l.component").select(F.least("row", "l.row").alias("a"), F.greatest("row", "l.row").alias("b"))
-        else:  # exact rest: all pairs of different groups
-            other = now.select("key", F.col("row").alias("b"), F.col("component").alias("cb"))
-            pairs = now.join(other, "key").where("row < b AND component <> cb").select(F.col("row").alias("a"), "b")
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "candidates")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = stored(_confirmed(pairs, sets, percent), "confirmed")
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            groups = stored(connected_components(links, "near"), "groups")
-        elif groups is None and pairs.isEmpty():
-            break
+    links = None
+    if leaders:
+        first = members.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("row", F.lit(i)).alias("h"), "row"))["row"].alias(f"l{i}") for i in range(leaders)])
+        first = first.select("key", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(leaders)]))).alias("leader"))
+        pairs = members.join(first, "key").where("row <> leader").select(F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b"))
+        links = stored(_confirmed(pairs.distinct(), sets, percent), "confirmed")
+
+    def grouped(found: DataFrame) -> DataFrame:
+        return stored(connected_components(found, "near").withColumnRenamed("node", "row"), "groups")
+
+    groups = grouped(links) if links is not None and not links.isEmpty() else None
+    now = members.withColumn("component", F.col("row")) if groups is None else members.join(groups, "row", "left").withColumn("component", F.coalesce("component", "row"))
+    open_keys = now.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
+    rest = _rest(stored(now.join(open_keys, "key"), "open-buckets"), sets, percent)
+    if not rest.isEmpty():
+        groups = grouped(rest if links is None else links.unionByName(rest))
 
     if groups is None:
         named = classes.select("digest", F.col("first_id").alias("component_id"))
     else:
-        own = classes.select("digest", "row", "first_id").join(groups.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+        own = classes.select("digest", "row", "first_id").join(groups, "row", "left").withColumn("component", F.coalesce("component", "row"))
         smallest = own.groupBy("component").agg(F.min("first_id").alias("component_id"))
         named = own.join(smallest, "component").select("digest", "component_id")
     full = sketch.where("n_shingles > 0").drop("keys").join(named, "digest").select("row", "doc_id", "n_shingles", "component_id")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from proofmill.llm import superminhash as s
 
@@ -89,12 +90,21 @@ def test_groups_equal_brute_force(make):
     assert any(c is not None and c < d for d, _, c in want if d is not None)
 
 
-def test_exact_rest_finds_what_leaders_miss(make):
+@pytest.mark.parametrize("tile", [512, 3])
+def test_exact_rest_finds_what_leaders_miss(make, monkeypatch, tile):
+    monkeypatch.setattr(s, "TILE_SETS", tile)
     rows = near_copies()
-    got = s.near_duplicates(make(rows, "doc_id long, text string"), k=4, rounds=0)
+    got = s.near_duplicates(make(rows, "doc_id long, text string"), k=4, leaders=0)
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=repr) == brute(rows, 4, 80)
 
 
+def test_shared_counts_by_blocks(monkeypatch):
+    monkeypatch.setattr(s, "COLUMNS", 7)
+    rng = np.random.default_rng(4)
+    a, b = ([np.unique(rng.integers(0, 50, n).astype(np.uint64)) for n in sizes] for sizes in ((1, 30, 80), (5, 60)))
+    assert s.shared_counts(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
+
+
 def test_one_of_each_group_stays(make, odd_docs):
     kept = s.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns
