@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 _HEX_CONTROLS = r"[\x00-\x07\x0b\x0e-\x1f]"
 _AROUND_CONTROL = rf"(?<={_HEX_CONTROLS})|(?={_HEX_CONTROLS})"
 
-# How deep nested documents are followed. A container below that is written by
-# to_json, whose members are sorted too; only its control escapes stay upper-case.
-MAX_DEPTH = 8
+# The control escapes that to_json writes with a letter, each with its canonical spelling.
+_LETTERED = [(f"\\u{n:04X}", f"\\u{n:04x}") for n in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20))]
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -82,46 +81,20 @@ def digest(json: Column) -> Column:
     return F.sha2(json, 256)
 
 
-def render_variant(value: Column, leaf=None, mask_key=None, opaque=None, depth: int = MAX_DEPTH) -> Column:
-    """Canonical JSON of a VARIANT, built level by level with array functions.
+def canonical_variant(value: Column) -> Column:
+    """Canonical JSON of a VARIANT of any depth; NULL stays NULL.
 
-    ``leaf`` rewrites string leaves, ``mask_key`` says which member names hide
-    their value, ``opaque`` stands for containers below ``depth``.
+    ``to_json`` sorts the members of a variant at every level; only the spelling of control escapes differs. Text is cut at
+    escaped backslashes first, so what looks like an escape behind one is left alone.
     """
-    members = F.try_variant_get(value, "$", "map<string,variant>")
-    items = F.try_variant_get(value, "$", "array<variant>")
-    kind = F.schema_of_variant(value)
-    is_object = kind.startswith("OBJECT")
-    is_array = kind.startswith("ARRAY")
-    text = F.try_variant_get(value, "$", "string")
-    literal = json_text(text) if leaf is None else let(leaf(text), json_text)
-    scalar = F.when(kind == "STRING", literal).otherwise(F.to_json(value))
-    if depth == 0:
-        return F.when(is_object | is_array, opaque if opaque is not None else F.to_json(value)).otherwise(scalar)
-
-    def child(name: Column, item: Column) -> Column:
-        body = render_variant(item, leaf, mask_key, opaque, depth - 1)
-        if mask_key is None:
-            return body
-        return F.when(F.coalesce(mask_key(name), F.lit(False)), F.lit('"***"')).otherwise(body)
-
-    # A variant object keeps its members sorted by name, so the entries arrive in order.
-    entries = F.when(
-        is_object, F.transform(F.map_entries(members), lambda e: F.named_struct(F.lit("k"), e["key"], F.lit("v"), e["value"]))
-    ).when(
-        is_array, F.transform(items, lambda v: F.named_struct(F.lit("k"), F.lit(None).cast("string"), F.lit("v"), v))
-    )
-    body = F.array_join(
-        F.transform(
-            entries,
-            lambda e: F.concat(
-                F.when(e["k"].isNull(), F.lit("")).otherwise(F.concat(json_text(e["k"]), F.lit(":"))),
-                child(e["k"], e["v"]),
-            ),
-        ),
-        ",",
-    )
-    # the body appears once, so the expression grows linearly with the depth
-    opening = F.when(is_object, F.lit("{")).otherwise(F.lit("["))
-    closing = F.when(is_object, F.lit("}")).otherwise(F.lit("]"))
-    return F.when(is_object | is_array, F.concat(opening, body, closing)).otherwise(scalar)
+
+    def lowered(piece: Column) -> Column:
+        for written, wanted in _LETTERED:
+            piece = F.replace(piece, F.lit(written), F.lit(wanted))
+        return piece
+
+    def fixed(text: Column) -> Column:
+        pieces = F.transform(F.split(text, r"\\\\", -1), lowered)
+        return F.when(text.contains("\\u00"), F.array_join(pieces, "\\\\")).otherwise(text)
+
+    return let(F.to_json(value), fixed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import digest, json_object, json_strings, json_text, let, render_variant
+from proofmill.functions.canonical import canonical_variant, digest, json_object, json_strings, json_text, let
 from proofmill.functions.redaction import redact_text
 
 # Settings that do not belong to the evaluation protocol.
@@ -79,7 +79,7 @@ def protocol_identity(config_json: Column) -> Column:
     def without_local_path(args: Column) -> Column:
         members = F.try_variant_get(args, "$", "map<string,variant>")
         fields = F.filter(F.map_entries(members), lambda e: e["key"] != "local_path")
-        body = F.transform(fields, lambda e: F.concat(json_text(e["key"]), F.lit(":"), render_variant(e["value"], depth=2)))
+        body = F.transform(fields, lambda e: F.concat(json_text(e["key"]), F.lit(":"), canonical_variant(e["value"])))
         return F.coalesce(F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}")), F.lit("{}"))
 
     def member(entry: Column) -> Column:
@@ -94,7 +94,7 @@ def protocol_identity(config_json: Column) -> Column:
         )
         value = F.when(
             (entry["key"] == "dataset_args") & datasets.isNotNull(), stripped
-        ).otherwise(render_variant(entry["value"], depth=3))
+        ).otherwise(canonical_variant(entry["value"]))
         return F.concat(json_text(entry["key"]), F.lit(":"), value)
 
     body = F.transform(F.map_entries(kept), member)

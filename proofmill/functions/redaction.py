@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +30,56 @@ URL_CREDENTIALS_PATTERN = r"(?U)(?<![a-zA-Z0-9+.-])([0-9+.-]*[a-zA-Z][a-zA-Z0-9+
 
 MASK = "***"
 
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^"{}\[\],:\s]+')
+_URL, _KEY, _SIGNED = (re.compile(p.replace("(?U)", "")) for p in (URL_CREDENTIALS_PATTERN, API_KEY_PATTERN, SIGNED_TOKEN_PATTERN))
+
+
+def _secret_name(name: str) -> bool:
+    plain = name.strip().lower().replace("-", "_").replace(" ", "_")
+    return plain in SECRET_KEY_NAMES or plain.endswith(tuple(SECRET_KEY_SUFFIXES))
+
+
+def _masked(text: str) -> str:
+    return _SIGNED.sub(MASK, _KEY.sub(MASK, _URL.sub(r"\1***@", text)))
+
+
+def mask_json(text: str) -> str:
+    """A JSON text with the values of secret members masked and its other strings redacted: one pass over its tokens, at
+    any depth. Everything else is kept as it is written."""
+    out: list[str] = []
+    inside: list[str] = []  # open brackets
+    name_next = hide = False
+    hidden_from: int | None = None  # depth of the container that is being left out
+    for token in _TOKEN.findall(text):
+        if hidden_from is not None:
+            inside.append(token) if token in "{[" else inside.pop() if token in "}]" else None
+            if len(inside) == hidden_from:
+                hidden_from = None
+        elif token in "{[":
+            if hide:
+                hidden_from, hide = len(inside), False
+                out.append(f'"{MASK}"')
+            else:
+                out.append(token)
+            inside.append(token)
+            name_next = token == "{"
+        elif token in "}]":
+            inside.pop()
+            out.append(token)
+            name_next = False
+        elif token in ",:":
+            out.append(token)
+            name_next = token == "," and inside[-1] == "{"
+        elif name_next:
+            hide, name_next = _secret_name(json.loads(token)), False
+            out.append(token)
+        elif hide:
+            out.append(f'"{MASK}"')
+            hide = False
+        else:
+            out.append(json.dumps(_masked(json.loads(token)), ensure_ascii=False) if token[0] == '"' else token)
+    return "".join(out)
+
 
 def mask_url_credentials(text: Column) -> Column:
     return F.when(

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from proofmill.functions.canonical import digest, json_hex, json_object, json_text
 from proofmill.functions.scalars import decodable_base64
-from proofmill.operators.ordered import Digest, Rollup, ordered_digests
+from proofmill.operators.ordered import Digest, Rollup, plain_digests
 
 SAMPLE = ["run_id", "subset", "sample_id"]
-PART_FANOUT = 1024
 
 
 def content_parts(samples: DataFrame) -> DataFrame:
@@ -63,8 +62,8 @@ def media_fingerprint(parts: DataFrame, files: DataFrame | None = None) -> DataF
     """Add ``fingerprint`` and ``media_ok`` (content was seen, not just named) to media parts.
 
     ``files`` (path, file_sha256) proves references to files; without it every
-    reference stays unproven. Rows that name no file get a join key of their own,
-    so they spread over tasks instead of meeting on NULL.
+    reference stays unproven. Data that does not decode is hashed whole, so different broken media stay
+    apart. Payloads are fingerprinted in their rows; with files, data and URL parts do not take part in the join.
     """
     media = F.col("media")
     is_data = media.startswith("data:")
@@ -77,35 +76,31 @@ def media_fingerprint(parts: DataFrame, files: DataFrame | None = None) -> DataF
         return digest(json_object(**{key: json_text(value)}))
 
     is_media = F.col("kind") == "media"
-    if files is None:
-        proven = parts.withColumn("__file", F.lit(None).cast("string"))
-    else:
-        own_key = F.concat_ws("\u0000", *SAMPLE, "turn", "part")
-        keyed = parts.withColumn("__path", F.when(is_media & ~is_data & ~is_url, media).otherwise(own_key))
-        proven = keyed.join(
-            files.select(F.col("path").alias("__path"), F.col("file_sha256").alias("__file")), "__path", "left"
-        ).drop("__path")
     fingerprint = (
         F.when(~is_media | media.isNull(), F.lit(None).cast("string"))
         .when(is_data & well_formed, content)
-        .when(is_data, named("media", F.substring(media, 1, 64)))
+        .when(is_data, named("media", media))
         .when(is_url, named("media_url", media))
-        .when(F.col("__file").isNotNull(), F.col("__file"))
         .otherwise(named("media_ref", media))
     )
-    evidence = F.when(
-        is_media, media.isNotNull() & F.coalesce((is_data & well_formed) | (F.col("__file").isNotNull()), F.lit(False))
+    evidence = F.when(is_media, media.isNotNull() & F.coalesce(is_data & well_formed, F.lit(False)))
+    done = parts.select(*parts.columns, fingerprint.alias("fingerprint"), evidence.alias("media_ok"))
+    if files is None:
+        return done
+    named_file = F.coalesce(is_media & ~is_data & ~is_url, F.lit(False))
+    proofs = files.select(F.col("path").alias("media"), F.col("file_sha256").alias("__file"))
+    proven = done.filter(named_file).join(proofs, "media", "left").withColumns(
+        {"fingerprint": F.coalesce("__file", "fingerprint"), "media_ok": F.col("__file").isNotNull()}
     )
-    return proven.select(*parts.columns, fingerprint.alias("fingerprint"), evidence.alias("media_ok"))
+    return done.filter(~named_file).unionByName(proven.select(*done.columns))
 
 
 def question_digest(parts: DataFrame) -> DataFrame:
     """Per sample: digest of the ordered text parts."""
     element = F.when(F.col("kind") == "text", json_text(F.col("text")))
-    return ordered_digests(
+    return plain_digests(
         parts, SAMPLE, ["turn", "part"],
         {"question_digest": Digest(element, '{"question_text":', "}")},
-        fanout=PART_FANOUT,
     )
 
 
@@ -129,17 +124,15 @@ def _evidence_rollup() -> Rollup:
 
 def media_digest(fingerprinted: DataFrame) -> DataFrame:
     """Per sample: digest of the ordered media fingerprints and whether all are proven."""
-    return ordered_digests(
+    return plain_digests(
         fingerprinted, SAMPLE, ["turn", "part"], {"media_digest": _media_spec()},
-        {"media_evidence": _evidence_rollup()}, fanout=PART_FANOUT,
+        {"media_evidence": _evidence_rollup()},
     )
 
 
 def input_digest(fingerprinted: DataFrame) -> DataFrame:
     """Per sample: digest of the ordered messages as the model gets them."""
-    return ordered_digests(
-        fingerprinted, SAMPLE, ["turn", "part"], {"input_digest": _input_spec()}, fanout=PART_FANOUT
-    )
+    return plain_digests(fingerprinted, SAMPLE, ["turn", "part"], {"input_digest": _input_spec()})
 
 
 def sample_fingerprints(samples: DataFrame, processed: DataFrame, raw: DataFrame | None = None) -> DataFrame:
@@ -149,7 +142,7 @@ def sample_fingerprints(samples: DataFrame, processed: DataFrame, raw: DataFrame
     digest comes from the raw parts where the sample has any.
     """
     text = F.when(F.col("kind") == "text", json_text(F.col("text")))
-    seen = ordered_digests(
+    seen = plain_digests(
         processed, SAMPLE, ["turn", "part"],
         {
             "question_seen": Digest(text, '{"question_text":', "}"),
@@ -157,7 +150,6 @@ def sample_fingerprints(samples: DataFrame, processed: DataFrame, raw: DataFrame
             "input_digest": _input_spec(),
         },
         {"media_evidence": _evidence_rollup()},
-        fanout=PART_FANOUT,
     )
     joined = samples.join(seen, SAMPLE, "left")
     if raw is None:

@@ -36,19 +36,16 @@ def ownership_candidates(references: DataFrame, attempts: DataFrame) -> DataFram
     return joined.groupBy("image").agg(chosen.alias("c")).select("image", "c.*")
 
 
-def image_time(text: Column) -> Column:
-    """Instant of an ISO text: fractions cut to microseconds, no offset means UTC.
+_INSTANT = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2})(?:\.(\d{1,6})\d*)?(?:(?:Z|z)|([+-])(\d{2}):?(\d{2}))?$"
 
-    After a fraction only a ``+`` offset counts; any other tail reads as UTC.
-    """
-    plain = F.regexp_replace(F.trim(text), "Z", "+00:00")
-    head = F.substring_index(plain, ".", 1)
-    tail = F.when(F.instr(plain, ".") > 0, F.substring(plain, F.length(head) + 2, F.length(plain)))
-    fraction = F.regexp_extract(tail, r"^([0-9]{1,6})", 1)
-    offset = F.when(F.instr(tail, "+") > 0, F.concat(F.lit("+"), F.regexp_extract(tail, r"\+([^+]*)", 1))).otherwise(F.lit(""))
-    joined = F.when(tail.isNotNull(), F.concat(head, F.lit("."), fraction, offset)).otherwise(plain)
-    with_zone = F.when(joined.rlike(r"[+-][0-9]{2}:?[0-9]{2}$"), joined).otherwise(F.concat(joined, F.lit("+00:00")))
-    return F.when(F.trim(text) != "", with_zone.try_cast("timestamp"))
+
+def image_time(text: Column) -> Column:
+    """Instant of an ISO text: date and time, a fraction cut to microseconds, and a signed zone; no zone means UTC."""
+    given = F.trim(text)
+    part = lambda n: F.regexp_extract(given, _INSTANT, n)
+    fraction = F.when(part(2) != "", F.concat(F.lit("."), part(2))).otherwise(F.lit(""))
+    zone = F.when(part(3) != "", F.concat(part(3), part(4), F.lit(":"), part(5))).otherwise(F.lit("+00:00"))
+    return F.when(given.rlike(_INSTANT), F.concat(part(1), fraction, zone).try_cast("timestamp"))
 
 
 def ownership_classify(

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.functions.canonical import json_bool, json_hex, json_object, json_text
-from proofmill.operators.ordered import Digest, Rollup, ordered_digests
+from proofmill.operators.ordered import FANOUT, Digest, Rollup, tree_digests
 
 MANIFEST = ["run_id", "subset"]
-SUBSET_FANOUT = 512
 
 
 def first_n_per_subset(samples: DataFrame, limits: DataFrame) -> DataFrame:
@@ -21,21 +20,22 @@ def first_n_per_subset(samples: DataFrame, limits: DataFrame) -> DataFrame:
     return bounded.filter(F.col("sample_limit").isNull() | (F.col("pos") < F.col("sample_limit"))).drop("sample_limit")
 
 
-def manifest_rollup(samples: DataFrame) -> DataFrame:
+def manifest_rollup(samples: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """One row per (run, subset): count, digests over the samples in order, evidence flag.
 
     ``samples``: run_id, subset, pos (dense, 0-based), sample_id, the three
     digests, media_evidence and optionally subset_pos. The id list itself stays
-    in ``samples``; ``sample_ids_json`` repeats it only where it is one chunk.
+    in ``samples``. The digests are trees of ``fanout`` positions a node, whatever
+    the size; they are compared among themselves, never with an artifact's declared values.
     """
     if "subset_pos" not in samples.columns:
         samples = samples.withColumn("subset_pos", F.lit(0).cast("bigint"))
     digests = {
         name: Digest(json_hex(F.col(name))) for name in ("question_digest", "media_digest", "input_digest")
     }
-    digests["sample_ids"] = Digest(json_text(F.col("sample_id")), keep_text=True)
-    rolled = ordered_digests(
-        samples, MANIFEST, ["pos"], digests,
+    digests["sample_ids_digest"] = Digest(json_text(F.col("sample_id")))
+    return tree_digests(
+        samples, MANIFEST, F.floor(F.col("pos") / F.lit(fanout)).cast("bigint"), ["pos"], digests,
         {
             "selected": Rollup(F.count(F.lit(1)), F.sum),
             # a stored row without the flag counts as proven
@@ -43,7 +43,6 @@ def manifest_rollup(samples: DataFrame) -> DataFrame:
             "subset_pos": Rollup(F.min("subset_pos"), F.min),
         },
     )
-    return rolled.withColumnRenamed("sample_ids", "sample_ids_digest")
 
 
 def manifest_row_json() -> Column:
@@ -51,7 +50,7 @@ def manifest_row_json() -> Column:
     return json_object(
         subset=json_text(F.col("subset")),
         selected=F.col("selected").cast("string"),
-        sample_ids=F.coalesce(F.col("sample_ids_json"), json_hex(F.col("sample_ids_digest"))),
+        sample_ids=json_hex(F.col("sample_ids_digest")),
         question_digest=json_hex(F.col("question_digest")),
         media_digest=json_hex(F.col("media_digest")),
         input_digest=json_hex(F.col("input_digest")),
@@ -60,9 +59,12 @@ def manifest_row_json() -> Column:
 
 
 def manifest_identity(manifest: DataFrame) -> DataFrame:
-    """Per run: digest of the manifest rows in subset order. Runs without rows have no identity."""
-    return ordered_digests(
-        manifest, ["run_id"], ["subset_pos", "subset"],
-        {"sample_manifest_identity": Digest(manifest_row_json())},
-        fanout=SUBSET_FANOUT,
+    """Per run: digest of the manifest rows. Runs without rows have no identity.
+
+    Subsets are chunked by the first two hex digits of their name's MD5, so a run with very many subsets is
+    spread as well; within a chunk they come by position and name.
+    """
+    return tree_digests(
+        manifest, ["run_id"], F.substring(F.md5(F.col("subset").cast("binary")), 1, 2), ["subset_pos", "subset"],
+        {"manifest_digest": Digest(manifest_row_json())},
     )

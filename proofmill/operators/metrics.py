@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import json_strings, render_variant
+from proofmill.functions.canonical import canonical_variant, json_strings
 from proofmill.functions.identity import TOP_CATEGORY_KEY, category_key, metric_key
 from proofmill.functions.scalars import score_problem, score_value
 
@@ -14,9 +14,7 @@ def dimensions_json(text: Column) -> Column:
     """Canonical JSON of a dimensions object; missing or empty is ``{}``."""
     empty = text.isNull() | text.isin("", "null", "[]", "{}", "0", "false")
     value = F.try_parse_json(text)
-    # members of a variant come out sorted; only control characters need the slow form
-    plain = F.to_json(value)
-    return F.when(empty, F.lit("{}")).when(~plain.contains("\\u00"), plain).otherwise(render_variant(value, depth=1))
+    return F.when(empty, F.lit("{}")).otherwise(canonical_variant(value))
 
 
 def identity_is_valid(name: Column) -> Column:
@@ -67,7 +65,7 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
 
     ``reports``: run_id, metrics and primary_metric_identity (``schemas.REPORT``).
     Identities are worked out once per metric, then one explode walks its levels.
-    Scores stay text with ``score_problem`` naming a bad one; ``pos`` is the order
+    Scores stay text with ``score_problem`` naming a bad one; ``pos`` (metric, category, subset) is the order
     of the rows within the report.
     """
     primary = F.col("primary_metric_identity")
@@ -103,7 +101,7 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
     no_path = F.array().cast("array<string>")
     none = F.lit(None).cast("string")
     at = lambda cat, sub: (
-        F.col("m_pos").cast("bigint") * F.lit(1 << 40) + cat.cast("bigint") * F.lit(1 << 20) + sub.cast("bigint")
+        F.struct(F.col("m_pos").cast("bigint").alias("metric"), cat.cast("bigint").alias("category"), sub.cast("bigint").alias("subset"))
     )
     base = row(F.col("m.num"), F.col("m.score"), F.col("m.macro_score"), place, no_path, F.lit(""), at(F.lit(0), F.lit(0)))
 

@@ -1,11 +1,9 @@
-"""Order-dependent work that must not put a whole group into one task.
+"""Order-dependent work on groups.
 
-``ordered_digests`` hashes the ordered elements of each group. Up to ``fanout``
-elements the value is the digest of the plain JSON array. A larger group is
-hashed as a tree: each run of ``fanout`` positions gives one node, and nodes are
-hashed again, so no task ever holds more than ``fanout`` elements of a group.
-The tree depends only on positions, never on partitioning, so equal content
-always gives equal digests.
+``plain_digests`` hashes the ordered elements of groups that are bounded by their source (the parts of one sample come
+from one row). ``tree_digests`` hashes groups of any size by one rule: each chunk of positions gives one node, and the
+ordered nodes give the root, also where there is a single chunk. No task holds more than one chunk, and equal content
+gives equal digests under any partitioning.
 
 ``dense_positions`` numbers the rows of each group 0, 1, 2, ... from an integer
 order key without sorting a group in one place.
@@ -19,10 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import digest, json_list
+from proofmill.functions.canonical import digest, json_hex, json_list
 
+#: Positions of a chunk.
 FANOUT = 8192
-LEVELS = 3
 
 
 @dataclass(frozen=True)
@@ -32,7 +30,6 @@ class Digest:
     element: Column
     prefix: str = ""
     suffix: str = ""
-    keep_text: bool = False  # also return the list's JSON text when the group is one chunk
 
 
 @dataclass(frozen=True)
@@ -43,81 +40,43 @@ class Rollup:
     merge: Callable[[str], Column]
 
 
-def ordered_digests(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    digests: dict[str, Digest],
-    rollups: dict[str, Rollup] | None = None,
-    fanout: int = FANOUT,
-    levels: int = LEVELS,
+def _listed(
+    df: DataFrame, group: list[str], order: list[str], digests: dict[str, Digest], rollups: dict[str, Rollup]
 ) -> DataFrame:
-    """One row per group with a digest per entry of ``digests``.
-
-    ``order[0]`` is the integer position that decides the chunk; further order
-    columns only break ties inside a chunk.
-    """
-    rollups = rollups or {}
-    element_names = {name: f"__e_{name}" for name in digests}
-    rows = df.select(
-        "*",
-        F.floor(F.col(order[0]) / F.lit(fanout)).cast("bigint").alias("__chunk"),
-        *[spec.element.alias(element_names[name]) for name, spec in digests.items()],
+    """Per group: the JSON array of every digest's ordered elements, and the aggregates."""
+    names = {name: f"__e_{name}" for name in digests}
+    rows = df.select("*", *[spec.element.alias(names[name]) for name, spec in digests.items()])
+    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in names.values()])
+    gathered = rows.groupBy(*group).agg(
+        F.sort_array(F.collect_list(packed)).alias("__items"), *[spec.rows.alias(name) for name, spec in rollups.items()]
     )
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in element_names.values()])
-    level = rows.groupBy(*group, "__chunk").agg(
-        F.sort_array(F.collect_list(packed)).alias("__items"),
-        *[spec.rows.alias(name) for name, spec in rollups.items()],
+    return gathered.select(
+        *group, *rollups, *[json_list(F.col(f"__items.{e}")).alias(name) for name, e in names.items()]
     )
 
-    def listed(name: str) -> Column:
-        element = element_names[name]
-        return json_list(F.transform("__items", lambda item: item[element]))
 
-    kept = [name for name, spec in digests.items() if spec.keep_text]
-    texts = level.select(
-        *group, "__chunk", *rollups, *[listed(name).alias(f"__t_{name}") for name in digests]
-    )
-    level = texts.select(
-        *group,
-        "__chunk",
-        *rollups,
-        *[digest(F.concat(F.lit(d.prefix), F.col(f"__t_{n}"), F.lit(d.suffix))).alias(f"__flat_{n}") for n, d in digests.items()],
-        *[digest(F.col(f"__t_{n}")).alias(f"__node_{n}") for n in digests],
-        # only the first chunk may still turn out to be the whole group
-        *[F.when(F.col("__chunk") == 0, F.col(f"__t_{n}")).alias(f"__text_{n}") for n in kept],
-    )
+def _around(spec: Digest, text: Column) -> Column:
+    return digest(F.concat(F.lit(spec.prefix), text, F.lit(spec.suffix)))
+
 
-    for step in range(levels):
-        last = step == levels - 1
-        keys = group if last else [*group, "__parent"]
-        fields = [f"__flat_{n}" for n in digests] + [f"__node_{n}" for n in digests]
-        up = (level if last else level.withColumn("__parent", F.floor(F.col("__chunk") / F.lit(fanout)).cast("bigint")))
-        up = up.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.struct("__chunk", *fields))).alias("__items"),
-            *[spec.merge(name).alias(name) for name, spec in rollups.items()],
-            *[F.max(f"__text_{n}").alias(f"__text_{n}") for n in kept],
-        )
-        single = F.size("__items") == 1
-        columns = [F.col(k) for k in group] + [F.col(r) for r in rollups]
-        if not last:
-            columns.append(F.col("__parent").alias("__chunk"))
-        for name, spec in digests.items():
-            flat, node = f"__flat_{name}", f"__node_{name}"
-            nodes = json_list(F.transform("__items", lambda item: F.concat(F.lit('"'), item[node], F.lit('"'))))
-            columns.append(
-                F.when(single, F.col("__items")[0][flat])
-                .otherwise(digest(F.concat(F.lit(spec.prefix), nodes, F.lit(spec.suffix))))
-                .alias(name if last else flat)
-            )
-            if not last:
-                columns.append(F.when(single, F.col("__items")[0][node]).otherwise(digest(nodes)).alias(node))
-            if spec.keep_text:
-                columns.append(
-                    F.when(single, F.col(f"__text_{name}")).alias(f"{name}_json" if last else f"__text_{name}")
-                )
-        level = up.select(*columns)
-    return level
+def plain_digests(
+    df: DataFrame, group: list[str], order: list[str], digests: dict[str, Digest], rollups: dict[str, Rollup] | None = None
+) -> DataFrame:
+    """One row per group; each digest is that of the JSON array of the group's elements."""
+    rollups = rollups or {}
+    lists = _listed(df, group, order, digests, rollups)
+    return lists.select(*group, *rollups, *[_around(spec, F.col(name)).alias(name) for name, spec in digests.items()])
+
+
+def tree_digests(
+    df: DataFrame, group: list[str], chunk: Column, order: list[str], digests: dict[str, Digest], rollups: dict[str, Rollup] | None = None,
+) -> DataFrame:
+    """One row per group; each digest is that of the JSON array of the digests of its chunks."""
+    rollups = rollups or {}
+    lists = _listed(df.withColumn("__chunk", chunk), [*group, "__chunk"], order, digests, rollups)
+    nodes = lists.select(*group, "__chunk", *rollups, *[digest(F.col(name)).alias(name) for name in digests])
+    above = {name: Digest(json_hex(F.col(name)), spec.prefix, spec.suffix) for name, spec in digests.items()}
+    return plain_digests(nodes, group, ["__chunk"], above, {name: Rollup(spec.merge(name), spec.merge) for name, spec in rollups.items()})
 
 
 def dense_positions(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from proofmill.functions.canonical import json_text, let, render_variant
+from proofmill.functions.canonical import json_text, let
 from proofmill.functions.redaction import (
+    mask_json,
     API_KEY_PATTERN,
     SECRET_CONFIG_KEYS,
     SIGNED_TOKEN_PATTERN,
@@ -54,21 +57,20 @@ def redact_known(df: DataFrame, secrets: DataFrame, column: str) -> DataFrame:
     ).drop("secrets")
 
 
-def redact_json(value: Column, secrets: Column | None = None) -> Column:
-    """Canonical JSON of a VARIANT with secret members masked and all other text redacted.
-
-    Containers nested deeper than the renderer follows are masked whole.
-    """
-    return render_variant(
-        value, leaf=lambda text: redact_text(text, secrets), mask_key=is_secret_key, opaque=F.lit('"***"')
-    )
+@F.arrow_udf(StringType())
+def _mask_documents(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else mask_json(t) for t in texts.to_pylist()], pa.string())
 
 
 def redact_by_key(df: DataFrame, column: str) -> DataFrame:
-    """Mask secret members of a JSON column; text that is not JSON is redacted as text."""
+    """Mask secret members of a JSON column at any depth; text that is not JSON is redacted as text.
+
+    Documents nest without limit, which column expressions cannot follow, so one linear pass over each canonical
+    text does it, in Arrow batches.
+    """
     as_text = let(redact_text(F.col(column)), json_text)
-    masked = let(F.try_parse_json(column), lambda v: F.when(v.isNotNull(), redact_json(v)))
-    return df.withColumn(column, F.coalesce(masked, as_text))
+    plain = F.to_json(F.try_parse_json(column))
+    return df.withColumn(column, F.coalesce(_mask_documents(plain), as_text))
 
 
 def redact_map(column: Column) -> Column:

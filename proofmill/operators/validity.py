@@ -9,7 +9,6 @@ from proofmill.functions.scalars import whole_number
 from proofmill.operators.ordered import first_per_group
 
 # Reasons spelled out in one text; ``comparability_reasons`` keeps all of them.
-MAX_REASONS = 50
 
 
 def is_formal(validity: Column, comparability: Column) -> Column:
@@ -223,24 +222,23 @@ def comparability_reasons(
 
 
 def assess_comparability(runs: DataFrame, manifest: DataFrame, reasons: DataFrame) -> DataFrame:
-    """Per run: verified only with a manifest and without any reason against it."""
-    counts = reasons.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_reasons"))
-    head = first_per_group(reasons, ["run_id"], ["ord", "subset", "item"], MAX_REASONS).groupBy("run_id").agg(
+    """Per run: verified only with a manifest and without any reason against it. All reasons are told."""
+    told = reasons.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_reasons"),
         F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("rank", "reason"))), lambda r: r["reason"]), "; "
-        ).alias("head")
+            F.transform(F.sort_array(F.collect_list(F.struct("ord", "subset", "item", "reason"))), lambda r: r["reason"]), "; "
+        ).alias("said"),
     )
     known = manifest.groupBy("run_id").agg(F.count(F.lit(1)).alias("manifest_rows"))
-    joined = runs.select("run_id").join(known, "run_id", "left").join(counts, "run_id", "left").join(head, "run_id", "left")
+    joined = runs.select("run_id").join(known, "run_id", "left").join(told, "run_id", "left")
     n = F.coalesce(F.col("n_reasons"), F.lit(0))
     no_manifest = F.col("manifest_rows").isNull()
-    more = F.when(n > MAX_REASONS, F.concat(F.lit("; and "), (n - MAX_REASONS).cast("string"), F.lit(" more reasons")))
     return joined.select(
         "run_id",
         F.when(no_manifest | (n > 0), F.lit("unknown")).otherwise(F.lit("verified")).alias("comparability"),
         F.when(no_manifest, F.lit(1)).otherwise(n).cast("bigint").alias("n_reasons"),
         F.when(no_manifest, F.lit("no_sample_manifest"))
-        .when(n > 0, F.concat(F.col("head"), F.coalesce(more, F.lit(""))))
+        .when(n > 0, F.col("said"))
         .otherwise(F.lit("content evidence complete"))
         .alias("comparability_reason"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.functions.identity import clean_identity
-from proofmill.operators import coverage, diagnostics, imports, manifest, metrics, validity
+from proofmill.operators import coverage, diagnostics, imports, metrics, validity
 from proofmill.session import stored
 
 
@@ -70,20 +70,19 @@ def outcomes(
     )
 
 
-def import_batch(manifests: DataFrame, assessed: DataFrame, manifest_rows: DataFrame, history: DataFrame, stored_metrics: DataFrame) -> DataFrame:
+def import_batch(manifests: DataFrame, assessed: DataFrame, history: DataFrame, stored_metrics: DataFrame) -> DataFrame:
     """Decide a batch of artifact folders against the history.
 
+    ``manifests`` are parsed run manifests; each carries the identity of its own content.
     ``assessed`` are the outcomes by run id, with ``parse_failure`` where the
     folder could not be read.
     """
-    computed = manifest.manifest_identity(manifest_rows).withColumnRenamed("sample_manifest_identity", "computed_identity")
     artifacts = (
         manifests.select(
             "run_id", "dataset", "suite", "model_id", "report_id", "model_config_identity", "protocol_identity",
             clean_identity(F.col("sample_manifest_identity")).alias("declared_identity"),
-            F.to_timestamp("created_at").alias("created_at"),
+            "computed_identity", F.to_timestamp("created_at").alias("created_at"),
         )
-        .join(computed, "run_id", "left")
         .join(assessed.select("run_id", "validity_status", "status_reason", "comparability", "parse_failure"), "run_id", "left")
     )
     return imports.import_decision(artifacts, history, stored_metrics)

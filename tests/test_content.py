@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from proofmill.operators import content, manifest
-from proofmill.operators.ordered import Digest, Rollup, dense_positions, first_per_group, ordered_digests
+from proofmill.operators.ordered import Digest, Rollup, dense_positions, first_per_group, plain_digests, tree_digests
 
 
 def sha_text(text):
@@ -74,7 +74,7 @@ def test_media_evidence_needs_content(spark, tmp_path):
     expected = {
         "0": (sha({"media_sha256": b"image-a".hex()}), True), "1": (sha({"media_url": refs["1"]}), False),
         "2": (hashlib.sha256(b"pixels").hexdigest(), True), "3": (sha({"media_ref": "nowhere.png"}), False),
-        "4": (sha({"media": bad[:64]}), False), "5": (None, False),
+        "4": (sha({"media": bad}), False), "5": (None, False),
     }
     for key, (print_, evidence) in expected.items():
         assert done[key].media_digest == sha({"media": [print_]}), key
@@ -82,7 +82,7 @@ def test_media_evidence_needs_content(spark, tmp_path):
         assert done[key].input_digest == sha({"input_messages": [{"role": "user", "kind": "media", "fingerprint": print_}]})
 
 
-def test_manifest_row_and_identity_match_plain_hashing(spark):
+def test_manifest_row_and_identity_match_hashing_in_python(spark):
     texts = {"0": "q0", "1": "q1", "2": "é\n"}
     rows = [sample(k, v) for k, v in texts.items()]
     prints = fingerprints(spark, rows)
@@ -91,55 +91,43 @@ def test_manifest_row_and_identity_match_plain_hashing(spark):
     question = [sha({"question_text": [t]}) for t in texts.values()]
     inputs = [sha({"input_messages": [{"role": None, "kind": "text", "text": t}]}) for t in texts.values()]
     media = [sha({"media": []})] * 3
+    def quoted(texts):
+        return [f'"{t}"' for t in texts]
+
     expected = {
-        "subset": "default", "selected": 3, "sample_ids": ["0", "1", "2"], "question_digest": sha(question),
-        "media_digest": sha(media), "input_digest": sha(inputs), "media_evidence": True,
+        "subset": "default", "selected": 3, "sample_ids_digest": tree(quoted("012"), 8192), "question_digest": tree(quoted(question), 8192),
+        "media_digest": tree(quoted(media), 8192), "input_digest": tree(quoted(inputs), 8192), "media_evidence": True,
     }
-    assert {k: row[k] for k in expected if k != "sample_ids"} == {k: v for k, v in expected.items() if k != "sample_ids"}
-    assert json.loads(row.sample_ids_json) == expected["sample_ids"]
-    assert manifest.manifest_identity(rolled).first().sample_manifest_identity == sha([expected])
-
-
-def tree(elements, fanout, levels, prefix="", suffix=""):
-    """Brute force: positions are 0..n-1; nodes of `fanout` children, single children pass through."""
-    chunks = [elements[i : i + fanout] for i in range(0, len(elements), fanout)]
-    level = []
-    for chunk in chunks:
-        text = "[" + ",".join(chunk) + "]"
-        level.append((sha_text(prefix + text + suffix), sha_text(text)))
-    for step in range(levels):
-        groups = [level] if step == levels - 1 else [level[i : i + fanout] for i in range(0, len(level), fanout)]
-        merged = []
-        for group in groups:
-            if len(group) == 1:
-                merged.append(group[0])
-            else:
-                text = "[" + ",".join(f'"{node}"' for _, node in group) + "]"
-                merged.append((sha_text(prefix + text + suffix), sha_text(text)))
-        level = merged
-    return level[0][0]
-
-
-@pytest.mark.parametrize("size", [4, 5, 17, 70])
-def test_tree_digest_matches_brute_force_for_any_partitioning(spark, size):
+    assert {k: row[k] for k in expected} == expected
+    told = {("sample_ids" if k == "sample_ids_digest" else k): v for k, v in expected.items()}
+    node = sha_text("[" + json.dumps(told, sort_keys=True, separators=(",", ":")) + "]")
+    assert manifest.manifest_identity(rolled).first().manifest_digest == sha_text(f'["{node}"]')
+
+
+def tree(elements, fanout, prefix="", suffix=""):
+    """Brute force: every chunk of positions is a node, the nodes give the root, at any size."""
+    nodes = [sha_text("[" + ",".join(elements[i : i + fanout]) + "]") for i in range(0, len(elements), fanout)]
+    return sha_text(prefix + "[" + ",".join(f'"{n}"' for n in nodes) + "]" + suffix)
+
+
+@pytest.mark.parametrize("size", [1, 4, 5, 17, 70])
+def test_one_digest_rule_at_every_size_and_partitioning(spark, size):
     rows = [("hot", i, f"e{i}") for i in range(size)] + [("small", 0, "x")]
     random.Random(size).shuffle(rows)
-    spec = {"d": Digest(F.concat(F.lit('"'), "e", F.lit('"')), '{"k":', "}", keep_text=True)}
+    spec = {"d": Digest(F.concat(F.lit('"'), "e", F.lit('"')), '{"k":', "}")}
     counted = {"n": Rollup(F.count(F.lit(1)), F.sum)}
-    expected = tree([f'"e{i}"' for i in range(size)], 4, 3, '{"k":', "}")
     for parts in (3,) if size < 70 else (1, 3):
         frame = spark.createDataFrame(rows, "g string, pos bigint, e string").repartition(parts)
-        done = {r.g: r for r in ordered_digests(frame, ["g"], ["pos"], spec, counted, fanout=4).collect()}
-        assert done["hot"].d == expected and done["hot"].n == size
-        assert (done["hot"].d_json is not None) == (size <= 4)
-        assert done["small"].d == sha_text('{"k":["x"]}')
-    if size <= 4:
-        assert expected == sha({"k": [f"e{i}" for i in range(size)]})
+        done = {r.g: r for r in tree_digests(frame, ["g"], F.floor(F.col("pos") / 4), ["pos"], spec, counted).collect()}
+        assert done["hot"].d == tree([f'"e{i}"' for i in range(size)], 4, '{"k":', "}") and done["hot"].n == size
+        assert done["small"].d == tree(['"x"'], 4, '{"k":', "}")
+        plain = {r.g: r for r in plain_digests(frame, ["g"], ["pos"], spec, counted).collect()}
+        assert plain["hot"].d == sha_text('{"k":[' + ",".join(f'"e{i}"' for i in range(size)) + "]}") and plain["hot"].n == size
 
 
 def test_elements_that_are_null_are_left_out(spark):
     frame = spark.createDataFrame([("g", 0, '"a"'), ("g", 1, None), ("g", 2, '"b"')], "g string, pos bigint, e string")
-    assert ordered_digests(frame, ["g"], ["pos"], {"d": Digest(F.col("e"))}).first().d == sha(["a", "b"])
+    assert plain_digests(frame, ["g"], ["pos"], {"d": Digest(F.col("e"))}).first().d == sha(["a", "b"])
 
 
 def test_dense_positions_equal_a_plain_rank(spark):

@@ -60,7 +60,7 @@ def decide(spark, root):
     assessed = told.withColumn("parse_failure", F.lit(None).cast("string"))
     history = spark.createDataFrame([], "run_id string, dataset string, suite string, model_id string, model_config_identity string, protocol_identity string, sample_manifest_identity string, validity_status string, comparability string, finished_at timestamp")
     stored = spark.createDataFrame([], "run_id string")
-    return told.first(), verdicts.import_batch(scanned, assessed, rows, history, stored).first()
+    return told.first(), verdicts.import_batch(scanned, assessed, history, stored).first()
 
 
 def test_a_zero_score_is_a_complete_verified_run(spark, tmp_path):
@@ -80,3 +80,35 @@ def test_a_missing_review_keeps_the_run_out_of_the_formal_list(spark, tmp_path):
     assert (told.validity_status, told.comparability) == ("complete", "unknown")
     assert told.status_reason == "complete: succeeded=2/2; comparability: default: reviewed missing evidence keys ['1#r0']"
     assert decision.decision == "committed_new" and decision.comparability == "unknown"
+
+
+def manifest_row(subset, ids):
+    return {
+        "subset": subset, "selected": len(ids), "sample_ids": ids, "question_digest": sha(["q"]), "media_digest": sha(["m"]), "input_digest": sha(["i"]),
+        "media_evidence": True,
+    }
+
+
+def test_declared_identities_are_checked_in_their_own_row(spark):
+    """Many subsets, numeric ids, nested extras and odd characters; detail only; a wrong declaration."""
+    many = [manifest_row(f"s{i}", [str(i)]) for i in range(513)]
+    numeric = [manifest_row("n", [1, 2, 3]) | {"note\u000b": {"a": [{"b": "\u001f\\u001F"}]}}]
+    samples = [{"id": str(i), "question_digest": f"q{i}", "media_digest": f"m{i}", "input_digest": f"i{i}", "media_evidence": True} for i in range(3)]
+    built = [
+        {"subset": "d", "selected": 3, "sample_ids": ["0", "1", "2"], "media_evidence": True, "question_digest": sha(["q0", "q1", "q2"]),
+         "media_digest": sha(["m0", "m1", "m2"]), "input_digest": sha(["i0", "i1", "i2"])}
+    ]
+    ids = {"model_id": "m", "model_config_identity": "c", "protocol_identity": "p", "dataset": "d", "suite": "s", "created_at": "2026-01-01T00:00:00Z"}
+    documents = {
+        "many": {"sample_manifest": many, "sample_manifest_identity": sha(many)}, "numeric": {"sample_manifest": numeric, "sample_manifest_identity": sha(numeric)},
+        "detail": {"sample_manifest_detail": {"d": samples}, "sample_manifest_identity": sha(built)},
+        "wrong": {"sample_manifest": many, "sample_manifest_identity": sha(numeric)},
+    }
+    rows = [(name, json.dumps({"attempt_id": name, **ids, **doc})) for name, doc in documents.items()] + [("broken", "[1")]
+    parsed = manifests.parse_run_manifests(spark.createDataFrame(rows, "path string, document string"))
+    assert {r.path: r.parse_failure is not None for r in parsed.collect()} == {"many": False, "numeric": False, "detail": False, "wrong": False, "broken": True}
+    told = parsed.where("run_id IS NOT NULL")
+    assessed = told.select("run_id", F.lit("complete").alias("validity_status"), F.lit("ok").alias("status_reason"), F.lit("verified").alias("comparability"), "parse_failure")
+    history = spark.createDataFrame([], "run_id string, dataset string, suite string, model_id string, model_config_identity string, protocol_identity string, sample_manifest_identity string, validity_status string, comparability string, finished_at timestamp")
+    decided = verdicts.import_batch(told.drop("parse_failure"), assessed, history, spark.createDataFrame([], "run_id string"))
+    assert {r.run_id: r.decision for r in decided.collect()} == {"many": "committed_new", "numeric": "committed_new", "detail": "committed_new", "wrong": "rejected_selfcheck"}

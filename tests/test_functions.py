@@ -26,9 +26,12 @@ def test_json_text_equals_canonical_json(spark):
     assert one(frame, canonical.json_text(F.col("t"))) == [compact(t) for t in texts]
 
 
-def test_render_variant_sorts_keys_at_every_level(value):
-    doc = {"b": [1, {"z": None, "a": "x\u001fy"}], "a": {"k": 2.5, "t": True}, "c": [], "d": {}}
-    assert value(canonical.render_variant(F.parse_json(F.lit(json.dumps(doc))))) == compact(doc)
+def test_canonical_variant_at_any_depth(spark):
+    doc = {"b": [1, {"z": None, "a": "x\u001fy \\u001F \\\u000b\u000b"}], "a": {"k": 2.5, "t": True}, "c": [], "d": {}, "e\u000e": "\u001a"}
+    for _ in range(30):
+        doc = {"deep": [doc, "\u001b"]}
+    frame = spark.createDataFrame([(json.dumps(doc),), (None,)], "t string")
+    assert one(frame, canonical.canonical_variant(F.try_parse_json("t"))) == [compact(doc), None]
 
 
 def test_top_category_key_is_digest_of_empty_path(value):

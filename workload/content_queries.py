@@ -8,6 +8,9 @@ from proofmill.operators import content, manifest
 from workload import bindings as b
 from workload.registry import query, table
 
+#: Positions of a chunk in the manifest queries: small, so that small data has trees of many chunks.
+FANOUT = 4
+
 _Q = """SELECT run_id, subset, sample_id,
   sha256('{"question_text":[' || string_agg(CAST(to_json(text) AS VARCHAR), ',' ORDER BY turn) || ']}') AS question_digest"""
 
@@ -105,14 +108,22 @@ prints AS (
   SELECT s.run_id, s.subset, s.subset_pos, s.pos, s.sample_id, coalesce(raw.question_digest, seen.q) AS question_digest,
          media_digest, input_digest, media_evidence
   FROM samples s JOIN seen USING (run_id, subset, sample_id) LEFT JOIN raw USING (run_id, subset, sample_id)),
+nodes AS (
+  SELECT run_id, subset, pos // {FANOUT} AS chunk, min(subset_pos) AS subset_pos, count(*) AS selected,
+    sha256('[' || string_agg('"' || question_digest || '"', ',' ORDER BY pos) || ']') AS q,
+    sha256('[' || string_agg('"' || media_digest || '"', ',' ORDER BY pos) || ']') AS m,
+    sha256('[' || string_agg('"' || input_digest || '"', ',' ORDER BY pos) || ']') AS i,
+    sha256('[' || string_agg('"' || sample_id || '"', ',' ORDER BY pos) || ']') AS ids,
+    bool_and(media_evidence) AS media_evidence
+  FROM prints GROUP BY run_id, subset, chunk),
 manifest AS (
-  SELECT run_id, subset, min(subset_pos) AS subset_pos, count(*) AS selected,
-    sha256('[' || string_agg('"' || question_digest || '"', ',' ORDER BY pos) || ']') AS question_digest,
-    sha256('[' || string_agg('"' || media_digest || '"', ',' ORDER BY pos) || ']') AS media_digest,
-    sha256('[' || string_agg('"' || input_digest || '"', ',' ORDER BY pos) || ']') AS input_digest,
-    '[' || string_agg('"' || sample_id || '"', ',' ORDER BY pos) || ']' AS ids,
+  SELECT run_id, subset, min(subset_pos) AS subset_pos, sum(selected)::BIGINT AS selected,
+    sha256('[' || string_agg('"' || q || '"', ',' ORDER BY chunk) || ']') AS question_digest,
+    sha256('[' || string_agg('"' || m || '"', ',' ORDER BY chunk) || ']') AS media_digest,
+    sha256('[' || string_agg('"' || i || '"', ',' ORDER BY chunk) || ']') AS input_digest,
+    sha256('[' || string_agg('"' || ids || '"', ',' ORDER BY chunk) || ']') AS ids,
     bool_and(media_evidence) AS media_evidence
-  FROM prints GROUP BY run_id, subset)
+  FROM nodes GROUP BY run_id, subset)
 """
 
 
@@ -129,20 +140,22 @@ _MANIFEST_COLUMNS = ["run_id", "subset", "selected", "question_digest", "media_d
     "WITH " + _FINGERPRINTS_SQL + f"SELECT {', '.join(_MANIFEST_COLUMNS)}, ids AS sample_ids FROM manifest",
 )
 def manifest_rollup(spark, sf):
-    rolled = manifest.manifest_rollup(fingerprints(spark, sf))
-    return rolled.select(*_MANIFEST_COLUMNS, F.col("sample_ids_json").alias("sample_ids"))
+    rolled = manifest.manifest_rollup(fingerprints(spark, sf), FANOUT)
+    return rolled.select(*_MANIFEST_COLUMNS, F.col("sample_ids_digest").alias("sample_ids"))
 
 
 @query(
     "manifest_identity",
     "WITH " + _FINGERPRINTS_SQL + """
-SELECT run_id, sha256('[' || string_agg('{"input_digest":"' || input_digest || '","media_digest":"' || media_digest ||
-    '","media_evidence":' || media_evidence || ',"question_digest":"' || question_digest || '","sample_ids":' || ids ||
-    ',"selected":' || selected || ',"subset":"' || subset || '"}', ',' ORDER BY subset_pos) || ']') AS sample_manifest_identity
-FROM manifest GROUP BY run_id""",
+SELECT run_id, sha256('[' || string_agg('"' || node || '"', ',' ORDER BY chunk) || ']') AS manifest_digest FROM (
+  SELECT run_id, substr(md5(subset), 1, 2) AS chunk, sha256('[' || string_agg('{"input_digest":"' || input_digest || '","media_digest":"' || media_digest ||
+    '","media_evidence":' || media_evidence || ',"question_digest":"' || question_digest || '","sample_ids":"' || ids ||
+    '","selected":' || selected || ',"subset":"' || subset || '"}', ',' ORDER BY subset_pos, subset) || ']') AS node
+  FROM manifest GROUP BY run_id, chunk)
+GROUP BY run_id""",
 )
 def manifest_identity(spark, sf):
-    return manifest.manifest_identity(manifest.manifest_rollup(fingerprints(spark, sf)))
+    return manifest.manifest_identity(manifest.manifest_rollup(fingerprints(spark, sf), FANOUT))
 
 
 # Stored details: documents play the samples, their text's hash the digests.
@@ -157,10 +170,14 @@ details AS (
 
 @query(
     "manifest_from_details",
-    "WITH " + _DETAILS + """
-SELECT run_id, subset, count(*) AS selected, sha256('[' || string_agg('"' || d || '"', ',' ORDER BY pos) || ']') AS question_digest,
-       sha256('[' || string_agg('"' || m || '"', ',' ORDER BY pos) || ']') AS media_digest, bool_and(coalesce(media_evidence, true)) AS media_evidence
-FROM details GROUP BY run_id, subset""",
+    "WITH " + _DETAILS + f"""
+SELECT run_id, subset, sum(n)::BIGINT AS selected, sha256('[' || string_agg('"' || d || '"', ',' ORDER BY chunk) || ']') AS question_digest,
+       sha256('[' || string_agg('"' || m || '"', ',' ORDER BY chunk) || ']') AS media_digest, bool_and(ok) AS media_evidence
+FROM (
+  SELECT run_id, subset, pos // {FANOUT} AS chunk, count(*) AS n, sha256('[' || string_agg('"' || d || '"', ',' ORDER BY pos) || ']') AS d,
+         sha256('[' || string_agg('"' || m || '"', ',' ORDER BY pos) || ']') AS m, bool_and(coalesce(media_evidence, true)) AS ok
+  FROM details GROUP BY run_id, subset, chunk)
+GROUP BY run_id, subset""",
 )
 def manifest_from_details(spark, sf):
     doc = F.col("doc_id")
@@ -171,7 +188,7 @@ def manifest_from_details(spark, sf):
         F.when(doc % 3 == 0, F.lit(None)).otherwise(doc % 50 != 1).alias("media_evidence"),
     )
     rows = b.dense_positions(stored, ["run_id", "subset"], "doc_id")
-    return manifest.manifest_rollup(rows).select("run_id", "subset", "selected", "question_digest", "media_digest", "media_evidence")
+    return manifest.manifest_rollup(rows, FANOUT).select("run_id", "subset", "selected", "question_digest", "media_digest", "media_evidence")
 
 
 @query(

@@ -310,12 +310,12 @@ def assess_run(spark, sf):
 all_groups AS (SELECT DISTINCT run_group FROM runs UNION ALL SELECT DISTINCT 'empty-' || model_alias FROM runs)
 SELECT g.run_group, count(r.run_id) AS results,
        count(r.run_id) > 0 AND coalesce(bool_and(n % 10 <> 9 AND coalesce(validity_status IN ('complete', 'partial'), false)), false) AS accepted
-FROM all_groups g LEFT JOIN (SELECT * FROM runs WHERE validity_status <> 'unverified' OR n % 1500 = 1) r USING (run_group) GROUP BY g.run_group""",
+FROM all_groups g LEFT JOIN runs r USING (run_group) GROUP BY g.run_group""",
 )
 def batch_acceptance(spark, sf):
     runs = b.runs(spark, sf)
     number = F.col("run_id").cast("bigint")
-    results = runs.filter((F.col("validity_status") != "unverified") | (number % 1500 == 1)).withColumn("persisted", number % 10 != 9)
+    results = runs.withColumn("persisted", number % 10 != 9)
     groups = runs.select("run_group").distinct().unionByName(
         runs.select(F.concat(F.lit("empty-"), "model_alias").alias("run_group")).distinct()
     )
@@ -385,8 +385,7 @@ def comparable_members(spark, sf):
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY protocol, samples ORDER BY dataset, model_alias, run_id) AS place FROM latest)
 SELECT protocol, samples, substr(protocol, 1, 10) AS protocol_short, substr(samples, 1, 10) AS samples_short, count(*) AS members,
-  string_agg(dataset || '=' || metric_num, ', ' ORDER BY place) FILTER (WHERE place <= 100) ||
-    CASE WHEN count(*) > 100 THEN ', and ' || (count(*) - 100) || ' more' ELSE '' END AS sample_sizes,
+  string_agg(dataset || '=' || metric_num, ', ' ORDER BY place) AS sample_sizes,
   strftime(max(finished_at), '%Y-%m-%d') AS newest
 FROM placed GROUP BY protocol, samples""",
 )
@@ -400,11 +399,10 @@ def comparable_groups(spark, sf):
 joined AS (
   SELECT r.*, m.metric_name, m.score, m.display_kind, m.unit FROM runs r LEFT JOIN metrics m ON m.run_id = r.run_id AND line = 1)
 SELECT run_id, dataset, CASE WHEN profile = 'smoke' THEN 'diagnostic' ELSE profile END AS label, validity_status, comparability,
-  replace(replace(substr(status_reason, 1, 140), '|', '\\|'), chr(10), ' ') AS reason,
+  coalesce(status_reason, '') AS reason,
   CASE WHEN metric_name IS NULL THEN 'N/A' ELSE {_score_sql()} END AS score_text, strftime(started_at, '%Y-%m-%d') AS started_at
 FROM joined
-WHERE validity_status IS DISTINCT FROM 'complete' OR comparability IS DISTINCT FROM 'verified' OR profile IS NULL OR profile = 'smoke' OR metric_name IS NULL
-ORDER BY started_at DESC, run_id DESC LIMIT 200""".replace("strftime(started_at, '%Y-%m-%d') AS started_at", "strftime(joined.started_at, '%Y-%m-%d') AS started_at").replace("ORDER BY started_at", "ORDER BY joined.started_at"),
+WHERE validity_status IS DISTINCT FROM 'complete' OR comparability IS DISTINCT FROM 'verified' OR profile IS NULL OR profile = 'smoke' OR metric_name IS NULL""",
 )
 def diagnostic_rows(spark, sf):
     return plans.diagnostic_rows(b.runs(spark, sf), b.metric_rows(spark, sf)).select(
@@ -415,7 +413,7 @@ def diagnostic_rows(spark, sf):
 @query(
     "generation_table",
     _R + """
-told AS (SELECT *, n % 11 AS calls FROM runs WHERE n % 7 <> 0 ORDER BY started_at DESC, run_id DESC LIMIT 100)
+told AS (SELECT *, n % 11 AS calls FROM runs WHERE n % 7 <> 0)
 SELECT run_id, dataset, calls AS generation_calls, calls // 2 AS truncated_calls, CASE WHEN n % 2 = 0 THEN CAST(n % 5 AS VARCHAR) ELSE 'unknown' END AS agent_steps_max,
        (n * 3) || '/' || (n * 2) AS tokens
 FROM told WHERE n % 13 <> 0 AND calls > 0""",
