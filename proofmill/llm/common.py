@@ -64,12 +64,13 @@ def connected_components(links: DataFrame, label: str) -> DataFrame:
     )
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Written, so that the join below has a shuffle of its own on either side and a hot node's partition can be split.
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{label}-low")
         # Large star: for u, every neighbour v > u is linked to the smallest of u's neighbourhood.
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = stored(large, f"{label}-large")
         # Small star: for u, every neighbour v < u and u itself are linked to the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-least")
         small = (
             large.join(least, "u")
             .where("v <> m")
