@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from proofmill.functions.canonical import json_text
 from proofmill.operators.evidence import TOKENS, generation_calls
 
 SUBSET = ["run_id", "subset"]
@@ -69,6 +70,15 @@ def stop_reason_histogram(evidence: DataFrame) -> DataFrame:
     return generation_calls(evidence).groupBy(*SUBSET, "stop_reason").agg(F.count(F.lit(1)).alias("calls"))
 
 
+def stop_reason_counts(evidence: DataFrame) -> DataFrame:
+    """(run_id, stop_reason_counts): calls per stop reason of each run as a JSON object, reasons in order."""
+    per_run = stop_reason_histogram(evidence).groupBy("run_id", "stop_reason").agg(F.sum("calls").alias("calls"))
+    entries = F.sort_array(F.collect_list(F.struct("stop_reason", "calls")))
+    listed = per_run.groupBy("run_id").agg(entries.alias("entries"))
+    text = F.transform("entries", lambda e: F.concat(json_text(e["stop_reason"]), F.lit(":"), e["calls"].cast("string")))
+    return listed.select("run_id", F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}")).alias("stop_reason_counts"))
+
+
 def usage_totals(evidence: DataFrame) -> DataFrame:
     """Token sums per (run, subset) over prediction lines, with and without usage."""
     lines = evidence.filter((F.col("kind") == "predicted") & F.col("problem").isNull())
@@ -109,12 +119,17 @@ def agent_step_stats(evidence: DataFrame) -> DataFrame:
     return stats.withColumn("mean_steps", mean_to_cents(F.col("total_steps"), F.col("samples")))
 
 
-def diagnostics_json(diagnostics: DataFrame) -> DataFrame:
-    """(run_id, diagnostics_json) in the form the run history keeps."""
+def diagnostics_json(diagnostics: DataFrame, reasons: DataFrame | None = None) -> DataFrame:
+    """(run_id, diagnostics_json) in the form the run history keeps; ``reasons`` are the stop-reason counts by run."""
+    if reasons is None:
+        diagnostics = diagnostics.withColumn("stop_reason_counts", F.lit(None).cast("string"))
+    else:
+        diagnostics = diagnostics.join(reasons, "run_id", "left")
     return diagnostics.select(
         "run_id",
         F.to_json(
             F.struct(
+                F.from_json("stop_reason_counts", "map<string,bigint>").alias("stop_reason_counts"),
                 "generation_calls", "truncated_calls", "content_filter_calls", "unknown_stop_reason_calls",
                 "samples_without_stop_reason", "samples_without_usage", "malformed_lines",
                 F.struct(*[F.col(t).cast("double").alias(t) for t in TOKEN_SUMS]).alias("usage_totals"),

@@ -113,14 +113,15 @@ def generation_calls(evidence: DataFrame) -> DataFrame:
     )
 
 
-def malformed_lines(evidence: DataFrame) -> DataFrame:
-    """Every unusable line, whole: the quarantine table."""
-    return evidence.filter(F.col("problem").isNotNull()).select("run_id", "kind", "subset", "source", "problem")
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    """Every unusable line, whole: the quarantine table with file, place, problem and the line's text."""
+    place = F.col("block_start") if "block_start" in lines.columns else F.lit(None).cast("bigint").alias("block_start")
+    return evidence_key(lines).filter(F.col("problem").isNotNull()).select("run_id", "kind", "subset", "source", place, "problem", "line")
 
 
-def malformed_summary(malformed: DataFrame) -> DataFrame:
-    """Unusable lines per run, counted by problem."""
-    return malformed.groupBy("run_id").agg(
+def malformed_summary(evidence: DataFrame) -> DataFrame:
+    """Unusable lines per run, counted by problem; from the fact table or the quarantine table."""
+    return evidence.filter(F.col("problem").isNotNull()).groupBy("run_id").agg(
         F.count(F.lit(1)).alias("malformed_lines"),
         F.count_if(F.col("problem") == "no sample id").alias("without_sample_id"),
         F.count_if(F.col("problem") != "no sample id").alias("unparsable"),

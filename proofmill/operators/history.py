@@ -142,7 +142,3 @@ def migrate_samples_v1(old: DataFrame, existing: DataFrame) -> DataFrame:
 
 def get_attempt(runs: DataFrame, run_id: str) -> DataFrame:
     return runs.filter(F.col("run_id") == run_id)
-
-
-def manifest_of(manifest: DataFrame, run_id: str) -> DataFrame:
-    return manifest.filter(F.col("run_id") == run_id).orderBy("subset")

@@ -71,10 +71,3 @@ def redact_by_key(df: DataFrame, column: str) -> DataFrame:
     as_text = let(redact_text(F.col(column)), json_text)
     plain = F.to_json(F.try_parse_json(column))
     return df.withColumn(column, F.coalesce(_mask_documents(plain), as_text))
-
-
-def redact_map(column: Column) -> Column:
-    """The same rule for a flat ``map<string,string>`` column."""
-    return F.transform_values(
-        column, lambda key, value: F.when(is_secret_key(key), F.lit("***")).otherwise(redact_text(value))
-    )

@@ -10,8 +10,9 @@ from proofmill.operators import coverage, diagnostics, imports, metrics, validit
 from proofmill.session import stored
 
 
-def coverage_verdicts(runs: DataFrame, samples: DataFrame, manifest_rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Comparability per run from selected samples and the evidence fact table.
+def coverage_tables(runs: DataFrame, samples: DataFrame, manifest_rows: DataFrame, facts: DataFrame) -> dict[str, DataFrame]:
+    """Comparability per run (``verdicts``) and what it rests on: ``coverage`` per subset, every missing and unexpected key
+    (``gaps``), every unexpected subset, all reasons.
 
     The facts are read once: everything else comes from their counts per key,
     which are stored because three branches need them.
@@ -20,13 +21,18 @@ def coverage_verdicts(runs: DataFrame, samples: DataFrame, manifest_rows: DataFr
     per_sample = stored(coverage.sample_counts(samples, counts), "sample-counts")
     merged = coverage.coverage_merge(manifest_rows, coverage.subset_coverage(per_sample))
     malformed = counts.groupBy("run_id").agg(F.sum("n_malformed").alias("malformed_lines"))
-    reasons = validity.comparability_reasons(
-        merged,
-        coverage.gap_heads(coverage.coverage_gaps(per_sample, counts)),
-        coverage.unexpected_subsets(manifest_rows, counts),
-        malformed,
-    )
-    return validity.assess_comparability(runs, merged, reasons)
+    gaps = coverage.coverage_gaps(per_sample, counts)
+    unexpected = coverage.unexpected_subsets(manifest_rows, counts)
+    reasons = validity.comparability_reasons(merged, coverage.gap_heads(gaps), unexpected, malformed)
+    return {
+        "verdicts": validity.assess_comparability(runs, merged, reasons), "coverage": merged, "gaps": gaps,
+        "unexpected_subsets": unexpected, "reasons": reasons,
+    }
+
+
+def coverage_verdicts(runs: DataFrame, samples: DataFrame, manifest_rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Comparability per run from selected samples and the evidence fact table."""
+    return coverage_tables(runs, samples, manifest_rows, facts)["verdicts"]
 
 
 def outcomes(
@@ -58,7 +64,7 @@ def outcomes(
     )
     valid = validity.assess_run(checked, metric_rows, manifest_rows)
     comparable = coverage_verdicts(runs, samples, manifest_rows, facts)
-    told = diagnostics.diagnostics_json(diagnostics.run_diagnostics(diagnostics.subset_evidence(facts)))
+    told = diagnostics.diagnostics_json(diagnostics.run_diagnostics(diagnostics.subset_evidence(facts)), diagnostics.stop_reason_counts(facts))
     return (
         valid.join(comparable, "run_id").join(told, "run_id", "left")
         .withColumn(

@@ -1,16 +1,28 @@
-"""Versioned table folders: write a new version beside the old, then switch a pointer.
+"""Versioned table folders: write a new version beside the old, then add its number.
 
-A reader follows the pointer, so it sees either the old tables or the new ones.
-A job that dies half-way leaves an unpublished folder and nothing else.
+A version is a JSON file ``_versions/<number>`` that names the folders of every table, one per bucket of the key or one
+for the whole table. The file is created only if no other has that number, so of two writers that started from the same
+version one fails instead of undoing the other's work; no rename is needed, which object stores lack. A reader sees
+either the old tables or the new ones. A job that dies half-way leaves folders that no version names.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
+VERSIONS = "_versions"
+BUCKETS = 64
+BUCKET = "key_bucket"
+
+
+class StaleVersionError(RuntimeError):
+    """Another writer has published since the version this one started from."""
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -22,17 +34,33 @@ def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    fs = _file_system(spark, root)
-    if not fs.exists(_path(spark, f"{root}/{POINTER}")):
+def current_number(spark: SparkSession, root: str) -> int:
+    """The number of the newest version; 0 where nothing is published."""
+    fs, folder = _file_system(spark, root), _path(spark, f"{root}/{VERSIONS}")
+    if not fs.exists(folder):
+        return 0
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return max((int(n) for n in names if re.fullmatch(r"\d+", n)), default=0)
+
+
+def _listing(spark: SparkSession, root: str, number: int | None = None) -> dict | None:
+    number = current_number(spark, root) if number is None else number
+    if not number:
         return None
-    stream = fs.open(_path(spark, f"{root}/{POINTER}"))
+    fs = _file_system(spark, root)
+    stream = fs.open(_path(spark, f"{root}/{VERSIONS}/{number:012d}"))
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
 
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The folder of the newest version."""
+    listing = _listing(spark, root)
+    return None if listing is None else listing["version"]
+
+
 def stage(spark: SparkSession, root: str, tables: dict[str, DataFrame], options: dict | None = None) -> str:
     """Write tables into a new version folder without showing it to readers."""
     version = f"v-{uuid.uuid4().hex}"
@@ -41,36 +69,81 @@ def stage(spark: SparkSession, root: str, tables: dict[str, DataFrame], options:
     return version
 
 
-def activate(spark: SparkSession, root: str, version: str) -> None:
-    """Make a staged version the current one: write the pointer aside, rename it into place."""
-    fs = _file_system(spark, root)
-    staged = _path(spark, f"{root}/.{POINTER}.{uuid.uuid4().hex}")
-    stream = fs.create(staged, True)
-    stream.write(bytearray(version.encode()))
+def activate(spark: SparkSession, root: str, version: str, after: int | None = None, tables: dict | None = None) -> int:
+    """Publish a staged version as the one after number ``after`` (the current one if not given); fails if that is taken.
+
+    ``tables`` names the folders of each table: one, or a dict by bucket; tables not named are whole in the version's folder.
+    """
+    number = (current_number(spark, root) if after is None else after) + 1
+    fs, target = _file_system(spark, root), _path(spark, f"{root}/{VERSIONS}/{number:012d}")
+    try:
+        stream = fs.create(target, False)
+    except Exception as taken:
+        if fs.exists(target):
+            raise StaleVersionError(f"version {number} of {root} exists") from taken
+        raise
+    stream.write(bytearray(json.dumps({"version": version, "tables": tables or {}}).encode()))
     stream.close()
-    jvm_fs = spark._jvm.org.apache.hadoop.fs
-    context = jvm_fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    rename = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context.rename(fs.makeQualified(staged), fs.makeQualified(_path(spark, f"{root}/{POINTER}")), options)
+    return number
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], cluster_by: str | None = None) -> str:
-    """Stage every table and make the version current.
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], cluster_by: str | None = None, after: int | None = None) -> str:
+    """Stage every table whole and make the version current.
 
-    ``cluster_by`` gathers equal keys into the same files, sorted; Spark splits a
-    key that is too large for one task.
+    ``cluster_by`` gathers equal keys into the same files, sorted; Spark splits a key that is too large for one task.
+    ``after`` is the number of the version that ``tables`` were worked out from.
     """
+    after = current_number(spark, root) if after is None else after
     if cluster_by is not None:
         tables = {n: t.hint("rebalance", cluster_by).sortWithinPartitions(cluster_by) for n, t in tables.items()}
     version = stage(spark, root, tables)
-    activate(spark, root, version)
+    activate(spark, root, version, after)
     return version
 
 
+def bucket_of(key: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
+def merge(
+    spark: SparkSession, root: str, changes: dict[str, DataFrame], key: str, how: dict[str, Callable[[DataFrame, DataFrame], DataFrame]],
+    buckets: int = BUCKETS, after: int | None = None,
+) -> int:
+    """Publish tables of which only the key buckets that ``changes`` touch are read and written again.
+
+    ``how[name](old, new)`` gives a table's rows from the stored rows of the touched buckets and the changes. All tables share
+    the key's buckets; a table that is not there yet starts empty. Untouched buckets keep their folders. The touched bucket
+    numbers (at most ``buckets``) are all that reaches the driver.
+    """
+    after = current_number(spark, root) if after is None else after
+    before = (_listing(spark, root, after) or {"tables": {}})["tables"]
+    numbers = None
+    for frame in changes.values():
+        own = frame.select(bucket_of(F.col(key), buckets).alias("b")).distinct()
+        numbers = own if numbers is None else numbers.unionByName(own)
+    touched = sorted({str(r["b"]) for r in numbers.distinct().collect()}, key=int)
+    version, tables = f"v-{uuid.uuid4().hex}", dict(before)
+    for name, new in changes.items():
+        held = before.get(name, {})
+        paths = [f"{root}/{held[b]}" for b in touched if b in held]
+        old = spark.read.parquet(*paths) if paths else spark.createDataFrame([], new.schema)
+        merged = how[name](old, new).withColumn(BUCKET, bucket_of(F.col(key), buckets))
+        folder = f"{version}/{name}"
+        merged.hint("rebalance", BUCKET, key).sortWithinPartitions(BUCKET, key).write.partitionBy(BUCKET).parquet(f"{root}/{folder}")
+        fs = _file_system(spark, root)
+        written = {
+            m[1] for s in fs.listStatus(_path(spark, f"{root}/{folder}")) if (m := re.fullmatch(rf"{BUCKET}=(\d+)", s.getPath().getName()))
+        }
+        kept = {b: f for b, f in held.items() if b not in touched}
+        tables[name] = kept | {b: f"{folder}/{BUCKET}={b}" for b in written}
+    return activate(spark, root, version, after, tables)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = current_version(spark, root)
-    if version is None:
+    listing = _listing(spark, root)
+    if listing is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.parquet(f"{root}/{version}/{name}")
+    folders = listing["tables"].get(name)
+    if folders is None:
+        return spark.read.parquet(f"{root}/{listing['version']}/{name}")
+    return spark.read.parquet(*[f"{root}/{f}" for _, f in sorted(folders.items(), key=lambda x: int(x[0]))])

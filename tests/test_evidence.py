@@ -85,9 +85,12 @@ def test_keys(spark):
 def test_lines_that_are_no_objects_are_quarantined(spark):
     bad = ["{broken", "5", "[1]", '"text"', '{"index": 1} tail', "null"]
     table = facts(spark, [line(0), *bad])
-    assert evidence.malformed_summary(evidence.malformed_lines(table)).first().asDict() == {
+    assert evidence.malformed_summary(table).first().asDict() == {
         "run_id": "r", "malformed_lines": len(bad), "without_sample_id": 0, "unparsable": len(bad)
     }
+    lines = spark.createDataFrame([("r", "predicted", "s", "p", x) for x in bad], LINES)
+    kept = evidence.malformed_lines(lines).collect()
+    assert sorted(r.line for r in kept) == sorted(bad) and {r.problem for r in kept} == {"not a JSON object"}
 
 
 def test_coverage_counts(verdicts):

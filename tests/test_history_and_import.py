@@ -71,6 +71,34 @@ def test_readers_see_only_published_versions(spark, tmp_path):
     assert tables.read_table(spark, root, "runs").first().v == 2
 
 
+def test_a_stale_writer_fails_instead_of_undoing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    first = spark.createDataFrame([("a", 1)], "run_id string, v int")
+    tables.publish(spark, root, {"runs": first})
+    read = tables.current_number(spark, root)
+    tables.publish(spark, root, {"runs": first.withColumn("v", F.lit(2))}, after=read)
+    with pytest.raises(tables.StaleVersionError):
+        tables.publish(spark, root, {"runs": first.withColumn("v", F.lit(3))}, after=read)
+    assert tables.read_table(spark, root, "runs").first().v == 2
+
+
+def test_only_touched_buckets_are_written_again(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = spark.createDataFrame([(f"r{i}", i) for i in range(40)], "run_id string, v int")
+    how = {"runs": lambda old, new: old.join(new.select("run_id"), "run_id", "left_anti").unionByName(new, allowMissingColumns=True).select("run_id", "v")}
+    number = tables.merge(spark, root, {"runs": rows}, "run_id", how, buckets=8)
+    before = tables._listing(spark, root)["tables"]["runs"]
+    change = spark.createDataFrame([("r1", 100), ("new", 7)], "run_id string, v int")
+    tables.merge(spark, root, {"runs": change}, "run_id", how, buckets=8, after=number)
+    after = tables._listing(spark, root)["tables"]["runs"]
+    touched = {str(r.b) for r in change.select(tables.bucket_of(F.col("run_id"), 8).alias("b")).collect()}
+    assert {b for b in after if before.get(b) != after[b]} == touched
+    want = {f"r{i}": i for i in range(40)} | {"r1": 100, "new": 7}
+    assert {r.run_id: r.v for r in tables.read_table(spark, root, "runs").collect()} == want
+    with pytest.raises(tables.StaleVersionError):
+        tables.merge(spark, root, {"runs": change}, "run_id", how, buckets=8, after=number)
+
+
 ARTIFACT = "run_id string, dataset string, suite string, model_id string, report_id string, model_config_identity string, protocol_identity string, declared_identity string, computed_identity string, parse_failure string, validity_status string, status_reason string, comparability string, created_at timestamp"
 
 

@@ -9,7 +9,7 @@ from proofmill.operators import images, pinned, planning, redact, text_distance
 from proofmill.session import work_path
 from workload import bindings as b
 from workload.evidence_queries import facts
-from workload.registry import query, spread, table
+from workload.registry import query, table
 
 # --- plan -----------------------------------------------------------------------
 
@@ -108,7 +108,7 @@ def protocol_identity(spark, sf):
         '{"model":"m', F.col("user_id"), '","seed":42,"limit":', k, ',"dataset_args":{"d":{"local_path":"/p/', F.col("event_id"),
         '","shots":', k, '}},"generation_config":{"temperature":0.5,"stop":["a","', F.col("event_type"), '"]},"api_key":"x"}',
     )
-    return spread(table(spark, sf, "events")).select("event_id", identity.protocol_identity(config).alias("protocol_identity"))
+    return table(spark, sf, "events").select("event_id", identity.protocol_identity(config).alias("protocol_identity"))
 
 
 # --- pinned data ----------------------------------------------------------------
@@ -170,7 +170,7 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '{_URL}', '\\1
 FROM t""",
 )
 def redact_text(spark, sf):
-    texts = spread(table(spark, sf, "documents")).select("doc_id", _secret_text().alias("text"))
+    texts = table(spark, sf, "documents").select("doc_id", _secret_text().alias("text"))
     masked = redact.redact_column(texts, "text")
     return masked.withColumns({c: F.col(c).cast("bigint") for c in ("url_hits", "key_hits", "token_hits")})
 
@@ -206,7 +206,7 @@ def redact_by_key(spark, sf):
         ', "note":"use sk-abcdefgh', F.col("event_id"), ' now", "nested":{"list":[{"x":null,"password":{"deep":1}},"https://u:p@h/', F.col("event_id"),
         '",1.5,true],"input_tokens":', F.col("user_id"), ',"My-Token":[1,2]}}',
     )
-    return redact.redact_by_key(spread(table(spark, sf, "events")).select("event_id", config.alias("config_json")), "config_json")
+    return redact.redact_by_key(table(spark, sf, "events").select("event_id", config.alias("config_json")), "config_json")
 
 
 # --- image ownership --------------------------------------------------------------
@@ -279,17 +279,28 @@ def ownership_classify(spark, sf):
 # --- edit distance ----------------------------------------------------------------
 
 
+# SQL's distance counts bytes. Each letter beyond ASCII in the tables stands for one control character there, one to one, so
+# distances are those of the texts; any other letter would make the two sides differ and be noticed.
+_LETTERS = "ÄÖÜäöüßÇÈÉÊçèéêÍÑÓíñó"
+_CODES = [c for c in range(1, 32) if c not in (9, 10, 13)]
+
+
+def _recoded(text: str) -> str:
+    return f"translate({text}, '{_LETTERS}', " + " || ".join(f"chr({c})" for c in _CODES[: len(_LETTERS)]) + ")"
+
+
 @query(
     "edit_distance_scores",
-    """
-WITH d AS (SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS text, doc_id % (SELECT count(*) FROM benchmark) AS item_id FROM documents),
-r AS (SELECT item_id, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS text FROM benchmark)
+    f"""
+WITH d AS (SELECT doc_id, {_recoded("text")} AS text, doc_id % (SELECT count(*) FROM benchmark) AS item_id FROM documents),
+r AS (SELECT item_id, {_recoded("text")} AS text FROM benchmark)
 SELECT doc_id, levenshtein(d.text, r.text) AS distance, greatest(length(d.text), length(r.text)) AS longest FROM d JOIN r USING (item_id)""",
 )
 def edit_distance_scores(spark, sf):
     references = table(spark, sf, "benchmark")
-    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "")
-    items = references.count()
-    predictions = spread(table(spark, sf, "documents")).select("doc_id", (F.col("doc_id") % items).alias("item_id"), plain.alias("prediction"))
-    scored = text_distance.edit_distance_scores(predictions, references.select("item_id", plain.alias("reference")), "item_id")
+    items = references.agg(F.count(F.lit(1)).alias("items"))
+    placed = table(spark, sf, "documents").select("doc_id", F.col("text").alias("prediction")).withColumn(
+        "item_id", F.col("doc_id") % items.scalar()
+    )
+    scored = text_distance.edit_distance_scores(placed, references.select("item_id", F.col("text").alias("reference")), "item_id")
     return scored.select("doc_id", F.col("distance").cast("bigint").alias("distance"), F.col("longest").cast("bigint").alias("longest"))

@@ -151,6 +151,27 @@ def agent_step_stats(spark, sf):
     return diagnostics.agent_step_stats(facts(spark, sf))
 
 
+@query(
+    "stop_reason_counts",
+    W + """
+SELECT run_id, '{' || string_agg('"' || reason || '":' || n, ',' ORDER BY reason) || '}' AS stop_reason_counts
+FROM (
+  SELECT run_id, reason, count(*) AS n FROM (SELECT run_id, unnest(CASE WHEN r2 IS NULL THEN [r1] ELSE [r1, r2] END) AS reason FROM predicted) GROUP BY ALL)
+GROUP BY run_id""",
+)
+def stop_reason_counts(spark, sf):
+    return diagnostics.stop_reason_counts(facts(spark, sf))
+
+
+@query(
+    "malformed_lines",
+    W + "SELECT run_id, kind, subset, source, problem, count(*) AS lines FROM facts WHERE problem IS NOT NULL GROUP BY ALL",
+)
+def malformed_lines(spark, sf):
+    told = evidence.malformed_lines(b.event_lines(spark, sf)).filter(F.col("line").isNotNull())
+    return told.groupBy("run_id", "kind", "subset", "source", "problem").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query(
     "malformed_summary",
     W + """
@@ -159,7 +180,7 @@ SELECT run_id, count(*) AS malformed_lines, count(*) FILTER (WHERE problem = 'no
 FROM facts WHERE problem IS NOT NULL GROUP BY run_id""",
 )
 def malformed_summary(spark, sf):
-    return evidence.malformed_summary(evidence.malformed_lines(facts(spark, sf)))
+    return evidence.malformed_summary(facts(spark, sf))
 
 
 _PREDICTED = """

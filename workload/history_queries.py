@@ -275,18 +275,15 @@ SELECT run_id, metric_name, score FROM metrics WHERE CAST(run_id AS BIGINT) % 3
 UNION ALL SELECT run_id, 'replaced', 0.5 FROM runs WHERE n % 3 = 0""",
 )
 def sink_tables(spark, sf):
-    """Publish runs and metrics, replace some runs' metrics in a second version, read the current one."""
+    """Publish runs and metrics by key bucket, import a second batch into the touched buckets, read the current version."""
     root = work_path(spark, "history")
     runs = b.runs(spark, sf).select("run_id", "dataset", "validity_status", "status_reason")
-    store.publish(spark, root, {"runs": runs, "metrics": b.metric_rows(spark, sf)}, cluster_by="run_id")
-    stored_run, stored_metrics = store.read_table(spark, root, "runs"), store.read_table(spark, root, "metrics")
-    changed = stored_run.filter(F.col("run_id").cast("bigint") % 3 == 0).withColumn("status_reason", F.lit("imported"))
+    added = {"runs": lambda old, new: new, "metrics": lambda old, new: new}
+    first = store.merge(spark, root, {"runs": runs, "metrics": b.metric_rows(spark, sf)}, "run_id", added)
+    changed = store.read_table(spark, root, "runs").filter(F.col("run_id").cast("bigint") % 3 == 0).withColumn("status_reason", F.lit("imported"))
     new = changed.select("run_id", F.lit("replaced").alias("metric_name"), F.lit(0.5).alias("score"))
-    store.publish(
-        spark, root,
-        {"runs": history.upsert_outcome(stored_run, changed), "metrics": history.replace_children(stored_metrics, new, changed)},
-        cluster_by="run_id",
-    )
+    how = {"runs": history.upsert_outcome, "metrics": lambda old, rows: history.replace_children(old, rows, changed)}
+    store.merge(spark, root, {"runs": changed, "metrics": new}, "run_id", how, after=first)
     return store.read_table(spark, root, "metrics").select("run_id", "metric_name", "score")
 
 

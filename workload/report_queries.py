@@ -11,7 +11,7 @@ from proofmill.plans import report as plans
 from proofmill.session import work_path
 from proofmill.sources import reports as report_source
 from workload import bindings as b
-from workload.registry import query, spread, table
+from workload.registry import query, table
 
 # --- reports: one nested document per lineitem row -------------------------------
 
@@ -74,7 +74,7 @@ def report_documents(spark, sf):
         F.lit("}"),
     )
     run = b.text_of(F.col("l_orderkey"), "-", n, "-", F.col("l_partkey"), "-", F.col("l_suppkey"))
-    return spread(table(spark, sf, "lineitem")).select(
+    return table(spark, sf, "lineitem").select(
         run.alias("run_id"), document.alias("document"), "l_orderkey", "l_linenumber", "l_returnflag", "l_suppkey"
     )
 
@@ -304,6 +304,18 @@ def assess_run(spark, sf):
     return verdicts.select("run_id", "execution_status", "validity_status", "status_reason")
 
 
+@query(
+    "compose_reason",
+    "WITH " + b.RUNS_SQL + """
+SELECT run_id, CASE WHEN validity_status = 'complete' AND comparability <> 'verified'
+  THEN coalesce(status_reason, '') || CASE WHEN coalesce(status_reason, '') <> '' THEN '; ' ELSE '' END || 'comparability: ' || profile
+  ELSE coalesce(status_reason, '') END AS told FROM runs""",
+)
+def compose_reason(spark, sf):
+    told = validity.compose_reason(F.col("validity_status"), F.col("status_reason"), F.col("comparability"), F.col("profile"))
+    return b.runs(spark, sf).select("run_id", told.alias("told"))
+
+
 @query(
     "batch_acceptance",
     "WITH " + b.RUNS_SQL + """,
