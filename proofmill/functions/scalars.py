@@ -35,6 +35,17 @@ def score_problem(raw: Column) -> Column:
     )
 
 
+def count_value(raw: Column) -> Column:
+    """Whole number of a count read as text, also where it is written as a float; NULL when missing or no whole number."""
+    number = score_value(raw)
+    return F.when(number == F.floor(number), F.coalesce(raw.try_cast("bigint"), number.try_cast("bigint")))
+
+
+def count_problem(raw: Column) -> Column:
+    """Why a non-NULL count is refused."""
+    return F.when(raw.isNotNull() & count_value(raw).isNull(), F.lit("count is not a whole number"))
+
+
 def whole_number(value: Column) -> Column:
     """Integer held by a VARIANT: integers and integral floats only; text and booleans are NULL."""
     kind = F.schema_of_variant(value)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from proofmill.functions.canonical import canonical_variant, json_strings
 from proofmill.functions.identity import TOP_CATEGORY_KEY, category_key, metric_key
-from proofmill.functions.scalars import score_problem, score_value
+from proofmill.functions.scalars import count_problem, count_value, score_problem, score_value
 
 
 def dimensions_json(text: Column) -> Column:
@@ -65,7 +65,7 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
 
     ``reports``: run_id, metrics and primary_metric_identity (``schemas.REPORT``).
     Identities are worked out once per metric, then one explode walks its levels.
-    Scores stay text with ``score_problem`` naming a bad one; ``pos`` (metric, category, subset) is the order
+    ``score_problem`` names a bad score, a count that is no whole number, or a member that is no metric; ``pos`` (metric, category, subset) is the order
     of the rows within the report.
     """
     primary = F.col("primary_metric_identity")
@@ -89,11 +89,12 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
         F.col("m.semantics.display_kind").alias("display_kind"),
         F.col("m.semantics.direction").alias("direction"),
         F.coalesce(given(F.col("m.semantics.display_unit")), F.col("m.semantics.raw_unit")).alias("unit"),
+        F.when(F.col("m").isNull() | F.col("m.damaged").isNotNull(), F.lit("metric does not have the shape of one")).alias("shape_problem"),
     )
 
     def row(num, score, macro, where, category, subset, order):
         fields = {
-            "num": num, "score_text": score, "macro_text": macro, "place": where, "category": category, "subset": subset, "pos": order,
+            "num_text": num, "score_text": score, "macro_text": macro, "place": where, "category": category, "subset": subset, "pos": order,
         }
         return F.named_struct(*[part for name, value in fields.items() for part in (F.lit(name), value)])
 
@@ -127,12 +128,14 @@ def metric_flatten(reports: DataFrame) -> DataFrame:
         F.col("metric_key").eqNullSafe(F.col("primary_key")).alias("is_primary"),
         F.when(F.size("category") == 0, F.lit(TOP_CATEGORY_KEY)).otherwise(category_key(F.col("category"))).alias("category_key"),
         json_strings(F.col("category")).alias("category_json"),
-        "subset", "num", "pos", "place",
+        "subset", count_value(F.col("num_text")).alias("num"), "pos", "place",
         score_value(F.col("score_text")).alias("score"),
         score_value(F.col("macro_text")).alias("macro_score"),
         F.coalesce(
             F.concat("place", F.lit(".score: "), score_problem(F.col("score_text"))),
             F.concat("place", F.lit(".macro_score: "), score_problem(F.col("macro_text"))),
+            F.concat("place", F.lit(".num: "), count_problem(F.col("num_text"))),
+            F.concat("place", F.lit(": "), F.col("shape_problem")),
         ).alias("score_problem"),
     )
 

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-# Score report. Scores are read as text so that NULL, 0, text and non-finite
-# values stay apart; the execution summary keeps its JSON text.
+# Score report. Its metrics are read member by member (``METRIC``), so one misshapen member costs no other; the
+# execution summary keeps its JSON text.
 REPORT = """
   schema_version bigint, name string, dataset_name string, dataset_pretty_name string, model_name string,
-  metrics array<struct<
-    identity:struct<name:string,aggregation:string,dimensions:string>,
-    legacy_name:string, num:bigint, score:string, macro_score:string,
-    categories:array<struct<name:array<string>, num:bigint, score:string, macro_score:string,
-      subsets:array<struct<name:string, score:string, num:bigint, is_aggregate:boolean>>>>,
-    semantics:struct<kind:string, direction:string, raw_unit:string, display_kind:string, display_unit:string>>>,
+  metrics array<string>,
   primary_metric_identity struct<name:string,aggregation:string,dimensions:string>,
   execution_summary string, perf_metrics string
 """
 
+# One metric of a report. Scores and counts are read as text so that NULL, 0, text and non-finite values stay apart;
+# ``damaged`` holds the text of a member that does not have this shape.
+METRIC = """struct<
+  identity:struct<name:string,aggregation:string,dimensions:string>,
+  legacy_name:string, num:string, score:string, macro_score:string,
+  categories:array<struct<name:array<string>, num:string, score:string, macro_score:string,
+    subsets:array<struct<name:string, score:string, num:string, is_aggregate:boolean>>>>,
+  semantics:struct<kind:string, direction:string, raw_unit:string, display_kind:string, display_unit:string>,
+  damaged:string>
+"""
+
 # Prediction and review lines. Ids and usage members are variants: a member that
 # is null must stay apart from one that is missing, a number from a text.
 EVIDENCE_LINE = """struct<

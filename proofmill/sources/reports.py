@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.schemas import REPORT
+from proofmill.schemas import METRIC, REPORT
 
 
 def read_report_text(spark: SparkSession, root: str) -> DataFrame:
@@ -47,9 +47,11 @@ def parse_reports(documents: DataFrame) -> DataFrame:
 
 
 def report_columns(documents: DataFrame) -> DataFrame:
-    """Replace ``document`` by the report's members. ``inline`` makes Spark parse each text once."""
+    """Replace ``document`` by the report's members, its metrics typed one by one. ``inline`` makes Spark parse each text once."""
     kept = [c for c in documents.columns if c != "document"]
-    return documents.select(*kept, F.inline(F.array(F.from_json("document", REPORT))))
+    options = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "damaged"}
+    member = lambda text: F.from_json(text, METRIC.strip(), options)
+    return documents.select(*kept, F.inline(F.array(F.from_json("document", REPORT)))).withColumn("metrics", F.transform("metrics", member))
 
 
 def scan_reports(spark: SparkSession, root: str) -> DataFrame:

@@ -32,7 +32,7 @@ def test_scan_keeps_broken_and_foreign_documents_apart(spark, tmp_path):
     rows = {r.path.rsplit("/", 1)[1][:-5]: r for r in source.scan_reports(spark, str(tmp_path / "reports")).collect()}
     assert {n for n, r in rows.items() if r.is_report} == {"good", "nan"}
     assert {n for n, r in rows.items() if r.parse_error} == {"broken", "tail"}
-    assert rows["good"].dataset_name == "set" and rows["nan"].metrics[0].score == '"NaN"'
+    assert rows["good"].dataset_name == "set" and rows["nan"].metrics[0].score == "NaN"
 
 
 def test_ownership(spark):
@@ -161,3 +161,17 @@ def test_batch_needs_results_and_only_accepted_ones(spark):
     groups = spark.createDataFrame([(g,) for g in ("good", "part", "lost", "bad", "empty")], "run_group string")
     accepted = lambda partial: {r.run_group for r in validity.batch_acceptance(groups, results, partial).collect() if r.accepted}
     assert accepted(False) == {"good"} and accepted(True) == {"good", "part"}
+
+
+def test_counts_and_misshapen_metrics_are_named_not_lost(spark):
+    good = {"identity": {"name": "acc"}, "num": 5, "score": 1}
+    members = [good, good | {"num": 5.0}, good | {"num": "5"}, good | {"num": 5.5}, good | {"num": True}, 7, None, good | {"categories": {"no": "list"}}, good | {"num": None}]
+    document = json.dumps({"dataset_name": "d", "model_name": "m", "metrics": members})
+    rows = source.parse_reports(spark.createDataFrame([("r", "p", document)], "run_id string, path string, document string"))
+    assert rows.first().is_report and len(rows.first().metrics) == len(members)
+    got = {r.pos.metric: (r.num, r.score_problem) for r in metrics.metric_flatten(rows).collect()}
+    whole, shape = "count is not a whole number", "metric does not have the shape of one"
+    assert got == {
+        0: (5, None), 1: (5, None), 2: (5, None), 3: (None, f"metrics[3].num: {whole}"), 4: (None, f"metrics[4].num: {whole}"),
+        5: (None, f"metrics[5]: {shape}"), 6: (None, f"metrics[6]: {shape}"), 7: (5, f"metrics[7]: {shape}"), 8: (None, None),
+    }

@@ -55,12 +55,12 @@ def report_documents(spark, sf):
     )
     first = F.struct(
         member("identity", F.struct(member("name", name), member("aggregation", F.lit("mean")), member("dimensions", F.struct(n.alias("k"))))),
-        member("legacy_name", none), member("num", q), member("score", F.col("l_discount").cast("string")),
+        member("legacy_name", none), member("num", q.cast("string")), member("score", F.col("l_discount").cast("string")),
         member("macro_score", F.col("l_discount").cast("string")), member("categories", F.array(category)),
         member("semantics", F.struct(member("kind", F.lit("quality")), member("display_unit", F.lit("%")), member("raw_unit", F.lit("raw")))),
     )
     second = F.struct(
-        member("legacy_name", b.text_of("old", n)), member("num", F.lit(7).cast("bigint")),
+        member("legacy_name", b.text_of("old", n)), member("num", F.lit(7.0)),
         member("semantics", F.struct(member("raw_unit", F.lit("raw")))),
     )
     primary = F.when(
