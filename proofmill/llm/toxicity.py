@@ -18,11 +18,10 @@ toxic class. An empty table gives an empty result. Results come as a struct colu
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,9 +32,9 @@ from pyspark.sql import functions as F
 from proofmill.llm.common import folded_words, small_batches, text_bytes, without
 from proofmill.llm.pretokens import Known
 
-SAMPLE = 1500
+SAMPLE = 1200
 TRAIN_BYTES = 60_000
-TABLE = 1 << 18
+TABLE = 1 << 21
 STARTS = range(3, 8)
 #: A feature marks toxic documents if its share there is so many times its share in clean ones.
 RATIO = 8
@@ -43,6 +42,8 @@ ROUNDS = 40
 FLOOR = 0.3
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 _BLOCK = 64
+#: Words whose messages are held at a time while fitting.
+_STEP = 200_000
 TYPE = "struct<score:double,expected:double,spans:array<struct<start:int,end:int,p:double>>>"
 _ARROW = pa.struct(
     [
@@ -122,62 +123,96 @@ def forward_backward(scores: np.ndarray, first: np.ndarray, chain: Chain) -> tup
     return forward, backward, odds / (1.0 + odds)
 
 
-def word_labels(docs: list[list[bytes]], toxic: np.ndarray) -> set[bytes]:
-    """Words that the toxic documents of the sample are recognised by."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for words, y in zip(docs, toxic, strict=True):
-        kinds = set(words)
-        seen[int(y)].update(kinds | {b"\0" + w[:n] for w in kinds for n in STARTS if n <= len(w)})
+@dataclass
+class Sample:
+    """Training documents as numbers: word kinds along all documents, where each document begins, and the kinds' features."""
+
+    ids: np.ndarray
+    begins: np.ndarray
+    places: np.ndarray  # features of all kinds, one kind after the other
+    kinds: np.ndarray  # the kind of each feature
+
+    @classmethod
+    def of(cls, docs: Iterable[list[bytes]]) -> Sample:
+        known: dict[bytes, int] = {}
+        ids, begins = array("i"), [0]
+        for words in docs:
+            ids.extend([known.setdefault(w, len(known)) for w in words])
+            begins.append(len(ids))
+        places, sizes = array("i"), array("i")
+        for word in known:
+            own = word_features(word)
+            places.extend(own)
+            sizes.append(len(own))
+        kinds = np.repeat(np.arange(len(known), dtype=np.int32), np.frombuffer(sizes, np.int32))
+        return cls(np.array(ids, np.int32), np.array(begins), np.array(places, np.int32), kinds)
+
+    @property
+    def n_kinds(self) -> int:
+        return int(self.kinds[-1]) + 1 if len(self.kinds) else 0
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Score of each kind."""
+        return np.bincount(self.kinds, weights[self.places], self.n_kinds)
+
+    def parts(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Runs of whole documents of about ``_STEP`` words: their words, first-word marks, document numbers."""
+        at, n = 0, len(self.begins) - 1
+        while at < n:
+            end = max(at + 1, int(np.searchsorted(self.begins, self.begins[at] + _STEP, "right")) - 1)
+            words = slice(int(self.begins[at]), int(self.begins[end]))
+            owner = np.repeat(np.arange(at, end), np.diff(self.begins[at : end + 1]))
+            first = np.ones(len(owner), bool)
+            first[1:] = owner[1:] != owner[:-1]
+            yield words, first, owner
+            at = end
+
+
+def word_labels(sample: Sample, toxic: np.ndarray) -> np.ndarray:
+    """Which word kinds the toxic documents of the sample are recognised by."""
+    found = np.zeros((2, TABLE), np.int32)
+    edges = np.searchsorted(sample.kinds, np.arange(sample.n_kinds + 1))
+    for i, y in enumerate(toxic):
+        own = np.unique(sample.ids[sample.begins[i] : sample.begins[i + 1]])
+        if len(own):
+            sizes = edges[own + 1] - edges[own]
+            at = np.repeat(edges[own] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+            found[int(y), np.unique(sample.places[at])] += 1
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
     share = n1 / (n0 + n1)
-    chance = math.log(len(seen[0].keys() | seen[1].keys()) + 1) + 3  # a feature passes by chance less than once
-
-    def strong(a: int, b: int) -> bool:
-        gain = a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0.0)
-        return a * n0 > RATIO * b * n1 and gain >= chance
-
-    sure = {f for f, a in seen[1].items() if strong(a, seen[0][f])}
-    return {w for w in set().union(*docs) if w in sure or any(b"\0" + w[:n] in sure for n in STARTS if n <= len(w))}
-
-
-def _flat(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Word kinds along all documents, first-word marks, the kinds, and the document of each word."""
-    kinds: dict[bytes, int] = {}
-    ids = np.array([kinds.setdefault(w, len(kinds)) for d in docs for w in d], np.int64)
-    sizes = np.array([len(d) for d in docs])
-    owner = np.repeat(np.arange(len(docs)), sizes)
-    first = np.ones(len(ids), bool)
-    first[1:] = owner[1:] != owner[:-1]
-    return ids, first, list(kinds), owner
+    chance = np.log(np.count_nonzero(found.any(axis=0)) + 1) + 3  # a feature passes by chance less than once
+    b, a = found.astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = a * np.log(a / ((a + b) * share)) + np.where(b > 0, b * np.log(b / ((a + b) * (1 - share))), 0.0)
+    sure = (a * n0 > RATIO * b * n1) & (gain >= chance)
+    sure[:32] = False  # bias and lengths
+    return np.bincount(sample.kinds, sure[sample.places], sample.n_kinds) > 0
 
 
-def fit_chain(docs: list[list[bytes]], toxic: np.ndarray, rounds: int = ROUNDS, penalty: float = 1e-3) -> Chain:
+def fit_chain(sample: Sample, toxic: np.ndarray, rounds: int = ROUNDS, penalty: float = 1e-3) -> Chain:
     """Exact gradient of the conditional likelihood, AdaGrad steps, a small square penalty."""
-    bad = word_labels(docs, toxic)
-    ids, first, kinds, owner = _flat(docs)
-    is_bad = np.array([k in bad for k in kinds], bool)
-    y = is_bad[ids] & toxic[owner]
-    table = [word_features(k) for k in kinds]
-    place = np.concatenate([np.array(t) for t in table]) if table else np.empty(0, np.int64)
-    kind = np.repeat(np.arange(len(kinds)), [len(t) for t in table])
-    chain = Chain(np.zeros(TABLE), np.zeros((2, 2)), -3.0)
+    bad = word_labels(sample, toxic)
+    chain = Chain(np.zeros(TABLE, np.float32), np.zeros((2, 2)), -3.0)
     chain.weights[0] = -3.0
-    heat, heat2 = np.full(TABLE, 1e-6), np.full((2, 2), 1e-6)
-    inner = ~first
-    n = max(1, len(ids))
+    heat, heat2 = np.full(TABLE, 1e-6, np.float32), np.full((2, 2), 1e-6)
+    n = max(1, len(sample.ids))
     for _ in range(rounds):
-        scores = np.bincount(kind, chain.weights[place], len(kinds))[ids]
-        forward, backward, p = forward_backward(scores, first, chain)
-        g = np.bincount(place, np.bincount(ids, y - p, len(kinds))[kind], TABLE) / n - penalty * chain.weights / n
+        kind_scores = sample.scores(chain.weights)
+        A, pull, g2 = np.exp(chain.change), np.zeros(sample.n_kinds), np.zeros((2, 2))
+        for words, first, owner in sample.parts():
+            ids = sample.ids[words]
+            scores, y = kind_scores[ids], bad[ids] & toxic[owner]
+            forward, backward, p = forward_backward(scores, first, chain)
+            pull += np.bincount(ids, y - p, sample.n_kinds)
+            inner = ~first
+            after, before = (np.exp(np.clip(scores, -30, 30)) * backward)[inner], np.roll(forward, 1)[inner]
+            w = np.stack([np.full(len(before), A[0, 0]), A[0, 1] * after, before * A[1, 0], before * A[1, 1] * after])
+            y0, y1 = np.roll(y, 1)[inner], y[inner]
+            g2 += np.array([[np.sum(~y0 & ~y1), np.sum(~y0 & y1)], [np.sum(y0 & ~y1), np.sum(y0 & y1)]]) - (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        g = (np.bincount(sample.places, pull[sample.kinds], TABLE) / n - penalty * chain.weights / n).astype(np.float32)
         heat += g * g
         chain.weights += 0.5 * g / np.sqrt(heat)
-        A, e = np.exp(chain.change), np.exp(np.clip(scores, -30, 30))
-        before = np.roll(forward, 1)[inner]
-        w = np.stack([np.full(len(before), A[0, 0]), A[0, 1] * (e * backward)[inner], before * A[1, 0], before * A[1, 1] * (e * backward)[inner]])
-        expected = (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        y0, y1 = np.roll(y, 1)[inner], y[inner]
-        counted = np.array([[np.sum(~y0 & ~y1), np.sum(~y0 & y1)], [np.sum(y0 & ~y1), np.sum(y0 & y1)]], float)
-        g2 = (counted - expected) / n
+        g2 /= n
         g2[0, 0] = 0.0  # potentials count from here
         heat2 += g2 * g2
         chain.change = np.clip(chain.change + 0.1 * g2 / np.sqrt(heat2), -8, 8)
@@ -200,16 +235,18 @@ def fit(docs: list[bytes], toxic: list[int], rounds: int = ROUNDS) -> Chain:
     y = np.array(toxic, bool)
     if y.all() or not y.any():
         return Chain(np.zeros(TABLE), np.zeros((2, 2)), 0.0, constant=float(y.mean()) if len(y) else 0.0)
-    words = [folded_words(d) for d in docs]
-    rest = np.arange(len(words)) % 3 == 2
+    rest = np.arange(len(docs)) % 3 == 2
     if len(set(y[rest])) < 2 or len(set(y[~rest])) < 2:
-        rest[:] = True
-    train = np.flatnonzero(~rest) if not rest.all() else np.arange(len(words))
-    chain = fit_chain([words[i] for i in train], y[train], rounds)
-    held = [words[i] for i in np.flatnonzero(rest)]
-    ids, first, kinds, owner = _flat(held)
-    _, _, p = forward_backward(np.array([chain.word_score(k) for k in kinds])[ids] if kinds else np.empty(0), first, chain)
-    x, target = _doc_features(*_sums(p, owner, len(held))), y[rest].astype(float)
+        train, held = np.arange(len(docs)), np.arange(len(docs))
+    else:
+        train, held = np.flatnonzero(~rest), np.flatnonzero(rest)
+    chain = fit_chain(Sample.of(folded_words(docs[i]) for i in train), y[train], rounds)
+    unseen = Sample.of(folded_words(docs[i]) for i in held)
+    kind_scores, expected, peak = unseen.scores(chain.weights), np.zeros(len(held)), np.zeros(len(held))
+    for words, first, owner in unseen.parts():
+        e, k = _sums(forward_backward(kind_scores[unseen.ids[words]], first, chain)[2], owner, len(held))
+        expected, peak = expected + e, np.maximum(peak, k)
+    x, target = _doc_features(expected, peak), y[held].astype(float)
     beta = np.zeros(x.shape[1])
     for _ in range(50):  # Newton steps with a small penalty
         q = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
