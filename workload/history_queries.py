@@ -8,6 +8,7 @@ from proofmill.operators import history, imports
 from proofmill.schemas import RUNS
 from proofmill.session import work_path
 from proofmill.sources import manifests as manifest_source
+from proofmill.sources import outcomes as outcome_sink
 from proofmill.sources import tables as store
 from workload import bindings as b
 from workload.registry import query, table
@@ -121,28 +122,56 @@ def downgrade_guard(spark, sf):
     return imports.downgrade_guard(imports.artifact_selfcheck(artifacts(spark, sf)), stored_runs(spark, sf))
 
 
-@query(
-    "import_decision",
-    W + """,
+_DECIDED = """,
 decided AS (
   SELECT *, CASE WHEN parse_failure IS NOT NULL THEN 'failed' WHEN identity_inconsistent THEN 'rejected_selfcheck'
       WHEN stored AND conflicts <> '' THEN 'rejected_conflict' WHEN downgraded THEN 'rejected_downgrade'
       WHEN stored THEN 'committed_update' ELSE 'committed_new' END AS decision FROM pairs),
-kept AS (SELECT l_orderkey AS n, count(*) AS metric_rows FROM lineitem GROUP BY l_orderkey)
+kept AS (SELECT l_orderkey AS n, count(*) AS metric_rows FROM lineitem GROUP BY l_orderkey),
+told AS (
 SELECT run_id, decision,
   CASE decision WHEN 'failed' THEN parse_failure WHEN 'rejected_selfcheck' THEN 'identity_conflict: sample_manifest_identity: declared=' || declared_identity || ' computed=' || computed_identity
     WHEN 'rejected_conflict' THEN 'identity_conflict: ' || conflicts ELSE status_reason END AS reason,
   CASE WHEN decision = 'failed' THEN NULL WHEN decision LIKE 'committed%' THEN validity_status ELSE old_validity END AS validity_status,
   CASE WHEN decision LIKE 'rejected%' AND stored THEN coalesce(metric_rows, 0) END AS metrics_kept,
   CASE WHEN decision LIKE 'committed%' THEN strftime(coalesce(finished_at, created_at), '%Y-%m-%d') END AS finished_at
-FROM decided LEFT JOIN kept USING (n)""",
-)
+FROM decided LEFT JOIN kept USING (n))
+"""
+
+
+@query("import_decision", W + _DECIDED + "SELECT * FROM told")
 def import_decision(spark, sf):
     metrics = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("run_id"))
     decided = imports.import_decision(artifacts(spark, sf), stored_runs(spark, sf), metrics)
     return decided.select("run_id", "decision", "reason", "validity_status", "metrics_kept", b.day("finished_at"))
 
 
+@query("import_audit", W + _DECIDED + "SELECT run_id, decision, reason FROM told WHERE decision NOT LIKE 'committed%' UNION ALL SELECT run_id, 'document', json_object('run_id', run_id, 'validity_status', validity_status)::VARCHAR FROM told WHERE decision LIKE 'committed%'")
+def import_audit(spark, sf):
+    """Write outcome documents and audit rows, read both back."""
+    root = work_path(spark, "evidence")
+    told = import_decision(spark, sf)
+    outcome_sink.write_evidence_json(told.select("run_id", "validity_status"), told, root)
+    audit = spark.read.parquet(f"{root}/import_audit").select("run_id", "decision", "reason")
+    documents = spark.read.parquet(f"{root}/outcomes").select("run_id", F.lit("document").alias("decision"), F.col("document").alias("reason"))
+    return audit.unionByName(documents)
+
+
+@query(
+    "perf_long",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'latency' AS measure, 'mean' AS statistic, o_orderkey % 100 / 4.0 AS value FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'latency', 'p99', o_orderkey % 7 FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'tps', NULL, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END FROM orders""",
+)
+def perf_long(spark, sf):
+    """Performance blocks of reports, carried to the runs and unfolded."""
+    n = F.col("o_orderkey")
+    block = b.text_of('{"latency":{"mean":', n % 100 / 4, ',"p99":', n % 7, '},"tps":', F.when(n % 5 == 0, F.lit('"unknown"')).otherwise(F.col("o_custkey").cast("string")), "}")
+    reports = table(spark, sf, "orders").select(n.cast("string").alias("run_id"), block.alias("perf_metrics"))
+    return outcome_sink.performance_values(outcome_sink.carry_performance(reports.select("run_id"), reports))
+
+
 def outcomes(spark, sf):
     checked = imports.artifact_selfcheck(artifacts(spark, sf))
     n = F.col("run_id").cast("bigint")
