@@ -19,6 +19,7 @@ from proofmill.functions.redaction import (
     mask_known,
     redact_text,
 )
+from proofmill.session import ship_code
 
 
 def redact_column(df: DataFrame, column: str) -> DataFrame:
@@ -68,6 +69,7 @@ def redact_by_key(df: DataFrame, column: str) -> DataFrame:
     Documents nest without limit, which column expressions cannot follow, so one linear pass over each canonical
     text does it, in Arrow batches.
     """
+    ship_code(df.sparkSession)
     as_text = let(redact_text(F.col(column)), json_text)
     plain = F.to_json(F.try_parse_json(column))
     return df.withColumn(column, F.coalesce(_mask_documents(plain), as_text))

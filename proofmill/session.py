@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +38,24 @@ def local_session(
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; Spark brings it to every executor.
+
+    Workers need it for Arrow functions even where the package is only on the driver's path.
+    """
+    context, root = spark.sparkContext, Path(__file__).parent
+    if getattr(context, "proofmill_shipped", False) or not root.is_dir():
+        return
+    sources = sorted(root.rglob("*.py"))
+    mark = hashlib.sha256(b"".join(p.read_bytes() for p in sources)).hexdigest()[:12]
+    archive = Path(tempfile.mkdtemp(prefix="proofmill-code-")) / f"proofmill-{mark}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for p in sources:
+            out.write(p, p.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context.proofmill_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session, else
     the warehouse folder, which a cluster defines as shared storage as well."""
