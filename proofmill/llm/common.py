@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.session import stored
+from proofmill.session import ship_code, stored
 
 #: Rows of one Arrow batch. Whole texts of 100 kB and more occur, so batches stay far below Spark's 10,000 rows.
 BATCH_ROWS = 256
@@ -20,7 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Long texts go to Python in small Arrow batches."""
+    """Long texts go to Python in small Arrow batches; the workers get this package."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
