@@ -9,13 +9,12 @@ from pyspark.sql.types import StringType
 
 from proofmill.functions.canonical import json_text, let
 from proofmill.functions.redaction import (
-    mask_json,
     API_KEY_PATTERN,
     SECRET_CONFIG_KEYS,
     SIGNED_TOKEN_PATTERN,
     URL_CREDENTIALS_PATTERN,
     is_real_secret,
-    is_secret_key,
+    mask_json,
     mask_known,
     redact_text,
 )
