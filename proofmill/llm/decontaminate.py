@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.llm.common import WORD_BYTES, folded_words, small_batches, text_bytes, without
+from proofmill.llm.pretokens import claim
 from proofmill.session import stored
 
 #: Item words of one automaton; it takes some 0.5 kB a word.
@@ -170,6 +171,7 @@ def _matcher(shared, leak: bool):
     """An Arrow UDF (its kind is read from the type hints) over texts, or over texts and what earlier blocks found."""
 
     def run(batches):
+        claim("leaks")
         automaton = shared.value
         for batch in batches:
             column, before = batch if leak else (batch, None)

@@ -47,12 +47,12 @@ def encoder(path: str, size: int = CACHE):
         found = model.tokenize(pretokens.byte_level(piece))
         return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
-    pieces = pretokens.Known(encode, size)
+    pieces = pretokens.Known(encode, size, "packing")
 
     def split(text: str) -> bytes:
         return b"".join(map(pieces.__getitem__, pretokens.byte_pretokens(text, path)))
 
-    chunks = pretokens.Known(lambda chunk: split(" " + chunk), size)
+    chunks = pretokens.Known(lambda chunk: split(" " + chunk), size, "packing")
 
     def plain(text: str) -> bytes:
         if not pretokens.spaced(text) or pretokens.other(text):
@@ -92,6 +92,7 @@ def pack(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pretokens.claim("packing")
         encode = encoder(tokenizer_path)
         for batch in batches:
             key, text = batch.columns

@@ -7,11 +7,15 @@ any other character is split by the library itself, so results never depend on t
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import unicodedata
 from collections.abc import Callable
 from functools import cache
+from typing import ClassVar
+
+import pyarrow as pa
 
 #: Characters on which ``re`` and the tokenizers' splitters may differ: control separators, numerals
 #: that are no decimal digits, combining marks, and all scripts beyond Latin.
@@ -53,11 +57,23 @@ def specials(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
 
 
 class Known(dict):
-    """A bounded cache: ``make`` gives what is missing; what was used since the last change of generations stays."""
+    """A bounded cache: ``make`` gives what is missing; what was used since the last change of generations stays.
+
+    Python workers live on after a task. A cache with an ``owner`` is kept for that operator's next task, and dropped as
+    soon as a task of another operator begins (``claim``), so a worker holds the caches of one operator only.
+    """
+
+    held: ClassVar[list[Known]] = []
 
-    def __init__(self, make: Callable, size: int) -> None:
+    def __init__(self, make: Callable, size: int, owner: str | None = None) -> None:
         super().__init__()
-        self.make, self.size, self.old = make, size, {}
+        self.make, self.size, self.old, self.owner = make, size, {}, owner
+        if owner is not None:
+            Known.held.append(self)
+
+    def forget(self) -> None:
+        self.old = {}
+        self.clear()
 
     def __missing__(self, key):
         value = self.old.get(key)
@@ -70,6 +86,16 @@ class Known(dict):
         return value
 
 
+def claim(owner: str | None) -> None:
+    """A task of this operator begins: the caches of all others go."""
+    if any((k or k.old) and k.owner != owner for k in Known.held):
+        for k in Known.held:
+            if k.owner != owner:
+                k.forget()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def other(text: str) -> bool:
     """Whether the library itself has to split this text."""
     if text.isascii():

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.llm.common import connected_components, small_batches, smallest_reached, text_bytes, without
-from proofmill.llm.pretokens import Known
+from proofmill.llm.pretokens import Known, claim
 from proofmill.session import stored
 
 PLACES, BANDS = 128, 32
@@ -54,7 +54,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 @cache
 def _word_hashes() -> Known:
-    return Known(xxhash.xxh64_intdigest, 200_000)
+    return Known(xxhash.xxh64_intdigest, 100_000, "near")
 
 
 def shingles(data: bytes | None, k: int) -> np.ndarray:
@@ -106,6 +106,7 @@ def sketches(docs: DataFrame, k: int, text_col: str = "text", id_col: str = "doc
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near")
         for batch in batches:
             sets = [shingles(t, k) for t in batch.column("text").to_pylist()]
             sizes = np.array([len(s) for s in sets], np.int64)
@@ -129,6 +130,7 @@ def _rows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near")
         for batch in batches:
             sets = pa.array([shingles(t, k).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("row"), sets], names=["row", "elements"])
@@ -215,7 +217,8 @@ def _rest(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id", leaders: int = LEADERS
 ) -> DataFrame:
-    """One row per row of ``docs``: row (the scan's number), doc_id, n_shingles, component_id, kept."""
+    """One row per row of ``docs`` (a scan or a written table): row (the scan's number), doc_id, n_shingles, component_id,
+    group (a row number for each group), kept."""
     sketch = stored(sketches(docs, k, text_col, id_col), "sketches")
     classes = stored(
         sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id"), F.min_by("keys", "row").alias("keys")),
@@ -245,23 +248,25 @@ def near_duplicates(
     if not rest.isEmpty():
         groups = grouped(rest if links is None else links.unionByName(rest))
 
+    own = classes.select("digest", "row", "first_id")
     if groups is None:
-        named = classes.select("digest", F.col("first_id").alias("component_id"))
+        own = own.withColumn("component", F.col("row"))
     else:
-        own = classes.select("digest", "row", "first_id").join(groups, "row", "left").withColumn("component", F.coalesce("component", "row"))
-        smallest = own.groupBy("component").agg(F.min("first_id").alias("component_id"))
-        named = own.join(smallest, "component").select("digest", "component_id")
-    full = sketch.where("n_shingles > 0").drop("keys").join(named, "digest").select("row", "doc_id", "n_shingles", "component_id")
-    alone = sketch.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        own = own.join(groups, "row", "left").withColumn("component", F.coalesce("component", "row"))
+    smallest = own.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = own.join(smallest, "component").select("digest", "component_id", F.col("component").alias("group"))
+    full = sketch.where("n_shingles > 0").drop("keys").join(named, "digest").select("row", "doc_id", "n_shingles", "component_id", "group")
+    alone = sketch.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("row").alias("group"))
     both = full.unionByName(alone).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     return both.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each group: the first row that has the group's smallest id. Rows without words or id all stay."""
+    """``docs`` (a scan or a written table) with one row of each group: the first row that has the group's smallest id. Rows without
+    words or id all stay, and so do rows of one id whose texts are in different groups."""
     found = near_duplicates(docs, k, percent, text_col, id_col)
     sure = found.where("kept AND (n_shingles = 0 OR doc_id IS NULL)").select("row")
-    firsts = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
+    firsts = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("group").agg(F.min("row").alias("row")).select("row")
     numbered = without(docs, "dedup_row").withColumn("dedup_row", F.monotonically_increasing_id())
     chosen = stored(sure.unionByName(firsts).withColumnRenamed("row", "dedup_row"), "chosen")
     return numbered.join(chosen, "dedup_row", "left_semi").drop("dedup_row")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.llm.common import folded_words, small_batches, text_bytes, without
-from proofmill.llm.pretokens import Known
+from proofmill.llm.pretokens import Known, claim
 
 SAMPLE = 1200
 TRAIN_BYTES = 60_000
@@ -280,7 +280,8 @@ def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text") -> Dat
 
     def run(batches):
         model = shared.value
-        known = Known(model.word_score, 200_000)
+        claim("toxicity")
+        known = Known(model.word_score, 100_000)
         for batch in batches:
             texts = batch.to_pylist()
             words = [folded_words(t) for t in texts]

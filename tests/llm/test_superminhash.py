@@ -110,3 +110,9 @@ def test_one_of_each_group_stays(make, odd_docs):
     assert kept.columns == odd_docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([1, 2, 3, 4, None, 5, 6, 7], key=repr)
     assert s.drop_near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def test_texts_of_one_id_are_told_apart(make):
+    rows = [(5, "one two three four five six"), (5, "quite another text under the same number"), (6, "one two three four five six"), (5, "one two three four five six")]
+    kept = s.drop_near_duplicates(make(rows, "doc_id long, text string").coalesce(1))
+    assert sorted(r["text"] for r in kept.collect()) == ["one two three four five six", "quite another text under the same number"]
