@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmill.session import ship_code, stored
+from proofmill import session
+from proofmill.session import ship_code
 
 #: Rows of one Arrow batch. Whole texts of 100 kB and more occur, so batches stay far below Spark's 10,000 rows.
 BATCH_ROWS = 256
@@ -15,6 +18,20 @@ BATCH_ROWS = 256
 WORD_BYTES = bytes((b + 32) if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
+#: Folder below the work folder that intermediate tables are written to; an operator may set one of its own and drop it whole.
+FOLDER: ContextVar[str] = ContextVar("folder", default="")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    return session.stored(df, FOLDER.get() + label)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove the intermediate tables of one call, once its result no longer needs them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{session.shared_dir(spark)}/proofmill/{folder.rstrip('/')}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

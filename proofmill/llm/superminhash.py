@@ -25,6 +25,7 @@ hold for the others. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -34,9 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import connected_components, small_batches, smallest_reached, text_bytes, without
+from proofmill.llm.common import FOLDER, connected_components, drop_folder, small_batches, smallest_reached, stored, text_bytes, without
 from proofmill.llm.pretokens import Known, claim
-from proofmill.session import stored
 
 PLACES, BANDS = 128, 32
 LEADERS = 2
@@ -264,11 +264,17 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` (a scan or a written table) with one row of each group: the first row that has the group's smallest id. Rows without
     words or id all stay, and so do rows of one id whose texts are in different groups."""
-    found = near_duplicates(docs, k, percent, text_col, id_col)
+    folder = f"near-{uuid.uuid4().hex}/"
+    token = FOLDER.set(folder)
+    try:
+        found = near_duplicates(docs, k, percent, text_col, id_col)
+    finally:
+        FOLDER.reset(token)
     sure = found.where("kept AND (n_shingles = 0 OR doc_id IS NULL)").select("row")
     firsts = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("group").agg(F.min("row").alias("row")).select("row")
     numbered = without(docs, "dedup_row").withColumn("dedup_row", F.monotonically_increasing_id())
     chosen = stored(sure.unionByName(firsts).withColumnRenamed("row", "dedup_row"), "chosen")
+    drop_folder(docs.sparkSession, folder)  # only the chosen rows are needed from here on
     return numbered.join(chosen, "dedup_row", "left_semi").drop("dedup_row")
 
 
