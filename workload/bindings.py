@@ -96,8 +96,8 @@ def parts(spark: SparkSession, sf: str) -> DataFrame:
     return conv(spark, sf).select("run_id", "subset", "sample_id", "turn", "role", F.inline(made))
 
 
-def raw_parts(spark: SparkSession, sf: str) -> DataFrame:
-    return conv(spark, sf).filter(F.col("conv_id") % 5 != 0).select(
+def raw_parts(spark: SparkSession, sf: str, which: str = "conv_id % 5 <> 0") -> DataFrame:
+    return conv(spark, sf).filter(which).select(
         "run_id", "subset", "sample_id", "turn", F.lit(0).cast("bigint").alias("part"), "role",
         F.lit("text").alias("kind"), "text",
     )

@@ -68,8 +68,8 @@ def media_fingerprint(spark, sf):
 
 
 @query("question_digest", "WITH " + b.PARTS_SQL + _Q + " FROM raw_parts GROUP BY ALL")
-def question_digest(spark, sf):
-    return content.question_digest(b.raw_parts(spark, sf))
+def question_digest(spark, sf, parts=b.raw_parts):
+    return content.question_digest(parts(spark, sf))
 
 
 @query(

@@ -62,9 +62,9 @@ pairs AS (
 W = "WITH " + _HISTORY_SQL
 
 
-def stored_runs(spark, sf):
+def stored_runs(spark, sf, which="o_orderkey % 2 = 0"):
     n, c, s = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
-    return table(spark, sf, "orders").filter(n % 2 == 0).select(
+    return table(spark, sf, "orders").filter(which).select(
         n.cast("string").alias("run_id"), b.text_of("g", c % 9).alias("run_group"), F.col("o_orderpriority").alias("dataset"),
         b.text_of("suite", c % 3).alias("suite"),
         F.when(n % 11 == 0, F.lit("  ")).otherwise(b.text_of("model-", c % 20)).alias("model_id"),
@@ -78,9 +78,9 @@ def stored_runs(spark, sf):
     )
 
 
-def artifacts(spark, sf):
+def artifacts(spark, sf, which="o_orderkey % 3 <> 1"):
     n, c = F.col("o_orderkey"), F.col("o_custkey")
-    return table(spark, sf, "orders").filter(n % 3 != 1).select(
+    return table(spark, sf, "orders").filter(which).select(
         n.cast("string").alias("run_id"),
         F.when(n % 53 == 0, F.lit("other")).otherwise(F.col("o_orderpriority")).alias("dataset"), b.text_of("suite", c % 3).alias("suite"),
         F.when(n % 19 != 0, b.text_of("model-", c % 20 + (n % 29 == 0).cast("int"))).alias("model_id"),
@@ -101,15 +101,15 @@ def artifacts(spark, sf):
     "artifact_selfcheck",
     W + "SELECT run_id, sample_manifest_identity, identity_inconsistent, validity_status, status_reason FROM checked",
 )
-def artifact_selfcheck(spark, sf):
-    return imports.artifact_selfcheck(artifacts(spark, sf)).select(
+def artifact_selfcheck(spark, sf, batch=artifacts):
+    return imports.artifact_selfcheck(batch(spark, sf)).select(
         "run_id", "sample_manifest_identity", "identity_inconsistent", "validity_status", "status_reason"
     )
 
 
 @query("identity_conflicts", W + "SELECT run_id, conflicts FROM pairs WHERE stored AND conflicts <> ''")
-def identity_conflicts(spark, sf):
-    found = imports.identity_conflicts(imports.artifact_selfcheck(artifacts(spark, sf)), stored_runs(spark, sf))
+def identity_conflicts(spark, sf, batch=artifacts):
+    found = imports.identity_conflicts(imports.artifact_selfcheck(batch(spark, sf)), stored_runs(spark, sf))
     return found.withColumn("conflicts", F.array_join("conflicts", "; "))
 
 
@@ -118,8 +118,8 @@ def identity_conflicts(spark, sf):
     W + """SELECT run_id, old_validity AS kept_validity, old_comparability AS kept_comparability, validity_status AS new_validity,
        comparability AS new_comparability FROM pairs WHERE downgraded""",
 )
-def downgrade_guard(spark, sf):
-    return imports.downgrade_guard(imports.artifact_selfcheck(artifacts(spark, sf)), stored_runs(spark, sf))
+def downgrade_guard(spark, sf, batch=artifacts):
+    return imports.downgrade_guard(imports.artifact_selfcheck(batch(spark, sf)), stored_runs(spark, sf))
 
 
 _DECIDED = """,
@@ -140,17 +140,17 @@ FROM decided LEFT JOIN kept USING (n))
 
 
 @query("import_decision", W + _DECIDED + "SELECT * FROM told")
-def import_decision(spark, sf):
+def import_decision(spark, sf, batch=artifacts):
     metrics = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("run_id"))
-    decided = imports.import_decision(artifacts(spark, sf), stored_runs(spark, sf), metrics)
+    decided = imports.import_decision(batch(spark, sf), stored_runs(spark, sf), metrics)
     return decided.select("run_id", "decision", "reason", "validity_status", "metrics_kept", b.day("finished_at"))
 
 
 @query("import_audit", W + _DECIDED + "SELECT run_id, decision, reason FROM told WHERE decision NOT LIKE 'committed%' UNION ALL SELECT run_id, 'document', json_object('run_id', run_id, 'validity_status', validity_status)::VARCHAR FROM told WHERE decision LIKE 'committed%'")
-def import_audit(spark, sf):
+def import_audit(spark, sf, batch=artifacts):
     """Write outcome documents and audit rows, read both back."""
     root = work_path(spark, "evidence")
-    told = import_decision(spark, sf)
+    told = import_decision(spark, sf, batch)
     outcome_sink.write_evidence_json(told.select("run_id", "validity_status"), told, root)
     audit = spark.read.parquet(f"{root}/import_audit").select("run_id", "decision", "reason")
     documents = spark.read.parquet(f"{root}/outcomes").select("run_id", F.lit("document").alias("decision"), F.col("document").alias("reason"))
@@ -172,8 +172,8 @@ def perf_long(spark, sf):
     return outcome_sink.performance_values(outcome_sink.carry_performance(reports.select("run_id"), reports))
 
 
-def outcomes(spark, sf):
-    checked = imports.artifact_selfcheck(artifacts(spark, sf))
+def outcomes(spark, sf, batch=artifacts):
+    checked = imports.artifact_selfcheck(batch(spark, sf))
     n = F.col("run_id").cast("bigint")
     return checked.select(
         "run_id", "dataset", "suite", "model_id", "model_config_identity", "protocol_identity", "sample_manifest_identity",
@@ -197,8 +197,8 @@ SELECT coalesce(h.run_id, a.run_id) AS run_id, CASE WHEN h.run_id IS NOT NULL TH
   strftime(coalesce(done, h.finished_at), '%Y-%m-%d') AS finished_at
 FROM history h FULL OUTER JOIN news a ON h.run_id = a.run_id""",
 )
-def upsert_outcome(spark, sf):
-    return history.upsert_outcome(stored_runs(spark, sf), outcomes(spark, sf)).select(
+def upsert_outcome(spark, sf, batch=artifacts):
+    return history.upsert_outcome(stored_runs(spark, sf), outcomes(spark, sf, batch)).select(
         "run_id", "run_group", "validity_status", "status_reason", "num_requested", "dataset", "model_id", "model_config_identity",
         "sample_manifest_identity", b.day("finished_at"),
     )
@@ -224,8 +224,8 @@ def insert_attempts(spark, sf):
     "add_columns",
     W + "SELECT run_id, dataset, num_requested, CAST(NULL AS BIGINT) AS num_errored, CAST(NULL AS VARCHAR) AS imported_at, validity_status FROM history",
 )
-def add_columns(spark, sf):
-    upgraded = history.add_columns(history.add_columns(stored_runs(spark, sf), RUNS), RUNS)
+def add_columns(spark, sf, runs=stored_runs):
+    upgraded = history.add_columns(history.add_columns(runs(spark, sf), RUNS), RUNS)
     return upgraded.select(
         "run_id", "dataset", "num_requested", "num_errored", F.col("imported_at").cast("string").alias("imported_at"), "validity_status"
     )

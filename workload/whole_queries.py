@@ -1,0 +1,35 @@
+"""The queries over a part of orders or conversations, once more over every row.
+
+The first ones and their SQL stay as they are. Here the SQL differs by the row filter only: checks, upgrades and digests
+read the whole table; of history and batch each order is in at least one (both, batch only and history only all occur).
+"""
+
+from __future__ import annotations
+
+from functools import partial
+
+from workload import bindings as b
+from workload import content_queries as content
+from workload import history_queries as runs
+from workload.registry import ORACLES, query
+
+EVERY = "true"
+BATCH = "o_orderkey % 2 = 1 OR o_orderkey % 3 <> 1"
+_BATCH_SQL, _HISTORY_SQL, _PARTS_SQL = "o WHERE n % 3 <> 1)", "o WHERE n % 2 = 0)", "conv WHERE conv_id % 5 <> 0)"
+
+
+def _sql(name: str, part: str, whole: str) -> str:
+    if part not in ORACLES[name]:
+        raise ValueError(f"{name}: no filter to widen")
+    return ORACLES[name].replace(part, whole)
+
+
+def _register(function, name: str, part: str, whole: str, **source) -> None:
+    query(f"{name}_whole", _sql(name, part, whole))(partial(function, **source))
+
+
+for _name in ("import_decision", "import_audit", "identity_conflicts", "downgrade_guard", "upsert_outcome"):
+    _register(getattr(runs, _name), _name, _BATCH_SQL, "o WHERE n % 2 = 1 OR n % 3 <> 1)", batch=partial(runs.artifacts, which=BATCH))
+_register(runs.artifact_selfcheck, "artifact_selfcheck", _BATCH_SQL, "o)", batch=partial(runs.artifacts, which=EVERY))
+_register(runs.add_columns, "add_columns", _HISTORY_SQL, "o)", runs=partial(runs.stored_runs, which=EVERY))
+_register(content.question_digest, "question_digest", _PARTS_SQL, "conv)", parts=partial(b.raw_parts, which=EVERY))
