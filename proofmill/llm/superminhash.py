@@ -14,6 +14,8 @@
    matrices. Nothing is capped. Links give one row per linked member, not one per pair. All links are confirmed on full sets.
 6. Grouping. Union-find over confirmed links as alternating stars on tables.
 
+Row numbers. Rows are numbered once, in a table written before anything else; sketches, shingle sets and the kept rows are all read from it.
+
 Scale. Copies are combined before the shuffle, buckets are never gathered: leaders come from a grouped
 minimum and a join, whose hot side can be split. Only classes that share a bucket have their sets written. A large group of near copies costs
 one comparison per member and leader; of its members that no leader reaches, tiles are compared, not rows.
@@ -101,9 +103,9 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sketches(docs: DataFrame, k: int, text_col: str = "text", id_col: str = "doc_id", places: int = PLACES, bands: int = BANDS) -> DataFrame:
-    """(row, doc_id, n_shingles, digest, keys) per row; the row number is the scan's."""
-    small_batches(docs.sparkSession)
+def sketches(rows: DataFrame, k: int, places: int = PLACES, bands: int = BANDS) -> DataFrame:
+    """(row, doc_id, n_shingles, digest, keys) per row of ``rows`` (row, doc_id, text)."""
+    small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("near")
@@ -121,11 +123,11 @@ def sketches(docs: DataFrame, k: int, text_col: str = "text", id_col: str = "doc
                 names=["row", "doc_id", "n_shingles", "digest", "keys"],
             )
 
-    return _rows(docs, text_col, id_col).mapInArrow(run, "row long, doc_id long, n_shingles long, digest binary, keys array<long>")
+    return rows.mapInArrow(run, "row long, doc_id long, n_shingles long, digest binary, keys array<long>")
 
 
-def _rows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
+def _rows(docs: DataFrame, row, text_col: str, id_col: str) -> DataFrame:
+    return docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
 
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
@@ -217,9 +219,14 @@ def _rest(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id", leaders: int = LEADERS
 ) -> DataFrame:
-    """One row per row of ``docs`` (a scan or a written table): row (the scan's number), doc_id, n_shingles, component_id,
+    """One row per row of ``docs``: row (its number in the table written first), doc_id, n_shingles, component_id,
     group (a row number for each group), kept."""
-    sketch = stored(sketches(docs, k, text_col, id_col), "sketches")
+    return _grouped(stored(_rows(docs, F.monotonically_increasing_id(), text_col, id_col), "rows"), k, percent, leaders)
+
+
+def _grouped(rows: DataFrame, k: int, percent: int, leaders: int = LEADERS) -> DataFrame:
+    """``near_duplicates`` of a written table (row, doc_id, text): every pass finds the same numbers in it, however it is split."""
+    sketch = stored(sketches(rows, k), "sketches")
     classes = stored(
         sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id"), F.min_by("keys", "row").alias("keys")),
         "classes",
@@ -229,7 +236,7 @@ def near_duplicates(
     busy = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(keyed.join(busy, "key"), "buckets")
     wanted = members.select("row").distinct()
-    sets = stored(_sets(_rows(docs, text_col, id_col).join(wanted, "row", "left_semi"), k), "shingle-sets")
+    sets = stored(_sets(rows.join(wanted, "row", "left_semi"), k), "shingle-sets")
 
     links = None
     if leaders:
@@ -262,17 +269,17 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` (a scan or a written table) with one row of each group: the first row that has the group's smallest id. Rows without
-    words or id all stay, and so do rows of one id whose texts are in different groups."""
+    """``docs`` with one row of each group: the first row that has the group's smallest id. Rows without
+    words or id all stay, and so do rows of one id whose texts are in different groups. The result is read from the numbered copy of ``docs``."""
+    numbered = stored(without(docs, "dedup_row").withColumn("dedup_row", F.monotonically_increasing_id()), "numbered")
     folder = f"near-{uuid.uuid4().hex}/"
     token = FOLDER.set(folder)
     try:
-        found = near_duplicates(docs, k, percent, text_col, id_col)
+        found = _grouped(_rows(numbered, F.col("dedup_row"), text_col, id_col), k, percent)
     finally:
         FOLDER.reset(token)
     sure = found.where("kept AND (n_shingles = 0 OR doc_id IS NULL)").select("row")
     firsts = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("group").agg(F.min("row").alias("row")).select("row")
-    numbered = without(docs, "dedup_row").withColumn("dedup_row", F.monotonically_increasing_id())
     chosen = stored(sure.unionByName(firsts).withColumnRenamed("row", "dedup_row"), "chosen")
     drop_folder(docs.sparkSession, folder)  # only the chosen rows are needed from here on
     return numbered.join(chosen, "dedup_row", "left_semi").drop("dedup_row")

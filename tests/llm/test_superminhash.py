@@ -116,3 +116,30 @@ def test_texts_of_one_id_are_told_apart(make):
     rows = [(5, "one two three four five six"), (5, "quite another text under the same number"), (6, "one two three four five six"), (5, "one two three four five six")]
     kept = s.drop_near_duplicates(make(rows, "doc_id long, text string").coalesce(1))
     assert sorted(r["text"] for r in kept.collect()) == ["one two three four five six", "quite another text under the same number"]
+
+
+@pytest.mark.parametrize("drop", [False, True])
+def test_row_numbers_outlive_other_splits(make, spark, monkeypatch, tmp_path, drop):
+    """Executors come after the first table is written: later scans are split otherwise."""
+    rows = near_copies()
+    make(rows, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "docs"))
+    docs, write, split = spark.read.parquet(str(tmp_path / "docs")), s.stored, "spark.sql.files.minPartitionNum"
+
+    def stored(df, label):
+        out = write(df, label)
+        spark.conf.set(split, "64")
+        return out
+
+    monkeypatch.setattr(s, "stored", stored)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set(split, "1")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        want = brute(rows, 4, 80)
+        if drop:
+            assert sorted(r["doc_id"] for r in s.drop_near_duplicates(docs, k=4).collect()) == [d for d, _, c in sorted(want) if d == c]
+        else:
+            assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in s.near_duplicates(docs, k=4).collect()) == sorted(want)
+    finally:
+        spark.conf.unset(split)
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
