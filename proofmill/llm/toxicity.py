@@ -1,8 +1,8 @@
 """Toxicity with a linear-chain conditional random field over words.
 
 Labels are of documents. Training makes word labels from them: in a toxic document a word is offending
-if the word or one of its beginnings (3 to 7 bytes) is found far more often in toxic than in clean documents, beyond
-chance; all other words are not. A two-state CRF (features: the word, its beginnings, its length; state changes) is fitted to these
+if the word or one of its beginnings (3 to 7 bytes) is found far more often in toxic than in clean documents, at a
+bounded rate of false discoveries; all other words are not. A two-state CRF (features: the word, its beginnings, its length; state changes) is fitted to these
 sequences by its exact gradient. Forward-backward marginals give every word of every document a probability; the
 sum (from ``FLOOR`` on) and maximum make the document's score through a logistic fit on labelled rows the CRF has not seen. Words with a marginal
 of at least one half are the offending offsets.
@@ -38,6 +38,8 @@ TABLE = 1 << 21
 STARTS = range(3, 8)
 #: A feature marks toxic documents if its share there is so many times its share in clean ones.
 RATIO = 8
+#: Share of the marking features that may be there by chance.
+FALSE_RATE = 0.1
 ROUNDS = 40
 FLOOR = 0.3
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
@@ -168,6 +170,18 @@ class Sample:
             at = end
 
 
+def least_gain(gains: np.ndarray, most: np.ndarray, rate: float = FALSE_RATE) -> float:
+    """The gain from which features count, so that about ``rate`` of those that do are there by chance (Benjamini and Hochberg;
+    exp(-gain) bounds the chance of a gain). ``most``: the largest gain that each feature's rows allow; features too rare to pass in any case are no tests."""
+    most = np.sort(most)
+    tests = np.arange(1, len(most) + 1)
+    enough = len(most) - np.searchsorted(most, np.log(tests / rate)) <= tests
+    n = int(tests[enough.argmax()]) if enough.any() else 1
+    gains = np.sort(gains)[::-1]
+    passed = np.flatnonzero(gains >= np.log(n / rate / np.arange(1, len(gains) + 1)))
+    return float(gains[passed[-1]]) if len(passed) else np.inf
+
+
 def word_labels(sample: Sample, toxic: np.ndarray) -> np.ndarray:
     """Which word kinds the toxic documents of the sample are recognised by."""
     found = np.zeros((2, TABLE), np.int32)
@@ -180,12 +194,12 @@ def word_labels(sample: Sample, toxic: np.ndarray) -> np.ndarray:
             found[int(y), np.unique(sample.places[at])] += 1
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
     share = n1 / (n0 + n1)
-    chance = np.log(np.count_nonzero(found.any(axis=0)) + 1) + 3  # a feature passes by chance less than once
+    found[:, :32] = 0  # bias and lengths
     b, a = found.astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = a * np.log(a / ((a + b) * share)) + np.where(b > 0, b * np.log(b / ((a + b) * (1 - share))), 0.0)
-    sure = (a * n0 > RATIO * b * n1) & (gain >= chance)
-    sure[:32] = False  # bias and lengths
+    toxic_more = (a > 0) & (a * n0 > RATIO * b * n1)
+    sure = toxic_more & (np.where(toxic_more, gain, 0.0) >= least_gain(gain[toxic_more], (a + b)[found.any(axis=0)] * -np.log(share)))
     return np.bincount(sample.kinds, sure[sample.places], sample.n_kinds) > 0
 
 

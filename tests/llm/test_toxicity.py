@@ -95,3 +95,23 @@ def test_one_class_gives_its_share(make):
     chain = t.fit([b"a b", b"c"], [0, 0])
     assert t.score_toxicity(make([("x",)], "text string"), chain).first()["toxicity"]["score"] == 0.0
     assert t.fit([], []).constant == 0.0
+
+
+def test_rare_offending_words_are_marked():
+    """20 offending words in 9 of 200 toxic documents each, among many words of no meaning."""
+    rng = random.Random(5)
+    docs = [rng.choices([f"word{i}x".encode() for i in range(3000)], k=40) for _ in range(600)]
+    toxic = np.arange(600) % 3 == 0
+    bad = [bytes([97 + i]) * 6 + b"ish" for i in range(20)]
+    for i, word in enumerate(bad):
+        for at in rng.sample(range(200), 9):
+            docs[3 * at].append(word)
+    sample, kinds = t.Sample.of(docs), list(dict.fromkeys(w for d in docs for w in d))
+    marked = {kinds[i] for i in np.flatnonzero(t.word_labels(sample, toxic))}
+    assert set(bad) <= marked and len(marked - set(bad)) <= 5
+
+
+def test_no_word_is_marked_by_chance_alone():
+    rng = random.Random(6)
+    docs = [rng.choices([f"word{i}x".encode() for i in range(3000)], k=40) for _ in range(600)]
+    assert t.word_labels(t.Sample.of(docs), np.arange(600) % 3 == 0).sum() == 0
