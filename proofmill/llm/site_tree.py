@@ -8,8 +8,10 @@ importance: what looks and reads the same on every page is low, what differs is
 A branch of a page is removed if
 * its tag or names mark it as menu, header, footer, sidebar, notice, advert, form, script, style or comments (importance 0), or
 * it lies outside the article where the page has one, or
-* its node was seen on ``PAGES`` different pages of the host or more and its importance is below ``LOW``. Plain text nodes
-  (paragraphs, headings, list items, cells) are never removed by importance: all of a page's paragraphs share one node.
+* the importance of its node is below ``LOW``. Importance is weighed by evidence: a node counts as ``PRIOR`` pages of full importance
+  besides those it was seen on, so what is the same everywhere sinks smoothly with the number of pages (1/3 on two, 1/6 on five). Plain text nodes
+  (paragraphs, headings, list items, cells) are not removed as nodes: all of a page's paragraphs share one. Their texts are leaves of the
+  tree, each with an importance of its own: the share of the node's pages that lack the text, weighed in the same way.
 
 Pages of one host with the same text count once, so copies of a page do not make its article look like boilerplate.
 
@@ -35,8 +37,9 @@ from pyspark.sql import functions as F
 from proofmill.llm.common import small_batches
 from proofmill.session import stored
 
-PAGES = 20
 LOW = 0.2
+#: Pages of full importance that every node and leaf counts besides those seen.
+PRIOR = 1
 #: Weight of presentation beside content in a node's importance.
 PRESENTATION = 0.25
 
@@ -98,8 +101,8 @@ def _open(parent: Node, tag: str, source: str) -> Node:
 
 
 def parse(source: str) -> tuple[list[tuple[str, tuple[int, ...], bool]], dict[int, tuple[int, int]], bool]:
-    """Kept text blocks in page order with the nodes above them that importance may remove and whether they are in the
-    article; presentation and content hash of each node; whether the page has an article."""
+    """Kept text blocks in page order with the nodes above them (those that importance may remove, then the text's own node and leaf) and
+    whether they are in the article; presentation and content hash of each node; whether the page has an article."""
     root = Node("", 0, True, False, ())
     stack, blocks, has_article = [root], [], False
     seen: dict[int, tuple[list[str], list[str]]] = {}
@@ -114,7 +117,8 @@ def parse(source: str) -> tuple[list[tuple[str, tuple[int, ...], bool]], dict[in
                 for n in stack[1:]:
                     n.text.append(text)
                 if node.kept:
-                    blocks.append((text, node.learned, node.content))
+                    leaf = xxhash.xxh64_intdigest(f"{node.key} {text}") - (1 << 63)
+                    blocks.append((text, (*node.learned, node.key, leaf), node.content))
 
     def close(node: Node) -> None:
         kids, texts = seen.setdefault(node.key, ([], []))
@@ -174,7 +178,7 @@ def parse(source: str) -> tuple[list[tuple[str, tuple[int, ...], bool]], dict[in
     return blocks, nodes, has_article
 
 
-_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("nodes", pa.list_(pa.int64()))]))
+_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("nodes", pa.list_(pa.int64())), ("own", pa.int64()), ("leaf", pa.int64())]))
 _NODES = pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64()), ("content", pa.int64())]))
 
 
@@ -185,7 +189,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found, tree, has_article = parse(source or "")
             kept = [(t, n) for t, n, inside in found if inside or not has_article]
             bodies.append(xxhash.xxh64_intdigest("\n".join(t for t, _ in kept)) - (1 << 63))
-            blocks.append([{"text": t, "nodes": list(n)} for t, n in kept])
+            blocks.append([{"text": t, "nodes": list(n[:-2]), "own": n[-2], "leaf": n[-1]} for t, n in kept])
             nodes.append([{"node": k, "style": s, "content": c} for k, (s, c) in tree.items()])
         yield pa.RecordBatch.from_arrays(
             [*batch.select(["row", "page_id", "url"]).columns, pa.array(bodies, pa.int64()), pa.array(blocks, _BLOCKS), pa.array(nodes, _NODES)],
@@ -208,18 +212,33 @@ def importance(nodes: DataFrame) -> DataFrame:
     return sums.groupBy("host", "node").agg(F.max("m").alias("pages"), F.sum(weight * entropy).alias("importance"))
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = PAGES, low: float = LOW) -> DataFrame:
+def weighed(pages: Column, importance: Column) -> Column:
+    return (pages * importance + PRIOR) / (pages + PRIOR)
+
+
+def low_leaves(parsed: DataFrame, weights: DataFrame, low: float) -> DataFrame:
+    """(host, node) of the texts that stand under the same node on nearly all of its pages; pages of one text count once."""
+    leaves = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["own"].alias("node"), b["leaf"].alias("leaf"))))
+    once = parsed.groupBy("host", "body").agg(F.first(leaves).alias("leaves"))
+    counts = once.select("host", F.explode("leaves").alias("x")).groupBy("host", "x.node", "x.leaf").agg(F.count("*").alias("n"))
+    often = counts.where(weighed(F.col("n"), F.lit(0)) < low)  # no other text can be low, however few pages its node has
+    return often.join(weights, ["host", "node"]).where(weighed(F.col("pages"), 1 - F.col("n") / F.col("pages")) < low).select("host", F.col("leaf").alias("node"))
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", low: float = LOW) -> DataFrame:
     """page_id, url, text for every row of ``pages``."""
     small_batches(pages.sparkSession)
     source = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    parsed = source.mapInArrow(_pages, "row long, page_id long, url string, body long, blocks array<struct<text:string,nodes:array<long>>>, nodes array<struct<node:long,style:long,content:long>>")
+    parsed = source.mapInArrow(_pages, "row long, page_id long, url string, body long, blocks array<struct<text:string,nodes:array<long>,own:long,leaf:long>>, nodes array<struct<node:long,style:long,content:long>>")
     parsed = stored(parsed.withColumn("host", host_of("url")), "pages")
     nodes = parsed.select("host", "body", F.explode("nodes").alias("x")).select("host", "body", "x.*")
-    tree = importance(nodes).where((F.col("pages") >= least_pages) & (F.col("importance") < low))
+    weights = stored(importance(nodes), "style-tree")
+    tree = weights.where(weighed(F.col("pages"), F.col("importance")) < low)
     # Only nodes that some block can be removed by: a host's list stays as short as its templates.
     above = parsed.select("host", F.explode(F.array_distinct(F.flatten("blocks.nodes"))).alias("node")).distinct()
-    lows = stored(tree.join(above, ["host", "node"], "left_semi").groupBy("host").agg(F.collect_list("node").alias("lows")), "low-nodes")
+    low_nodes = tree.join(above, ["host", "node"], "left_semi").select("host", "node").unionByName(low_leaves(parsed, weights, low))
+    lows = stored(low_nodes.groupBy("host").agg(F.collect_list("node").alias("lows")), "low-nodes")
     joined = parsed.select("page_id", "url", "host", "blocks").join(lows, "host", "left")
     none = F.expr("array()").cast("array<long>")
-    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["nodes"], F.coalesce("lows", none)))
+    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["nodes"], F.coalesce("lows", none)) & ~F.array_contains(F.coalesce("lows", none), b["leaf"]))
     return joined.select("page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text"))

@@ -58,3 +58,15 @@ def test_all_pages_equal_a_plain_reading(spark, data):
         article = re.search("<article>(.*)</article>", r["html"], re.S)[1]
         parts = re.split("</?(?:p|h1|br)>", re.sub("</?b>", "", article))
         assert got[r["page_id"]] == "\n".join(x for x in (" ".join(html.unescape(p).split()) for p in parts) if x)
+
+
+def test_hosts_below_twenty_pages_are_learned(make):
+    pages = [(100 * n + i, f"http://h{n}.example/{i}", f"<div class='wrap'><div class='story'><p>Story {i} of {n}</p></div><div class='blurb'>Read our paper.</div></div>") for n in (6, 12, 19) for i in range(n)]
+    got = {r["page_id"]: r["text"] for r in s.main_text(make(pages, PAGES)).collect()}
+    assert got == {100 * n + i: f"Story {i} of {n}" for n in (6, 12, 19) for i in range(n)}
+
+
+def test_repeated_plain_texts_go_and_others_stay(make):
+    pages = [(i, f"http://h.example/{i}", f"<div class='story'><h2>Title {i}</h2><p>Story {i}</p><p>Read our paper.</p><p>Part {i % 2}</p></div>") for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in s.main_text(make(pages, PAGES)).collect()}
+    assert got == {i: f"Title {i}\nStory {i}\nPart {i % 2}" for i in range(30)}
