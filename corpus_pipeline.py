@@ -52,8 +52,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of a power of two of ids, each from one document, with their ids."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    """Sequences of a power of two of ids, each from one document, with their ids, in buckets of equal length."""
+    return packing.pack_by_length(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

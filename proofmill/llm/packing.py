@@ -5,9 +5,9 @@ its rest into the powers of two that sum to it, largest first. Pieces of equal l
 bucket, and every piece is a sequence of its own: no sequence crosses documents and none is padded.
 
 Scale. Documents are never shuffled or gathered: each task encodes its own rows and
-emits its pieces. A sequence id is the task's number and the row's place in it, so it needs no
+writes its pieces; only pieces are dealt out. A sequence id is the task's number and the row's place in it, so it needs no
 global counting; documents must be a scan or a written table, whose rows come again in the
-same order when a task is repeated. ``by_length`` orders the pieces by bucket for training.
+same order when a task is repeated. ``pack_by_length`` orders the written pieces by bucket for training.
 
 Encoding. A pre-token's ids come from the library's merges, once per pre-token and cache
 generation (bounded). Special strings inside texts become their single ids.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.llm import pretokens
-from proofmill.llm.common import small_batches, without
+from proofmill.llm.common import small_batches, stored, without
 
 END_ID = 1
 SEQUENCE = 2048
@@ -85,7 +85,7 @@ def pack(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = SEQUENCE, end_id: int = END_ID,
     with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset, and the ids (little-endian bytes) if asked for."""
+    """One row per piece: doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset, bucket (log2 of length), and the ids (little-endian bytes) if asked for."""
     if limit < 1 or limit & (limit - 1):
         raise ValueError("the sequence length must be a power of two")
     small_batches(docs.sparkSession)
@@ -119,11 +119,17 @@ def pack(
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     kinds = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary"
     out = source.mapInArrow(run, kinds).select(
-        "*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        "*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        F.log2("length").cast("int").alias("bucket"),
     )
     return out if with_ids else without(out, "ids")
 
 
+def pack_by_length(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:
+    """``pack`` in bucket order. Pieces are written first, so that dealing them out does not encode the texts again."""
+    return by_length(stored(pack(docs, tokenizer_path, **options), "pieces"))
+
+
 def by_length(pieces: DataFrame) -> DataFrame:
-    """Pieces dealt by bucket; a bucket's pieces are spread over as many tasks as they need."""
+    """Pieces (a written table) dealt by bucket; a bucket's pieces are spread over as many tasks as they need."""
     return pieces.repartitionByRange("length", "sequence_id").sortWithinPartitions("length", "sequence_id")

@@ -81,7 +81,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack_by_length(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
 QUERIES: dict[str, Query] = {

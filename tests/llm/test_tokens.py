@@ -74,3 +74,14 @@ def test_pieces_hold_every_id_once(odd_docs):
     assert sorted(documents, key=repr) == sorted(want, key=repr)
     assert packing.by_length(packing.pack(odd_docs, BYTES)).count() == len(rows)
     assert packing.pack(odd_docs.limit(0), BYTES).count() == 0
+
+
+def test_registered_packing_is_in_buckets(spark, data):
+    from proofmill.llm import queries
+
+    frame = queries.QUERIES["op10_packing"](spark, data)
+    parts = [p for p in frame.select("bucket", "length").rdd.glom().collect() if p]
+    assert all(1 << r["bucket"] == r["length"] for p in parts for r in p)
+    assert all([r["length"] for r in p] == sorted(r["length"] for r in p) for p in parts)
+    ends = sorted((p[0]["length"], p[-1]["length"]) for p in parts)
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
