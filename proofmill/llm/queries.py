@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmill.llm import (
+    collocations,
     cotrain,
     decontaminate,
     embedding_dedup,
     packing,
+    phrase_fingerprint,
+    prefix_trie,
     secrets,
     sharding,
     site_tree,
@@ -84,6 +87,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_by_length(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return phrase_fingerprint.as_text(phrase_fingerprint.fingerprint_pairs(docs))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -95,5 +111,15 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
+    "op12_phrase_fingerprint": op12_phrase_fingerprint,
+    "op13_prefix_trie": op13_prefix_trie,
+}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": decontaminate.ORACLE,
+    "op6_superminhash": superminhash.ORACLE,
+    "op7_embedding_dedup": embedding_dedup.ORACLE,
+    "op9_secret_scan": secrets.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
-ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE, "op6_superminhash": superminhash.ORACLE, "op7_embedding_dedup": embedding_dedup.ORACLE, "op9_secret_scan": secrets.ORACLE}

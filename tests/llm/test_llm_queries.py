@@ -12,7 +12,7 @@ import corpus_pipeline
 from proofmill.llm import decontaminate, pretokens, queries, secrets
 from proofmill.llm.common import folded_words
 
-TABLES = ["documents", "benchmark", "embeddings", "pages", "labels"]
+TABLES = ["documents", "benchmark", "embeddings", "pages", "labels", "conversations"]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -39,7 +39,7 @@ def test_other_queries_return_a_row_for_each(spark, data, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
     assert "pipeline" in entry.queries()
 
 
