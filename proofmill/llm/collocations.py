@@ -39,25 +39,75 @@ WINDOW = 4
 LONGEST = WINDOW + 1
 #: One window in so many triggers.
 DIVISOR = 16
-#: Distinct chunks or phrases that a task holds before it emits them.
-HELD = 200_000
-#: Chunks, or texts, that are worked on at once.
-CHUNKS, TEXTS = 8192, 256
+#: Distinct chunks and phrases that a task holds before it emits them.
+HELD_CHUNKS, HELD_PHRASES = 200_000, 500_000
+#: Bytes of text that are worked on at once (a row is never split).
+BLOCK = 1 << 20
 #: Bits of the bitmap, as a power of two.
 BITS = 26
 
 # Folds A-Z; punctuation and line ends become line feeds, tabs become spaces.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b for b in range(256))
-# Fixed value: an odd multiplier that spreads sums of word hashes over 64 bits.
-_SPREAD = 0x9E3779B97F4A7C15
-
-
-def _words(data: bytes) -> list[bytes]:
-    return [w for w in data.split(b" ") if w]
-
-
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(crc32, words), np.uint64, len(words)) + np.uint64(1)
+# Odd multipliers of the hashes of words and of windows.
+_BYTE, _SPREAD = 0x100000001B3, 0x9E3779B97F4A7C15
+
+
+def _offsets(column: pa.Array) -> np.ndarray:
+    """Where the texts of a column begin and end in its data."""
+    large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    if not len(column):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(column.buffers()[1], np.int64 if large else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+
+
+class Words:
+    """The words of some rows of text: bytes between spaces and line feeds; all places are in ``data``."""
+
+    def __init__(self, column: pa.Array, fold: bool = False) -> None:
+        offsets = _offsets(column)
+        buffer = column.buffers()[2]
+        data = b"" if buffer is None else buffer[int(offsets[0]) : int(offsets[-1])].to_pybytes()
+        self.data = data.translate(_FOLD) if fold else data
+        offsets = offsets - offsets[0]
+        codes = np.frombuffer(self.data, np.uint8)
+        line = codes == 10
+        inside = ~(line | (codes == 32))
+        edge = np.zeros(len(codes) + 1, bool)
+        edge[offsets] = True
+        before = np.concatenate(([False], inside[:-1])) if len(codes) else inside
+        after = np.concatenate((inside[1:], [False])) if len(codes) else inside
+        self.starts = np.flatnonzero(inside & (~before | edge[:-1]))
+        self.ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
+        self.row = np.searchsorted(offsets, self.starts, side="right") - 1
+        lines = np.cumsum(line)[self.starts] if len(codes) else self.starts
+        opens = np.ones(len(self.starts), bool)
+        opens[1:] = (self.row[1:] != self.row[:-1]) | (lines[1:] != lines[:-1])
+        self.opens = np.flatnonzero(opens)
+        #: place of each word in its piece
+        self.place = np.arange(len(opens)) - np.repeat(self.opens, np.diff(np.append(self.opens, len(opens))))
+        self.hash = self._hash(codes[inside])
+
+    def _hash(self, codes: np.ndarray) -> np.ndarray:
+        if not len(codes):
+            return np.zeros(0, np.uint64)
+        sizes = self.ends - self.starts
+        first = np.cumsum(sizes) - sizes
+        powers = np.cumprod(np.full(int(sizes.max()), _BYTE, np.uint64))
+        return np.add.reduceat((codes + np.uint64(1)) * powers[np.arange(len(codes)) - np.repeat(first, sizes)], first)
+
+    def cut(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The text from each first word to each last one."""
+        data = self.data
+        return [data[i:j] for i, j in zip(self.starts[first].tolist(), self.ends[last].tolist(), strict=True)]
+
+
+def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with some ``BLOCK`` bytes in the given column."""
+    offsets, at = _offsets(batch.column(column)), 0
+    while at < batch.num_rows:
+        end = max(int(np.searchsorted(offsets, int(offsets[at]) + BLOCK, side="right")) - 1, at + 1)
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def _windows(words: np.ndarray, k: int, seed: np.ndarray | np.uint64) -> np.ndarray:
@@ -70,68 +120,57 @@ def _windows(words: np.ndarray, k: int, seed: np.ndarray | np.uint64) -> np.ndar
     return total ^ (total >> np.uint64(32))
 
 
-def parse(texts: list[tuple[str, bytes]], window: int = WINDOW, divisor: int = DIVISOR) -> Iterator[tuple[str, int, bytes]]:
-    """(lang, leading words, chunk) of every chunk of the texts, in order."""
-    words, langs, ends = [], [], []
-    for lang, text in texts:
-        for piece in text.translate(_FOLD).split(b"\n"):
-            found = _words(piece)
-            if found:
-                words += found
-                langs.append(lang)
-                ends.append(len(words))
-    if not words:
-        return
-    bounds = np.array(ends)
-    starts = np.concatenate(([0], bounds[:-1]))
-    place = np.arange(len(words)) - np.repeat(starts, bounds - starts)
-    trigger = (place >= window - 1) & (_windows(_hashes(words), window, np.uint64(0)) % np.uint64(divisor) == 0)
-    cuts = np.union1d(np.flatnonzero(trigger) + 1, bounds)
+def parse(texts: pa.Array, window: int = WINDOW, divisor: int = DIVISOR) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Row, number of leading words and chunk, for every chunk of the texts, in order."""
+    words = Words(texts, fold=True)
+    size = len(words.starts)
+    if not size:
+        return words.row, words.row, []
+    trigger = (words.place >= window - 1) & (_windows(words.hash, window, np.uint64(0)) % np.uint64(divisor) == 0)
+    cuts = np.union1d(np.flatnonzero(trigger) + 1, np.append(words.opens[1:], size))
     begins = np.concatenate(([0], cuts[:-1]))
-    of = np.searchsorted(bounds, begins, side="right")
-    lead = np.where(begins == starts[of], 0, window)
-    for begin, end, piece, first in zip(begins.tolist(), cuts.tolist(), of.tolist(), lead.tolist(), strict=True):
-        yield langs[piece], first, b" ".join(words[begin - first : end])
-
-
-def _emit(names: list[str], keys: list[tuple], counts: list[int]) -> pa.RecordBatch:
-    columns = [list(c) for c in zip(*keys, strict=True)] or [[] for _ in names]
-    arrays = [pa.array(c, pa.int32()) if n == "lead" else pa.array(c, pa.string()) for n, c in zip(names, columns, strict=True)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64())], names=[*names, "freq"])
+    lead = np.where(words.place[begins] == 0, 0, window)
+    chunks = words.cut(begins - lead, cuts - 1)
+    if b"  " in words.data:
+        chunks = [b" ".join(c.split()) if b"  " in c else c for c in chunks]
+    return words.row[begins], lead, chunks
 
 
 def dictionary(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """(lang, lead, chunk, freq): every distinct chunk and how often the parse has it."""
     ship_code(docs.sparkSession)
-    names = ["lang", "lead", "chunk"]
+
+    def emit(held: dict[tuple[str, int], Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, lead), found in held.items():
+            chunks = pa.array(found.keys(), pa.binary()).cast(pa.string())
+            columns = [pa.array([lang] * len(found), pa.string()), pa.array([lead] * len(found), pa.int32()), chunks, pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "lead", "chunk", "freq"])
+        held.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: dict[tuple[str, int], Counter] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
-                held.update(parse(list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)), divisor=divisor))
-                if len(held) > HELD:
-                    yield _emit(names, list(held), list(held.values()))
-                    held = Counter()
-        yield _emit(names, list(held), list(held.values()))
+            for part in _blocks(batch, 1):
+                row, lead, chunks = parse(part.column(1), divisor=divisor)
+                langs, lang, _ = _langs(part)
+                group = lang[row] * 2 + (lead > 0)
+                for g in np.unique(group).tolist():
+                    of = np.flatnonzero(group == g).tolist()
+                    held.setdefault((langs[g // 2], WINDOW * (g % 2)), Counter()).update([chunks[i] for i in of])
+                if sum(map(len, held.values())) > HELD_CHUNKS:
+                    yield from emit(held)
+        yield from emit(held)
 
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     seen = rows.mapInArrow(run, "lang string, lead int, chunk string, freq long")
-    return seen.groupBy(*names).agg(F.sum("freq").alias("freq"))
+    return seen.groupBy("lang", "lead", "chunk").agg(F.sum("freq").alias("freq"))
 
 
-def _flat(part: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the rows' texts, with their row, place in the row and word hashes, and the rows' seeds."""
-    texts = [_words(t.encode()) for t in part.column("chunk").to_pylist()]
-    words = [w for t in texts for w in t]
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    row = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    langs = part.column("lang").to_pylist()
-    known = {lang: crc32(lang.encode()) for lang in set(langs)}
-    seeds = np.fromiter((known[lang] for lang in langs), np.uint64, len(langs))
-    return words, row, place, _hashes(words), seeds
+def _langs(part: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The rows' langs, the number of each row's lang, and a seed for each lang."""
+    coded = part.column("lang").dictionary_encode()
+    langs = coded.dictionary.to_pylist()
+    return langs, coded.indices.to_numpy(), np.array([crc32(lang.encode()) for lang in langs], np.uint64)
 
 
 def _bit(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -141,32 +180,40 @@ def _bit(hashes: np.ndarray, bits: int) -> np.ndarray:
 def count_phrases(chunks: DataFrame, k: int, shorter=None, bits: int = BITS) -> DataFrame:
     """(lang, phrase, freq) of the phrases of k words whose first and last k - 1 words are in the bitmap ``shorter``."""
 
+    def emit(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, found in held.items():
+            phrases = pa.array(found.keys(), pa.binary()).cast(pa.string())
+            columns = [pa.array([lang] * len(found), pa.string()), phrases, pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "freq"])
+        held.clear()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = None if shorter is None else np.frombuffer(shorter.value, np.uint8)
-        held: Counter = Counter()
+        held: dict[str, Counter] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, CHUNKS):
-                part = batch.slice(at, CHUNKS)
-                words, row, place, hashes, seeds = _flat(part)
-                if not words:
-                    continue
+            for part in _blocks(batch, 2):
+                words = Words(part.column("chunk"))
+                langs, lang, seeds = _langs(part)
                 lead, freq = part.column("lead").to_numpy(), part.column("freq").to_numpy()
-                wanted = (place >= k - 1) & (place >= lead[row])
+                wanted = (words.place >= k - 1) & (words.place >= lead[words.row])
                 if bitmap is not None:
-                    bit = _bit(_windows(hashes, k - 1, seeds[row]), bits)
+                    bit = _bit(_windows(words.hash, k - 1, seeds[lang[words.row]]), bits)
                     there = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
                     wanted &= there
                     wanted[1:] &= there[:-1]
-                ends = np.flatnonzero(wanted)
-                langs = part.column("lang").to_pylist()
-                once = freq[row[ends]] == 1
-                held.update((langs[r], b" ".join(words[e + 1 - k : e + 1])) for r, e in zip(row[ends[once]].tolist(), ends[once].tolist(), strict=True))
-                for r, e in zip(row[ends[~once]].tolist(), ends[~once].tolist(), strict=True):
-                    held[langs[r], b" ".join(words[e + 1 - k : e + 1])] += int(freq[r])
-                if len(held) > HELD:
-                    yield _emit(["lang", "phrase"], list(held), list(held.values()))
-                    held = Counter()
-        yield _emit(["lang", "phrase"], list(held), list(held.values()))
+                last = np.flatnonzero(wanted)
+                row = words.row[last]
+                for number, name in enumerate(langs):
+                    own = lang[row] == number
+                    counter = held.setdefault(name, Counter())
+                    once = last[own & (freq[row] == 1)]
+                    counter.update(words.cut(once + 1 - k, once))
+                    often = own & (freq[row] != 1)
+                    for phrase, n in zip(words.cut(last[often] + 1 - k, last[often]), freq[row[often]].tolist(), strict=True):
+                        counter[phrase] += n
+                if sum(map(len, held.values())) > HELD_PHRASES:
+                    yield from emit(held)
+        yield from emit(held)
 
     seen = chunks.select("lang", "lead", "chunk", "freq").mapInArrow(run, "lang string, phrase string, freq long")
     return seen.groupBy("lang", "phrase").agg(F.sum("freq").alias("freq"))
@@ -177,10 +224,10 @@ def bitmap_of(phrases: DataFrame, k: int, bits: int = BITS) -> bytes | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, CHUNKS):
-                part = batch.slice(at, CHUNKS)
-                _, row, place, hashes, seeds = _flat(part)
-                bit = _bit(_windows(hashes, k, seeds[row])[place == k - 1], bits)
+            for part in _blocks(batch, 1):
+                words = Words(part.column("chunk"))
+                _, lang, seeds = _langs(part)
+                bit = _bit(_windows(words.hash, k, seeds[lang[words.row]])[words.place == k - 1], bits)
                 mask = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(bit >> 6, pa.int64()), pa.array(mask, pa.int64())], names=["slot", "mask"])
 

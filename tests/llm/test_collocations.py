@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from proofmill.llm import collocations as co
@@ -76,9 +78,9 @@ def test_equals_plain_counting(make, options):
 @pytest.mark.parametrize("divisor", [1, 3, 16, 1000])
 def test_chunks_hold_every_phrase_once(divisor):
     rows = documents(2, 40)
-    texts = [(lang or "und", text.encode()) for _, text, lang in rows]
     seen = Counter()
-    for lang, lead, chunk in co.parse(texts, divisor=divisor):
+    for row, lead, chunk in zip(*co.parse(pa.array([text.encode() for _, text, _ in rows]), divisor=divisor), strict=True):
+        lang = rows[row][2] or "und"
         words = chunk.decode().split(" ")
         assert lead in (0, 4) and len(words) > lead
         for k in range(1, 6):
@@ -90,10 +92,22 @@ def test_chunks_hold_every_phrase_once(divisor):
 def test_shared_passages_share_chunks():
     rng = random.Random(5)
     passage = " ".join(f"w{rng.randrange(1000)}" for _ in range(400))
-    apart = [set(co.parse([("en", f"{before} {passage}".encode())])) for before in ("a b c", "quite another beginning of more words than the first")]
+    apart = [set(co.parse(pa.array([f"{before} {passage}".encode()]))[2]) for before in ("a b c", "quite another beginning of more words than the first")]
     assert len(apart[0] & apart[1]) >= len(apart[0]) - 2 > 10
 
 
+def test_words_of_a_block():
+    texts = ["", "A b.c", "  ", "", "\td  ünï,", "e", "f" * 3000, "g h"]
+    for column in (pa.array([t.encode() for t in texts]), pa.array([b"z z"] + [t.encode() for t in texts]).slice(1)):
+        words = co.Words(column, fold=True)
+        every = np.arange(len(words.row))
+        assert list(zip(words.row.tolist(), words.place.tolist(), words.cut(every, every), strict=True)) == [
+            (1, 0, b"a"), (1, 1, b"b"), (1, 0, b"c"), (4, 0, b"d"), (4, 1, "ünï".encode()), (5, 0, b"e"), (6, 0, b"f" * 3000), (7, 0, b"g"), (7, 1, b"h"),
+        ]
+        assert len(set(words.hash.tolist())) == 9 and words.hash[0] == co.Words(pa.array([b"x a"])).hash[1]
+    assert len(co.Words(pa.array([], pa.binary())).hash) == 0
+
+
 def test_odd_rows(make):
     rows = [(1, None, "en"), (2, "", None), (3, " \t.,", "en"), (4, "one two " * 50_000, "en"), (5, "B b\x0cB", None), (5, "B b\x0cB", None), (None, "B b", "und")]
     clash = make([(*r, 1, "p", 2) for r in rows], DOCS + ", lead int, phrase string, n long")
