@@ -7,8 +7,8 @@ each distinct chunk once, with its frequency in the parse. Phrases are counted i
 that frequency. A phrase of up to five words lies whole in the chunk that has its last word behind the chunk's leading four; there
 alone it is counted, so what chunks share is counted once.
 
-Counting goes by length. A phrase of k words can be frequent only if its first and last k - 1 words are, so each pass
-asks a bitmap of the frequent phrases of the length before. The bitmap has a fixed size and no false negatives; a false
+Counting goes by length, in the passes of ``PASSES``. A phrase can be frequent only if the shorter ones in it are, so each pass
+asks a bitmap of the longest frequent phrases before. The bitmap has a fixed size and no false negatives; a false
 positive is counted and then falls to the threshold, so counts are exact at every size.
 
 Scale. Documents are read once; the dictionary is written and scanned once per length. Tasks count before they shuffle, sums are
@@ -39,6 +39,8 @@ WINDOW = 4
 LONGEST = WINDOW + 1
 #: One window in so many triggers.
 DIVISOR = 16
+#: Lengths that are counted in one scan of the dictionary.
+PASSES = ((1,), (2,), (3,), (4, 5))
 #: Distinct chunks and phrases that a task holds before it emits them.
 HELD_CHUNKS, HELD_PHRASES = 200_000, 500_000
 #: Bytes of text that are worked on at once (a row is never split).
@@ -177,8 +179,9 @@ def _bit(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def count_phrases(chunks: DataFrame, k: int, shorter=None, bits: int = BITS) -> DataFrame:
-    """(lang, phrase, freq) of the phrases of k words whose first and last k - 1 words are in the bitmap ``shorter``."""
+def count_phrases(chunks: DataFrame, sizes: tuple[int, ...], shorter=None, bits: int = BITS) -> DataFrame:
+    """(lang, phrase, freq) of the phrases of these lengths; all shorter ones in them, of one word less than the least length, are in the bitmap."""
+    within = min(sizes) - 1
 
     def emit(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         for lang, found in held.items():
@@ -187,6 +190,17 @@ def count_phrases(chunks: DataFrame, k: int, shorter=None, bits: int = BITS) ->
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "freq"])
         held.clear()
 
+    def count(words: Words, last: np.ndarray, k: int, langs: list[str], lang: np.ndarray, freq: np.ndarray, held: dict[str, Counter]) -> None:
+        row = words.row[last]
+        for number, name in enumerate(langs):
+            own = lang[row] == number
+            counter = held.setdefault(name, Counter())
+            once = last[own & (freq[row] == 1)]
+            counter.update(words.cut(once + 1 - k, once))
+            often = own & (freq[row] != 1)
+            for phrase, n in zip(words.cut(last[often] + 1 - k, last[often]), freq[row[often]].tolist(), strict=True):
+                counter[phrase] += n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = None if shorter is None else np.frombuffer(shorter.value, np.uint8)
         held: dict[str, Counter] = {}
@@ -195,22 +209,15 @@ def count_phrases(chunks: DataFrame, k: int, shorter=None, bits: int = BITS) ->
                 words = Words(part.column("chunk"))
                 langs, lang, seeds = _langs(part)
                 lead, freq = part.column("lead").to_numpy(), part.column("freq").to_numpy()
-                wanted = (words.place >= k - 1) & (words.place >= lead[words.row])
+                own = words.place >= lead[words.row]
                 if bitmap is not None:
-                    bit = _bit(_windows(words.hash, k - 1, seeds[lang[words.row]]), bits)
+                    bit = _bit(_windows(words.hash, within, seeds[lang[words.row]]), bits)
                     there = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                    wanted &= there
-                    wanted[1:] &= there[:-1]
-                last = np.flatnonzero(wanted)
-                row = words.row[last]
-                for number, name in enumerate(langs):
-                    own = lang[row] == number
-                    counter = held.setdefault(name, Counter())
-                    once = last[own & (freq[row] == 1)]
-                    counter.update(words.cut(once + 1 - k, once))
-                    often = own & (freq[row] != 1)
-                    for phrase, n in zip(words.cut(last[often] + 1 - k, last[often]), freq[row[often]].tolist(), strict=True):
-                        counter[phrase] += n
+                for k in sizes:
+                    wanted = own & (words.place >= k - 1)
+                    for back in range(k - within + 1) if bitmap is not None else ():
+                        wanted[back:] &= there[: len(there) - back] if back < len(there) else False
+                    count(words, np.flatnonzero(wanted), k, langs, lang, freq, held)
                 if sum(map(len, held.values())) > HELD_PHRASES:
                     yield from emit(held)
         yield from emit(held)
@@ -243,11 +250,12 @@ def bitmap_of(phrases: DataFrame, k: int, bits: int = BITS) -> bytes | None:
 def frequent_phrases(chunks: DataFrame, at_least: int, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
     """(lang, phrase, k, freq) of every phrase of up to ``longest`` words that occurs so often."""
     spark, found, shorter = chunks.sparkSession, [], None
-    for k in range(1, longest + 1):
-        counted = count_phrases(chunks, k, shorter, bits).where(F.col("freq") >= at_least)
-        found.append(stored(counted.withColumn("k", F.lit(k)), f"phrases-{k}"))
-        if k < longest:
-            packed = bitmap_of(found[-1], k, bits)
+    passes = [tuple(k for k in sizes if k <= longest) for sizes in PASSES if sizes[0] <= longest]
+    for sizes in passes:
+        counted = count_phrases(chunks, sizes, shorter, bits).where(F.col("freq") >= at_least)
+        found.append(stored(counted.withColumn("k", F.size(F.split("phrase", " "))), f"phrases-{sizes[0]}"))
+        if sizes != passes[-1]:
+            packed = bitmap_of(found[-1], sizes[0], bits)
             if packed is None:
                 break
             shorter = spark.sparkContext.broadcast(packed)
