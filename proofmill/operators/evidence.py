@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from proofmill.functions.scalars import repeat_number
 from proofmill.schemas import EVIDENCE_LINE
+from proofmill.sources.lines import line_numbers
 
 TOKENS = "decimal(28,6)"
 _USAGE = {
@@ -114,9 +115,16 @@ def generation_calls(evidence: DataFrame) -> DataFrame:
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
-    """Every unusable line, whole: the quarantine table with file, place, problem and the line's text."""
-    place = F.col("block_start") if "block_start" in lines.columns else F.lit(None).cast("bigint").alias("block_start")
-    return evidence_key(lines).filter(F.col("problem").isNotNull()).select("run_id", "kind", "subset", "source", place, "problem", "line")
+    """Every unusable line, whole: the quarantine table with file, place, problem and the line's text.
+
+    Lines of a scan with ``numbered`` also get ``line_no``, their exact number in the file.
+    """
+    if "seq" not in lines.columns:
+        place = F.col("block_start") if "block_start" in lines.columns else F.lit(None).cast("bigint").alias("block_start")
+        return evidence_key(lines).filter(F.col("problem").isNotNull()).select("run_id", "kind", "subset", "source", place, "problem", "line")
+    bad = F.col("problem").isNotNull() & F.col("line").rlike(r"\S")
+    told = line_numbers(evidence_key(lines), bad, ["run_id", "kind", "subset", "problem", "line"])
+    return told.select("run_id", "kind", "subset", "source", "block_start", "line_no", "problem", "line")
 
 
 def malformed_summary(evidence: DataFrame) -> DataFrame:

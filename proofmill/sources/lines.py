@@ -8,7 +8,7 @@ prunes it by folder before any line is parsed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _PATH = r"/(predictions|reviews)/([^/]+)/([^/]+)\.jsonl$"
@@ -24,6 +24,39 @@ def _not_blank() -> Column:
     return F.col("value").rlike(r"\S")
 
 
+def plain_lines(reader, path: str, numbered: bool = False) -> DataFrame:
+    """``value`` and file metadata of each line; blank lines go, or stay with the running number ``seq`` of the scan."""
+    text = reader.text(path)
+    if not numbered:
+        return text.filter(_not_blank())
+    return text.select("*", "_metadata", F.monotonically_increasing_id().alias("seq"))
+
+
+#: Lines that ``line_numbers`` counts as one chunk.
+CHUNK = 16_384
+
+
+def line_numbers(lines: DataFrame, wanted: Column, columns: list[str]) -> DataFrame:
+    """The wanted lines with ``line_no``, their exact number in the file, blank lines counted; all else is only counted.
+
+    ``lines`` come from a scan with ``numbered``, which may split files anywhere: ``seq`` runs on within a block of a file,
+    so a chunk of the scan has its number of lines and its first ``seq``. Running sums of the chunks of a file, in order
+    of ``block_start``, give every chunk its first line. One scan does it all: nothing relies on a second one being split
+    alike. A chunk lists at most ``CHUNK`` lines.
+    """
+    row = F.struct("seq", *columns)
+    chunks = lines.groupBy("source", "block_start", F.floor(F.col("seq") / CHUNK).alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), F.collect_list(F.when(wanted, row)).alias("rows")
+    )
+    before = Window.partitionBy("source").orderBy("block_start", "first").rowsBetween(Window.unboundedPreceding, -1)
+    placed = chunks.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.size("rows") > 0)
+    one = placed.select("source", "block_start", "start", "first", F.explode("rows").alias("row"))
+    return one.select(
+        "source", "block_start", *[F.col(f"row.{c}").alias(c) for c in columns],
+        (F.col("start") + F.col("row.seq") - F.col("first") + 1).alias("line_no"),
+    )
+
+
 def scan_attempt_lines(
     spark: SparkSession, root: str, run_id: str, dataset: str, report_id: str | None = None
 ) -> DataFrame:
@@ -69,15 +102,15 @@ def write_partitioned_lines(lines: DataFrame, root: str) -> None:
     ).mode("overwrite").text(root)
 
 
-def scan_partitioned_lines(spark: SparkSession, root: str, owners: DataFrame | None = None) -> DataFrame:
-    """Lines of many runs. ``owners`` (run_id, report_id) keeps only each run's own model folder."""
+def scan_partitioned_lines(spark: SparkSession, root: str, owners: DataFrame | None = None, numbered: bool = False) -> DataFrame:
+    """Lines of many runs. ``owners`` (run_id, report_id) keeps only each run's own model folder; ``numbered`` as in ``line_numbers``."""
     schema = "value string, kind string, run_id string, report_id string, subset string"
-    lines = spark.read.schema(schema).text(root).filter(_not_blank())
+    lines = plain_lines(spark.read.schema(schema), root, numbered)
     lines = lines.select(
         "run_id", "kind", "report_id", "subset",
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.col("value").alias("line"),
+        F.col("value").alias("line"), *(["seq"] if numbered else []),
     )
     if owners is not None:
         lines = lines.join(owners.select("run_id", "report_id"), ["run_id", "report_id"], "left_semi")

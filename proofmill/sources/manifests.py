@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from proofmill.functions.canonical import canonical_variant, digest, json_hex, json_list, json_object, json_strings, json_text
 from proofmill.schemas import MANIFEST_DETAIL, RUN_MANIFEST
+from proofmill.sources.reports import read_documents
 
 
 def parse_run_manifests(documents: DataFrame) -> DataFrame:
@@ -51,13 +52,7 @@ def content_identity(document: Column) -> Column:
 
 
 def scan_run_manifests(spark: SparkSession, root: str) -> DataFrame:
-    files = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "run_manifest*.json")
-        .text(root, wholetext=True)
-    )
-    return parse_run_manifests(
-        files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
-    )
+    return parse_run_manifests(read_documents(spark, root, "run_manifest*.json"))
 
 
 def manifest_samples(manifests: DataFrame) -> DataFrame:

@@ -8,12 +8,9 @@ from pyspark.sql import functions as F
 from proofmill.schemas import METRIC, REPORT
 
 
-def read_report_text(spark: SparkSession, root: str) -> DataFrame:
-    """One row per JSON document below ``root``: path and text."""
-    files = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-        .text(root, wholetext=True)
-    )
+def read_documents(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """One row per file below ``root`` whose name matches: path and whole text."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
 
 
@@ -56,4 +53,4 @@ def report_columns(documents: DataFrame) -> DataFrame:
 
 def scan_reports(spark: SparkSession, root: str) -> DataFrame:
     """Every document below ``root`` with its flags; report members are NULL for the others."""
-    return parse_reports(read_report_text(spark, root))
+    return parse_reports(read_documents(spark, root))

@@ -1,10 +1,12 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from proofmill.operators import coverage, diagnostics, evidence
 from proofmill.plans.verdicts import coverage_verdicts
+from proofmill.sources import attempts
 from proofmill.sources import lines as source
 
 LINES = "run_id string, kind string, subset string, source string, line string"
@@ -192,3 +194,48 @@ def test_partitioned_layout_prunes_by_owner(spark, tmp_path):
     owners = spark.createDataFrame([("r1", "a"), ("r2", "a")], "run_id string, report_id string")
     kept = source.scan_partitioned_lines(spark, str(tmp_path / "l"), owners).collect()
     assert sorted((r.run_id, r.kind) for r in kept) == [("r1", "predicted"), ("r2", "reviewed")]
+
+
+def test_line_numbers_across_splits(spark, tmp_path):
+    """Files of many blocks, with blank lines, against plain reading; every split size gives the same numbers."""
+    rng = random.Random(1)
+    expected = set()
+    for name in ("set_a.jsonl", "set_b.jsonl", "set_empty.jsonl"):
+        docs = [] if "empty" in name else [rng.choice(["", "  ", "{cut", json.dumps(line(i)), json.dumps({"x": "y" * rng.randrange(300)})]) for i in range(900)]
+        write(tmp_path / "a1", "predictions", "model-a", name, docs)
+        for number, text in enumerate(docs, start=1):
+            if text.strip() and (text == "{cut" or '"x"' in text):
+                expected.add((name[4:-6], number, text))
+    owners = spark.createDataFrame([("a1", "r", "set", "model-a")], "attempt string, run_id string, dataset string, report_id string")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("700", "4096", "100000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            scanned = attempts.scan_attempt_folders(spark, str(tmp_path), owners, numbered=True)
+            told = evidence.malformed_lines(scanned)
+            assert scanned.select("block_start").distinct().count() > (10 if size == "700" else 0)
+            assert {(r.subset, r.line_no, r.line) for r in told.collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_paths_of_plain_and_partitioned_attempts(spark, tmp_path):
+    plain, parted = tmp_path / "plain", tmp_path / "parted"
+    for i in range(3):
+        write(plain / f"x{i}", "predictions", f"m{i % 2}", "set_s_1.jsonl", [line(0)])
+        write(plain / f"x{i}", "predictions", "foreign", "set_s_1.jsonl", [line(0)])
+        folder = parted / f"attempt=x{i}" / "kind=predictions" / f"report_id=m{i % 2}" / "file=set_s_1.jsonl"
+        folder.mkdir(parents=True)
+        (folder / "part-0.txt").write_text(json.dumps(line(0)) + "\n")
+    owners = spark.createDataFrame([(f"x{i}", f"r{i}", "set", f"m{i % 2}") for i in range(3)], "attempt string, run_id string, dataset string, report_id string")
+    expected = [(f"r{i}", "predicted", f"m{i % 2}", "s_1") for i in range(3)]
+    for root, pattern in ((plain, "*.jsonl"), (parted, "part-*")):
+        rows = attempts.scan_attempt_folders(spark, str(root), owners, pattern).collect()
+        assert sorted((r.run_id, r.kind, r.report_id, r.subset) for r in rows) == expected
+    for i in range(2):
+        (plain / f"x{i}" / "reports").mkdir()
+        (plain / f"x{i}" / "reports" / "r.json").write_text('{"dataset_name":"set","metrics":[]}')
+        (plain / f"x{i}" / "run_manifest.json").write_text(json.dumps({"attempt_id": f"r{i}"}) if i else "{broken")
+    assert sorted((r.attempt, r.is_report) for r in attempts.scan_attempt_reports(spark, str(plain)).collect()) == [("x0", True), ("x1", True)]
+    told = {r.attempt: r for r in attempts.scan_attempt_manifests(spark, str(plain)).collect()}
+    assert (told["x0"].run_id, told["x1"].run_id) == ("x0", "r1") and told["x0"].parse_failure and not told["x1"].parse_failure

@@ -194,7 +194,7 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
     return e.select(
         text_of("u", F.col("user_id")).alias("run_id"), text_of("s", i % 3).alias("subset"),
         F.when(i % 4 == 3, F.lit("reviewed")).otherwise(F.lit("predicted")).alias("kind"),
-        text_of("part-", i % 2).alias("source"), line.alias("line"),
+        text_of("part-", i % 2).alias("source"), line.alias("line"), i.alias("event_id"),
     )
 
 

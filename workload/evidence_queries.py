@@ -163,15 +163,6 @@ def stop_reason_counts(spark, sf):
     return diagnostics.stop_reason_counts(facts(spark, sf))
 
 
-@query(
-    "malformed_lines",
-    W + "SELECT run_id, kind, subset, source, problem, count(*) AS lines FROM facts WHERE problem IS NOT NULL GROUP BY ALL",
-)
-def malformed_lines(spark, sf):
-    told = evidence.malformed_lines(b.event_lines(spark, sf)).filter(F.col("line").isNotNull())
-    return told.groupBy("run_id", "kind", "subset", "source", "problem").agg(F.count(F.lit(1)).alias("lines"))
-
-
 @query(
     "malformed_summary",
     W + """

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from proofmill.operators import history, imports
 from proofmill.schemas import RUNS
 from proofmill.session import work_path
-from proofmill.sources import manifests as manifest_source
 from proofmill.sources import outcomes as outcome_sink
 from proofmill.sources import tables as store
 from workload import bindings as b
@@ -314,37 +313,3 @@ def sink_tables(spark, sf):
     how = {"runs": history.upsert_outcome, "metrics": lambda old, rows: history.replace_children(old, rows, changed)}
     store.merge(spark, root, {"runs": changed, "metrics": new}, "run_id", how, after=first)
     return store.read_table(spark, root, "metrics").select("run_id", "metric_name", "score")
-
-
-@query(
-    "scan_run_manifests",
-    W + """
-SELECT CAST(n AS VARCHAR) AS run_id, prio AS dataset, 'model-' || (c % 20) AS model_id, n % 4 AS samples, CASE WHEN n % 4 > 0 THEN sha256('q1') END AS first_digest
-FROM o""",
-)
-def scan_run_manifests(spark, sf):
-    """Write one manifest per order as JSON text, scan it back and unfold the stored samples."""
-    root = work_path(spark, "manifests")
-    n = F.col("o_orderkey")
-    sample = F.transform(
-        F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: i <= n % 4),
-        lambda i: F.named_struct(
-            F.lit("id"), i.cast("string"), F.lit("question_digest"), F.sha2(F.concat(F.lit("q"), i.cast("string")), 256)
-        ),
-    )
-    document = F.to_json(
-        F.struct(
-            n.cast("string").alias("attempt_id"), F.col("o_orderpriority").alias("dataset"),
-            b.text_of("model-", F.col("o_custkey") % 20).alias("model_id"),
-            F.create_map(F.lit("default"), sample).alias("sample_manifest_detail"),
-        )
-    )
-    table(spark, sf, "orders").select(document.alias("value")).write.text(root)
-    stored = spark.read.text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
-    manifests = manifest_source.parse_run_manifests(stored)
-    counted = manifest_source.manifest_samples(manifests).groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("samples"), F.max(F.when(F.col("pos") == 0, F.col("question_digest"))).alias("first_digest")
-    )
-    return manifests.select("run_id", "dataset", "model_id").join(counted, "run_id", "left").withColumn(
-        "samples", F.coalesce("samples", F.lit(0))
-    )

@@ -92,31 +92,6 @@ def metric_flatten(spark, sf):
     return flat_metrics(spark, sf).select(*_FLAT)
 
 
-@query(
-    "scan_reports",
-    """
-SELECT 'model-' || (l_suppkey % 5) AS model_name, 'set-' || l_returnflag AS dataset_name, l_linenumber % 7 <> 5 AS is_report,
-       l_linenumber % 7 = 6 AS parse_error, count(*) AS documents, CAST(sum(CASE WHEN l_linenumber % 7 IN (5, 6) THEN 0 ELSE 2 END) AS BIGINT) AS metrics
-FROM lineitem WHERE l_linenumber % 7 NOT IN (5, 6) GROUP BY ALL
-UNION ALL SELECT NULL, NULL, false, l_linenumber % 7 = 6, count(*), 0 FROM lineitem WHERE l_linenumber % 7 IN (5, 6) GROUP BY l_linenumber % 7 = 6
-""",
-)
-def scan_reports(spark, sf):
-    """Write every report as JSON text, scan and parse it back.
-
-    Line 5 documents lack the metrics list, line 6 documents are cut short.
-    """
-    root = work_path(spark, "reports")
-    line = F.col("l_linenumber") % 7
-    damaged = F.when(line == 5, F.lit('{"dataset_name":"other","metrics":{}}')).when(line == 6, F.concat(F.lit("{"), F.col("document")))
-    report_documents(spark, sf).select(damaged.otherwise(F.col("document")).alias("value")).write.text(root)
-    stored = spark.read.text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
-    parsed = report_source.parse_reports(stored)
-    return parsed.groupBy("model_name", "dataset_name", "is_report", "parse_error").agg(
-        F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.size("metrics")), F.lit(0)).alias("metrics")
-    )
-
-
 @query(
     "report_ownership",
     """
