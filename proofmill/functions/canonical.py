@@ -98,3 +98,23 @@ def canonical_variant(value: Column) -> Column:
         return F.when(text.contains("\\u00"), F.array_join(pieces, "\\\\")).otherwise(text)
 
     return let(F.to_json(value), fixed)
+
+
+# Private-use characters stand around a number while it is found, the first before its text while the document is a variant.
+_NUMBER_MARK, _NUMBER_END = "\ue000", "\ue001"
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
+
+
+def keep_numbers(json: Column) -> Column:
+    """JSON text in which every number is a marked string, so that a variant keeps it as written (``5.0`` is not ``5``).
+
+    ``restore_numbers`` undoes it. A string that is the mark and a number itself would be taken for one.
+    """
+    told = F.regexp_replace(json, f"({_STRING})|({_NUMBER})", f"$1{_NUMBER_MARK}$2{_NUMBER_END}")
+    bare = F.replace(told, F.lit(_NUMBER_MARK + _NUMBER_END), F.lit(""))
+    return F.regexp_replace(bare, f"{_NUMBER_MARK}({_NUMBER}){_NUMBER_END}", f'"{_NUMBER_MARK}$1"')
+
+
+def restore_numbers(json: Column) -> Column:
+    return F.regexp_replace(json, f'"{_NUMBER_MARK}({_NUMBER})"', "$1")

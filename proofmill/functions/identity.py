@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from proofmill.functions.canonical import canonical_variant, digest, json_object, json_strings, json_text, let
+from proofmill.functions.canonical import canonical_variant, digest, json_object, json_strings, json_text, keep_numbers, let, restore_numbers
 from proofmill.functions.redaction import redact_text
 
 # Settings that do not belong to the evaluation protocol.
@@ -72,8 +72,8 @@ def model_config_identity(alias: Column, model_id: Column, api_url: Column, depl
 
 
 def protocol_identity(config_json: Column) -> Column:
-    """Digest of a resolved configuration without model, storage and sampling settings."""
-    top = F.try_variant_get(F.try_parse_json(config_json), "$", "map<string,variant>")
+    """Digest of a resolved configuration without model, storage and sampling settings; numbers count as they are written."""
+    top = F.try_variant_get(F.try_parse_json(keep_numbers(config_json)), "$", "map<string,variant>")
     kept = F.map_filter(top, lambda key, _: ~key.isin(PROTOCOL_EXCLUDED_KEYS))
 
     def without_local_path(args: Column) -> Column:
@@ -98,7 +98,7 @@ def protocol_identity(config_json: Column) -> Column:
         return F.concat(json_text(entry["key"]), F.lit(":"), value)
 
     body = F.transform(F.map_entries(kept), member)
-    return digest(F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}")))
+    return digest(restore_numbers(F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}"))))
 
 
 def metric_key(name: Column, aggregation: Column, dimensions_json: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from proofmill.functions.canonical import digest, json_hex, json_object, json_text
 from proofmill.functions.scalars import decodable_base64
 from proofmill.operators.ordered import Digest, Rollup, plain_digests
+from proofmill.sources import files
 
 SAMPLE = ["run_id", "subset", "sample_id"]
 
@@ -53,9 +54,8 @@ def content_parts(samples: DataFrame) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """SHA-256 per file of a folder, keyed by path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select("path", F.sha2("content", 256).alias("file_sha256"))
+    """SHA-256 per file of a folder, of any size, keyed by path."""
+    return files.file_digests(spark, folder).select("path", F.col("sha256").alias("file_sha256"))
 
 
 def media_fingerprint(parts: DataFrame, files: DataFrame | None = None) -> DataFrame:

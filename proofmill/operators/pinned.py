@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from proofmill.sources.files import file_digests
 from proofmill.sources.tables import activate, current_version, stage
 
 DATA, IDS, SUMS = "data", "ids", "checksums"
-ROWS_PER_FILE = 100_000  # keeps each file small enough to be hashed as one value
 
 
 def pin_rows(table: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
@@ -17,8 +17,8 @@ def pin_rows(table: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
 
 
 def file_checksums(spark: SparkSession, folder: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.sha2("content", 256).alias("sha256"))
+    files = file_digests(spark, folder, "*.parquet")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "sha256")
 
 
 def pin_extract(
@@ -30,9 +30,7 @@ def pin_extract(
         if verdict["ok"]:
             return {"status": "exists", "path": root, "reason": verdict["reason"]}
     wanted = ids.select(id_column).distinct()
-    version = stage(
-        spark, root, {DATA: pin_rows(table, ids, id_column), IDS: wanted}, {"maxRecordsPerFile": ROWS_PER_FILE}
-    )
+    version = stage(spark, root, {DATA: pin_rows(table, ids, id_column), IDS: wanted})
     base = f"{root}/{version}"
     rows, expected = spark.read.parquet(f"{base}/{DATA}").count(), spark.read.parquet(f"{base}/{IDS}").count()
     if rows != expected:

@@ -2,18 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from proofmill.functions.canonical import let
+
+
+def common_prefix(left: Column, right: Column) -> Column:
+    """Length of the common beginning, bit by bit from the largest power of two: each step compares the next piece only."""
+    shorter = F.least(F.length(left), F.length(right))
+    powers = F.transform(F.sequence(F.floor(F.log2(F.greatest(shorter, F.lit(1)))).cast("int"), F.lit(0), F.lit(-1)), lambda b: F.pow(F.lit(2), b).cast("int"))
+    return F.aggregate(
+        powers, F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= shorter) & (F.substring(left, at + 1, step) == F.substring(right, at + 1, step)), at + step
+        ).otherwise(at),
+    )
+
+
+def _rest(texts: Column, turned: bool) -> Column:
+    """Both texts (a struct of l and r) without their common beginning, turned round first if asked for."""
+    left, right = (F.reverse(texts[c]) if turned else texts[c] for c in ("l", "r"))
+    whole = F.named_struct(F.lit("l"), left, F.lit("r"), right)
+    return let(
+        let(whole, lambda t: F.named_struct(F.lit("l"), t["l"], F.lit("r"), t["r"], F.lit("at"), common_prefix(t["l"], t["r"]))),
+        lambda t: F.named_struct(*[x for c in ("l", "r") for x in (F.lit(c), F.substring(t[c], t["at"] + 1, F.length(t[c])))]),
+    )
+
+
+#: Thresholds double at most so often; texts of a row are shorter than 2^31.
+_DOUBLINGS = 31
+
+
+def _banded(texts: Column) -> Column:
+    """Exact distance of trimmed texts: bands of doubling width, from the difference of lengths on, until the distance fits.
+
+    A band of half the shorter text is as wide as the table, which is then filled once, without a bound.
+    """
+    left, right = texts["l"], texts["r"]
+    least = F.greatest(F.abs(F.length(left) - F.length(right)), F.lit(1)).cast("bigint")
+    shorter = F.least(F.length(left), F.length(right))
+
+    def tried(found: Column, doubling: Column) -> Column:
+        threshold = (least * F.pow(F.lit(2), doubling)).cast("bigint")
+        banded = F.call_function("levenshtein", left, right, threshold.cast("int"))
+        return F.when(found >= 0, found).when(2 * threshold >= shorter, F.levenshtein(left, right)).otherwise(banded)
+
+    return F.when(shorter == 0, F.greatest(F.length(left), F.length(right))).otherwise(
+        F.aggregate(F.sequence(F.lit(0), F.lit(_DOUBLINGS - 1)), F.lit(-1), tried)
+    )
+
+
+def edit_distance(left: Column, right: Column) -> Column:
+    """Plain edit distance (substitution 1, no swaps) of whole texts; cost grows with length times distance. NULL if either is."""
+    pair = F.named_struct(F.lit("l"), left, F.lit("r"), right)
+    trimmed = let(let(pair, lambda t: _rest(t, False)), lambda t: _rest(t, True))
+    return F.when(left == right, F.lit(0)).when(left.isNotNull() & right.isNotNull(), let(trimmed, _banded))
+
 
 def edit_distance_scores(predictions: DataFrame, references: DataFrame, key: str, threshold: int | None = None) -> DataFrame:
-    """Plain edit distance per pair (substitution 1, no swaps), whole texts.
+    """Edit distance per pair, whole texts.
 
-    With ``threshold`` a larger distance is reported as -1 and costs less.
+    With ``threshold`` a larger distance is reported as -1. Pairs are dealt out anew before the work: their cost is far
+    above that of moving them, and a small table would be one task.
     """
-    pairs = predictions.join(references, key)
+    pairs = predictions.join(references, key).repartition(F.xxhash64("prediction"))
     distance = (
-        F.levenshtein("prediction", "reference")
+        edit_distance(F.col("prediction"), F.col("reference"))
         if threshold is None
         else F.levenshtein("prediction", "reference", threshold)
     )

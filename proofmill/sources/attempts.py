@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmill.sources import lines, manifests, reports
+from proofmill.sources.files import decoded
 
 _NAME = r"(?:[^/=]+=)?"
 _BEFORE = rf"^(?:.*?/)?{_NAME}([^/]+)/{_NAME}"
@@ -23,7 +24,7 @@ _BEFORE = rf"^(?:.*?/)?{_NAME}([^/]+)/{_NAME}"
 def below(root: str, path: Column | str = "_metadata.file_path") -> Column:
     """The part of a file's path that follows ``root``, decoded."""
     folder = re.escape(urlparse(root).path.rstrip("/"))
-    return F.regexp_replace(F.url_decode(F.col(path) if isinstance(path, str) else path), f"^.*?{folder}/+", "")
+    return F.regexp_replace(decoded(F.col(path) if isinstance(path, str) else path), f"^.*?{folder}/+", "")
 
 
 def attempt_of(relative: Column, inside: str) -> Column:

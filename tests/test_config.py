@@ -1,5 +1,7 @@
 import json
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +127,32 @@ def test_edit_distance(spark):
     got = {r.id: r.distance for r in text_distance.edit_distance_scores(predictions, references, "id").collect()}
     assert [got[i] for i in range(len(pairs))] == [d for *_, d in pairs]
     assert {r.distance for r in text_distance.edit_distance_scores(predictions, references, "id", 2).collect()} == {-1, 1, 2}
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, start=1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, start=1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_banded_distance_is_exact(spark):
+    rng = random.Random(8)
+    pairs = [("", ""), ("", "abc"), ("abc", ""), (None, "a"), ("a", None), ("same", "same"), ("ab", "ba"), ("aaaa", "aa"), ("中😀é", "é中")]
+    for size in (1, 5, 40, 200):
+        for _ in range(12):
+            a = "".join(rng.choice("abcé😀") for _ in range(size))
+            b = list(a)
+            for _ in range(rng.choice([0, 1, 2, 5, size])):
+                at = rng.randrange(len(b) + 1)
+                b[at : at + rng.randrange(3)] = rng.choice(["", "x", "yz"])
+            pairs.append((a, "".join(b)))
+            pairs.append((a, "".join(rng.choice("abcé😀") for _ in range(rng.randrange(2 * size)))))
+    left = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "id long, prediction string")
+    right = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(pairs)], "id long, reference string")
+    told = {r.id: r.distance for r in text_distance.edit_distance_scores(left, right, "id").collect()}
+    assert told == {i: None if None in p else _distance(*p) for i, p in enumerate(pairs)}
+    prefix = spark.createDataFrame([("abcd", "abxd"), ("", "a"), ("a" * 1000, "a" * 1023), ("😀b", "😀c")], "l string, r string")
+    assert [r.n for r in prefix.select(text_distance.common_prefix(F.col("l"), F.col("r")).alias("n")).collect()] == [2, 0, 1000, 1]

@@ -138,3 +138,20 @@ def test_secret_keys_are_exact_names_or_known_endings(spark):
     names = ["API-Key", "my token", " Password ", "x_secret", "max_tokens", "input_tokens", "tokenizer", "authorization"]
     frame = spark.createDataFrame([(n,) for n in names], "n string")
     assert one(frame, redaction.is_secret_key(F.col("n"))) == [True, True, True, True, False, False, False, True]
+
+
+def test_numbers_of_identities_count_as_written(spark):
+    import hashlib
+    import json
+
+    settings = [
+        {"seed": 42, "temperature": 5.0, "top_p": 5, "big": 10**25, "tiny": 1e-30, "neg": -0.5, "zero": 0, "list": [1, 1.0, "1.0", {"a": -7.25}]},
+        {"note": 'a "quoted 5.0" \\ 3 \\\\"', "empty": "", "5": "5", "n": None, "t": True, "u": "中 5.0", "esc": "\u0001\u001f"}, {}, {"x" * 20_000: "7" * 20_000, "y": 1.5},
+    ]
+    frame = spark.createDataFrame([(i, json.dumps(s), json.dumps(s, indent=3)) for i, s in enumerate(settings)], "i long, c string, d string")
+    rows = frame.select("i", identity.protocol_identity(F.col("c")).alias("c"), identity.protocol_identity(F.col("d")).alias("d")).collect()
+    for r in rows:
+        text = json.dumps(settings[r.i], sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        assert r.c == r.d == hashlib.sha256(text.encode()).hexdigest(), settings[r.i]
+    broken = spark.createDataFrame([("{cut",), ('{"a":01}',), ('{"a":5.}',), (None,)], "c string")
+    assert len({r.x for r in broken.select(identity.protocol_identity(F.col("c")).alias("x")).collect()}) == 1

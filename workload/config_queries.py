@@ -100,13 +100,13 @@ def model_config_identity(spark, sf):
     "protocol_identity",
     """
 SELECT event_id, sha256('{"dataset_args":{"d":{"shots":' || json_extract_string(props, '$.k') || '}},"generation_config":{"stop":["a","' || event_type ||
-  '"],"temperature":0.5},"seed":42}') AS protocol_identity FROM events""",
+  '"],"temperature":0.5,"top_k":' || user_id || '.0,"top_p":1.0},"seed":42}') AS protocol_identity FROM events""",
 )
 def protocol_identity(spark, sf):
     k = F.get_json_object("props", "$.k")
     config = b.text_of(
         '{"model":"m', F.col("user_id"), '","seed":42,"limit":', k, ',"dataset_args":{"d":{"local_path":"/p/', F.col("event_id"),
-        '","shots":', k, '}},"generation_config":{"temperature":0.5,"stop":["a","', F.col("event_type"), '"]},"api_key":"x"}',
+        '","shots":', k, '}},"generation_config":{"top_p":1.0,"temperature":0.5,"top_k":', F.col("user_id"), '.0,"stop":["a","', F.col("event_type"), '"]},"api_key":"x"}',
     )
     return table(spark, sf, "events").select("event_id", identity.protocol_identity(config).alias("protocol_identity"))
 
