@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from proofmill.functions.identity import clean_identity
+from proofmill.sources.tables import BUCKETS, read_table
 
 OVERWRITTEN = [
     "execution_status", "validity_status", "status_reason", "phase", "comparability", "num_requested",
@@ -140,5 +141,12 @@ def migrate_samples_v1(old: DataFrame, existing: DataFrame) -> DataFrame:
     return first.join(existing.select("run_id", "subset"), ["run_id", "subset"], "left_anti")
 
 
-def get_attempt(runs: DataFrame, run_id: str) -> DataFrame:
-    return runs.filter(F.col("run_id") == run_id)
+def get_attempt(spark: SparkSession, root: str, run_id: str, buckets: int = BUCKETS) -> DataFrame:
+    """The stored run, from its key bucket alone."""
+    return read_table(spark, root, "runs", [run_id], buckets).filter(F.col("run_id") == run_id)
+
+
+def latest_extra(spark: SparkSession, root: str, run_id: str, buckets: int = BUCKETS) -> DataFrame:
+    """The run's manifest rows in order of subset, from its key bucket alone; a run's subsets are few."""
+    rows = read_table(spark, root, "sample_manifest", [run_id], buckets).filter(F.col("run_id") == run_id)
+    return rows.orderBy("subset")

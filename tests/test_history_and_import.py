@@ -87,11 +87,11 @@ def test_only_touched_buckets_are_written_again(spark, tmp_path):
     rows = spark.createDataFrame([(f"r{i}", i) for i in range(40)], "run_id string, v int")
     how = {"runs": lambda old, new: old.join(new.select("run_id"), "run_id", "left_anti").unionByName(new, allowMissingColumns=True).select("run_id", "v")}
     number = tables.merge(spark, root, {"runs": rows}, "run_id", how, buckets=8)
-    before = tables._listing(spark, root)["tables"]["runs"]
+    before = {r.bucket: r.folder for r in tables.bucket_folders(spark, root).collect()}
     change = spark.createDataFrame([("r1", 100), ("new", 7)], "run_id string, v int")
     tables.merge(spark, root, {"runs": change}, "run_id", how, buckets=8, after=number)
-    after = tables._listing(spark, root)["tables"]["runs"]
-    touched = {str(r.b) for r in change.select(tables.bucket_of(F.col("run_id"), 8).alias("b")).collect()}
+    after = {r.bucket: r.folder for r in tables.bucket_folders(spark, root).collect()}
+    touched = {r.b for r in change.select(tables.bucket_of(F.col("run_id"), 8).alias("b")).collect()}
     assert {b for b in after if before.get(b) != after[b]} == touched
     want = {f"r{i}": i for i in range(40)} | {"r1": 100, "new": 7}
     assert {r.run_id: r.v for r in tables.read_table(spark, root, "runs").collect()} == want
@@ -99,6 +99,46 @@ def test_only_touched_buckets_are_written_again(spark, tmp_path):
         tables.merge(spark, root, {"runs": change}, "run_id", how, buckets=8, after=number)
 
 
+def test_a_merge_starts_again_from_a_version_that_came_between(spark, tmp_path):
+    root = str(tmp_path / "store")
+    frame = lambda rows: spark.createDataFrame(rows, "run_id string, v int")
+    add = {"runs": lambda old, new: old.unionByName(new)}
+    tables.merge(spark, root, {"runs": frame([("a", 1)])}, "run_id", add, buckets=2)
+    calls = []
+
+    def slow(old, new):
+        calls.append(old.count())
+        if len(calls) == 1:  # another import is published meanwhile
+            tables.merge(spark, root, {"runs": frame([("a", 2), ("b", 2)])}, "run_id", add, buckets=2)
+        return old.unionByName(new)
+
+    assert tables.merge(spark, root, {"runs": frame([("a", 3), ("b", 3)])}, "run_id", {"runs": slow}, buckets=2) == 3
+    assert len(calls) == 2
+    assert sorted(map(tuple, tables.read_table(spark, root, "runs").collect())) == [("a", 1), ("a", 2), ("a", 3), ("b", 2), ("b", 3)]
+
+
+def test_lookups_read_one_bucket(spark, tmp_path):
+    root = str(tmp_path / "store")
+    runs = spark.createDataFrame([(f"r{i}", i) for i in range(50)], "run_id string, v int")
+    rows = spark.createDataFrame([(f"r{i}", s, i) for i in range(50) for s in ("c", "a", "b")], "run_id string, subset string, selected int")
+    fresh = lambda old, new: new
+    tables.merge(spark, root, {"runs": runs, "sample_manifest": rows}, "run_id", {"runs": fresh, "sample_manifest": fresh}, buckets=8)
+    found = history.get_attempt(spark, root, "r7", 8)
+    assert [tuple(r) for r in found.collect()] == [("r7", 7)]
+    assert {f.split("/")[-2] for f in found.inputFiles()} == {f"key_bucket={spark.range(1).select(tables.bucket_of(F.lit('r7'), 8)).first()[0]}"}
+    assert [r.subset for r in history.latest_extra(spark, root, "r7", 8).collect()] == ["a", "b", "c"]
+    assert history.get_attempt(spark, root, "absent", 8).count() == 0 and history.latest_extra(spark, root, "absent", 8).count() == 0
+
+
+def test_a_bucket_may_become_empty(spark, tmp_path):
+    root = str(tmp_path / "store")
+    runs = spark.createDataFrame([("a", 1), ("b", 2)], "run_id string, v int")
+    tables.merge(spark, root, {"runs": runs}, "run_id", {"runs": lambda old, new: new}, buckets=64)
+    gone = {"runs": lambda old, new: old.join(new.select("run_id"), "run_id", "left_anti")}
+    tables.merge(spark, root, {"runs": runs.where("run_id = 'a'")}, "run_id", gone, buckets=64)
+    assert [tuple(r) for r in tables.read_table(spark, root, "runs").collect()] == [("b", 2)]
+
+
 ARTIFACT = "run_id string, dataset string, suite string, model_id string, report_id string, model_config_identity string, protocol_identity string, declared_identity string, computed_identity string, parse_failure string, validity_status string, status_reason string, comparability string, created_at timestamp"
 
 

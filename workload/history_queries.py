@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from proofmill.operators import history, imports
@@ -313,3 +314,26 @@ def sink_tables(spark, sf):
     how = {"runs": history.upsert_outcome, "metrics": lambda old, rows: history.replace_children(old, rows, changed)}
     store.merge(spark, root, {"runs": changed, "metrics": new}, "run_id", how, after=first)
     return store.read_table(spark, root, "metrics").select("run_id", "metric_name", "score")
+
+
+@query(
+    "get_attempt",
+    "WITH " + b.RUNS_SQL + """,
+top AS (SELECT CAST(o_orderkey AS VARCHAR) AS run_id FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1)
+SELECT run_id, dataset, validity_status, subset, selected, row_number() OVER (ORDER BY subset) AS place
+FROM runs JOIN top USING (run_id) JOIN (
+  SELECT CAST(l_orderkey AS VARCHAR) AS run_id, 's' || l_linenumber AS subset, CAST(sum(l_quantity) AS BIGINT) AS selected FROM lineitem GROUP BY ALL) USING (run_id)""",
+)
+def get_attempt(spark, sf):
+    """Publish every run and its manifest rows by bucket, then look up the run of the largest order: its row and its subsets in order."""
+    root = work_path(spark, "lookup")
+    key = F.col("l_orderkey").cast("string")
+    rows = table(spark, sf, "lineitem").groupBy(key.alias("run_id"), b.text_of("s", F.col("l_linenumber")).alias("subset")).agg(
+        F.sum("l_quantity").cast("bigint").alias("selected")
+    )
+    runs = b.runs(spark, sf).select("run_id", "dataset", "validity_status")
+    fresh = lambda old, new: new
+    store.merge(spark, root, {"runs": runs, "sample_manifest": rows}, "run_id", {"runs": fresh, "sample_manifest": fresh})
+    top = table(spark, sf, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").select(F.col("o_orderkey").cast("string")).first()[0]
+    extra = history.latest_extra(spark, root, top).withColumn("place", F.row_number().over(Window.partitionBy("run_id").orderBy("subset")))
+    return history.get_attempt(spark, root, top).join(extra, "run_id").select("run_id", "dataset", "validity_status", "subset", "selected", F.col("place").cast("bigint").alias("place"))
