@@ -156,3 +156,34 @@ def test_banded_distance_is_exact(spark):
     assert told == {i: None if None in p else _distance(*p) for i, p in enumerate(pairs)}
     prefix = spark.createDataFrame([("abcd", "abxd"), ("", "a"), ("a" * 1000, "a" * 1023), ("😀b", "😀c")], "l string, r string")
     assert [r.n for r in prefix.select(text_distance.common_prefix(F.col("l"), F.col("r")).alias("n")).collect()] == [2, 0, 1000, 1]
+
+
+def _masked_in_turn(text, secrets):
+    for s in secrets:
+        text = text.replace(s, "***") if s else text
+    return text
+
+
+def test_one_pass_masks_as_replacing_in_turn():
+    rng = random.Random(9)
+    for _ in range(600):
+        secrets = ["".join(rng.choice("abc*" if rng.random() < 0.1 else "abc") for _ in range(rng.randrange(5))) for _ in range(rng.randrange(6))]
+        text = "".join(rng.choice("abcd") for _ in range(rng.randrange(40)))
+        assert redact.KnownSecrets(secrets).mask(text) == _masked_in_turn(text, secrets), (secrets, text)
+
+
+def test_a_thousand_secrets_and_a_run_with_most_texts(spark):
+    rng = random.Random(10)
+    secrets = {run: [f"<{run}{i}>" for i in range(1000)] + ["", None, "<"] for run in ("hot", "b", "c")}
+    secrets["none"] = None
+    rows = [(i, rng.choice(["hot"] * 20 + ["b", "c", "none", "absent", None]), "".join(f"{rng.choice(['<hot', '<b', '<<c'])}{rng.randrange(1100)}> " for _ in range(3))) for i in range(3000)]
+    rows.append((-1, "hot", None))
+    frame = spark.createDataFrame([(i, run, {"k": i}, t) for i, run, t in rows], "id long, run_id string, extra map<string,long>, t string")
+    known = spark.createDataFrame(list(secrets.items()), "run_id string, secrets array<string>")
+    done = redact.redact_known(frame, known, "t")
+    assert done.columns == frame.columns and [f.dataType for f in done.schema] == [f.dataType for f in frame.schema]
+    expected = {i: None if t is None else _masked_in_turn(t, [s for s in secrets.get(run) or [] if s]) for i, run, t in rows}
+    assert {r.id: r.t for r in done.collect()} == expected and all(r.extra == {"k": r.id} for r in done.collect())
+    spread = frame.select("run_id", redact._spread(frame).alias("n")).distinct().collect()
+    assert max(r.n for r in spread if r.run_id == "hot") > 500
+    assert redact.redact_known(frame.limit(0), known, "t").count() == 0

@@ -178,19 +178,28 @@ def redact_text(spark, sf):
 @query(
     "redact_known",
     """
-SELECT doc_id, source AS run_id, replace(replace(text || ' with key-' || source || ', tail-' || source || ' and EMPTY', 'key-' || source, '***'), 'tail-' || source, '***') AS text
+SELECT doc_id, source AS run_id, replace(replace(text || ' with key-' || source || ', tail-' || source || ' and EMPTY, ', 'key-' || source, '***'), 'tail-' || source, '***')
+  || '***<***' AS text
 FROM documents""",
 )
 def redact_known(spark, sf):
+    """A list of a thousand secrets a run beside those of its configuration; the texts name one of them plainly and one with an earlier secret inside."""
     docs = table(spark, sf, "documents")
     source = F.col("source")
-    configs = docs.select(F.col("source").alias("run_id")).distinct().withColumn(
+    runs = docs.select(source.alias("run_id")).distinct()
+    configs = runs.withColumn(
         "config_json", b.text_of('{"api_key":"key-', F.col("run_id"), '","token":"EMPTY","secret":"tail-', F.col("run_id"), '","password":"***"}')
     )
+    more = F.transform(F.sequence(F.lit(0), F.lit(999)), lambda i: F.concat(F.lit("<"), F.col("run_id"), F.lit("#"), i.cast("string"), F.lit(">")))
+    listed = redact.collect_secrets(configs).select("run_id", F.concat("secrets", more).alias("secrets"))
+    number = F.col("doc_id") % 1000
     texts = docs.select(
-        "doc_id", source.alias("run_id"), b.text_of(F.col("text"), " with key-", source, ", tail-", source, " and EMPTY").alias("text")
+        "doc_id", source.alias("run_id"),
+        b.text_of(
+            F.col("text"), " with key-", source, ", tail-", source, " and EMPTY, ", "<", source, "#", number, ">", "<<", source, "#", 999 - number, ">",
+        ).alias("text"),
     )
-    return redact.redact_known(texts, redact.collect_secrets(configs), "text")
+    return redact.redact_known(texts, listed, "text")
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from proofmill.operators import content, manifest
+from proofmill.operators import content, manifest, ordered
 from workload import bindings as b
 from workload.registry import query, table
 
@@ -205,3 +205,17 @@ def first_n_per_subset(spark, sf):
     limits = docs.select("run_id").distinct().withColumn("sample_limit", F.when(number == 1, 5).when(number == 2, 20).cast("bigint"))
     positioned = b.dense_positions(docs, ["run_id", "subset"], "doc_id")
     return manifest.first_n_per_subset(positioned, limits).select("run_id", "subset", "sample_id", "pos")
+
+
+@query(
+    "ranked_positions",
+    """
+SELECT source AS run_id, lang AS subset, doc_id, substr(md5(doc_id::VARCHAR), 1, 12) AS order_key,
+       row_number() OVER (PARTITION BY source, lang ORDER BY substr(md5(doc_id::VARCHAR), 1, 12), doc_id) - 1 AS pos
+FROM documents""",
+)
+def ranked_positions(spark, sf):
+    """Positions from random keys: 48-bit hashes as text."""
+    key = F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 12)
+    docs = table(spark, sf, "documents").select(F.col("source").alias("run_id"), F.col("lang").alias("subset"), "doc_id", key.alias("order_key"))
+    return ordered.ranked_positions(docs, ["run_id", "subset"], ["order_key", "doc_id"])
