@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from proofmill.functions.canonical import canonical_variant, json_strings
 from proofmill.functions.identity import TOP_CATEGORY_KEY, category_key, metric_key
 from proofmill.functions.scalars import count_problem, count_value, score_problem, score_value
+from proofmill.sources.reports import metric_members
 
 
 def dimensions_json(text: Column) -> Column:
@@ -63,20 +64,21 @@ def report_ownership(runs: DataFrame, documents: DataFrame) -> DataFrame:
 def metric_flatten(reports: DataFrame) -> DataFrame:
     """Metric rows of each report: the metric, its categories, their subsets.
 
-    ``reports``: run_id, metrics and primary_metric_identity (``schemas.REPORT``).
+    ``reports``: run_id, metric_texts and primary_metric_identity (``schemas.REPORT``).
     Identities are worked out once per metric, then one explode walks its levels.
     ``score_problem`` names a bad score, a count that is no whole number, or a member that is no metric; ``pos`` (metric, category, subset) is the order
     of the rows within the report.
     """
     primary = F.col("primary_metric_identity")
-    exploded = reports.select(
+    keyed_reports = reports.select(
         "run_id",
         F.when(
             F.coalesce(primary["name"], primary["aggregation"], primary["dimensions"]).isNotNull(),
             metric_key(primary["name"], primary["aggregation"], dimensions_json(primary["dimensions"])),
         ).alias("primary_key"),
-        F.posexplode("metrics").alias("m_pos", "m"),
+        "metric_texts",
     )
+    exploded = metric_members(keyed_reports, ["run_id", "primary_key"])
     name, aggregation = F.col("m.identity.name"), F.col("m.identity.aggregation")
     given = lambda col: F.nullif(col, F.lit(""))
     keyed = exploded.withColumn("dimensions_json", dimensions_json(F.col("m.identity.dimensions"))).select(

@@ -43,12 +43,25 @@ def parse_reports(documents: DataFrame) -> DataFrame:
     return report_columns(flagged.select(*kept, F.when(F.col("is_report"), F.col("document")).alias("document")))
 
 
+_METRIC_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "damaged"}
+
+
 def report_columns(documents: DataFrame) -> DataFrame:
-    """Replace ``document`` by the report's members, its metrics typed one by one. ``inline`` makes Spark parse each text once."""
+    """Replace ``document`` by the report's members; ``inline`` makes Spark parse each text once.
+
+    ``metric_texts`` are the metrics as they are written, for work on single metrics (``metric_members``); ``metrics`` are the
+    same, typed one by one.
+    """
     kept = [c for c in documents.columns if c != "document"]
-    options = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "damaged"}
-    member = lambda text: F.from_json(text, METRIC.strip(), options)
-    return documents.select(*kept, F.inline(F.array(F.from_json("document", REPORT)))).withColumn("metrics", F.transform("metrics", member))
+    member = lambda text: F.from_json(text, METRIC.strip(), _METRIC_OPTIONS)
+    told = documents.select(*kept, F.inline(F.array(F.from_json("document", REPORT))))
+    return told.withColumns({"metric_texts": F.col("metrics"), "metrics": F.transform("metrics", member)})
+
+
+def metric_members(reports: DataFrame, kept: list[str]) -> DataFrame:
+    """One row per metric of each report: its place ``m_pos`` and, parsed once, ``m``; a misshapen member is ``m.damaged`` or null."""
+    texts = reports.select(*kept, F.posexplode("metric_texts").alias("m_pos", "text"))
+    return texts.select(*kept, "m_pos", F.inline(F.array(F.struct(F.from_json("text", METRIC.strip(), _METRIC_OPTIONS).alias("m")))))
 
 
 def scan_reports(spark: SparkSession, root: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmill.operators.ordered import dense_positions
-from workload.registry import table
+from workload.registry import spread, table
 
 
 def text_of(*parts) -> Column:
@@ -140,7 +140,7 @@ predicted AS (SELECT * FROM facts WHERE kind = 'predicted' AND problem IS NULL)
 def event_lines(spark: SparkSession, sf: str) -> DataFrame:
     """JSON lines written from the events, with every form an id, repeat or usage may take."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    e = table(spark, sf, "events").select(
+    e = spread(table(spark, sf, "events"), "event_id").select(
         F.col("event_id").alias("i"), "user_id", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents"),
         k.alias("k"),
     )

@@ -40,8 +40,13 @@ def _attempts(spark, sf):
 
 
 def _write(rows, root, *folders):
-    """Each distinct folder gets one file with its rows in order of ``place``."""
-    dealt = rows.repartition(*folders).sortWithinPartitions(*folders, "place").select("value", *folders)
+    """Each distinct folder gets one file with its rows in order of ``place``.
+
+    Folder names that are neither null nor constant let the writer take the order as it is; otherwise it sorts by folder again and loses the rest.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, many files: not to be coalesced
+    named = rows.select("value", "place", *[F.coalesce(F.col(f), F.lit("")).alias(f) for f in folders])
+    dealt = named.repartition(tasks, *folders).sortWithinPartitions(*folders, "place").select("value", *folders)
     dealt.write.mode("append").partitionBy(*folders).text(root)
 
 
@@ -126,7 +131,7 @@ def scan_reports(spark, sf):
     write_reports(spark, sf, root)
     names = _attempts(spark, sf).select(b.text_of("a", F.col("c")).alias("attempt"), "run_id").distinct()
     scanned = attempts.scan_attempt_reports(spark, root, PARTS).join(names, "attempt")
-    count = F.coalesce(F.nullif(F.size("metrics"), F.lit(-1)), F.lit(0)).alias("metrics")
+    count = F.coalesce(F.nullif(F.size("metric_texts"), F.lit(-1)), F.lit(0)).alias("metrics")
     return scanned.select("run_id", "attempt", "model_name", "dataset_name", "is_report", "parse_error", count)
 
 
@@ -174,10 +179,11 @@ SELECT run_id, kind, subset, line_no, problem FROM placed WHERE problem IS NOT N
 def malformed_lines(spark, sf):
     """Exact line numbers of unusable lines, in files that Spark may split anywhere."""
     root = work_path(spark, "numbered-lines")
-    run = b.text_of("w", F.substring("run_id", 2, 20).cast("bigint") % 4)
+    worker = F.substring("run_id", 2, 20).cast("bigint") % 4
+    run = b.text_of("w", worker)
     spaced = F.concat(F.when(F.col("event_id") % 10 == 0, F.lit("\n")).otherwise(F.lit("")), F.col("line"))
     rows = b.event_lines(spark, sf).select(
-        spaced.alias("value"), "kind", run.alias("run_id"), F.lit("model-a").alias("report_id"), "subset", F.col("event_id").alias("place")
+        spaced.alias("value"), "kind", run.alias("run_id"), b.text_of("model-", worker % 2).alias("report_id"), "subset", F.col("event_id").alias("place")
     )
     _write(rows, root, "kind", "run_id", "report_id", "subset")
     told = evidence.malformed_lines(line_source.scan_partitioned_lines(spark, root, numbered=True))

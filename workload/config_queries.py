@@ -9,7 +9,7 @@ from proofmill.operators import images, pinned, planning, redact, text_distance
 from proofmill.session import work_path
 from workload import bindings as b
 from workload.evidence_queries import facts
-from workload.registry import query, table
+from workload.registry import query, spread, table
 
 # --- plan -----------------------------------------------------------------------
 
@@ -170,7 +170,8 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '{_URL}', '\\1
 FROM t""",
 )
 def redact_text(spark, sf):
-    texts = table(spark, sf, "documents").select("doc_id", _secret_text().alias("text"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    texts = docs.select("doc_id", _secret_text().alias("text"))
     masked = redact.redact_column(texts, "text")
     return masked.withColumns({c: F.col(c).cast("bigint") for c in ("url_hits", "key_hits", "token_hits")})
 

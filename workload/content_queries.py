@@ -67,9 +67,9 @@ def media_fingerprint(spark, sf):
     return content.media_fingerprint(media).select("sample_id", "turn", "fingerprint", "media_ok")
 
 
-@query("question_digest", "WITH " + b.PARTS_SQL + _Q + " FROM raw_parts GROUP BY ALL")
-def question_digest(spark, sf, parts=b.raw_parts):
-    return content.question_digest(parts(spark, sf))
+@query("question_digest", "WITH " + b.PARTS_SQL + _Q + " FROM conv GROUP BY ALL", also="question_digest_whole")
+def question_digest(spark, sf):
+    return content.question_digest(b.raw_parts(spark, sf, "true"))
 
 
 @query(

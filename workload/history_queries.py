@@ -13,17 +13,21 @@ from proofmill.sources import tables as store
 from workload import bindings as b
 from workload.registry import query, table
 
+# Orders are in the history, in the batch to import, or in both: each in at least one, and every remainder of six in both.
+HISTORY, BATCH = "o_orderkey % 5 <> 0", "o_orderkey % 5 <> 1"
+
 _HISTORY_SQL = """
 o AS (SELECT o_orderkey AS n, o_custkey AS c, o_orderstatus AS s, o_orderdate AS d, o_orderpriority AS prio FROM orders),
-history AS (
+every_run AS (
   SELECT n, CAST(n AS VARCHAR) AS run_id, 'g' || (c % 9) AS run_group, prio AS dataset, 'suite' || (c % 3) AS suite,
          CASE WHEN n % 11 = 0 THEN '  ' ELSE 'model-' || (c % 20) END AS model_id,
          CASE WHEN n % 13 <> 0 THEN 'cfg' || (c % 40) END AS model_config_identity, 'p' || (c % 3) AS protocol_identity,
          CASE WHEN n % 17 = 0 THEN '' ELSE 'q' || (n % 6) END AS sample_manifest_identity,
          CASE s WHEN 'F' THEN 'complete' WHEN 'O' THEN 'partial' ELSE 'unverified' END AS validity_status,
          CASE WHEN n % 4 = 0 THEN 'unknown' ELSE 'verified' END AS comparability, 'old' AS status_reason,
-         CASE WHEN n % 5 <> 0 THEN d END AS finished_at, n % 50 AS num_requested
-  FROM o WHERE n % 2 = 0),
+         CASE WHEN n % 7 <> 0 THEN d END AS finished_at, n % 50 AS num_requested
+  FROM o),
+history AS (SELECT * FROM every_run WHERE n % 5 <> 0),
 artifacts AS (
   SELECT n, CAST(n AS VARCHAR) AS run_id, CASE WHEN n % 53 = 0 THEN 'other' ELSE prio END AS dataset, 'suite' || (c % 3) AS suite,
          CASE WHEN n % 19 <> 0 THEN 'model-' || (c % 20 + CAST(n % 29 = 0 AS INTEGER)) END AS model_id, 'model-' || (c % 20) AS report_id,
@@ -33,7 +37,7 @@ artifacts AS (
          CASE WHEN n % 41 = 0 THEN 'ReportError: no report' END AS parse_failure,
          CASE n % 8 WHEN 0 THEN 'partial' WHEN 2 THEN 'unverified' ELSE 'complete' END AS raw_validity,
          'reason ' || n AS raw_reason, CASE WHEN n % 7 = 0 THEN 'unknown' ELSE 'verified' END AS comparability, d + INTERVAL 3 DAY AS created_at
-  FROM o WHERE n % 3 <> 1),
+  FROM o),
 missing AS (
   SELECT *, concat_ws('; ', CASE WHEN model_id IS NULL THEN 'model_id: <missing>' END,
       CASE WHEN trim(model_config_identity) = '' THEN 'model_config_identity: <missing>' END,
@@ -46,6 +50,7 @@ checked AS (
          CASE WHEN gone <> '' THEN 'unverified' ELSE raw_validity END AS validity_status,
          CASE WHEN gone <> '' THEN raw_reason || '; import_identity_unverifiable: ' || gone ELSE raw_reason END AS status_reason
   FROM missing),
+batch AS (SELECT * FROM checked WHERE n % 5 <> 1),
 pairs AS (
   SELECT a.*, h.run_id IS NOT NULL AS stored, h.validity_status AS old_validity, h.comparability AS old_comparability, h.finished_at,
     concat_ws('; ',
@@ -57,12 +62,12 @@ pairs AS (
            THEN 'sample_manifest_identity: db=' || h.sample_manifest_identity || ' manifest=' || a.sample_manifest_identity END) AS conflicts,
     h.run_id IS NOT NULL AND ((h.validity_status IN ('complete', 'partial') AND a.validity_status <> 'complete')
       OR (h.validity_status = 'complete' AND h.comparability = 'verified' AND NOT (a.validity_status = 'complete' AND a.comparability = 'verified'))) AS downgraded
-  FROM checked a LEFT JOIN history h ON h.run_id = a.run_id)
+  FROM batch a LEFT JOIN history h ON h.run_id = a.run_id)
 """
 W = "WITH " + _HISTORY_SQL
 
 
-def stored_runs(spark, sf, which="o_orderkey % 2 = 0"):
+def stored_runs(spark, sf, which=HISTORY):
     n, c, s = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     return table(spark, sf, "orders").filter(which).select(
         n.cast("string").alias("run_id"), b.text_of("g", c % 9).alias("run_group"), F.col("o_orderpriority").alias("dataset"),
@@ -73,12 +78,12 @@ def stored_runs(spark, sf, which="o_orderkey % 2 = 0"):
         F.when(n % 17 == 0, F.lit("")).otherwise(b.text_of("q", n % 6)).alias("sample_manifest_identity"),
         F.when(s == "F", F.lit("complete")).when(s == "O", F.lit("partial")).otherwise(F.lit("unverified")).alias("validity_status"),
         F.when(n % 4 == 0, F.lit("unknown")).otherwise(F.lit("verified")).alias("comparability"),
-        F.lit("old").alias("status_reason"), F.when(n % 5 != 0, F.col("o_orderdate")).alias("finished_at"),
+        F.lit("old").alias("status_reason"), F.when(n % 7 != 0, F.col("o_orderdate")).alias("finished_at"),
         (n % 50).alias("num_requested"),
     )
 
 
-def artifacts(spark, sf, which="o_orderkey % 3 <> 1"):
+def artifacts(spark, sf, which=BATCH):
     n, c = F.col("o_orderkey"), F.col("o_custkey")
     return table(spark, sf, "orders").filter(which).select(
         n.cast("string").alias("run_id"),
@@ -100,16 +105,17 @@ def artifacts(spark, sf, which="o_orderkey % 3 <> 1"):
 @query(
     "artifact_selfcheck",
     W + "SELECT run_id, sample_manifest_identity, identity_inconsistent, validity_status, status_reason FROM checked",
+    also="artifact_selfcheck_whole",
 )
-def artifact_selfcheck(spark, sf, batch=artifacts):
-    return imports.artifact_selfcheck(batch(spark, sf)).select(
+def artifact_selfcheck(spark, sf):
+    return imports.artifact_selfcheck(artifacts(spark, sf, "true")).select(
         "run_id", "sample_manifest_identity", "identity_inconsistent", "validity_status", "status_reason"
     )
 
 
-@query("identity_conflicts", W + "SELECT run_id, conflicts FROM pairs WHERE stored AND conflicts <> ''")
-def identity_conflicts(spark, sf, batch=artifacts):
-    found = imports.identity_conflicts(imports.artifact_selfcheck(batch(spark, sf)), stored_runs(spark, sf))
+@query("identity_conflicts", W + "SELECT run_id, conflicts FROM pairs WHERE stored AND conflicts <> ''", also="identity_conflicts_whole")
+def identity_conflicts(spark, sf):
+    found = imports.identity_conflicts(imports.artifact_selfcheck(artifacts(spark, sf)), stored_runs(spark, sf))
     return found.withColumn("conflicts", F.array_join("conflicts", "; "))
 
 
@@ -117,9 +123,10 @@ def identity_conflicts(spark, sf, batch=artifacts):
     "downgrade_guard",
     W + """SELECT run_id, old_validity AS kept_validity, old_comparability AS kept_comparability, validity_status AS new_validity,
        comparability AS new_comparability FROM pairs WHERE downgraded""",
+    also="downgrade_guard_whole",
 )
-def downgrade_guard(spark, sf, batch=artifacts):
-    return imports.downgrade_guard(imports.artifact_selfcheck(batch(spark, sf)), stored_runs(spark, sf))
+def downgrade_guard(spark, sf):
+    return imports.downgrade_guard(imports.artifact_selfcheck(artifacts(spark, sf)), stored_runs(spark, sf))
 
 
 _DECIDED = """,
@@ -133,25 +140,27 @@ SELECT run_id, decision,
   CASE decision WHEN 'failed' THEN parse_failure WHEN 'rejected_selfcheck' THEN 'identity_conflict: sample_manifest_identity: declared=' || declared_identity || ' computed=' || computed_identity
     WHEN 'rejected_conflict' THEN 'identity_conflict: ' || conflicts ELSE status_reason END AS reason,
   CASE WHEN decision = 'failed' THEN NULL WHEN decision LIKE 'committed%' THEN validity_status ELSE old_validity END AS validity_status,
+  CASE WHEN decision = 'failed' THEN NULL WHEN decision LIKE 'committed%' THEN comparability ELSE old_comparability END AS comparability,
   CASE WHEN decision LIKE 'rejected%' AND stored THEN coalesce(metric_rows, 0) END AS metrics_kept,
   CASE WHEN decision LIKE 'committed%' THEN strftime(coalesce(finished_at, created_at), '%Y-%m-%d') END AS finished_at
 FROM decided LEFT JOIN kept USING (n))
 """
 
 
-@query("import_decision", W + _DECIDED + "SELECT * FROM told")
-def import_decision(spark, sf, batch=artifacts):
+@query("import_decision", W + _DECIDED + "SELECT * FROM told", also="import_decision_whole")
+def import_decision(spark, sf):
     metrics = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("run_id"))
-    decided = imports.import_decision(batch(spark, sf), stored_runs(spark, sf), metrics)
-    return decided.select("run_id", "decision", "reason", "validity_status", "metrics_kept", b.day("finished_at"))
+    decided = imports.import_decision(artifacts(spark, sf), stored_runs(spark, sf), metrics)
+    return decided.select("run_id", "decision", "reason", "validity_status", "comparability", "metrics_kept", b.day("finished_at"))
 
 
-@query("import_audit", W + _DECIDED + "SELECT run_id, decision, reason FROM told WHERE decision NOT LIKE 'committed%' UNION ALL SELECT run_id, 'document', json_object('run_id', run_id, 'validity_status', validity_status)::VARCHAR FROM told WHERE decision LIKE 'committed%'")
-def import_audit(spark, sf, batch=artifacts):
+@query("import_audit", W + _DECIDED + "SELECT run_id, decision, reason FROM told WHERE decision NOT LIKE 'committed%' UNION ALL SELECT run_id, 'document', json_object('comparability', comparability, 'finished_at', finished_at, 'run_id', run_id, 'status_reason', reason, 'validity_status', validity_status)::VARCHAR FROM told WHERE decision LIKE 'committed%'", also="import_audit_whole")
+def import_audit(spark, sf):
     """Write outcome documents and audit rows, read both back."""
     root = work_path(spark, "evidence")
-    told = import_decision(spark, sf, batch)
-    outcome_sink.write_evidence_json(told.select("run_id", "validity_status"), told, root)
+    told = import_decision(spark, sf)
+    outcome = told.select("run_id", "validity_status", "comparability", "finished_at", F.col("reason").alias("status_reason"))
+    outcome_sink.write_evidence_json(outcome, told, root)
     audit = spark.read.parquet(f"{root}/import_audit").select("run_id", "decision", "reason")
     documents = spark.read.parquet(f"{root}/outcomes").select("run_id", F.lit("document").alias("decision"), F.col("document").alias("reason"))
     return audit.unionByName(documents)
@@ -172,8 +181,8 @@ def perf_long(spark, sf):
     return outcome_sink.performance_values(outcome_sink.carry_performance(reports.select("run_id"), reports))
 
 
-def outcomes(spark, sf, batch=artifacts):
-    checked = imports.artifact_selfcheck(batch(spark, sf))
+def outcomes(spark, sf):
+    checked = imports.artifact_selfcheck(artifacts(spark, sf))
     n = F.col("run_id").cast("bigint")
     return checked.select(
         "run_id", "dataset", "suite", "model_id", "model_config_identity", "protocol_identity", "sample_manifest_identity",
@@ -185,7 +194,7 @@ def outcomes(spark, sf, batch=artifacts):
 @query(
     "upsert_outcome",
     W + """,
-news AS (SELECT *, CASE WHEN n % 2 = 0 THEN created_at END AS done, n % 50 + 1 AS req FROM checked)
+news AS (SELECT *, CASE WHEN n % 2 = 0 THEN created_at END AS done, n % 50 + 1 AS req FROM batch)
 SELECT coalesce(h.run_id, a.run_id) AS run_id, CASE WHEN h.run_id IS NOT NULL THEN h.run_group END AS run_group,
   CASE WHEN a.run_id IS NOT NULL THEN a.validity_status ELSE h.validity_status END AS validity_status,
   CASE WHEN a.run_id IS NOT NULL THEN a.status_reason ELSE h.status_reason END AS status_reason,
@@ -196,9 +205,10 @@ SELECT coalesce(h.run_id, a.run_id) AS run_id, CASE WHEN h.run_id IS NOT NULL TH
   CASE WHEN a.run_id IS NULL THEN h.sample_manifest_identity ELSE coalesce(CASE WHEN h.sample_manifest_identity <> '' THEN h.sample_manifest_identity END, a.sample_manifest_identity) END AS sample_manifest_identity,
   strftime(coalesce(done, h.finished_at), '%Y-%m-%d') AS finished_at
 FROM history h FULL OUTER JOIN news a ON h.run_id = a.run_id""",
+    also="upsert_outcome_whole",
 )
-def upsert_outcome(spark, sf, batch=artifacts):
-    return history.upsert_outcome(stored_runs(spark, sf), outcomes(spark, sf, batch)).select(
+def upsert_outcome(spark, sf):
+    return history.upsert_outcome(stored_runs(spark, sf), outcomes(spark, sf)).select(
         "run_id", "run_group", "validity_status", "status_reason", "num_requested", "dataset", "model_id", "model_config_identity",
         "sample_manifest_identity", b.day("finished_at"),
     )
@@ -222,10 +232,11 @@ def insert_attempts(spark, sf):
 
 @query(
     "add_columns",
-    W + "SELECT run_id, dataset, num_requested, CAST(NULL AS BIGINT) AS num_errored, CAST(NULL AS VARCHAR) AS imported_at, validity_status FROM history",
+    W + "SELECT run_id, dataset, num_requested, CAST(NULL AS BIGINT) AS num_errored, CAST(NULL AS VARCHAR) AS imported_at, validity_status FROM every_run",
+    also="add_columns_whole",
 )
-def add_columns(spark, sf, runs=stored_runs):
-    upgraded = history.add_columns(history.add_columns(runs(spark, sf), RUNS), RUNS)
+def add_columns(spark, sf):
+    upgraded = history.add_columns(history.add_columns(stored_runs(spark, sf, "true"), RUNS), RUNS)
     return upgraded.select(
         "run_id", "dataset", "num_requested", "num_errored", F.col("imported_at").cast("string").alias("imported_at"), "validity_status"
     )
@@ -308,11 +319,11 @@ def sink_tables(spark, sf):
     root = work_path(spark, "history")
     runs = b.runs(spark, sf).select("run_id", "dataset", "validity_status", "status_reason")
     added = {"runs": lambda old, new: new, "metrics": lambda old, new: new}
-    first = store.merge(spark, root, {"runs": runs, "metrics": b.metric_rows(spark, sf)}, "run_id", added)
+    first = store.merge(spark, root, {"runs": runs, "metrics": b.metric_rows(spark, sf)}, "run_id", added, buckets=16)
     changed = store.read_table(spark, root, "runs").filter(F.col("run_id").cast("bigint") % 3 == 0).withColumn("status_reason", F.lit("imported"))
     new = changed.select("run_id", F.lit("replaced").alias("metric_name"), F.lit(0.5).alias("score"))
     how = {"runs": history.upsert_outcome, "metrics": lambda old, rows: history.replace_children(old, rows, changed)}
-    store.merge(spark, root, {"runs": changed, "metrics": new}, "run_id", how, after=first)
+    store.merge(spark, root, {"runs": changed, "metrics": new}, "run_id", how, buckets=16, after=first)
     return store.read_table(spark, root, "metrics").select("run_id", "metric_name", "score")
 
 

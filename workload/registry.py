@@ -11,11 +11,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, also: str | None = None) -> Callable[[Query], Query]:
+    """Register a query; ``also`` is an earlier name that stays valid for it."""
+
     def register(function: Query) -> Query:
-        QUERIES[name] = function
-        if sql is not None:
-            ORACLES[name] = sql.strip()
+        for known in (name, also) if also else (name,):
+            QUERIES[known] = function
+            if sql is not None:
+                ORACLES[known] = sql.strip()
         return function
 
     return register
@@ -23,3 +26,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Narrow rows dealt out before heavy work on each: their file may be one row group, which is one task at any number of cores."""
+    return df.repartition(*keys)

@@ -11,7 +11,7 @@ from proofmill.plans import report as plans
 from proofmill.session import work_path
 from proofmill.sources import reports as report_source
 from workload import bindings as b
-from workload.registry import query, table
+from workload.registry import query, spread, table
 
 # --- reports: one nested document per lineitem row -------------------------------
 
@@ -74,7 +74,9 @@ def report_documents(spark, sf):
         F.lit("}"),
     )
     run = b.text_of(F.col("l_orderkey"), "-", n, "-", F.col("l_partkey"), "-", F.col("l_suppkey"))
-    return table(spark, sf, "lineitem").select(
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    rows = table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    return spread(rows, *keys).select(
         run.alias("run_id"), document.alias("document"), "l_orderkey", "l_linenumber", "l_returnflag", "l_suppkey"
     )
 
