@@ -10,8 +10,9 @@ A branch of a page is removed if
 * it lies outside the article where the page has one, or
 * the importance of its node is below ``LOW``. Importance is weighed by evidence: a node counts as ``PRIOR`` pages of full importance
   besides those it was seen on, so what is the same everywhere sinks smoothly with the number of pages (1/3 on two, 1/6 on five). Plain text nodes
-  (paragraphs, headings, list items, cells) are not removed as nodes: all of a page's paragraphs share one. Their texts are leaves of the
-  tree, each with an importance of its own: the share of the node's pages that lack the text, weighed in the same way.
+  (paragraphs, headings, list items, cells) are not removed as nodes: all of a page's paragraphs share one. Outside an article their texts
+  are leaves of the tree, each with an importance of its own: the share of the node's pages that lack the text, weighed in the same way.
+  Inside the article texts go with a marked or low branch only: a heading or sentence that all articles of a host share stays.
 
 Pages of one host with the same text count once, so copies of a page do not make its article look like boilerplate.
 
@@ -34,8 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import small_batches
-from proofmill.session import stored
+from proofmill.llm.common import sliced
+from proofmill.session import ship_code, stored
 
 LOW = 0.2
 #: Pages of full importance that every node and leaf counts besides those seen.
@@ -183,13 +184,13 @@ _NODES = pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64()), ("cont
 
 
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         bodies, blocks, nodes = [], [], []
         for source in batch.column("html").to_pylist():
             found, tree, has_article = parse(source or "")
-            kept = [(t, n) for t, n, inside in found if inside or not has_article]
-            bodies.append(xxhash.xxh64_intdigest("\n".join(t for t, _ in kept)) - (1 << 63))
-            blocks.append([{"text": t, "nodes": list(n[:-2]), "own": n[-2], "leaf": n[-1]} for t, n in kept])
+            kept = [(t, n, inside) for t, n, inside in found if inside or not has_article]
+            bodies.append(xxhash.xxh64_intdigest("\n".join(t for t, _, _ in kept)) - (1 << 63))
+            blocks.append([{"text": t, "nodes": list(n[:-2]), "own": n[-2], "leaf": None if inside else n[-1]} for t, n, inside in kept])
             nodes.append([{"node": k, "style": s, "content": c} for k, (s, c) in tree.items()])
         yield pa.RecordBatch.from_arrays(
             [*batch.select(["row", "page_id", "url"]).columns, pa.array(bodies, pa.int64()), pa.array(blocks, _BLOCKS), pa.array(nodes, _NODES)],
@@ -220,14 +221,14 @@ def low_leaves(parsed: DataFrame, weights: DataFrame, low: float) -> DataFrame:
     """(host, node) of the texts that stand under the same node on nearly all of its pages; pages of one text count once."""
     leaves = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["own"].alias("node"), b["leaf"].alias("leaf"))))
     once = parsed.groupBy("host", "body").agg(F.first(leaves).alias("leaves"))
-    counts = once.select("host", F.explode("leaves").alias("x")).groupBy("host", "x.node", "x.leaf").agg(F.count("*").alias("n"))
+    counts = once.select("host", F.explode("leaves").alias("x")).where("x.leaf IS NOT NULL").groupBy("host", "x.node", "x.leaf").agg(F.count("*").alias("n"))
     often = counts.where(weighed(F.col("n"), F.lit(0)) < low)  # no other text can be low, however few pages its node has
     return often.join(weights, ["host", "node"]).where(weighed(F.col("pages"), 1 - F.col("n") / F.col("pages")) < low).select("host", F.col("leaf").alias("node"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", low: float = LOW) -> DataFrame:
     """page_id, url, text for every row of ``pages``."""
-    small_batches(pages.sparkSession)
+    ship_code(pages.sparkSession)
     source = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     parsed = source.mapInArrow(_pages, "row long, page_id long, url string, body long, blocks array<struct<text:string,nodes:array<long>,own:long,leaf:long>>, nodes array<struct<node:long,style:long,content:long>>")
     parsed = stored(parsed.withColumn("host", host_of("url")), "pages")
@@ -240,5 +241,5 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     lows = stored(low_nodes.groupBy("host").agg(F.collect_list("node").alias("lows")), "low-nodes")
     joined = parsed.select("page_id", "url", "host", "blocks").join(lows, "host", "left")
     none = F.expr("array()").cast("array<long>")
-    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["nodes"], F.coalesce("lows", none)) & ~F.array_contains(F.coalesce("lows", none), b["leaf"]))
+    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["nodes"], F.coalesce("lows", none)) & ~F.coalesce(F.array_contains(F.coalesce("lows", none), b["leaf"]), F.lit(False)))
     return joined.select("page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text"))

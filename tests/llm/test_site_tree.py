@@ -1,5 +1,8 @@
 import html
+import math
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -66,6 +69,47 @@ def test_hosts_below_twenty_pages_are_learned(make):
     assert got == {100 * n + i: f"Story {i} of {n}" for n in (6, 12, 19) for i in range(n)}
 
 
+def test_articles_keep_what_they_share(make):
+    """Headings and sentences that all articles of a host share stay, on hosts of any size; what is repeated outside goes."""
+    pages, want = [], {}
+    for n in (1, 2, 4, 6, 12, 30):
+        for i in range(n):
+            pages.append(
+                (
+                    1000 * n + i, f"http://h{n}.example/{i}",
+                    f"<div class='blurb'>Read our paper.</div><article><h2>Summary</h2><p>Story {i} of {n}</p><p>As always, <b>thanks</b>.</p><ul><li>One</ul>"
+                    f"<h2>Method</h2><p>Same for all</p></article><p>Outside</p>",
+                )
+            )
+            want[1000 * n + i] = f"Summary\nStory {i} of {n}\nAs always, thanks.\nOne\nMethod\nSame for all"
+    assert {r["page_id"]: r["text"] for r in s.main_text(make(pages, PAGES)).collect()} == want
+
+
+def test_importance_recounted(make):
+    """The weights of the tree against entropies worked out one by one."""
+    rng, rows = random.Random(3), []
+    for body in range(60):
+        for node in range(rng.randrange(6)):
+            rows.append((rng.choice(["a", "b", None]), body, node, rng.randrange(3), rng.randrange(8)))
+    rows += rows[:40]  # copies of a page's nodes count once
+    seen = {}
+    for host, body, node, style, content in rows:
+        seen.setdefault((host, node), {}).setdefault(body, (style, content))
+    want = {}
+    for key, pages in seen.items():
+        m = len(pages)
+
+        def entropy(values, m=m):
+            counts = Counter(values).values()
+            return -sum(n / m * math.log(n / m) for n in counts) / math.log(m) if m > 1 else 1.0
+
+        want[key] = (m, s.PRESENTATION * entropy([x for x, _ in pages.values()]) + (1 - s.PRESENTATION) * entropy([c for _, c in pages.values()]))
+    frame = make(rows, "host string, body long, node long, style long, content long")
+    got = {(r["host"], r["node"]): (r["pages"], r["importance"]) for r in s.importance(frame).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
 def test_repeated_plain_texts_go_and_others_stay(make):
     pages = [(i, f"http://h.example/{i}", f"<div class='story'><h2>Title {i}</h2><p>Story {i}</p><p>Read our paper.</p><p>Part {i % 2}</p></div>") for i in range(30)]
     got = {r["page_id"]: r["text"] for r in s.main_text(make(pages, PAGES)).collect()}
