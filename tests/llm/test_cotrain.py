@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from proofmill.llm import cotrain as c
 
@@ -53,3 +54,26 @@ def test_odd_rows_and_one_class(odd_docs):
 def test_training_reads_allowed_rows(spark, data):
     docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
     assert c.train_quality(docs, labels, rounds=1) is not None
+
+
+def test_equals_co_training_in_memory(make):
+    """Rounds over a table, split in any way, against the same rounds over lists; ties, repeated rows and odd rows included."""
+    texts, metadata, labels = corpus(700, 8)
+    rows = [(i, t.decode(), *m) for i, (t, m) in enumerate(zip(texts, metadata))]
+    rows += [(i + 1000, *r[1:]) for i, r in enumerate(rows[300:340])]  # equal certainty
+    rows += [(3000, None, None, None, None), (3001, "", "a", None, -5)]
+    docs = make(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    docs = docs.withColumns({n: F.lit(n) for n in ("file_mark", "mark", "train_id", "place", "quality")}).repartition(5)
+    told = make([(i, y) for i, y in enumerate(labels) if i < 160] + [(200, None), (5000, 1)], "doc_id long, quality int")
+    marks = {r["doc_id"]: (r["mark"], r["out"]) for r in docs.select("doc_id", F.xxhash64("doc_id").alias("mark"), c.held_out().alias("out")).collect()}
+    ordered = sorted((marks[r[0]][0], r) for r in rows if not marks[r[0]][1])
+    known = {i: labels[i] for i in range(160)}
+    unlabelled = [r for _, r in ordered if r[0] not in known and r[0] != 200]
+    labelled = [r for _, r in ordered if r[0] in known]
+    every = labelled + unlabelled
+    want = c.co_train([(r[1] or "").encode() for r in every], [r[2:] for r in every], [known.get(r[0]) for r in every], rounds=2, handed=60)
+    got = c.train_quality(docs, told, handed=60, rounds=2)
+    assert all(np.allclose(a, b, atol=1e-9) for a, b in zip((*got.weights, *got.calibration, got.both), (*want.weights, *want.calibration, want.both), strict=True))
+    alone = c.train_quality(docs, told, rounds=0)
+    assert not np.allclose(alone.weights[0], got.weights[0])
+    assert c.train_quality(docs.limit(0), told).constant == 0.0 and c.train_quality(docs, told.limit(0)).weights is None
