@@ -1,23 +1,23 @@
 """Secret scans in DataFrame functions only: pattern matches, and sliding-window entropy of long strings.
 
 Pattern kinds (fixed values, see ``PATTERNS``): ``assign``, ``access``, ``hex``. The method's own kind ``entropy``:
-a candidate is a run of 20 or more characters of base64, URL or hex alphabets with a letter and a
-digit. A window of 20 characters slides over it; counts per character are kept up step by step, so
+a candidate is a run of 20 or more characters of base64, URL or hex alphabets with two of lower-case letters, capitals and
+digits. A window of 20 characters slides over it; counts per character are kept up step by step, so
 a step costs the same at any length, and the window's Shannon entropy follows from two changed counts.
 Windows at or above the limit of the candidate's character class (hex or mixed) make a span from the
-first such window to the last. Candidates on the allow-list (``ALLOWED``) are left out; it never
-touches the pattern kinds.
+first such window to the last. Candidates on the allow-list are left out: what is made of words, numbers, dates or an identifier
+(``ALLOWED``), and runs that are too short without the parts that say ``example``. It never touches the pattern kinds.
 
 Entropy is held in whole numbers (the sum of c*log2(c) in millionths), so every engine finds the same windows.
 
-Scale. Four pattern tests per text decide which rows go on; only matches are exploded, and a
-match's position is a running sum of lengths within its row. Rows without a match are never
-shuffled. Nothing depends on a key of the input, so no source can be hot. Offsets count
+Scale. Two pattern tests per text tell the rows that may have a match from those that have none, which are never shuffled, and no
+text is copied. Entropy is worked out on the scan; only matches are exploded, and a match's position is a running sum of lengths
+within its row. Rows are known by their place in their file. Nothing depends on a key of the input, so no source can be hot. Offsets count
 code points, ends are exclusive.
 
 Defined results. Null and empty texts have no spans; repeated rows get a row each; null ids stay
-null; an empty table gives an empty result. Results come as one struct column ``secrets``, replacing one
-of that name.
+null; an empty table gives an empty result. Results come as one struct column (``secrets`` if not named otherwise), replacing one
+of that name; all other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from proofmill.llm.common import without
-from proofmill.session import stored
+from proofmill.llm.common import identified
 
 # The base patterns as they are defined, in the order of their kinds.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -40,13 +39,18 @@ PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "entropy": CANDIDATE
 KINDS = list(PATTERNS)
 ASSIGN_LEAST = 6
 
-#: Strings that look random and are none: identifiers, dates and times, separators, lower-case paths and slugs.
+_WORD = "(?:[A-Z]?[a-z]{1,30}|[A-Z]{1,30}|[0-9]{1,8})"
+#: Strings that look random and are none: identifiers, dates and times, separators, words and numbers in groups, words written together.
 ALLOWED = [
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
     r"^[0-9TZ+/_=-]+$",
-    r"^[a-z0-9]{1,12}([/_=-]+[a-z0-9]{1,12})+[/_=-]*$",
-    r"EXAMPLE|[Ee]xample",
+    rf"^[/_=-]*{_WORD}(?:[/_=-]+{_WORD})+[/_=-]*$",
+    r"^[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*[0-9]{0,4}$",
 ]
+#: Parts of a run with such a word do not count.
+EXAMPLE = "EXAMPLE|[Ee]xample"
+#: A run has two of these.
+CLASSES = ["[a-z]", "[A-Z]", "[0-9]"]
 WINDOW = 20
 #: Least entropy (bits per character) of a window, by character class.
 LEAST = {"hex": 2.9, "mixed": 3.8}
@@ -58,13 +62,16 @@ def weight(count: int) -> int:
     return round(count * math.log2(count) * SCALE) if count else 0
 
 
+_WINDOW_TYPE = "struct<first:int,last:int>"
+
+
 def most(bits: float, window: int) -> int:
     """The largest sum of weights with which a window still has ``bits`` of entropy."""
     return math.floor(window * (math.log2(window) - bits) * SCALE)
 
 
-def _matches(text: Column, kind: str) -> Column:
-    """Per match: kind, place, length of the gap before it, its length, the length that counts, and the string if it is a candidate."""
+def _matches(text: Column, kind: str, allowed: list[str]) -> Column:
+    """Per match: kind, place, length of the gap before it, its length, the length that counts, and the span of enough entropy in a candidate."""
     pattern = F.lit(PATTERNS[kind])
     gaps = F.split(text, PATTERNS[kind], -1)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
@@ -75,7 +82,8 @@ def _matches(text: Column, kind: str) -> Column:
         F.slice(both, F.lit(1), F.size(whole)),
         lambda m, i: F.struct(
             F.lit(k).alias("kind"), i.alias("place"), F.char_length(m["gap"]).alias("gap"), F.char_length(m["whole"]).alias("length"),
-            F.char_length(m["counted"]).alias("counted"), (m["whole"] if kind == "entropy" else F.lit(None).cast("string")).alias("candidate"),
+            F.char_length(m["counted"]).alias("counted"),
+            (F.when(_wanted(m["whole"], allowed), entropy_span(m["whole"])) if kind == "entropy" else F.lit(None).cast(_WINDOW_TYPE)).alias("w"),
         ),
     )
     return F.when(text.rlike(PATTERNS[kind]), rows)
@@ -117,44 +125,44 @@ def entropy_span(candidate: Column, window: int = WINDOW, least: dict[str, float
 
 
 def _wanted(candidate: Column, allowed: list[str]) -> Column:
-    wanted = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
+    classes = sum((candidate.rlike(c).cast("int") for c in CLASSES[1:]), candidate.rlike(CLASSES[0]).cast("int"))
+    kept = F.filter(F.split(candidate, "[/_=-]+"), lambda part: ~part.rlike(EXAMPLE))
+    wanted = (classes >= 2) & (~candidate.rlike(EXAMPLE) | (F.char_length(F.array_join(kept, "/")) >= WINDOW))
     for pattern in allowed:
         wanted = wanted & ~candidate.rlike(pattern)
     return wanted
 
 
-def find_secrets(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, allowed: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns of ``docs`` (all by default) and ``secrets``: n_assign, n_access, n_hex, n_entropy, spans (start, kind, end)."""
+def find_secrets(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, allowed: list[str] | None = None, name: str = "secrets") -> DataFrame:
+    """The ``keep`` columns of ``docs`` (all by default) and the struct ``name``: n_assign, n_access, n_hex, n_entropy, spans (start, kind, end)."""
     allowed = ALLOWED if allowed is None else allowed
-    kept = [c for c in (keep or docs.columns) if c.lower() not in ("secrets", "scan_row", "scan_hits")]
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    none = F.expr("array()").cast("array<struct<kind:int,place:int,gap:int,length:int,counted:int,candidate:string>>")
-    found = [F.coalesce(_matches(text, k), none) for k in KINDS]
-    scan = docs.select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias("scan_row"), F.concat(*found).alias("scan_hits"))
-    scan = stored(scan, "secret-scan")  # each pattern runs once; row numbers are fixed from here on
-
-    hits = scan.where(F.size("scan_hits") > 0).select("scan_row", F.explode("scan_hits").alias("h")).select("scan_row", "h.*")
-    order = Window.partitionBy("scan_row", "kind").orderBy("place")
+    kept = [c for c in (keep or docs.columns) if c.lower() != name.lower()]
+    needed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, text_col])])
+    rows, file, at = identified(needed, "secret-rows")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    # Every match of the other kinds is a candidate or holds one.
+    dirty = text.rlike(ASSIGN) | text.rlike(CANDIDATE)
+    none = F.expr("array()").cast(f"array<struct<kind:int,place:int,gap:int,length:int,counted:int,w:{_WINDOW_TYPE}>>")
+    found = [F.coalesce(_matches(text, k, allowed), none) for k in KINDS]
+    hits = rows.where(dirty).select(F.col(file).alias("f"), F.col(at).alias("p"), F.explode(F.concat(*found)).alias("h")).select("f", "p", "h.*")
+    order = Window.partitionBy("f", "p", "kind").orderBy("place")
     placed = hits.withColumn("start", F.sum(F.col("gap") + F.col("length")).over(order) - F.col("length"))
-    good = placed.where((F.col("kind") > 0) | (F.col("counted") >= ASSIGN_LEAST))
-    base = good.where("kind < 3").select("scan_row", "kind", "start", (F.col("start") + F.col("length")).alias("end"))
-    candidates = good.where((F.col("kind") == 3) & _wanted(F.col("candidate"), allowed))
-    entropy = (
-        candidates.withColumn("w", entropy_span(F.col("candidate")))
-        .where("w.last > 0")
-        .select("scan_row", "kind", (F.col("start") + F.col("w.first")).alias("start"), (F.col("start") + F.col("w.last")).alias("end"))
+    pattern = (F.col("kind") < 3) & ((F.col("kind") > 0) | (F.col("counted") >= ASSIGN_LEAST))
+    entropy = (F.col("kind") == 3) & (F.col("w.last") > 0)
+    span = F.struct(
+        (F.col("start") + F.when(entropy, F.col("w.first")).otherwise(0)).alias("start"), "kind",
+        (F.col("start") + F.when(entropy, F.col("w.last")).otherwise(F.col("length"))).alias("end"),
     )
-    span = F.struct("start", "kind", "end")
-    spans = base.unionByName(entropy).groupBy("scan_row").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    spans = placed.where(pattern | entropy).groupBy("f", "p").agg(F.sort_array(F.collect_list(span)).alias("s"))
     empty = F.expr("array()").cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    dirty = scan.where(F.size("scan_hits") > 0).join(spans, "scan_row", "left")
-    clean = scan.where(F.size("scan_hits") == 0).withColumn("spans", F.lit(None).cast("array<struct<start:bigint,kind:int,end:bigint>>"))
-    both = dirty.unionByName(clean).withColumn("spans", F.coalesce("spans", empty))
+    spans = spans.select(F.col("f").alias(file), F.col("p").alias(at), F.struct("s").alias(name))
+    both = rows.where(dirty).join(spans, [file, at], "left").unionByName(rows.where(~dirty).withColumn(name, F.struct(empty.alias("s"))))
+    told = F.coalesce(F.col(f"`{name}`.s"), empty)
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+        return F.size(F.filter(told, lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
 
-    return both.select(*[F.col(f"`{c}`") for c in kept], F.struct(*map(count, KINDS), F.col("spans")).alias("secrets"))
+    return both.select(*[F.col(f"`{c}`") for c in kept], F.struct(*map(count, KINDS), told.alias("spans")).alias(name))
 
 
 def _named(spans: Column) -> Column:
@@ -170,9 +178,9 @@ def secret_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def redact(found: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> Column:
+def redact(found: DataFrame, text_col: str = "text", mark: str = "[SECRET]", name: str = "secrets") -> Column:
     """The text with every span (overlaps joined) replaced by ``mark``; texts without spans stay as they are, null included."""
-    text, spans = F.col(text_col), F.col("secrets.spans")
+    text, spans = F.col(f"`{text_col}`"), F.col(f"`{name}`.spans")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def step(state: Column, s: Column) -> Column:
@@ -199,7 +207,11 @@ def _sql_matches(kind: str) -> str:
 
 _WEIGHTS = "[" + ", ".join(str(weight(c)) for c in range(WINDOW + 1)) + "]"
 _WANTED = " AND ".join(
-    ["regexp_matches(c, '[0-9]')", "regexp_matches(c, '[A-Za-z]')", *[f"NOT regexp_matches(c, '{p}')" for p in ALLOWED]]
+    [
+        f"({' + '.join(f"regexp_matches(c, '{p}')::INTEGER" for p in CLASSES)}) >= 2",
+        f"(NOT regexp_matches(c, '{EXAMPLE}') OR length(array_to_string(list_filter(regexp_split_to_array(c, '[/_=-]+'), lambda x: NOT regexp_matches(x, '{EXAMPLE}')), '/')) >= {WINDOW})",
+        *[f"NOT regexp_matches(c, '{p}')" for p in ALLOWED],
+    ]
 )
 ORACLE = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
