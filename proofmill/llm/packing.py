@@ -2,12 +2,12 @@
 
 A document of n ids is cut into whole sequences of the largest power of two that fits, and
 its rest into the powers of two that sum to it, largest first. Pieces of equal length share a
-bucket, and every piece is a sequence of its own: no sequence crosses documents and none is padded.
+bucket (column ``bucket``, the power), and every piece is a sequence of its own: no sequence crosses documents and none is padded.
 
 Scale. Documents are never shuffled or gathered: each task encodes its own rows and
-writes its pieces; only pieces are dealt out. A sequence id is the task's number and the row's place in it, so it needs no
+writes its pieces, each with its bucket, so a writer that partitions by it (``write_buckets``) forms the buckets without a shuffle. A sequence id is the task's number and the row's place in it, so it needs no
 global counting; documents must be a scan or a written table, whose rows come again in the
-same order when a task is repeated. ``pack_by_length`` orders the written pieces by bucket for training.
+same order when a task is repeated.
 
 Encoding. A pre-token's ids come from the library's merges, once per pre-token and cache
 generation (bounded). Special strings inside texts become their single ids.
@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmill.llm import pretokens
-from proofmill.llm.common import small_batches, stored, without
+from proofmill.llm.common import sliced, without
+from proofmill.session import ship_code
 
 END_ID = 1
 SEQUENCE = 2048
@@ -52,7 +53,11 @@ def encoder(path: str, size: int = CACHE):
     def split(text: str) -> bytes:
         return b"".join(map(pieces.__getitem__, pretokens.byte_pretokens(text, path)))
 
-    chunks = pretokens.Known(lambda chunk: split(" " + chunk), size, "packing")
+    def spaced_chunk(chunk: str) -> bytes:
+        # Letters behind a space are one pre-token: straight to the merges, past the splitter and its cache.
+        return encode(" " + chunk) if chunk.isalpha() else split(" " + chunk)
+
+    chunks = pretokens.Known(spaced_chunk, size, "packing")
 
     def plain(text: str) -> bytes:
         if not pretokens.spaced(text) or pretokens.other(text):
@@ -63,7 +68,7 @@ def encoder(path: str, size: int = CACHE):
     def run(text: str) -> bytes:
         if not text:
             return b""
-        if "<" not in text or pattern is None or not pattern.search(text):
+        if pattern is None or not pattern.search(text):
             return plain(text)
         return b"".join(whole.get(part) or plain(part) for part in pattern.split(text) if part)
 
@@ -88,13 +93,13 @@ def pack(
     """One row per piece: doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset, bucket (log2 of length), and the ids (little-endian bytes) if asked for."""
     if limit < 1 or limit & (limit - 1):
         raise ValueError("the sequence length must be a power of two")
-    small_batches(docs.sparkSession)
+    ship_code(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pretokens.claim("packing")
         encode = encoder(tokenizer_path)
-        for batch in batches:
+        for batch in sliced(batches):
             key, text = batch.columns
             rows, starts, lengths, totals, sums, ids = [], [], [], [], [], []
             for i, t in enumerate(text.to_pylist()):
@@ -125,11 +130,6 @@ def pack(
     return out if with_ids else without(out, "ids")
 
 
-def pack_by_length(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:
-    """``pack`` in bucket order. Pieces are written first, so that dealing them out does not encode the texts again."""
-    return by_length(stored(pack(docs, tokenizer_path, **options), "pieces"))
-
-
-def by_length(pieces: DataFrame) -> DataFrame:
-    """Pieces (a written table) dealt by bucket; a bucket's pieces are spread over as many tasks as they need."""
-    return pieces.repartitionByRange("length", "sequence_id").sortWithinPartitions("length", "sequence_id")
+def write_buckets(pieces: DataFrame, path: str) -> None:
+    """Write pieces in one folder per bucket, straight from the tasks that cut them: no shuffle and no copy."""
+    pieces.write.partitionBy("bucket").parquet(path)

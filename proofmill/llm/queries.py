@@ -84,7 +84,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack_by_length(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return pieces.sortWithinPartitions("length", "sequence_id")  # each task's pieces in bucket order, without a shuffle
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,7 @@ def test_pieces_are_powers_of_two(n):
     assert rest == sorted(set(rest), reverse=True)
 
 
-def test_pieces_hold_every_id_once(odd_docs):
+def test_pieces_hold_every_id_once(odd_docs, tmp_path):
     rows = packing.pack(odd_docs.coalesce(1), BYTES).collect()
     assert len({r["sequence_id"] for r in rows}) == len(rows) and {r["offset"] for r in rows} == {0}
     assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in rows)
@@ -72,7 +72,11 @@ def test_pieces_hold_every_id_once(odd_docs):
     t = pretokens.load(BYTES)
     want = [(r["doc_id"], struct.pack("<%dI" % (len(e) + 1), *e, 1)) for r in odd_docs.collect() for e in [t.encode(r["text"] or "", add_special_tokens=False).ids]]
     assert sorted(documents, key=repr) == sorted(want, key=repr)
-    assert packing.by_length(packing.pack(odd_docs, BYTES)).count() == len(rows)
+    folder = str(tmp_path / "buckets")
+    packing.write_buckets(packing.pack(odd_docs, BYTES), folder)
+    written = odd_docs.sparkSession.read.parquet(folder)
+    assert sorted((r["length"], r["ids"]) for r in written.collect()) == sorted((r["length"], r["ids"]) for r in rows)
+    assert all(r["length"] == 1 << r["bucket"] for r in written.collect()) and written.select("bucket").distinct().count() > 1
     assert packing.pack(odd_docs.limit(0), BYTES).count() == 0
 
 
