@@ -1,18 +1,19 @@
-"""What the training-data operators share: byte views of texts, batch sizes, stored steps, connected components."""
+"""What the training-data operators share: byte views of texts, slices of batches, row identities, stored steps, connected components."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextvars import ContextVar
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmill import session
-from proofmill.session import ship_code
 
-#: Rows of one Arrow batch. Whole texts of 100 kB and more occur, so batches stay far below Spark's 10,000 rows.
-BATCH_ROWS = 256
+#: Rows that a function works on at once. Spark bounds an Arrow batch by bytes; what is made of it in Python is many times as large.
+SLICE_ROWS = 256
 
 #: Folds A-Z and turns every byte that is no word byte (0-9, a-z, 0x80 and up) into a space.
 WORD_BYTES = bytes((b + 32) if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -36,10 +37,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Long texts go to Python in small Arrow batches; the workers get this package."""
-    ship_code(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def sliced(batches: Iterator, rows: int = SLICE_ROWS) -> Iterator:
+    """Batches (or arrays, or tuples of arrays) in slices of few rows."""
+    for batch in batches:
+        columns = batch if isinstance(batch, tuple) else (batch,)
+        for at in range(0, len(columns[0]), rows):
+            parts = tuple(c.slice(at, rows) for c in columns)
+            yield parts if isinstance(batch, tuple) else parts[0]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (names compare without case, as Spark does)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+#: Names of the columns that ``identified`` adds.
+FILE, PLACE = "file_mark", "file_place"
+
+
+def identified(docs: DataFrame, label: str) -> tuple[DataFrame, str, str]:
+    """``docs`` with two columns that stay a row's identity under any split: a hash of its file's path and its place in the file.
+
+    A scan of Parquet files has both, so nothing is copied; any other table is written once, with running numbers. Returns the
+    names of the columns.
+    """
+    file, place = free_name(docs, FILE), free_name(docs, PLACE)
+
+    def marked(frame: DataFrame) -> DataFrame:
+        return frame.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
+
+    try:
+        if "_metadata" not in {c.lower() for c in docs.columns}:
+            return marked(docs), file, place
+    except AnalysisException:  # no scan of files with row numbers
+        pass
+    numbered = docs.select("*", F.lit(0).cast("long").alias(file), F.monotonically_increasing_id().alias(place))
+    return stored(numbered, label), file, place
 
 
 def text_bytes(column: str | Column) -> Column:

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import WORD_BYTES, folded_words, small_batches, text_bytes, without
+from proofmill.llm.common import WORD_BYTES, folded_words, sliced, text_bytes, without
 from proofmill.llm.pretokens import claim
-from proofmill.session import stored
+from proofmill.session import ship_code, stored
 
 #: Item words of one automaton; it takes some 0.5 kB a word.
 BLOCK_WORDS = 200_000
@@ -173,7 +173,7 @@ def _matcher(shared, leak: bool):
     def run(batches):
         claim("leaks")
         automaton = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             column, before = batch if leak else (batch, None)
             out = []
             old = before.to_pylist() if leak else None
@@ -209,19 +209,19 @@ def _union(spans: list[list[int]]) -> list[list[int]]:
 
 def find_leaks(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
-    window: int = 10, block_words: int = BLOCK_WORDS,
+    window: int = 10, block_words: int = BLOCK_WORDS, name: str = "leak",
 ) -> DataFrame:
-    """``docs`` with a struct column ``leak``: n_words, n_hit, longest (words of the longest match), item_ids, word_spans."""
+    """``docs`` with a struct column ``name``: n_words, n_hit, longest (words of the longest match), item_ids, word_spans."""
     spark = docs.sparkSession
-    small_batches(spark)
-    out = without(docs, "leak")
+    ship_code(spark)
+    out = without(docs, name)
     first = True
     for block in _blocks(items, item_id_col, item_text_col, block_words):
         if not first:
             out = stored(out, "leaks")  # one pass of the documents per block of items
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
         find = F.arrow_udf(_matcher(shared, not first), LEAK_TYPE).asNondeterministic()
-        out = out.withColumn("leak", find(text_bytes(text_col)) if first else find(text_bytes(text_col), F.col("leak")))
+        out = out.withColumn(name, find(text_bytes(text_col)) if first else find(text_bytes(text_col), F.col(name)))
         first = False
     return out
 
@@ -244,8 +244,11 @@ def _cut(text: str, spans: list[dict], min_words: int) -> str:
     return MARK.encode().join(p for p in (x.strip() for x in parts) if p).decode()
 
 
-def remove_leaks(found: DataFrame, text_col: str = "text", min_words: int = 1, max_coverage: float = 0.5) -> DataFrame:
-    """Act on ``leak``: rejected (coverage above the limit) and clean_text (without hit spans of at least ``min_words`` words)."""
+def remove_leaks(
+    found: DataFrame, text_col: str = "text", min_words: int = 1, max_coverage: float = 0.5, name: str = "leak", rejected: str = "rejected",
+    clean_text: str = "clean_text",
+) -> DataFrame:
+    """Act on the struct ``name``: ``rejected`` (coverage above the limit) and ``clean_text`` (without hit spans of at least ``min_words`` words)."""
 
     def clean(texts: pa.Array, leaks: pa.Array) -> pa.Array:
         return pa.array(
@@ -255,9 +258,8 @@ def remove_leaks(found: DataFrame, text_col: str = "text", min_words: int = 1, m
 
     clean.__annotations__ = {"texts": pa.Array, "leaks": pa.Array, "return": pa.Array}
     cut = F.arrow_udf(clean, "string")
-    return without(found, "rejected", "clean_text").select(
-        "*", (F.col("leak.n_hit") > F.col("leak.n_words") * max_coverage).alias("rejected"),
-        cut(F.col(text_col), F.col("leak")).alias("clean_text"),
+    return without(found, rejected, clean_text).select(
+        "*", (F.col(f"{name}.n_hit") > F.col(f"{name}.n_words") * max_coverage).alias(rejected), cut(F.col(text_col), F.col(name)).alias(clean_text)
     )
 
 

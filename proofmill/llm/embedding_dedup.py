@@ -30,8 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import connected_components, small_batches, smallest_reached
-from proofmill.session import stored
+from proofmill.llm.common import connected_components, sliced, smallest_reached
+from proofmill.session import ship_code, stored
 
 TILE = 512
 LEAD = 8
@@ -120,7 +120,7 @@ def link_vectors(
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors``."""
     spark = vectors.sparkSession
-    small_batches(spark, 2048)
+    ship_code(spark)
     source = vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),
         F.col(vector_col).cast("array<double>").alias("vector"),
@@ -176,7 +176,7 @@ def link_vectors(
     pairs = stored(pairs, "tile-pairs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):  # a row is two tiles
             for pair in batch.to_pylist():
                 ra, rb, ca, cb = (np.array(pair[c], np.int64) for c in ("ra", "rb", "ca", "cb"))
                 xa, xb = (np.frombuffer(pair[c]).reshape(-1, pair["dim"]) for c in ("xa", "xb"))
@@ -191,11 +191,9 @@ def link_vectors(
                 on = n > 0
                 yield pa.RecordBatch.from_arrays([pa.array(rows[on]), pa.array(n[on]), pa.array(root[on])], names=["row", "n", "root"])
 
-    small_batches(spark, 8)  # a row is two tiles
     left = tiles.select(F.col("tile").alias("a"), "dim", F.col("rows").alias("ra"), F.col("copies").alias("ca"), F.col("x").alias("xa"))
     right = tiles.select(F.col("tile").alias("b"), F.col("rows").alias("rb"), F.col("copies").alias("cb"), F.col("x").alias("xb"))
     found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(compare, "row long, n long, root long"), "tile-links")
-    small_batches(spark)
 
     counts = found.groupBy("row").agg(F.sum("n").alias("n"))
     groups = connected_components(found.select(F.col("row").alias("a"), F.col("root").alias("b")), "vectors").withColumnRenamed("node", "row")

@@ -14,7 +14,8 @@
    matrices. Nothing is capped. Links give one row per linked member, not one per pair. All links are confirmed on full sets.
 6. Grouping. Union-find over confirmed links as alternating stars on tables.
 
-Row numbers. Rows are numbered once, in a table written before anything else; sketches, shingle sets and the kept rows are all read from it.
+Row numbers. Rows are numbered once, in the written table of sketches, which also names each row's place in its file. Texts are read again by
+that place, which is the same under any split, so no text is copied (a table that is no scan of files is written once).
 
 Scale. Copies are combined before the shuffle, buckets are never gathered: leaders come from a grouped
 minimum and a join, whose hot side can be split. Only classes that share a bucket have their sets written. A large group of near copies costs
@@ -37,8 +38,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import FOLDER, connected_components, drop_folder, small_batches, smallest_reached, stored, text_bytes, without
+from proofmill.llm.common import FOLDER, connected_components, drop_folder, identified, sliced, smallest_reached, stored, text_bytes
 from proofmill.llm.pretokens import Known, claim
+from proofmill.session import ship_code
 
 PLACES, BANDS = 128, 32
 LEADERS = 2
@@ -104,12 +106,13 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def sketches(rows: DataFrame, k: int, places: int = PLACES, bands: int = BANDS) -> DataFrame:
-    """(row, doc_id, n_shingles, digest, keys) per row of ``rows`` (row, doc_id, text)."""
-    small_batches(rows.sparkSession)
+    """The columns of ``rows`` but ``text``, and n_shingles, digest, keys, per row."""
+    ship_code(rows.sparkSession)
+    kept = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("near")
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles(t, k) for t in batch.column("text").to_pylist()]
             sizes = np.array([len(s) for s in sets], np.int64)
             owner = np.repeat(np.arange(len(sets)), sizes)
@@ -117,23 +120,24 @@ def sketches(rows: DataFrame, k: int, places: int = PLACES, bands: int = BANDS)
             offsets = np.arange(0, keys.size + 1, bands, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"), batch.column("doc_id"), pa.array(sizes), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    *[batch.column(f.name) for f in kept], pa.array(sizes), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
                 ],
-                names=["row", "doc_id", "n_shingles", "digest", "keys"],
+                names=[*[f.name for f in kept], "n_shingles", "digest", "keys"],
             )
 
-    return rows.mapInArrow(run, "row long, doc_id long, n_shingles long, digest binary, keys array<long>")
+    passed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    return rows.mapInArrow(run, f"{passed}, n_shingles long, digest binary, keys array<long>")
 
 
-def _rows(docs: DataFrame, row, text_col: str, id_col: str) -> DataFrame:
-    return docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
+def _texts(docs: DataFrame, file: str, place: str, text_col: str, id_col: str) -> DataFrame:
+    return docs.select(F.col(file).alias("file"), F.col(place).alias("place"), F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
 
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("near")
-        for batch in batches:
+        for batch in sliced(batches):
             sets = pa.array([shingles(t, k).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("row"), sets], names=["row", "elements"])
 
@@ -184,7 +188,7 @@ def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 def _tile_links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):  # a row is two tiles
             for pair in batch.to_pylist():
                 a, b = ([np.frombuffer(x, np.uint64) for x in pair[c]] for c in ("sets_a", "sets_b"))
                 rows_a, rows_b = (np.array(pair[c], np.int64) for c in ("rows_a", "rows_b"))
@@ -210,40 +214,43 @@ def _rest(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tiles = stored(tiles, "cluster-tiles")
     left = tiles.select("cluster", F.col("part").alias("pa"), F.col("rows").alias("rows_a"), F.col("sets").alias("sets_a"))
     right = tiles.select("cluster", F.col("part").alias("pb"), F.col("rows").alias("rows_b"), F.col("sets").alias("sets_b"))
-    small_batches(open_members.sparkSession, 4)  # a row is two tiles
-    found = stored(left.join(right, "cluster").where("pa <= pb").drop("pa", "pb", "cluster").mapInArrow(_tile_links(percent), "a long, b long").where("a <> b"), "rest-links")
-    small_batches(open_members.sparkSession)
-    return found
+    return stored(left.join(right, "cluster").where("pa <= pb").drop("pa", "pb", "cluster").mapInArrow(_tile_links(percent), "a long, b long").where("a <> b"), "rest-links")
 
 
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id", leaders: int = LEADERS
 ) -> DataFrame:
-    """One row per row of ``docs``: row (its number in the table written first), doc_id, n_shingles, component_id,
-    group (a row number for each group), kept."""
-    return _grouped(stored(_rows(docs, F.monotonically_increasing_id(), text_col, id_col), "rows"), k, percent, leaders)
+    """One row per row of ``docs``: row (its number), file and place, doc_id, n_shingles, component_id, group (a row number for each group), kept."""
+    source, file, place = identified(docs.select(id_col, text_col), "rows")
+    return _grouped(_texts(source, file, place, text_col, id_col), k, percent, leaders)
 
 
-def _grouped(rows: DataFrame, k: int, percent: int, leaders: int = LEADERS) -> DataFrame:
-    """``near_duplicates`` of a written table (row, doc_id, text): every pass finds the same numbers in it, however it is split."""
-    sketch = stored(sketches(rows, k), "sketches")
-    classes = stored(
-        sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id"), F.min_by("keys", "row").alias("keys")),
-        "classes",
-    )
+def _grouped(texts: DataFrame, k: int, percent: int, leaders: int = LEADERS) -> DataFrame:
+    """``near_duplicates`` of (file, place, doc_id, text)."""
+    sketch = stored(sketches(texts.select(F.monotonically_increasing_id().alias("row"), "*"), k), "sketches")
+    firsts = F.min_by(F.struct("keys", "n_shingles", "file", "place"), "row").alias("first")
+    classes = sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id"), firsts)
+    classes = stored(classes.select("digest", "row", "first_id", "first.*"), "classes")
     # Buckets of two or more classes; a class alone everywhere is done.
-    keyed = classes.select(F.explode("keys").alias("key"), "row")
-    busy = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    keyed = classes.select(F.explode("keys").alias("key"), "row", F.col("n_shingles").alias("n"))
+    busy = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = stored(keyed.join(busy, "key"), "buckets")
-    wanted = members.select("row").distinct()
-    sets = stored(_sets(rows.join(wanted, "row", "left_semi"), k), "shingle-sets")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """The full sets of the given rows, from their texts."""
+        places = wanted.distinct().join(classes.select("row", "file", "place"), "row")
+        return stored(_sets(texts.join(places, ["file", "place"]), k), "shingle-sets")
 
     links = None
     if leaders:
-        first = members.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("row", F.lit(i)).alias("h"), "row"))["row"].alias(f"l{i}") for i in range(leaders)])
-        first = first.select("key", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(leaders)]))).alias("leader"))
-        pairs = members.join(first, "key").where("row <> leader").select(F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b"))
-        links = stored(_confirmed(pairs.distinct(), sets, percent), "confirmed")
+        least = [F.min(F.struct(F.xxhash64("row", F.lit(i)).alias("h"), "row", "n")) for i in range(leaders)]
+        first = members.groupBy("key").agg(*[F.struct(x["row"].alias("leader"), x["n"].alias("ln")).alias(f"l{i}") for i, x in enumerate(least)])
+        first = first.select("key", F.inline(F.array_distinct(F.array(*[f"l{i}" for i in range(leaders)]))))
+        # Sets whose sizes differ too much cannot be alike; only the others are loaded.
+        alike = F.least("n", "ln") * 100 >= F.greatest("n", "ln") * percent
+        pairs = members.join(first, "key").where("row <> leader").where(alike).select(F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b"))
+        pairs = stored(pairs.distinct(), "pairs")
+        links = stored(_confirmed(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("row"))), percent), "confirmed")
 
     def grouped(found: DataFrame) -> DataFrame:
         return stored(connected_components(found, "near").withColumnRenamed("node", "row"), "groups")
@@ -251,7 +258,8 @@ def _grouped(rows: DataFrame, k: int, percent: int, leaders: int = LEADERS) -> D
     groups = grouped(links) if links is not None and not links.isEmpty() else None
     now = members.withColumn("component", F.col("row")) if groups is None else members.join(groups, "row", "left").withColumn("component", F.coalesce("component", "row"))
     open_keys = now.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
-    rest = _rest(stored(now.join(open_keys, "key"), "open-buckets"), sets, percent)
+    still = stored(now.drop("n").join(open_keys, "key"), "open-buckets")
+    rest = _rest(still, sets_of(still.select("row")), percent)
     if not rest.isEmpty():
         groups = grouped(rest if links is None else links.unionByName(rest))
 
@@ -262,27 +270,29 @@ def _grouped(rows: DataFrame, k: int, percent: int, leaders: int = LEADERS) -> D
         own = own.join(groups, "row", "left").withColumn("component", F.coalesce("component", "row"))
     smallest = own.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = own.join(smallest, "component").select("digest", "component_id", F.col("component").alias("group"))
-    full = sketch.where("n_shingles > 0").drop("keys").join(named, "digest").select("row", "doc_id", "n_shingles", "component_id", "group")
-    alone = sketch.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("row").alias("group"))
+    full = sketch.where("n_shingles > 0").drop("keys").join(named, "digest").select("row", "file", "place", "doc_id", "n_shingles", "component_id", "group")
+    alone = sketch.where("n_shingles = 0").select("row", "file", "place", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("row").alias("group"))
     both = full.unionByName(alone).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     return both.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group: the first row that has the group's smallest id. Rows without
-    words or id all stay, and so do rows of one id whose texts are in different groups. The result is read from the numbered copy of ``docs``."""
-    numbered = stored(without(docs, "dedup_row").withColumn("dedup_row", F.monotonically_increasing_id()), "numbered")
+    words or id all stay, and so do rows of one id whose texts are in different groups. Columns stay as they are, whatever their names."""
+    source, file, place = identified(docs, "rows")
     folder = f"near-{uuid.uuid4().hex}/"
     token = FOLDER.set(folder)
     try:
-        found = _grouped(_rows(numbered, F.col("dedup_row"), text_col, id_col), k, percent)
+        found = _grouped(_texts(source, file, place, text_col, id_col), k, percent)
     finally:
         FOLDER.reset(token)
-    sure = found.where("kept AND (n_shingles = 0 OR doc_id IS NULL)").select("row")
-    firsts = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("group").agg(F.min("row").alias("row")).select("row")
-    chosen = stored(sure.unionByName(firsts).withColumnRenamed("row", "dedup_row"), "chosen")
-    drop_folder(docs.sparkSession, folder)  # only the chosen rows are needed from here on
-    return numbered.join(chosen, "dedup_row", "left_semi").drop("dedup_row")
+    where = F.struct("file", "place")
+    sure = found.where("kept AND (n_shingles = 0 OR doc_id IS NULL)").select(where.alias("at"))
+    firsts = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("group").agg(F.min_by(where, "row").alias("at")).select("at")
+    chosen = sure.unionByName(firsts).select(F.col("at.file").alias(file), F.col("at.place").alias(place))
+    chosen = stored(chosen, "chosen")
+    drop_folder(docs.sparkSession, folder)  # only the chosen places are needed from here on
+    return source.join(chosen, [file, place], "left_semi").drop(file, place)
 
 
 ORACLE = r"""

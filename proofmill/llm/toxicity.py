@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import folded_words, small_batches, text_bytes, without
+from proofmill.llm.common import folded_words, sliced, text_bytes, without
 from proofmill.llm.pretokens import Known, claim
+from proofmill.session import ship_code
 
 SAMPLE = 1200
 TRAIN_BYTES = 60_000
@@ -287,16 +288,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return [bytes(r["data"]) for r in rows], [r["train_y"] for r in rows]
 
 
-def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``toxicity``: score, expected (offending words), spans (offsets in code points, marginal)."""
-    small_batches(docs.sparkSession)
+def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", name: str = "toxicity") -> DataFrame:
+    """``docs`` with a struct column ``name``: score, expected (offending words), spans (offsets in code points, marginal)."""
+    ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches):
         model = shared.value
         claim("toxicity")
         known = Known(model.word_score, 100_000)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.to_pylist()
             words = [folded_words(t) for t in texts]
             sizes = np.array([len(w) for w in words], np.int64)
@@ -324,7 +325,7 @@ def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text") -> Dat
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     score = F.arrow_udf(run, TYPE).asNondeterministic()
-    return without(docs, "toxicity").withColumn("toxicity", score(text_bytes(text_col)))
+    return without(docs, name).withColumn(name, score(text_bytes(text_col)))
 
 
 def held_out(id_col: str = "doc_id"):
