@@ -7,11 +7,11 @@ written as Parquet and read again for the next one. All but the last return the
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmill.llm import decontaminate, packing, secrets, superminhash, toxicity
-from proofmill.llm.common import table
+from proofmill.llm.common import free_name, table
 from proofmill.session import stored
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,18 +19,20 @@ TOXIC_FROM = 0.5
 MAX_COVERAGE = 0.5
 
 
-def _with_text(df: DataFrame, text, columns: list[str]) -> DataFrame:
+def _with_text(df: DataFrame, text: Column, columns: list[str]) -> DataFrame:
     """The given columns with a new text; its length follows where it is a column."""
-    new = df.withColumn("new_text", text)
-    changed = {"text": F.col("new_text"), "n_chars": F.char_length("new_text").cast("long")}
+    name = free_name(df, "new_text")
+    new = df.withColumn(name, text)
+    changed = {"text": F.col(name), "n_chars": F.char_length(name).cast("long")}
     return new.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the CRF scores as toxic go."""
     chain = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_toxicity(docs, chain)
-    return scored.where(F.col("toxicity.score") < TOXIC_FROM).drop("toxicity")
+    name = free_name(docs, "toxicity")
+    scored = toxicity.score_toxicity(docs, chain, name=name)
+    return scored.where(F.col(f"{name}.score") < TOXIC_FROM).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,20 +42,22 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that mostly consist of them go."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    clean = decontaminate.remove_leaks(found, max_coverage=MAX_COVERAGE).where("NOT rejected")
-    return _with_text(clean, F.col("clean_text"), docs.columns)
+    leak, rejected, text = (free_name(docs, n) for n in ("leak", "rejected", "clean_text"))
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), name=leak)
+    clean = decontaminate.remove_leaks(found, max_coverage=MAX_COVERAGE, name=leak, rejected=rejected, clean_text=text)
+    return _with_text(clean.where(~F.col(rejected)), F.col(text), docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    found = secrets.find_secrets(docs)
-    return _with_text(found, secrets.redact(found), docs.columns)
+    name = free_name(docs, "secrets")
+    found = secrets.find_secrets(docs, name=name)
+    return _with_text(found, secrets.redact(found, name=name), docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of a power of two of ids, each from one document, with their ids, in buckets of equal length."""
-    return packing.pack_by_length(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
