@@ -33,37 +33,31 @@ from proofmill.session import ship_code
 
 END_ID = 1
 SEQUENCE = 2048
-#: Pre-tokens, and parts between spaces, that a task remembers.
-CACHE = 150_000
+#: Pre-tokens that a task remembers.
+CACHE = 300_000
 
 
 @cache
 def encoder(path: str, size: int = CACHE):
     """A function from a text to its ids as little-endian 32-bit bytes; a Python worker keeps it over tasks."""
-    model = pretokens.load(path).model
+    tokenize = pretokens.load(path).model.tokenize
     pattern, special = pretokens.specials(path)
     whole = {s: i.to_bytes(4, "little") for s, i in special.items()}
+    space = pretokens.byte_letters()[32]
 
     def encode(piece: str) -> bytes:
-        found = model.tokenize(pretokens.byte_level(piece))
-        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        rest = piece[1:]
+        if piece[0] == " " and rest.isascii() and rest.isprintable() and " " not in rest:
+            letters = space + rest  # visible ASCII stands for itself
+        else:
+            letters = pretokens.byte_level(piece)
+        ids = [t.id for t in tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    pieces = pretokens.Known(encode, size, "packing")
-
-    def split(text: str) -> bytes:
-        return b"".join(map(pieces.__getitem__, pretokens.byte_pretokens(text, path)))
-
-    def spaced_chunk(chunk: str) -> bytes:
-        # Letters behind a space are one pre-token: straight to the merges, past the splitter and its cache.
-        return encode(" " + chunk) if chunk.isalpha() else split(" " + chunk)
-
-    chunks = pretokens.Known(spaced_chunk, size, "packing")
+    known = pretokens.Known(encode, size, "packing").__getitem__
 
     def plain(text: str) -> bytes:
-        if not pretokens.spaced(text) or pretokens.other(text):
-            return split(text)
-        first, *rest = text.split(" ")
-        return split(first) + b"".join(map(chunks.__getitem__, rest))
+        return b"".join(map(known, pretokens.byte_pretokens(text, path)))
 
     def run(text: str) -> bytes:
         if not text:
