@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 import numpy as np
@@ -46,6 +47,18 @@ def sliced(batches: Iterator, rows: int = SLICE_ROWS) -> Iterator:
             yield parts if isinstance(batch, tuple) else parts[0]
 
 
+@contextmanager
+def few_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of few rows for the jobs run inside, where each row is large; the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (names compare without case, as Spark does)."""
     taken = {c.lower() for c in df.columns}

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import connected_components, sliced, smallest_reached
+from proofmill.llm.common import connected_components, few_rows, sliced, smallest_reached
 from proofmill.session import ship_code, stored
 
 TILE = 512
@@ -193,7 +193,8 @@ def link_vectors(
 
     left = tiles.select(F.col("tile").alias("a"), "dim", F.col("rows").alias("ra"), F.col("copies").alias("ca"), F.col("x").alias("xa"))
     right = tiles.select(F.col("tile").alias("b"), F.col("rows").alias("rb"), F.col("copies").alias("cb"), F.col("x").alias("xb"))
-    found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(compare, "row long, n long, root long"), "tile-links")
+    with few_rows(spark, 8):  # a row is two tiles
+        found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(compare, "row long, n long, root long"), "tile-links")
 
     counts = found.groupBy("row").agg(F.sum("n").alias("n"))
     groups = connected_components(found.select(F.col("row").alias("a"), F.col("root").alias("b")), "vectors").withColumnRenamed("node", "row")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import FOLDER, connected_components, drop_folder, identified, sliced, smallest_reached, stored, text_bytes
+from proofmill.llm.common import FOLDER, connected_components, drop_folder, few_rows, identified, sliced, smallest_reached, stored, text_bytes
 from proofmill.llm.pretokens import Known, claim
 from proofmill.session import ship_code
 
@@ -214,7 +214,8 @@ def _rest(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tiles = stored(tiles, "cluster-tiles")
     left = tiles.select("cluster", F.col("part").alias("pa"), F.col("rows").alias("rows_a"), F.col("sets").alias("sets_a"))
     right = tiles.select("cluster", F.col("part").alias("pb"), F.col("rows").alias("rows_b"), F.col("sets").alias("sets_b"))
-    return stored(left.join(right, "cluster").where("pa <= pb").drop("pa", "pb", "cluster").mapInArrow(_tile_links(percent), "a long, b long").where("a <> b"), "rest-links")
+    with few_rows(open_members.sparkSession, 4):  # a row is two tiles
+        return stored(left.join(right, "cluster").where("pa <= pb").drop("pa", "pb", "cluster").mapInArrow(_tile_links(percent), "a long, b long").where("a <> b"), "rest-links")
 
 
 def near_duplicates(
