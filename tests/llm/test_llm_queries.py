@@ -6,6 +6,7 @@ import struct
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -92,3 +93,17 @@ def test_pipeline_of_odd_tables(spark, odd_docs, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{d}/{t}.parquet").write.parquet(f"{d}/e/{t}.parquet")
     assert corpus_pipeline.run(spark, f"{d}/e").count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, data, tmp_path):
+    """Extra columns named like the stages' own results stay as they are, through every stage but the last."""
+    names = ["scan_row", "scan_hits", "Secrets", "leak", "rejected", "clean_text", "toxicity", "dedup_row", "new_text", "file_mark", "FILE_PLACE", "row", "place", "group"]
+    docs = spark.read.parquet(f"{data}/documents.parquet").withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id")) for n in names})
+    docs.write.parquet(f"{tmp_path}/0")
+    seen = spark.read.parquet(f"{tmp_path}/0")
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1], start=1):
+        stage(spark, seen, data).write.parquet(f"{tmp_path}/{i}")
+        seen = spark.read.parquet(f"{tmp_path}/{i}")
+        assert seen.columns == docs.columns
+        assert all(r[n] == f"{n} {r['doc_id']}" for r in seen.collect() for n in names)
+    assert seen.count() > 100 and corpus_pipeline.STAGES[-1][1](spark, seen, data).where("start = 0").count() == seen.count()
