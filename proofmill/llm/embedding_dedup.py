@@ -7,12 +7,14 @@
    join neighbouring cells. Cells are cut by hash into tiles of about ``TILE`` vectors.
 4. Tiles of neighbouring cells meet if their boxes over ``LEAD`` dimensions are close enough. A pair of tiles is compared
    by leading dimensions first: what the other dimensions can add is bounded by the product of suffix norms; pairs that cannot
-   reach the threshold stop, and a tile pair stops when none is left. Survivors get the full product in double precision.
+   reach the threshold stop, and a tile pair stops when none is left. Survivors are decided by the product of the plain unit
+   vectors in double precision; the rotated ones only rule pairs out.
 5. A tile pair gives one row per linked vector: the number of its links and the smallest vector of its local group. Links are never
    listed one by one. Groups grow together by alternating stars on tables.
 
 Scale. A tile is bounded whatever the size of a label, of a cell or of a group of copies: a large near-copy group is
-cut into tiles like everything else. A rotation is d*d numbers per dimension; a task holds a few tile pairs.
+cut into tiles like everything else. ``BLOCK`` tiles of a cell form a block, and pairs of tiles are dealt by pairs of blocks: a
+tile travels once per pair of blocks, not once per pair of tiles, and a task holds two blocks. A rotation is d*d numbers per dimension.
 
 Defined results. Vectors that are null, zero, or hold null or non-finite components, and vectors without a label, link with nothing:
 no links, a group of their own. Rows of equal vectors link with each other. Null ids: the component is null
@@ -30,11 +32,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.llm.common import connected_components, few_rows, sliced, smallest_reached
+from proofmill.llm.common import connected_components, few_rows, smallest_reached
 from proofmill.session import ship_code, stored
 
 TILE = 512
 LEAD = 8
+#: Tiles of a cell that travel together.
+BLOCK = 8
 #: Rounding allowance of products of unit vectors while pairs are being ruled out.
 ROUND_OFF = 1e-9
 
@@ -87,9 +91,9 @@ def _rotation(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"dim": [d], "rotation": [np.ascontiguousarray(vectors[:, ::-1]).tobytes()]})
 
 
-def compare_tiles(a: np.ndarray, b: np.ndarray, threshold: float, same: bool, lead: int = LEAD) -> np.ndarray:
-    """Which pairs of unit vectors (rows of a and b, rotated) reach the threshold."""
-    d = a.shape[1]
+def compare_tiles(unit_a: np.ndarray, unit_b: np.ndarray, rotation: np.ndarray, threshold: float, same: bool, lead: int = LEAD) -> np.ndarray:
+    """Which pairs of unit vectors (rows of a and b) reach the threshold; the rotation brings the heaviest dimensions to the front."""
+    a, b, d = unit_a @ rotation, unit_b @ rotation, unit_a.shape[1]
 
     def tails(x: np.ndarray, k: int) -> np.ndarray:
         return np.sqrt((x[:, k:] ** 2).sum(axis=1))
@@ -111,7 +115,9 @@ def compare_tiles(a: np.ndarray, b: np.ndarray, threshold: float, same: bool, le
         k = more
         alive &= product + np.outer(tails(a, k), tails(b, k)) >= threshold - ROUND_OFF
     i, j = np.nonzero(alive)
-    out[i, j] = np.einsum("nd,nd->n", a[i], b[j]) >= threshold
+    for at in range(0, len(i), 4096):
+        few = slice(at, at + 4096)
+        out[i[few], j[few]] = np.einsum("nd,nd->n", unit_a[i[few]], unit_b[j[few]]) >= threshold
     return out
 
 
@@ -141,7 +147,7 @@ def link_vectors(
             out = [np.frombuffer(u) @ shared.value[d] for u, d in zip(batch.column("unit").to_pylist(), batch.column("dim").to_pylist(), strict=True)]
             cells = [[int(np.floor(x[i] / reach)) if i < len(x) else 0 for i in (0, 1)] for x in out]
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(["label", "dim", "row", "copies"]).columns, pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int32()), pa.array([x.tobytes() for x in out], pa.binary())],
+                [*batch.select(["label", "dim", "row", "copies"]).columns, pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int32()), batch.column("unit")],
                 names=["label", "dim", "row", "copies", "c0", "c1", "x"],
             )
 
@@ -150,38 +156,46 @@ def link_vectors(
     cell = ["label", "dim", "c0", "c1"]
     sizes = placed.groupBy(*cell).agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
     dealt = placed.join(sizes, cell).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+    # Blocks with the same hash would travel together, which changes no result.
+    dealt = dealt.withColumn("block", F.xxhash64(*cell, F.floor(F.col("part") / BLOCK)))
 
     def box(group: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack([np.frombuffer(v) for v in group["x"]])
-        first = group.iloc[0]
+        x, first = np.stack([np.frombuffer(v) for v in group["x"]]), group.iloc[0]
+        lead = x @ shared.value[int(first["dim"])][:, :LEAD]
         return pd.DataFrame(
             {
                 "tile": [int(group["row"].min())], "label": [first["label"]], "dim": [first["dim"]], "c0": [first["c0"]], "c1": [first["c1"]],
-                "low": [x[:, :LEAD].min(axis=0).tolist()], "high": [x[:, :LEAD].max(axis=0).tolist()], "rows": [group["row"].tolist()],
+                "block": [first["block"]], "low": [lead.min(axis=0).tolist()], "high": [lead.max(axis=0).tolist()], "rows": [group["row"].tolist()],
                 "copies": [group["copies"].tolist()], "x": [x.tobytes()],
             }
         )
 
     tiles = stored(
-        dealt.repartition(*cell, "part").groupBy(*cell, "part").applyInPandas(box, "tile long, label string, dim int, c0 int, c1 int, low array<double>, high array<double>, rows array<long>, copies array<long>, x binary"),
+        dealt.repartition(*cell, "part").groupBy(*cell, "part").applyInPandas(box, "tile long, label string, dim int, c0 int, c1 int, block long, low array<double>, high array<double>, rows array<long>, copies array<long>, x binary"),
         "tiles",
     )
-    head = tiles.select("tile", *cell, "low", "high")
+    head = tiles.select("tile", *cell, "block", "low", "high")
     near = F.explode(F.array(*[F.struct((F.col("c0") + i).alias("c0"), (F.col("c1") + j).alias("c1")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    other = head.select("label", "dim", near.alias("c"), F.col("tile").alias("b"), F.col("low").alias("low_b"), F.col("high").alias("high_b")).select("label", "dim", "c.c0", "c.c1", "b", "low_b", "high_b")
+    other = head.select("label", "dim", near.alias("c"), F.col("tile").alias("b"), F.col("block").alias("block_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b")).select("label", "dim", "c.c0", "c.c1", "b", "block_b", "low_b", "high_b")
     gaps = F.zip_with(
         F.zip_with("low", "high_b", lambda x, y: x - y), F.zip_with("low_b", "high", lambda x, y: x - y), lambda x, y: F.pow(F.greatest(x, y, F.lit(0.0)), 2)
     )
-    pairs = head.join(other, cell).where("tile <= b").where(F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g) <= reach * reach).select(F.col("tile").alias("a"), "b")
-    pairs = stored(pairs, "tile-pairs")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 1):  # a row is two tiles
-            for pair in batch.to_pylist():
-                ra, rb, ca, cb = (np.array(pair[c], np.int64) for c in ("ra", "rb", "ca", "cb"))
-                xa, xb = (np.frombuffer(pair[c]).reshape(-1, pair["dim"]) for c in ("xa", "xb"))
-                same = pair["a"] == pair["b"]
-                linked = compare_tiles(xa, xb, threshold, same)
+    pairs = head.join(other, cell).where("tile <= b").where(F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g) <= reach * reach)
+    # Of a pair of blocks, the smaller comes first whichever of its tiles does.
+    one, two = F.least("block", "block_b").alias("one"), F.greatest("block", "block_b").alias("two")
+    pairs = stored(pairs.select(one, two, F.col("tile").alias("a"), "b"), "tile-pairs")
+    partners = pairs.groupBy("one", "two", F.col("a").alias("tile")).agg(F.collect_list("b").alias("partners"))  # as many as a block has tiles
+    partnered = pairs.select("one", "two", F.col("b").alias("tile")).distinct().join(partners, ["one", "two", "tile"], "full_outer")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        held = {t.tile: (np.array(t.rows, np.int64), np.array(t.copies, np.int64), np.frombuffer(t.x).reshape(-1, t.dim)) for t in group.itertuples()}
+        for t in group.itertuples():
+            ra, ca, xa = held[t.tile]
+            for b in t.partners if t.partners is not None else ():
+                rb, cb, xb = held[b]
+                same = t.tile == b
+                linked = compare_tiles(xa, xb, shared.value[t.dim], threshold, same)
                 if not linked.any():
                     continue
                 la, lb = smallest_reached(linked, ra, rb)
@@ -189,12 +203,13 @@ def link_vectors(
                 if not same:
                     n, root, rows = np.concatenate([n, linked.T @ ca]), np.concatenate([la, lb]), np.concatenate([ra, rb])
                 on = n > 0
-                yield pa.RecordBatch.from_arrays([pa.array(rows[on]), pa.array(n[on]), pa.array(root[on])], names=["row", "n", "root"])
+                out.append(pd.DataFrame({"row": rows[on], "n": n[on], "root": root[on]}))
+        return pd.concat(out) if out else pd.DataFrame({"row": [], "n": [], "root": []}, dtype=np.int64)
 
-    left = tiles.select(F.col("tile").alias("a"), "dim", F.col("rows").alias("ra"), F.col("copies").alias("ca"), F.col("x").alias("xa"))
-    right = tiles.select(F.col("tile").alias("b"), F.col("rows").alias("rb"), F.col("copies").alias("cb"), F.col("x").alias("xb"))
-    with few_rows(spark, 8):  # a row is two tiles
-        found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(compare, "row long, n long, root long"), "tile-links")
+    payload = tiles.select("tile", "dim", "rows", "copies", "x")
+    with few_rows(spark, 8):  # a row is a tile
+        found = partnered.join(payload, "tile").groupBy("one", "two").applyInPandas(compare, "row long, n long, root long")
+        found = stored(found, "tile-links")
 
     counts = found.groupBy("row").agg(F.sum("n").alias("n"))
     groups = connected_components(found.select(F.col("row").alias("a"), F.col("root").alias("b")), "vectors").withColumnRenamed("node", "row")

@@ -33,8 +33,9 @@ def data(d, seed):
     return rows
 
 
-@pytest.mark.parametrize(("d", "tile"), [(24, 512), (24, 8), (3, 16), (1, 16)])
-def test_links_equal_brute_force(make, d, tile):
+@pytest.mark.parametrize(("d", "tile", "block"), [(24, 512, 8), (24, 2, 3), (24, 8, 1), (3, 16, 8), (1, 16, 8)])
+def test_links_equal_brute_force(make, monkeypatch, d, tile, block):
+    monkeypatch.setattr(e, "BLOCK", block)
     rows = data(d, d) + [(900, 1, None), (901, 1, [0.0] * d), (902, 1, [float("nan")] * d), (903, 1, [None] * d), (904, 1, []), (905, 1, [1.0] * (d + 1)), (906, 1, [1.0] * (d + 1)), (None, 1, [1.0] * (d + 1))]
     rows += [rows[15], rows[15]]  # repeated rows
     got = e.link_vectors(make(rows, "vec_id long, label int, embedding array<float>"), tile=tile)
@@ -46,8 +47,34 @@ def test_tiles_stop_early_and_lose_nothing():
     a = rng.normal(size=(60, 32)) * np.linspace(3, 0.1, 32)
     b = np.concatenate([a[:20] + rng.normal(size=(20, 32)) * 0.1, rng.normal(size=(30, 32))])
     a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
-    for threshold in (0.5, 0.9, 0.98):
-        assert np.array_equal(e.compare_tiles(a, b, threshold, False), a @ b.T >= threshold)
+    turned = np.linalg.qr(rng.normal(size=(32, 32)))[0]
+    for rotation in (np.eye(32), turned):
+        for threshold in (0.5, 0.9, 0.98):
+            assert np.array_equal(e.compare_tiles(a, b, rotation, threshold, False), a @ b.T >= threshold)
+
+
+def test_the_plain_product_decides():
+    """Pairs exactly at the threshold, rotated in any way: what the plain unit vectors give counts."""
+    rng = np.random.default_rng(7)
+    a = rng.normal(size=(40, 16))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = a + rng.normal(size=a.shape) * 0.05
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    plain = np.einsum("nd,nd->n", a, b)
+    for k in range(40):
+        turned = np.linalg.qr(rng.normal(size=(16, 16)))[0]
+        assert e.compare_tiles(a[k : k + 1], b[k : k + 1], turned, plain[k], False)[0, 0]
+        assert not e.compare_tiles(a[k : k + 1], b[k : k + 1], turned, np.nextafter(plain[k], 2), False)[0, 0]
+
+
+def test_dense_cell_of_many_blocks(make, monkeypatch):
+    """One near-copy group that is cut into many tiles and blocks."""
+    monkeypatch.setattr(e, "BLOCK", 2)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=12)
+    rows = [(i, 1, [float(np.float32(v)) for v in base + rng.normal(size=12) * 0.02]) for i in range(150)]
+    got = e.link_vectors(make(rows, "vec_id long, label int, embedding array<float>"), tile=6).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=repr) == brute(rows, 0.98)
 
 
 def test_empty_table(make):
