@@ -8,8 +8,9 @@ hit words exceed ``max_coverage`` are rejected.
 
 Scale. Documents are never shuffled: each task streams its rows through the automaton. The
 items are split by hash into blocks of about ``BLOCK_WORDS`` words, so one automaton stays
-within about 1 GB whatever the number of items; documents meet one block per pass. Up
-to 200,000 item words (the usual case) there is one block and one pass.
+within about 1 GB whatever the number and length of items; documents meet one block per pass. Up
+to 200,000 item words (the usual case) there is one block and one pass. Matches are followed up to the length of a
+block, which ``longest`` shows; windows, hits and items do not depend on it.
 
 Defined results. A null or word-free text has no words and no hits. An item without words is
 never found. Repeated rows each get their own result. Items with the same text are
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from proofmill.llm.common import WORD_BYTES, folded_words, sliced, text_bytes, without
 from proofmill.llm.pretokens import claim
-from proofmill.session import ship_code, stored
+from proofmill.session import ship_code, stored, work_path
 
 #: Item words of one automaton; it takes some 0.5 kB a word.
 BLOCK_WORDS = 200_000
@@ -157,14 +158,32 @@ class SuffixAutomaton:
         return spans, items, longest
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """Items dealt to blocks of bounded size, one block on the driver at a time."""
-    source = items.select(F.col(id_col).cast("string").alias("id"), text_bytes(text_col).alias("text"))
-    total = source.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n = max(1, -(-total // (block_words * 6)))  # a word and its space take six bytes or more in most texts
+def _blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """Items dealt to blocks of bounded size, one block on the driver at a time. An item that is longer than a block is cut into
+    pieces that overlap by all but one word of a window, so each of its windows is in a piece."""
+    spark = items.sparkSession
+    source = items.select(F.col(id_col).cast("string").alias("id"), text_bytes(text_col).alias("words"))
+    total, longest = source.select(F.sum(F.octet_length("words")), F.max(F.octet_length("words"))).first()
+    n = max(1, -(-(total or 0) // (block_words * 6)))  # a word and its space take six bytes or more in most texts
+    if n > 1 or (longest or 0) > block_words * 6:
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in sliced(batches):
+                ids, pieces = [], []
+                for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    words = folded_words(text)
+                    for at in range(0, max(1, len(words) - window + 1), block_words):
+                        ids.append(item)
+                        pieces.append(b" ".join(words[at : at + block_words + window - 1]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(pieces, pa.binary())], names=["id", "words"])
+
+        dealt = source.mapInArrow(cut, "id string, words binary").withColumn("block", F.pmod(F.xxhash64("id", "words"), F.lit(n)))
+        path = work_path(spark, "items")
+        dealt.repartition("block").write.partitionBy("block").parquet(path)  # read once; each pass then reads its own block
+        source = spark.read.schema(dealt.schema).parquet(path)
     for k in range(n):
-        rows = source.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()
-        yield sorted(((r["id"], folded_words(bytes(r["text"]))) for r in rows), key=lambda x: (x[0] is not None, x[0], x[1]))
+        rows = (source.where(F.col("block") == k) if "block" in source.columns else source).collect()
+        yield sorted(((r["id"], folded_words(bytes(r["words"]))) for r in rows), key=lambda x: (x[0] is not None, x[0], x[1]))
 
 
 def _matcher(shared, leak: bool):
@@ -216,7 +235,7 @@ def find_leaks(
     ship_code(spark)
     out = without(docs, name)
     first = True
-    for block in _blocks(items, item_id_col, item_text_col, block_words):
+    for block in _blocks(items, item_id_col, item_text_col, window, block_words):
         if not first:
             out = stored(out, "leaks")  # one pass of the documents per block of items
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))

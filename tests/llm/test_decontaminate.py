@@ -66,3 +66,19 @@ def test_spans_are_cut_and_covered_documents_rejected(make):
 def test_empty_tables(make):
     assert d.find_leaks(make([], "doc_id long, text string"), make([(1, "a b")], ITEMS)).count() == 0
     assert d.find_leaks(make([(1, "a b")], "doc_id long, text string"), make([], ITEMS)).first()["leak"]["n_hit"] == 0
+
+
+@pytest.mark.parametrize("block_words", [5, 40])
+def test_items_longer_than_a_block(make, block_words):
+    """Long items are cut into overlapping pieces; every window stays whole, also across the cuts, and each item is named once."""
+    rng = random.Random(block_words)
+    items = [(i, " ".join(rng.choices("abcde", k=n))) for i, n in enumerate((300, 120, 41, 6, 5, 4, 1, 0))] + [(None, "a b c d e a b c d e " * 20), (9, None)]
+    whole = items[0][1].split()
+    texts = [" ".join(whole[at : at + 60]) for at in range(0, 240, 20)] + [" ".join(rng.choices("abcde", k=80)) for _ in range(10)] + [None, ""]
+    docs = make([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, block int")
+    rows = d.leak_digest(d.find_leaks(docs, make(items, ITEMS), window=6, block_words=block_words)).collect()
+    for r in rows:
+        n, hit, ids = brute(texts[r["doc_id"]], items, 6)
+        ids = [x for x in ids if x != "None"]
+        assert (r["n_words"], r["n_hit"], r["items_sha256"]) == (n, hit, hashlib.sha256(",".join(ids).encode()).hexdigest())
+    assert len(rows) == len(texts)
