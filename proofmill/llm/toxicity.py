@@ -204,6 +204,23 @@ def word_labels(sample: Sample, toxic: np.ndarray) -> np.ndarray:
     return np.bincount(sample.kinds, sure[sample.places], sample.n_kinds) > 0
 
 
+def gradient(sample: Sample, bad: np.ndarray, toxic: np.ndarray, chain: Chain) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the log likelihood of the word labels: by the score of each word kind, and by the potentials of state changes."""
+    kind_scores = sample.scores(chain.weights)
+    A, pull, g2 = np.exp(chain.change), np.zeros(sample.n_kinds), np.zeros((2, 2))
+    for words, first, owner in sample.parts():
+        ids = sample.ids[words]
+        scores, y = kind_scores[ids], bad[ids] & toxic[owner]
+        forward, backward, p = forward_backward(scores, first, chain)
+        pull += np.bincount(ids, y - p, sample.n_kinds)
+        inner = ~first
+        after, before = (np.exp(np.clip(scores, -30, 30)) * backward)[inner], np.roll(forward, 1)[inner]
+        w = np.stack([np.full(len(before), A[0, 0]), A[0, 1] * after, before * A[1, 0], before * A[1, 1] * after])
+        y0, y1 = np.roll(y, 1)[inner], y[inner]
+        g2 += np.array([[np.sum(~y0 & ~y1), np.sum(~y0 & y1)], [np.sum(y0 & ~y1), np.sum(y0 & y1)]]) - (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
+    return pull, g2
+
+
 def fit_chain(sample: Sample, toxic: np.ndarray, rounds: int = ROUNDS, penalty: float = 1e-3) -> Chain:
     """Exact gradient of the conditional likelihood, AdaGrad steps, a small square penalty."""
     bad = word_labels(sample, toxic)
@@ -212,18 +229,7 @@ def fit_chain(sample: Sample, toxic: np.ndarray, rounds: int = ROUNDS, penalty:
     heat, heat2 = np.full(TABLE, 1e-6, np.float32), np.full((2, 2), 1e-6)
     n = max(1, len(sample.ids))
     for _ in range(rounds):
-        kind_scores = sample.scores(chain.weights)
-        A, pull, g2 = np.exp(chain.change), np.zeros(sample.n_kinds), np.zeros((2, 2))
-        for words, first, owner in sample.parts():
-            ids = sample.ids[words]
-            scores, y = kind_scores[ids], bad[ids] & toxic[owner]
-            forward, backward, p = forward_backward(scores, first, chain)
-            pull += np.bincount(ids, y - p, sample.n_kinds)
-            inner = ~first
-            after, before = (np.exp(np.clip(scores, -30, 30)) * backward)[inner], np.roll(forward, 1)[inner]
-            w = np.stack([np.full(len(before), A[0, 0]), A[0, 1] * after, before * A[1, 0], before * A[1, 1] * after])
-            y0, y1 = np.roll(y, 1)[inner], y[inner]
-            g2 += np.array([[np.sum(~y0 & ~y1), np.sum(~y0 & y1)], [np.sum(y0 & ~y1), np.sum(y0 & y1)]]) - (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        pull, g2 = gradient(sample, bad, toxic, chain)
         g = (np.bincount(sample.places, pull[sample.kinds], TABLE) / n - penalty * chain.weights / n).astype(np.float32)
         heat += g * g
         chain.weights += 0.5 * g / np.sqrt(heat)

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -115,3 +116,60 @@ def test_no_word_is_marked_by_chance_alone():
     rng = random.Random(6)
     docs = [rng.choices([f"word{i}x".encode() for i in range(3000)], k=40) for _ in range(600)]
     assert t.word_labels(t.Sample.of(docs), np.arange(600) % 3 == 0).sum() == 0
+
+
+def labelings(scores, chain):
+    """(labels, weight) of every labelling of a short document."""
+    for y in itertools.product((0, 1), repeat=len(scores)):
+        yield y, np.exp(chain.start * y[0] + sum(s * v for s, v in zip(scores, y)) + sum(chain.change[a, b] for a, b in itertools.pairwise(y)))
+
+
+def test_gradient_equals_differences_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    words = [f"w{i}".encode() for i in range(5)]
+    docs = [[words[i] for i in rng.integers(0, 5, n)] for n in (1, 4, 6, 0, 3, 1)]
+    sample, toxic = t.Sample.of(docs), np.array([True, False, True, True, True, False])
+    bad = np.array([i % 2 == 0 for i in range(sample.n_kinds)])
+    chain = t.Chain(np.zeros(t.TABLE), rng.normal(size=(2, 2)), -0.4)
+    chain.weights[np.unique(sample.places)] = rng.normal(size=len(np.unique(sample.places)))
+
+    def likelihood(kind_scores, change):
+        total, moved = 0.0, t.Chain(chain.weights, change, chain.start)
+        for i, y in enumerate(toxic):
+            ids = sample.ids[sample.begins[i] : sample.begins[i + 1]]
+            if len(ids):
+                weight = dict(labelings(kind_scores[ids], moved))
+                total += np.log(weight[tuple(int(bad[k] and y) for k in ids)] / sum(weight.values()))
+        return total
+
+    scores, step = sample.scores(chain.weights), 1e-5
+    pull, g2 = t.gradient(sample, bad, toxic, chain)
+    for k in range(sample.n_kinds):
+        d = np.eye(sample.n_kinds)[k] * step
+        assert np.isclose(pull[k], (likelihood(scores + d, chain.change) - likelihood(scores - d, chain.change)) / (2 * step), atol=1e-6)
+    for a, b in itertools.product((0, 1), repeat=2):
+        d = np.zeros((2, 2))
+        d[a, b] = step
+        assert np.isclose(g2[a, b], (likelihood(scores, chain.change + d) - likelihood(scores, chain.change - d)) / (2 * step), atol=1e-6)
+
+
+def test_document_score_recounted(make):
+    """Scores and spans from marginals over all labelings of short documents, ties and repeated rows included."""
+    rng = np.random.default_rng(9)
+    chain = t.Chain(rng.normal(size=t.TABLE) * 1.5, rng.normal(size=(2, 2)), -0.5, doc=np.array([0.3, 0.8, 0.6]))
+    texts = [" ".join(rng.choice(["red", "Green", "blue", "gr\u00fcn", "7up"], n)) for n in (1, 2, 5, 9)]
+    texts += ["red, red; red!", "red, red; red!", "", None]
+    rows = make([(i, x, 1.0, x) for i, x in enumerate(texts)], "doc_id long, text string, score double, Toxicity string")
+    got = {r["doc_id"]: r["toxicity"] for r in t.score_toxicity(rows, chain).collect()}
+    for i, text in enumerate(texts):
+        words = [w.lower().encode() for w in re.findall("[0-9A-Za-z\u0080-\U0010ffff]+", text or "")]
+        p = np.zeros(len(words))
+        if words:
+            every = list(labelings([chain.word_score(w) for w in words], chain))
+            p = sum(w * np.array(y) for y, w in every) / sum(w for _, w in every)
+        expected, peak = p[p >= t.FLOOR].sum(), max(p, default=0.0)
+        x = 0.3 + 0.8 * np.log(expected + 1e-3) + 0.6 * np.log(peak + 1e-3)
+        assert np.isclose(got[i]["score"], 1 / (1 + np.exp(-x)))
+        at = [m.span() for m in re.finditer("[0-9A-Za-z\u0080-\U0010ffff]+", text or "")]
+        assert [(s["start"], s["end"]) for s in got[i]["spans"]] == [at[k] for k in np.flatnonzero(p >= 0.5)]
+    assert got[4] == got[5] and got[6] == got[7]
