@@ -1,17 +1,20 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on everything its predecessor kept; its result is
-written as Parquet and read again for the next one. All but the last return the columns of ``docs``.
+written as Parquet and read again for the next one; a stage's table goes once the next one is written.
+All but the last return the columns of ``docs``.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmill.llm import decontaminate, packing, secrets, superminhash, toxicity
-from proofmill.llm.common import free_name, table
+from proofmill.llm.common import drop_folder, free_name, table
 from proofmill.session import stored
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -73,7 +76,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, run_folder, before = table(spark, sf_dir, "documents"), f"pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        folder = f"{run_folder}/{name}"
+        docs = stored(stage(spark, docs, sf_dir), f"{folder}/docs")
+        if before is not None:
+            drop_folder(spark, before)
+        before = folder
     return docs
