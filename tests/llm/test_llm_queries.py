@@ -2,6 +2,7 @@
 
 
 import struct
+from pathlib import Path
 
 import duckdb
 import public_tokenizers
@@ -12,6 +13,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from proofmill.llm import decontaminate, pretokens, queries, secrets
 from proofmill.llm.common import folded_words
+from proofmill.session import shared_dir
 
 TABLES = ["documents", "benchmark", "embeddings", "pages", "labels", "conversations"]
 
@@ -95,6 +97,15 @@ def test_pipeline_of_odd_tables(spark, odd_docs, tmp_path):
     assert corpus_pipeline.run(spark, f"{d}/e").count() == 0
 
 
+def test_pipeline_leaves_its_result_only(spark, data):
+    work = Path(shared_dir(spark).removeprefix("file:")) / "proofmill"
+    before = set(work.glob("pipeline-*"))
+    rows = corpus_pipeline.run(spark, data)
+    (folder,) = set(work.glob("pipeline-*")) - before
+    assert [f.name for f in folder.iterdir()] == [corpus_pipeline.STAGES[-1][0]]
+    assert rows.count() > 100
+
+
 def test_stages_keep_columns_of_any_name(spark, data, tmp_path):
     """Extra columns named like the stages' own results stay as they are, through every stage but the last."""
     names = ["scan_row", "scan_hits", "Secrets", "leak", "rejected", "clean_text", "toxicity", "dedup_row", "new_text", "file_mark", "FILE_PLACE", "row", "place", "group"]
