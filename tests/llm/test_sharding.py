@@ -1,8 +1,10 @@
+import hashlib
 import zlib
 from bisect import bisect_left
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from proofmill.llm import sharding as s
 
@@ -32,6 +34,53 @@ def test_keys_go_home_or_clockwise_to_the_first_shard_with_room():
             assert full[home[cell]] == s.bounds(len(counts), 8)[home[cell]]
 
 
+def walk(counts, shards, slack):
+    """(cell, rank) -> (shard, slot), one key at a time: home first, then every key left over goes clockwise node by node."""
+
+    def digest(text):
+        return hashlib.md5(text.encode()).digest()
+
+    nodes = sorted((int.from_bytes(digest(f"{shard}/{v}")[:8], "big") % s.CELLS, shard) for shard in range(shards) for v in range(s.NODES))
+    total = sum(counts.values())
+    room = max(total, int(total * (1 + slack)))
+    bound = {shard: room // shards + (1 if shard < room % shards else 0) for shard in range(shards)}
+    used, placed, left = Counter(), {}, []
+    for cell in sorted(counts, key=lambda c: digest(f"cell/{c}")):
+        home = next((i for i, (at, _) in enumerate(nodes) if at >= cell), 0)
+        for rank in range(counts[cell]):
+            shard = nodes[home][1]
+            if used[shard] < bound[shard]:
+                placed[cell, rank] = (shard, used[shard])
+                used[shard] += 1
+            else:
+                left.append((cell, rank, home))
+    for cell, rank, at in left:
+        while used[nodes[at][1]] >= bound[nodes[at][1]]:
+            at = (at + 1) % len(nodes)
+        shard = nodes[at][1]
+        placed[cell, rank] = (shard, used[shard])
+        used[shard] += 1
+    return placed
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.1])
+def test_plan_equals_a_walk_key_by_key(slack):
+    for counts in ({}, {5: 1}, {s.CELLS - 1: 40, 0: 3}, {c * 61 % s.CELLS: c % 5 + 1 for c in range(700)} | {7: 1000}):
+        plan = {(cell, rank): (shard, base + rank - first) for cell, first, end, shard, base in s.assign(counts, 16, slack) for rank in range(first, end)}
+        assert plan == walk(counts, 16, slack)
+
+
+def test_rows_equal_a_walk_key_by_key(spark, data, monkeypatch):
+    """Rows of one cell are interchangeable; how many of a cell go where, and their slots, are the walk's. One id holds a third of all rows."""
+    monkeypatch.setattr(s, "WINDOW_ROWS", 50)
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.range(docs.count() // 2).select(F.lit(77).cast("long").alias("doc_id"), F.lit("hot").alias("text")))
+    cell = F.shiftrightunsigned(F.xxhash64("doc_id"), 48).alias("cell")
+    counts = Counter(r["cell"] for r in docs.select(cell).collect())
+    got = Counter((r["cell"], r["shard"], r["slot"]) for r in s.shard(docs, 16).select(cell, "shard", "slot").collect())
+    assert got == Counter((c, *place) for (c, _), place in walk(counts, 16, 0.0).items())
+
+
 def test_movement_is_limited_when_a_shard_joins():
     counts = dict.fromkeys(range(0, s.CELLS, 4), 1)
     where = [{p[0]: p[3] for p in s.assign(counts, n, slack=0.2)} for n in (16, 17)]
