@@ -11,13 +11,13 @@ from proofmill.session import stored
 from proofmill.sources import attempts, manifests
 
 
-def read_campaign(spark: SparkSession, root: str, pattern: str | None = None) -> dict[str, DataFrame]:
+def read_campaign(spark: SparkSession, root: str, pattern: str | None = None, archive: bool = False) -> dict[str, DataFrame]:
     """``manifests``, ``reports`` (by run) and ``lines`` (of each run's own model) of all attempts below ``root``.
 
-    ``pattern`` names the files where documents and lines are folders of part files. Manifests are stored, since runs, samples
-    and decisions all start from them.
+    ``pattern`` names the files where documents and lines are folders of part files; with ``archive``, ``root`` is one
+    (``attempts.write_archive``). Manifests are stored, since runs, samples and decisions all start from them.
     """
-    given = {} if pattern is None else {"pattern": pattern}
+    given = {"archive": archive} | ({} if pattern is None else {"pattern": pattern})
     told = stored(attempts.scan_attempt_manifests(spark, root, **given), "manifests")
     owners = told.select("attempt", "run_id", "dataset", "report_id")
     reports = attempts.scan_attempt_reports(spark, root, **given).join(owners.select("attempt", "run_id"), "attempt")
@@ -47,8 +47,10 @@ def campaign_outcomes(campaign: dict[str, DataFrame]) -> DataFrame:
     return assessed.join(unread, "run_id", "left").withColumn("parse_failure", F.coalesce("manifest_failure", report)).drop("manifest_failure")
 
 
-def import_campaign(spark: SparkSession, root: str, history: DataFrame, stored_metrics: DataFrame, pattern: str | None = None) -> DataFrame:
+def import_campaign(
+    spark: SparkSession, root: str, history: DataFrame, stored_metrics: DataFrame, pattern: str | None = None, archive: bool = False
+) -> DataFrame:
     """One import decision per attempt folder below ``root``, against the history."""
-    campaign = read_campaign(spark, root, pattern)
+    campaign = read_campaign(spark, root, pattern, archive)
     assessed = stored(campaign_outcomes(campaign), "outcomes")
     return verdicts.import_batch(campaign["manifests"], assessed, history, stored_metrics)

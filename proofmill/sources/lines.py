@@ -32,6 +32,15 @@ def plain_lines(reader, path: str, numbered: bool = False) -> DataFrame:
     return text.select("*", "_metadata", F.monotonically_increasing_id().alias("seq"))
 
 
+def block_lines(blocks: DataFrame, numbered: bool = False) -> DataFrame:
+    """Blocks of whole lines (``value``) cut into ``line``s, at the ends the text source knows; blank ones as in ``plain_lines``."""
+    cut = F.split(F.regexp_replace("value", r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n", -1)
+    kept = [c for c in blocks.columns if c != "value"]
+    if not numbered:
+        return blocks.select(*kept, F.explode(cut).alias("line")).where(F.col("line").rlike(r"\S"))
+    return blocks.select(*kept, F.posexplode(cut).alias("seq", "line")).withColumn("seq", F.col("seq").cast("bigint"))
+
+
 #: Lines that ``line_numbers`` counts as one chunk.
 CHUNK = 16_384
 

@@ -8,6 +8,7 @@ from proofmill.operators import coverage, diagnostics, evidence
 from proofmill.plans.verdicts import coverage_verdicts
 from proofmill.sources import attempts
 from proofmill.sources import lines as source
+from workload import campaign_queries
 
 LINES = "run_id string, kind string, subset string, source string, line string"
 
@@ -239,3 +240,45 @@ def test_paths_of_plain_and_partitioned_attempts(spark, tmp_path):
     assert sorted((r.attempt, r.is_report) for r in attempts.scan_attempt_reports(spark, str(plain)).collect()) == [("x0", True), ("x1", True)]
     told = {r.attempt: r for r in attempts.scan_attempt_manifests(spark, str(plain)).collect()}
     assert (told["x0"].run_id, told["x1"].run_id) == ("x0", "r1") and told["x0"].parse_failure and not told["x1"].parse_failure
+
+
+def test_an_archive_is_read_like_its_folders(spark, tmp_path):
+    """The same attempts as files and as rows of blocks: manifests, reports, lines and line numbers agree, and other files stay out."""
+    rng, tree, archive = random.Random(3), tmp_path / "tree", str(tmp_path / "archive")
+    for i in range(3):
+        for model in (f"m{i}", "foreign"):
+            docs = [rng.choice(["", " ", "{cut", json.dumps(line(j))]) for j in range(40)]
+            write(tree / f"x{i}", "predictions", model, "set_s_1.jsonl", docs)
+        (tree / f"x{i}" / "reports" / "m").mkdir(parents=True)
+        (tree / f"x{i}" / "reports" / "m" / "r.json").write_text('{"dataset_name":"set","metrics":[]}' if i else "{broken")
+        (tree / f"x{i}" / "run_manifest.json").write_text(json.dumps({"attempt_id": f"r{i}"}) if i else "{broken")
+        (tree / f"x{i}" / "notes.txt").write_text("none of these")
+    files = []
+    for path in sorted(p for p in tree.rglob("*") if p.is_file()):
+        text = path.read_text()
+        pieces = text.splitlines(keepends=True) if path.suffix == ".jsonl" else [text]
+        step = 7 if path.suffix == ".jsonl" else 1
+        files += [(str(path.relative_to(tree)), at, "".join(pieces[at : at + step])) for at in range(0, len(pieces), step)]
+    attempts.write_archive(spark.createDataFrame(files, "path string, block_start long, value string"), archive)
+    owners = spark.createDataFrame([(f"x{i}", f"r{i}", "set", f"m{i}") for i in range(3)], "attempt string, run_id string, dataset string, report_id string")
+
+    def told(root, held):
+        manifests = attempts.scan_attempt_manifests(spark, root, archive=held).select("attempt", "run_id", "path", "parse_failure")
+        reports = attempts.scan_attempt_reports(spark, root, archive=held).select("attempt", "path", "is_report", "parse_error")
+        plain = attempts.scan_attempt_folders(spark, root, owners, archive=held).select("run_id", "kind", "report_id", "subset", "line")
+        numbered = evidence.malformed_lines(attempts.scan_attempt_folders(spark, root, owners, numbered=True, archive=held))
+        return [sorted(map(repr, f.collect())) for f in (manifests, reports, plain, numbered.select("run_id", "kind", "subset", "line_no", "problem", "line"))]
+
+    assert told(archive, True) == told(str(tree), False)
+
+
+def test_a_campaign_of_many_attempts_is_few_files(spark, tmp_path):
+    """The files of the campaign queries grow with its bytes: no file per attempt or document."""
+    lineitem = spark.range(4000).selectExpr("cast(id % 400 as int) as l_suppkey", "id as l_orderkey")
+    lineitem.write.parquet(str(tmp_path / "lineitem.parquet"))
+    for writer in (campaign_queries.write_manifests, campaign_queries.write_reports, campaign_queries.write_lines):
+        writer(spark, str(tmp_path), str(tmp_path / "campaign"))
+    written = [p for p in (tmp_path / "campaign").rglob("part-*")]
+    assert 0 < len(written) <= 40
+    held = spark.read.parquet(str(tmp_path / "campaign")).groupBy("content").agg(F.countDistinct("path").alias("n")).collect()
+    assert {r.content: r.n for r in held} == {"manifests": 400, "reports": 1200, "lines": 1200}
