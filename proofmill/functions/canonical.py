@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # to_json writes these as \u00XX with upper-case hex; the canonical form is lower-case.
 _HEX_CONTROLS = r"[\x00-\x07\x0b\x0e-\x1f]"
+_ESCAPED = r'["\\\x00-\x1f]'  # text without these is its own literal
 _AROUND_CONTROL = rf"(?<={_HEX_CONTROLS})|(?={_HEX_CONTROLS})"
 
 # The control escapes that to_json writes with a letter, each with its canonical spelling.
@@ -45,7 +46,7 @@ def json_text(col: Column) -> Column:
         ).otherwise(_unquoted(piece)),
     )
     rebuilt = F.concat(F.lit('"'), F.array_join(pieces, ""), F.lit('"'))
-    return F.when(quoted.contains("\\u00"), rebuilt).otherwise(quoted)
+    return F.when(~col.rlike(_ESCAPED), F.concat(F.lit('"'), col, F.lit('"'))).when(quoted.contains("\\u00"), rebuilt).otherwise(quoted)
 
 
 def json_hex(col: Column) -> Column:

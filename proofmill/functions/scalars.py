@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _DECIMAL_TEXT = r"^\s*[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?\s*$"
+# Plain spellings, which a cast reads as they are: most numbers, without the rules for the others.
+_PLAIN_SCORE = r"\A-?[0-9]{1,15}(\.[0-9]{1,15})?\z"
+_PLAIN_COUNT = r"\A[0-9]{1,15}(\.0*)?\z"
 _WHOLE_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
 
@@ -16,7 +19,7 @@ def _number(text: Column) -> Column:
 def score_value(raw: Column) -> Column:
     """Number of a score read as text; NULL when missing or not a finite number."""
     number = F.when(raw.rlike(_DECIMAL_TEXT), _number(raw))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+    return F.when(raw.rlike(_PLAIN_SCORE), raw.try_cast("double")).when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def score_problem(raw: Column) -> Column:
@@ -26,7 +29,7 @@ def score_problem(raw: Column) -> Column:
     """
     number = F.when(raw.rlike(_DECIMAL_TEXT), _number(raw))
     return (
-        F.when(raw.isNull() | (F.abs(number) < F.lit(float("inf"))), F.lit(None).cast("string"))
+        F.when(raw.isNull() | raw.rlike(_PLAIN_SCORE) | (F.abs(number) < F.lit(float("inf"))), F.lit(None).cast("string"))
         .when(raw.isin("true", "false"), F.lit("boolean is not a score"))
         .when(
             number.isNotNull() | F.lower(raw).rlike(r'^"?\s*[+-]?(nan|inf|infinity)\s*"?$'), F.lit("non-finite score")
@@ -38,7 +41,9 @@ def score_problem(raw: Column) -> Column:
 def count_value(raw: Column) -> Column:
     """Whole number of a count read as text, also where it is written as a float; NULL when missing or no whole number."""
     number = score_value(raw)
-    return F.when(number == F.floor(number), F.coalesce(raw.try_cast("bigint"), number.try_cast("bigint")))
+    return F.when(raw.rlike(_PLAIN_COUNT), F.substring_index(raw, ".", 1).try_cast("bigint")).when(
+        number == F.floor(number), F.coalesce(raw.try_cast("bigint"), number.try_cast("bigint"))
+    )
 
 
 def count_problem(raw: Column) -> Column:
