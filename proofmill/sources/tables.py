@@ -114,13 +114,17 @@ def merge(
 
     ``how[name](old, new)`` gives a table's rows from the stored rows of the touched buckets and the changes. All tables share
     the key's buckets (choose their number by the size of the data, and keep it); a table that is not there yet starts empty.
-    Untouched buckets keep their folders. The bucket numbers are all that reaches the driver. With ``after``, the merge fails if that
+    Untouched buckets keep their folders. The bucket numbers are all that reaches the driver. Changes to tables that are there are stored
+    first, since their buckets are asked for before they are merged; tables that are new are written at once. With ``after``, the merge fails if that
     version is no longer the newest; without, it starts again from the newest one, ``attempts`` times at most.
     """
-    changes = {name: stored(frame.withColumn(BUCKET, bucket_of(F.col(key), buckets)), f"changes-{name}") for name, frame in changes.items()}
+    changes, kept = {name: frame.withColumn(BUCKET, bucket_of(F.col(key), buckets)) for name, frame in changes.items()}, False
     for attempt in range(1, attempts + 1):
         start = current_number(spark, root) if after is None else after
-        version = _write_merged(spark, root, changes, key, how, buckets, start)
+        known = {(r["name"], r["bucket"]): r["folder"] for r in bucket_folders(spark, root, start).collect()}
+        if not kept and any(name in changes for name, _ in known):
+            changes, kept = {name: stored(frame, f"changes-{name}") for name, frame in changes.items()}, True
+        version = _write_merged(spark, root, changes, key, how, buckets, known)
         try:
             return activate(spark, root, version, start)
         except StaleVersionError:
@@ -129,9 +133,9 @@ def merge(
     raise ValueError("attempts must be positive")
 
 
-def _write_merged(spark: SparkSession, root: str, changes: dict[str, DataFrame], key: str, how: dict, buckets: int, start: int) -> str:
-    touched = sorted({r[0] for frame in changes.values() for r in frame.select(BUCKET).distinct().collect()})
-    known = {(r["name"], r["bucket"]): r["folder"] for r in bucket_folders(spark, root, start).collect()}
+def _write_merged(spark: SparkSession, root: str, changes: dict[str, DataFrame], key: str, how: dict, buckets: int, known: dict) -> str:
+    there = any(name in changes for name, _ in known)
+    touched = {r[0] for frame in changes.values() for r in frame.select(BUCKET).distinct().collect()} if there else set()
     version, now = f"v-{uuid.uuid4().hex}", dict(known)
     for name, new in changes.items():
         old = _read(spark, root, [f for (n, bucket), f in known.items() if n == name and bucket in touched], new.drop(BUCKET).schema)
