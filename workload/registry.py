@@ -31,3 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Narrow rows dealt out before heavy work on each: their file may be one row group, which is one task at any number of cores."""
     return df.repartition(*keys)
+
+
+#: Rows that a task of ``dealt`` gets, more or less.
+TASK_ROWS = 250_000
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by key to tasks whose number grows with the rows, so that what one task sorts or holds does not; joins and groups by the keys stay in them."""
+    tasks = -(-df.count() // TASK_ROWS)
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)

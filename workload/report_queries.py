@@ -11,7 +11,7 @@ from proofmill.plans import report as plans
 from proofmill.session import work_path
 from proofmill.sources import reports as report_source
 from workload import bindings as b
-from workload.registry import query, spread, table
+from workload.registry import dealt, query, spread, table
 
 # --- reports: one nested document per lineitem row -------------------------------
 
@@ -114,7 +114,8 @@ FROM counts""",
 def report_ownership(spark, sf):
     runs = b.runs(spark, sf).select("run_id", "dataset", F.lit(None).cast("string").alias("pretty_name"), F.col("model_alias").alias("report_id"))
     line = F.col("l_linenumber")
-    documents = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("run_id"), "l_linenumber", "l_partkey").join(
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("run_id"), "l_linenumber", "l_partkey")
+    documents = dealt(lines, "run_id").join(
         runs.select("run_id", "dataset", "report_id"), "run_id"
     ).select(
         "run_id", b.text_of("/reports/", line, "-", F.col("l_partkey")).alias("path"),
