@@ -190,7 +190,7 @@ def test_a_thousand_secrets_and_a_run_with_most_texts(spark):
 
 
 def test_unlike_texts_cost_a_step_a_letter_of_the_shorter():
-    """Distances by bits equal the table's, also of texts whose whole table (6e8 fields) would take minutes here."""
+    """Distances by bits equal the table's, and two long texts are compared."""
     rng = random.Random(12)
     for _ in range(400):
         a, b = ("".join(rng.choice("abé😀") for _ in range(rng.randrange(60))) for _ in range(2))
