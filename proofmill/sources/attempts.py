@@ -98,16 +98,16 @@ def scan_attempt_folders(
     def owned(placed: DataFrame) -> DataFrame:
         return placed.where("attempt <> ''").join(named, "attempt").where(F.col("own").isNull() | (F.col("own") == F.col("report_id")))
 
+    def told(placed: DataFrame, *others: str) -> DataFrame:
+        kind = F.when(F.col("folder") == "predictions", F.lit("predicted")).otherwise(F.lit("reviewed")).alias("kind")
+        subset = lines.subset_from_stem(F.col("stem"), F.col("dataset")).alias("subset")
+        return placed.select("run_id", kind, "report_id", subset, "source", "block_start", *others)
+
     seq = ["seq"] if numbered else []
     if archive:
         blocks = _archived(spark, root, "lines").select(*_named(F.col("path"), F.col("path").alias("source"), "block_start", "value"))
-        joined = lines.block_lines(owned(blocks), numbered)
-    else:
-        scanned = lines.plain_lines(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern), root, numbered)
-        told = [F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block_start"), F.col("value").alias("line")]
-        joined = owned(scanned.select(*_named(below(root), *told, *seq)))
-    kind = F.when(F.col("folder") == "predictions", F.lit("predicted")).otherwise(F.lit("reviewed"))
-    return joined.select(
-        "run_id", kind.alias("kind"), "report_id", lines.subset_from_stem(F.col("stem"), F.col("dataset")).alias("subset"),
-        "source", "block_start", "line", *seq,
-    )
+        cut = lines.block_lines(told(owned(blocks), "value"), numbered)
+        return cut.select("run_id", "kind", "report_id", "subset", "source", "block_start", "line", *seq)
+    scanned = lines.plain_lines(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern), root, numbered)
+    held = [F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block_start"), F.col("value").alias("line")]
+    return told(owned(scanned.select(*_named(below(root), *held, *seq))), "line", *seq)

@@ -20,25 +20,33 @@ def subset_from_stem(stem: Column, dataset: Column) -> Column:
     return F.when(F.startswith(stem, prefix), F.substring(stem, F.length(prefix) + 1, F.length(stem))).otherwise(stem)
 
 
-def _not_blank() -> Column:
-    return F.col("value").rlike(r"\S")
+def not_blank(text: Column) -> Column:
+    """Whether a text has more than white space; from ``!`` on, its first character tells so without a pattern."""
+    return (text >= F.lit("!")) | text.rlike(r"\S")
 
 
 def plain_lines(reader, path: str, numbered: bool = False) -> DataFrame:
     """``value`` and file metadata of each line; blank lines go, or stay with the running number ``seq`` of the scan."""
     text = reader.text(path)
     if not numbered:
-        return text.filter(_not_blank())
+        return text.filter(not_blank(F.col("value")))
     return text.select("*", "_metadata", F.monotonically_increasing_id().alias("seq"))
 
 
 def block_lines(blocks: DataFrame, numbered: bool = False) -> DataFrame:
-    """Blocks of whole lines (``value``) cut into ``line``s, at the ends the text source knows; blank ones as in ``plain_lines``."""
-    cut = F.split(F.regexp_replace("value", r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n", -1)
-    kept = [c for c in blocks.columns if c != "value"]
+    """Blocks of whole lines (``value``) cut into ``line``s, at the ends the text source knows; blank ones as in ``plain_lines``.
+
+    Line ends are made alike where a block has others than a line feed, since a single character is cut at without a pattern.
+    """
+    value, kept = F.col("value"), [c for c in blocks.columns if c != "value"]
+    alike = F.when(value.contains("\r"), F.regexp_replace(value, r"\r\n?", "\n")).otherwise(value)
+    cut = blocks.select(*kept, F.split(alike, "\n", -1).alias("__cut"))
     if not numbered:
-        return blocks.select(*kept, F.explode(cut).alias("line")).where(F.col("line").rlike(r"\S"))
-    return blocks.select(*kept, F.posexplode(cut).alias("seq", "line")).withColumn("seq", F.col("seq").cast("bigint"))
+        return cut.select(*kept, F.explode("__cut").alias("line")).where(not_blank(F.col("line")))
+    size = F.size("__cut")
+    ended = (size > 1) & (F.element_at("__cut", -1) == "")  # the last line's end starts no further line
+    lines = F.when(ended, F.slice("__cut", F.lit(1), size - 1)).otherwise(F.col("__cut"))
+    return cut.select(*kept, F.posexplode(lines).alias("seq", "line")).withColumn("seq", F.col("seq").cast("bigint"))
 
 
 #: Lines that ``line_numbers`` counts as one chunk.
@@ -82,7 +90,7 @@ def scan_attempt_lines(
             reader = reader.option("recursiveFileLookup", "true")
         file_path = F.url_decode(F.col("_metadata.file_path"))
         frames.append(
-            reader.text(path).filter(_not_blank()).select(
+            reader.text(path).filter(not_blank(F.col("value"))).select(
                 F.lit(run_id).alias("run_id"),
                 F.lit(kind).alias("kind"),
                 F.regexp_extract(file_path, _PATH, 2).alias("report_id"),

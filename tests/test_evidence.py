@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,3 +283,13 @@ def test_a_campaign_of_many_attempts_is_few_files(spark, tmp_path):
     assert 0 < len(written) <= 40
     held = spark.read.parquet(str(tmp_path / "campaign")).groupBy("content").agg(F.countDistinct("path").alias("n")).collect()
     assert {r.content: r.n for r in held} == {"manifests": 400, "reports": 1200, "lines": 1200}
+
+
+def test_blocks_are_cut_at_any_line_end(spark):
+    texts = ["", "\n", "\r", "\r\n", "\n\r", "a", "a\n", "a\n\n", "a\r\nb\rc\n\n \nd", "\r\n\r\n", "é\r\r\n\u0085x y\n", "\x01\n\t\x0b\x0c\n!"]
+    blocks = spark.createDataFrame(list(enumerate(texts)), "at long, value string")
+    told = source.block_lines(blocks, numbered=True).orderBy("at", "seq").collect()
+    cut = [re.split(r"\r\n|\r|\n", re.sub(r"(\r\n|\r|\n)\Z", "", t)) for t in texts]
+    assert [(r.at, r.seq, r.line) for r in told] == [(at, i, piece) for at, pieces in enumerate(cut) for i, piece in enumerate(pieces)]
+    plain = [(r.at, r.line) for r in source.block_lines(blocks).orderBy("at").collect()]
+    assert sorted(plain) == sorted((at, piece) for at, pieces in enumerate(cut) for piece in pieces if re.search(r"[^ \t\n\x0b\f\r]", piece))
