@@ -61,6 +61,11 @@ def whole_number(value: Column) -> Column:
     )
 
 
+def plain_integer(value: Column) -> Column:
+    """Text of a VARIANT that is a whole number of a few digits, else NULL: most ids and counts, without a cast of the variant."""
+    return F.get(F.regexp_extract_all(F.to_json(value), F.lit(r"\A-?[0-9]{1,15}\z"), F.lit(0)), 0)
+
+
 def repeat_number(value: Column) -> Column:
     """Repeat index of a line: numbers are cut to integers, whole-number text is read, else 0."""
     kind = F.schema_of_variant(value)

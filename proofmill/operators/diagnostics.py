@@ -27,7 +27,9 @@ TOKEN_SUMS = ["input_tokens", "output_tokens", "total_tokens"]
 
 
 def _calls(of: list[str]) -> Column:
-    return F.sum(F.coalesce(F.size(F.filter("stop_reasons", lambda r: r.isin(of))), F.lit(0))).cast("bigint")
+    one = F.coalesce(F.get("stop_reasons", 0).isin(of), F.lit(False)).cast("int")  # most lines are one call
+    many = F.coalesce(F.size(F.filter("stop_reasons", lambda r: r.isin(of))), F.lit(0))
+    return F.sum(F.when(F.size("stop_reasons") == 1, one).otherwise(many)).cast("bigint")
 
 
 def subset_evidence(evidence: DataFrame) -> DataFrame:
@@ -39,7 +41,7 @@ def subset_evidence(evidence: DataFrame) -> DataFrame:
     usable = F.col("problem").isNull()
     predicted = usable & (F.col("kind") == "predicted")
     reviewed = usable & (F.col("kind") == "reviewed")
-    known = F.exists("stop_reasons", lambda r: r != UNKNOWN)
+    known = F.when(F.size("stop_reasons") == 1, F.get("stop_reasons", 0) != UNKNOWN).otherwise(F.exists("stop_reasons", lambda r: r != UNKNOWN))
     per_file = evidence.groupBy(*SUBSET, "kind", "source").agg(
         F.count_if(predicted).alias("predicted_lines"),
         F.count_if(reviewed).alias("reviewed_lines"),

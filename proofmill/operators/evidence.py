@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proofmill.functions.scalars import repeat_number
+from proofmill.functions.scalars import plain_integer, repeat_number
 from proofmill.schemas import EVIDENCE_LINE
 from proofmill.sources.lines import line_numbers
 
@@ -31,7 +31,8 @@ def _token_sum(usage: Column, names: tuple[str, ...]) -> Column:
     for name in names:
         value = usage[name]
         numeric = F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-        total = total + F.coalesce(F.when(numeric, F.try_variant_get(value, "$", TOKENS)), F.lit(0).cast(TOKENS))
+        given = F.coalesce(plain_integer(value).try_cast(TOKENS), F.when(numeric, F.try_variant_get(value, "$", TOKENS)))
+        total = total + F.coalesce(given, F.lit(0).cast(TOKENS))
     return total.cast(TOKENS)
 
 
@@ -64,15 +65,17 @@ def evidence_key(lines: DataFrame) -> DataFrame:
     """
     plain = F.coalesce("doc.sample_id", "doc.index")
     repeat = F.coalesce("doc.repeat_id", "doc.repeat")
-    sample_id = F.coalesce(F.try_variant_get(plain, "$", "string"), "doc.sample_score.sample_id")
+    sample_id = F.coalesce(plain_integer(plain), F.try_variant_get(plain, "$", "string"), "doc.sample_score.sample_id")
     is_object = F.col("is_object")
-    return parse_lines(lines).select(
+    # the id is worked out in a step of its own, since the problem asks for it again
+    told = parse_lines(lines).select(*lines.columns, "doc", "is_object", F.when(is_object, sample_id).alias("sample_id"))
+    return told.select(
         *lines.columns,
         "doc",
-        F.when(is_object, sample_id).alias("sample_id"),
+        "sample_id",
         F.when(is_object, repeat_number(repeat)).otherwise(F.lit(0)).alias("repeat"),
         F.when(~is_object, F.lit("not a JSON object"))
-        .when(sample_id.isNull(), F.lit("no sample id"))
+        .when(F.col("sample_id").isNull(), F.lit("no sample id"))
         .alias("problem"),
     )
 
@@ -82,9 +85,9 @@ def generation_columns() -> dict[str, Column]:
     choices = F.transform("doc.model_output.choices", lambda c: _known(c["stop_reason"]))
     generated = F.filter("doc.agent_trace.events", lambda e: F.coalesce(e["type"] == "model_generate", F.lit(False)))
     traced = F.transform(generated, lambda e: _known(e["payload"]["stop_reason"]))
-    steps = F.coalesce(F.nullif(F.size(traced), F.lit(-1)), F.lit(0))
+    steps = F.coalesce(F.nullif(F.size(generated), F.lit(-1)), F.lit(0))
     reasons = (
-        F.when(steps > 0, traced).when(F.size(choices) > 0, choices).otherwise(F.array(F.lit("unknown")))
+        F.when(steps > 0, traced).when(F.size("doc.model_output.choices") > 0, choices).otherwise(F.array(F.lit("unknown")))
     )
     trace_usage, own_usage = F.col("doc.agent_trace.total_usage"), F.col("doc.model_output.usage")
     usage = F.when((steps > 0) & _has_members(trace_usage), trace_usage).otherwise(own_usage)

@@ -9,6 +9,7 @@ from proofmill.operators import evidence, metrics
 from proofmill.plans import verdicts
 from proofmill.session import stored
 from proofmill.sources import attempts, manifests
+from proofmill.sources.lines import not_blank
 
 
 def read_campaign(spark: SparkSession, root: str, pattern: str | None = None, archive: bool = False) -> dict[str, DataFrame]:
@@ -38,8 +39,8 @@ def campaign_outcomes(campaign: dict[str, DataFrame]) -> DataFrame:
         F.when(F.col("result") != "ok", F.col("result")).alias("report_error_kind"), none.alias("report_error"), "execution_summary",
     )
     rows = manifests.manifest_rows(told)
-    samples = rows.select("run_id", "subset", F.explode(F.from_json("sample_ids_json", "array<string>")).alias("sample_id"))
-    usable = campaign["lines"].where(F.col("line").rlike(r"\S"))
+    samples = told.select("run_id", F.inline("sample_manifest")).select("run_id", "subset", F.explode("sample_ids").alias("sample_id"))
+    usable = campaign["lines"].where(not_blank(F.col("line")))
     facts = stored(evidence.typed_evidence(usable), "evidence")
     assessed = verdicts.outcomes(runs, samples, rows, facts, metrics.metric_flatten(matched))
     unread = told.select("run_id", F.col("parse_failure").alias("manifest_failure"))

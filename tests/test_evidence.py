@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from proofmill.functions.scalars import plain_integer
 from proofmill.operators import coverage, diagnostics, evidence
 from proofmill.plans.verdicts import coverage_verdicts
 from proofmill.sources import attempts
@@ -293,3 +294,16 @@ def test_blocks_are_cut_at_any_line_end(spark):
     assert [(r.at, r.seq, r.line) for r in told] == [(at, i, piece) for at, pieces in enumerate(cut) for i, piece in enumerate(pieces)]
     plain = [(r.at, r.line) for r in source.block_lines(blocks).orderBy("at").collect()]
     assert sorted(plain) == sorted((at, piece) for at, pieces in enumerate(cut) for piece in pieces if re.search(r"[^ \t\n\x0b\f\r]", piece))
+
+
+def test_plain_whole_numbers_are_read_without_a_cast(spark):
+    """The short way of ids and token counts gives what the cast gives, or leaves it to the cast."""
+    numbers = ["0", "-0", "17", "-17", "5.0", "500.0", "-500.00", "0.0", "5.50", "1e3", "00", "999999999999999", "1234567890123456", "1" * 39]
+    values = [*numbers, '"12"', '"a"', '""', "true", "null", "[1]", '{"a":1}']
+    frame = spark.createDataFrame([(v,) for v in values], "text string").withColumn("v", F.try_parse_json("text"))
+    short, text, tokens = plain_integer(F.col("v")), F.try_variant_get("v", "$", "string"), F.try_variant_get("v", "$", evidence.TOKENS)
+    rows = frame.select("text", short.alias("short"), text.alias("cast"), short.try_cast(evidence.TOKENS).alias("tokens"), tokens.alias("as_tokens")).collect()
+    assert {r.text for r in rows if r.short is not None} == set(numbers) - {"5.50", "1e3", "00", "1234567890123456", "1" * 39}
+    assert all(r.short in (None, r.cast) and r.tokens in (None, r.as_tokens) for r in rows)
+    read = facts(spark, [f'{{"sample_id":{v},"model_output":{{"usage":{{"input_tokens":{v}}}}}}}' for v in ("5.0", '"5.0"', "17", "1e3", "true")]).collect()
+    assert sorted((r.sample_id, float(r.input_tokens)) for r in read) == [("1000.0", 1000.0), ("17", 17.0), ("5", 5.0), ("5.0", 0.0), ("true", 0.0)]
