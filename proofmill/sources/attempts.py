@@ -76,6 +76,9 @@ def scan_attempt_manifests(spark: SparkSession, root: str, pattern: str = "run_m
 def scan_attempt_reports(spark: SparkSession, root: str, pattern: str = "*.json", archive: bool = False) -> DataFrame:
     """Every document below a ``reports`` folder, with its ``attempt`` and flags."""
     placed = _documents(spark, root, pattern, archive, "reports")
+    if archive:
+        # small documents, packed well: their file may be one task, and the shuffle too few bytes for more
+        placed = placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
     return reports.parse_reports(placed.withColumn("attempt", attempt_of(F.col("path"), "reports/")))
 
 

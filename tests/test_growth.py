@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from proofmill.sources import attempts
 from workload import campaign_queries, registry, report_queries
 
 
@@ -51,3 +52,10 @@ def test_a_campaign_is_written_from_one_reading_of_its_orders(spark, tmp_path, m
     monkeypatch.setattr(campaign_queries, "_orders", lambda *given: readings.append(given) or read(*given))
     told = campaign_queries.import_campaign(spark, str(tmp_path))
     assert told.agg(F.countDistinct("run_id").alias("n")).first().n == 20 and len(readings) == 1
+
+
+def test_reports_of_one_file_are_parsed_by_many_tasks(spark, tmp_path):
+    files = spark.range(200).selectExpr("concat('a', id, '/reports/m/r.json') as path", "0L as block_start", """'{"dataset_name":"set","metrics":[]}' as value""")
+    attempts.write_archive(files.coalesce(1), str(tmp_path / "archive"))
+    told = attempts.scan_attempt_reports(spark, str(tmp_path / "archive"), archive=True)
+    assert told.rdd.getNumPartitions() == 4 and told.where("is_report").count() == 200
